@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 
 from noticeloom.llm._common import map_rows, table
 
-#: n-gram length in words -> highest share, in percent, of a text's word characters inside n-grams found twice or more.
-NGRAM_LIMITS = {5: 15, 7: 13, 10: 10}
+#: n-gram length in words -> highest share, in percent, of a text's word characters inside n-grams found twice or more,
+#: the first occurrence included: twice what would be left out by keeping it.
+NGRAM_LIMITS = {5: 30, 7: 26, 10: 20}
 #: The same for characters in lines that equal an earlier line.
 LINE_LIMIT = 20
 MIN_WORDS, MAX_REPEAT_WORDS, BASE_NGRAM = 50, 50, 3
