@@ -27,6 +27,14 @@ DOCS_PER_LANG, SAMPLE_CHARS, DICT_BYTES, WINDOW = 96, 2048, 48 << 10, 1024
 #: A lead of less than this share of the runner-up's bytes is narrow.
 NARROW = 0.02
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> bytes:
+    """Lower-cased words of letters with a blank between them, a word that follows itself once: case and decoration say
+    little of a language."""
+    words = _NOT_LETTERS.sub(" ", text.lower()).split(" ")
+    return " ".join([w for w, before in zip(words, ["", *words], strict=False) if w != before]).encode()
 
 
 def train(docs: DataFrame, learn: Column, docs_per_lang: int = DOCS_PER_LANG, sample_chars: int = SAMPLE_CHARS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
@@ -41,7 +49,7 @@ def train(docs: DataFrame, learn: Column, docs_per_lang: int = DOCS_PER_LANG, sa
     share = max(1, dict_bytes // max(1, docs_per_lang))
     out: dict[str, list[bytes]] = {}
     for lang, _, t in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
-        out.setdefault(lang, []).append(t.encode())
+        out.setdefault(lang, []).append(letters(t))
     # every sampled text gives an equal share; what short ones leave over goes to the longer ones
     return {lang: _fill(texts[:docs_per_lang], share, dict_bytes) for lang, texts in out.items()}
 
@@ -64,7 +72,7 @@ def predict(raw: bytes | None, models: list[tuple[str, object]], window: int = W
     if not raw or not models or not has_letter(raw):
         return "und", 0.0, True
     size = dict.fromkeys((k for k, _ in models), 0)
-    for piece in windows(raw, window):
+    for piece in windows(letters(raw.decode("utf-8", "replace")), window):
         for lang, c in models:
             size[lang] += len(c.compress(piece))
     order = sorted(size, key=lambda k: (size[k], k))
