@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from noticeloom.llm._common import id_bucket, map_rows, table
 from noticeloom.llm.zdict import compressor, windows
 
-DOCS_PER_LANG, SAMPLE_CHARS, DICT_BYTES, WINDOW = 96, 2048, 48 << 10, 1024
+DOCS_PER_LANG, SAMPLE_CHARS, DICT_BYTES, WINDOW, LEVEL = 96, 2048, 48 << 10, 1024, 6
 #: A lead of less than this share of the runner-up's bytes is narrow.
 NARROW = 0.02
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -86,7 +86,7 @@ def predict(raw: bytes | None, models: list[tuple[str, object]], window: int = W
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], window: int = WINDOW, narrow: float = NARROW) -> DataFrame:
     """lang_pred, score and rejected of every text: one pass, no shuffle."""
-    return map_rows(docs, "lang_pred string, score double, rejected boolean", lambda raw, models: predict(raw, models, window, narrow), setup=lambda: [(k, compressor(v)) for k, v in sorted(dictionaries.items())])
+    return map_rows(docs, "lang_pred string, score double, rejected boolean", lambda raw, models: predict(raw, models, window, narrow), setup=lambda: [(k, compressor(v, LEVEL)) for k, v in sorted(dictionaries.items())])
 
 
 def op3_language(spark, sf_dir: str) -> DataFrame:

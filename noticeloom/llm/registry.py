@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from noticeloom.llm import language, repetition
+from noticeloom.llm import language, repetition, toxicity
 
-_MODULES = (repetition, language)
+_MODULES = (repetition, language, toxicity)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
