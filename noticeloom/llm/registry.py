@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from noticeloom.llm import language, licenses, repetition, toxicity
+from noticeloom.llm import language, licenses, repetition, toxicity, warc
 
-_MODULES = (repetition, language, licenses, toxicity)
+_MODULES = (repetition, language, licenses, warc, toxicity)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
