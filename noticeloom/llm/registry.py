@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from noticeloom.llm import language, licenses, mixing, repetition, toxicity, warc
+from noticeloom.llm import language, licenses, mixing, neardup, repetition, toxicity, warc
 
-_MODULES = (repetition, language, licenses, mixing, warc, toxicity)
+_MODULES = (repetition, language, licenses, neardup, mixing, warc, toxicity)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
