@@ -26,7 +26,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeloom.llm._common import id_bucket, map_rows, table
@@ -131,9 +131,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, n_toxic: int = N_TO
     """Fit on the labelled rows for which ``learn`` (of doc_id) holds."""
     known = labels.where(learn & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = dict(known.groupBy("toxic").count().collect())
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    # of bounded size: n_toxic + n_ordinary ids
-    chosen = known.withColumn("r", rank).where((F.col("r") <= n_ordinary) & ((F.col("toxic") == 0) | (F.col("r") <= n_toxic))).select("doc_id", "toxic")
+    first = lambda kind, n: known.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    # of bounded size: n_toxic + n_ordinary ids, the first of each partition meeting in one place
+    chosen = first(1, n_toxic).unionByName(first(0, n_ordinary))
     usable = F.col("text").isNotNull() & (F.length("text") <= train_chars)
     rows = docs.where(usable).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text", "doc_id").collect()
     seen, sample = set(), []
