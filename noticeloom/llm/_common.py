@@ -49,7 +49,7 @@ def discard(df: DataFrame) -> None:
 
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of the plan's size, from file sizes; no job runs."""
-    n = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    n = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return n if n < 1 << 60 else 0
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from noticeloom.llm import decontam, exactdup, language, licenses, mixing, neardup, repetition, toxicity, warc
+from noticeloom.llm import decontam, exactdup, language, licenses, lm, mixing, neardup, repetition, toxicity, warc
 
-_MODULES = (repetition, language, exactdup, licenses, neardup, mixing, decontam, warc, toxicity)
+_MODULES = (repetition, lm, language, exactdup, licenses, neardup, mixing, decontam, warc, toxicity)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
