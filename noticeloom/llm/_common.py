@@ -95,7 +95,7 @@ def map_rows(df: DataFrame, schema: str, row: Callable, keep: tuple[str, ...] =
                 cols = list(zip(*held, strict=True)) if held else [[] for _ in names]
                 return pa.RecordBatch.from_arrays([k.slice(at, end - at).cast(arrow.field(i).type) for i, k in enumerate(kept)] + [pa.array(c, type=arrow.field(n_keep + i).type) for i, c in enumerate(cols)], schema=arrow)
 
-            for i, raw in enumerate(text_column(batch, text)):
+            for i, raw in enumerate(text_column(batch, "_text")):
                 held.append(row(raw, *state))
                 size += len(raw or b"")
                 if size > BATCH_BYTES:
@@ -104,4 +104,14 @@ def map_rows(df: DataFrame, schema: str, row: Callable, keep: tuple[str, ...] =
             if held:
                 yield flush(batch.num_rows)
 
-    return df.select(*keep, text).mapInArrow(run, out_type)
+    return df.select(*(quoted(k) for k in keep), quoted(text).alias("_text")).mapInArrow(run, out_type)
+
+
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def without(docs: DataFrame, ids: DataFrame, broadcast_ids: int = 1_000_000) -> DataFrame:
+    """``docs`` without the rows whose doc_id is among ``ids``: broadcast where they have been counted and are few, else shuffled."""
+    ids = materialise(ids.select("doc_id").where("doc_id IS NOT NULL").distinct(), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= broadcast_ids else ids, "doc_id", "left_anti").select(*(quoted(c) for c in docs.columns))

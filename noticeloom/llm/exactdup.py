@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm._common import discard, materialise, table, text_column
+from noticeloom.llm._common import discard, materialise, quoted, table, text_column
 from noticeloom.llm.induced import MEMORY, suffix_array
 
 LENGTH, SEED = 200, 64
@@ -268,7 +268,7 @@ def whole_characters(raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[int,
 
 
 def apply_runs(docs: DataFrame, intervals: DataFrame, schema: str, row, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` and what ``row(bytes, merged runs)`` returns, for every row of ``docs``."""
+    """``keep`` and what ``row(bytes or None, merged runs)`` returns, for every row of ``docs``."""
     from pyspark.sql.types import StructType
 
     own = StructType.fromDDL(schema)
@@ -288,7 +288,7 @@ def apply_runs(docs: DataFrame, intervals: DataFrame, schema: str, row, keep: tu
                 return pa.RecordBatch.from_arrays([c.slice(at, end - at).cast(arrow.field(i).type) for i, c in enumerate(kept)] + [pa.array(c, arrow.field(len(keep) + i).type) for i, c in enumerate(cols)], schema=arrow)
 
             for i, raw in enumerate(text_column(b, "_text")):
-                held.append(row(raw or b"", merged((r["a"], r["b"]) for r in runs[i].as_py() or ())))
+                held.append(row(raw, merged((r["a"], r["b"]) for r in runs[i].as_py() or ())))
                 size += len(raw or b"")
                 if size > 8 << 20:
                     yield flush(i + 1)
@@ -297,7 +297,7 @@ def apply_runs(docs: DataFrame, intervals: DataFrame, schema: str, row, keep: tu
                 yield flush(b.num_rows)
 
     found = intervals.select(F.col("doc_id").alias("_d"), F.col("k").alias("_k"), F.col("runs").alias("_runs"))
-    rows = docs.select(*(F.col(k).alias(f"_{i}") for i, k in enumerate(keep)), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"), F.col("text").alias("_text"))
+    rows = docs.select(*(quoted(k).alias(f"_{i}") for i, k in enumerate(keep)), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"), F.col("text").alias("_text"))
     rows = rows.join(found, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_k")), "left")
     return rows.select(*(f"_{i}" for i in range(len(keep))), "_text", "_runs").mapInArrow(run, out_type)
 
@@ -306,6 +306,7 @@ def dedup_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every text."""
 
     def row(raw, runs):
+        raw = raw or b""
         return len(raw), sum(b - a for a, b in runs), len(runs), hashlib.sha256(cut(raw, runs)).hexdigest()
 
     return apply_runs(docs, repeated_intervals(docs, **options), "n_bytes long, n_removed long, n_spans long, kept_sha256 string", row)
