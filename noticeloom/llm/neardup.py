@@ -7,7 +7,7 @@
    the similarity reaches the threshold (uniform prior) is a binomial sum; below ``miss`` the pair is dropped.
 4. Survivors are verified on their full sets of words. Links give components (alternating stars, each round a table).
 5. In buckets whose texts are still in several components, texts outside the largest component are compared with all others,
-   in tiles of bounded size, as in 3 and 4. After that no two texts that share a band are left uncompared unless they are in
+   in tiles of bounded size, pruned as in 3 and verified in place. After that no two texts that share a band are left uncompared unless they are in
    one component already, so no component is missed for want of pairs.
 
 A pair at the threshold shares no band with probability (1 - t^rows)^bands: 1.3e-7 for t = 0.8 with 40 bands of 5 values.
@@ -168,31 +168,60 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, part: int, whole: int) ->
     return pairs.join(u, "u").join(v, "v").select("u", "v", "text_u", "text_v").mapInArrow(run, "u long, v long")
 
 
-def _tiles(members: DataFrame, sigs: DataFrame, least: list[tuple[int, int]], tile: int) -> DataFrame:
-    """Surviving pairs of different components in buckets (key, doc_id, label) that hold several components."""
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted arrays of distinct values share."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    return int((b[np.minimum(at, len(b) - 1)] == a).sum()) if len(b) else 0
+
+
+def _tiles(members: DataFrame, sigs: DataFrame, docs: DataFrame, least: list[tuple[int, int]], tile: int, k: int, part: int, whole: int) -> DataFrame:
+    """Links between different components in buckets (key, doc_id, label) that hold several. A tile verifies its own candidates on their
+    full sets and gives at most one link fewer than it has texts, as two texts of one component need no second link."""
     width = least[-1][0]
     by_label = members.groupBy("key", "label").agg(F.count("*").alias("c"))
     open_ = by_label.groupBy("key").agg(F.sum("c").alias("n"), F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("k")).where("k > 1 AND n > 2").select("key", F.col("top.label").alias("top"), F.ceil(F.col("n") / tile).cast("int").alias("t"), F.ceil((F.col("n") - F.col("top.c")) / tile).cast("int").alias("s"))
-    left = members.join(open_, "key").withColumn("stray", F.col("label") != F.col("top"))
-    side = lambda df, stray, tiles, strays: df.select("key", F.lit(stray).alias("role"), "doc_id", "label", "stray", tiles.alias("tile"), strays.alias("part"))
+    left = materialise(members.join(open_, "key").withColumn("stray", F.col("label") != F.col("top")), "open-buckets")
+    ids = materialise(left.select("doc_id").distinct(), "open-ids")
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    side = lambda df, role, tiles, strays: df.select("key", F.lit(role).alias("role"), "doc_id", "label", "stray", tiles.alias("tile"), strays.alias("part"))
     every = side(left, 0, F.pmod(F.xxhash64("doc_id"), F.col("t")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
     strays = side(left.where("stray"), 1, F.explode(F.sequence(F.lit(0), F.col("t") - 1)), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("s")).cast("int"))
-    rows = every.unionByName(strays).join(sigs.select("doc_id", "sig"), "doc_id")
+    rows = every.unionByName(strays).join(sigs.select("doc_id", "sig").join(texts, "doc_id"), "doc_id")
 
     def compare(t: pa.Table) -> pa.Table:
         role, ids, label, stray = (t.column(c).to_numpy() for c in ("role", "doc_id", "label", "stray"))
         sig = _matrix(t.column("sig").combine_chunks(), width) if t.num_rows else np.empty((0, width), np.uint16)
+        text, hashes, sets, root = t.column("text"), WordHashes(), {}, {}
+
+        def own(i: int) -> np.ndarray:
+            if ids[i] not in sets:
+                sets[ids[i]] = shingle_hashes(text[i].as_py().encode(), k, hashes)
+            return sets[ids[i]]
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                root[x] = x = root.get(root[x], root[x])
+            return x
+
         a, b = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
-        us, vs = [], []
+        links = []
         for i in b:
             # two strays meet twice, in either role; once is enough
             other = a[(label[a] != label[i]) & (~stray[a].astype(bool) | (ids[a] > ids[i]))]
-            if len(other):
-                got = other[surviving(np.broadcast_to(sig[i], (len(other), width)), sig[other], least)]
-                us.append(np.minimum(ids[got], ids[i]))
-                vs.append(np.maximum(ids[got], ids[i]))
-        none = np.empty(0, np.int64)
-        return pa.table({"u": np.concatenate(us) if us else none, "v": np.concatenate(vs) if vs else none}, schema=PAIR)
+            if not len(other):
+                continue
+            for j in other[surviving(np.broadcast_to(sig[i], (len(other), width)), sig[other], least)].tolist():
+                x, y = find(int(label[i])), find(int(label[j]))
+                if x != y:
+                    n, m, both = len(own(i)), len(own(j)), common(own(i), own(j))
+                    if whole * both >= part * (n + m - both):
+                        root[x] = y
+                        links.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
+        u, v = zip(*links, strict=True) if links else ((), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())}, schema=PAIR)
 
     return rows.groupBy("key", "tile", "part").applyInArrow(compare, "u long, v long").distinct()
 
@@ -221,11 +250,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 10
     members = reps.select("doc_id", F.explode("bands").alias("key"))
     pivots = members.groupBy("key").agg(F.min("doc_id").alias("u"), F.count("*").alias("n")).where("n > 1").select("key", "u")
     shared = materialise(members.join(pivots, "key"), "buckets")
-    stars = shared.where("doc_id <> u").select("u", F.col("doc_id").alias("v")).distinct()
+    stars = materialise(shared.where("doc_id <> u").select("u", F.col("doc_id").alias("v")).distinct(), "stars")
     links = materialise(_verify(_prune(stars, sigs, least), docs, k, part, whole), "star-links")
     label = materialise(components(links.select("u", "v")), "labels")
     marked = shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("label"))
-    more = materialise(_verify(_tiles(marked, sigs, least, tile), docs, k, part, whole), "tile-links")
+    more = materialise(_tiles(marked, sigs, docs, least, tile, k, part, whole), "tile-links")
     if not more.isEmpty():
         label = materialise(components(more.unionByName(label.select(F.col("component").alias("u"), F.col("node").alias("v")))), "labels")
     for done in (shared, reps):
