@@ -10,8 +10,8 @@ No machine sorts the suffixes of the whole corpus, so the text is first cut wher
 3. Groups with several distinct spans go, anchor by anchor, into shards of about ``SHARD`` bytes. A shard's suffixes and common prefixes are
    sorted by external induction (``induced``); a window is repeated if it shares ``length`` bytes with a neighbour.
    A group of more than ``GROUP`` distinct spans (the edges of a passage that very many documents share) would be one
-   shard however large; there the windows' 128-bit hashes are counted by key, pre-aggregated in the map tasks, which splits
-   the group over all tasks.
+   shard however large; there the windows' 128-bit hashes are compared range by range of hashes, which splits the group over as
+   many tasks as it needs.
 4. The verdicts go back to the spans' places and these to the documents.
 
 Defined results: null texts are empty; texts shorter than ``length`` lose nothing; equal rows and equal texts are each other's
@@ -34,8 +34,8 @@ from noticeloom.llm.induced import MEMORY, suffix_array
 
 LENGTH, SEED = 200, 64
 SHARD, GROUP = 1 << 20, 2000
-#: Rows of representatives that may be broadcast (about 100 bytes each).
-BROADCAST_ROWS = 300_000
+#: Windows of very large groups that are compared in one task (36 bytes each).
+WINDOWS = 1_000_000
 _CHUNK = 1 << 15
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -179,34 +179,58 @@ def _sorted_verdicts(texts: DataFrame, shards: int, length: int, memory: int) ->
     return texts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInArrow(judge, RUNS)
 
 
-def _counted_verdicts(texts: DataFrame, length: int) -> DataFrame:
-    """The same for groups of very many spans: every window's hash is counted."""
+def _counted_verdicts(texts: DataFrame, length: int, parts: int) -> DataFrame:
+    """The same for groups of very many spans: every window's hash is compared with all others of its range of hashes.
+
+    A batch of spans sends one row to each range, with the hashes packed; equal windows meet in their range, whatever their group.
+    """
+    packed = pa.schema([("part", pa.int64()), ("w", pa.binary()), ("anchor", pa.binary()), ("span", pa.binary()), ("at", pa.binary())])
+    kind = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("ats", pa.list_(pa.int32()))])
 
     def windows(batches):
         import xxhash
 
+        def deal(held):
+            w = np.frombuffer(b"".join(h[0] for h in held), ">u8").astype(np.uint64).reshape(-1, 2)
+            n = [h[3] for h in held]
+            anchor, span = (np.repeat(np.array([h[k] for h in held], np.int64), n) for k in (1, 2))
+            at = np.concatenate([np.arange(m, dtype=np.int32) for m in n])
+            part = (w[:, 0] % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            cut = np.flatnonzero(np.diff(part[order])) + 1
+            rows = [[int(part[o[0]]), w[o].tobytes(), anchor[o].tobytes(), span[o].tobytes(), at[o].tobytes()] for o in np.split(order, cut)]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), packed, strict=True)], schema=packed)
+
+        held, size = [], 0
         for b in batches:
             anchor, span = b.column(0).to_pylist(), b.column(1).to_pylist()
-            rows: dict[str, list] = {"anchor": [], "span": [], "at": [], "w": []}
             for i, x in enumerate(b.column(2)):
                 view = memoryview(x.as_py())
                 m = len(view) - length + 1
-                rows["anchor"] += [anchor[i]] * m
-                rows["span"] += [span[i]] * m
-                rows["at"] += range(m)
-                rows["w"] += [xxhash.xxh3_128_digest(view[j : j + length]) for j in range(m)]
-                if len(rows["w"]) > 50_000:
-                    yield pa.RecordBatch.from_pydict(rows, schema=schema)
-                    rows = {k: [] for k in rows}
-            if rows["w"]:
-                yield pa.RecordBatch.from_pydict(rows, schema=schema)
-
-    schema = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("at", pa.int32()), ("w", pa.binary())])
-    rows = texts.select("anchor", "span", "bytes").mapInArrow(windows, "anchor long, span long, at int, w binary")
-    # equal windows have equal anchors, so the window's hash alone is the key, and it is no hot one: a row for each span and window,
-    # summed in the map tasks
-    twice = rows.groupBy("w").agg(F.count("*").alias("c")).where("c > 1").select("w")
-    hits = rows.join(twice, "w", "left_semi").groupBy("anchor", "span").agg(F.collect_list("at").alias("ats"))
+                held.append((b"".join(xxhash.xxh3_128_digest(view[j : j + length]) for j in range(m)), anchor[i], span[i], m))
+                size += m
+                if size > 200_000:
+                    yield deal(held)
+                    held, size = [], 0
+        if held:
+            yield deal(held)
+
+    def repeated(t: pa.Table) -> pa.Table:
+        col = lambda k, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in t.column(k)])
+        w, anchor, span, at = col("w", np.uint64).reshape(-1, 2), col("anchor", np.int64), col("span", np.int64), col("at", np.int32)
+        order = np.lexsort((w[:, 1], w[:, 0]))
+        same = (w[order[1:]] == w[order[:-1]]).all(1)
+        twice = np.zeros(len(w), bool)
+        twice[order[1:][same]] = True
+        twice[order[:-1][same]] = True
+        hit = np.flatnonzero(twice)
+        hit = hit[np.lexsort((at[hit], span[hit], anchor[hit]))]
+        new = np.flatnonzero(np.append(True, np.diff(anchor[hit]) | np.diff(span[hit]))) if len(hit) else hit
+        offsets = pa.array(np.append(new, len(hit)).astype(np.int32))
+        return pa.table([pa.array(anchor[hit][new]), pa.array(span[hit][new]), pa.ListArray.from_arrays(offsets, pa.array(at[hit]))], schema=kind)
+
+    rows = texts.select("anchor", "span", "bytes").mapInArrow(windows, "part long, w binary, anchor binary, span binary, at binary")
+    hits = rows.groupBy("part").applyInArrow(repeated, "anchor long, span long, ats array<int>").groupBy("anchor", "span").agg(F.flatten(F.collect_list("ats")).alias("ats"))
     return hits.select("anchor", "span", F.transform("ats", lambda x: F.struct(x.alias("a"), (x + F.lit(length)).cast("int").alias("b"))).alias("runs"))
 
 
@@ -221,14 +245,13 @@ def repeated_intervals(docs: DataFrame, length: int = LENGTH, seed: int = SEED,
     spans = materialise(spans, "spans")
     several = spans.groupBy("anchor").agg(F.count("*").alias("m"), F.min("c").alias("least")).where("m > 1 AND least = 1").select("anchor", "m")
     open_ = materialise(spans.join(several, "anchor").select("anchor", "span", "c", "m", "size", "one.*"), "open-spans")
-    n, total = open_.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    wanted = F.broadcast(open_) if n <= BROADCAST_ROWS else open_
+    sums = open_.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("total"), F.coalesce(F.sum(F.when(F.col("m") > group, F.col("size") - (length - 1))), F.lit(0)).alias("windows")).first()
     source = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), F.col("text").cast("binary").alias("t"))
-    texts = source.join(wanted, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("k")))
+    texts = source.join(open_, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("k")))
     texts = texts.select("anchor", "span", "c", "m", F.expr("substring(t, at + 1, size)").alias("bytes")).dropDuplicates(["anchor", "span"])
     texts = materialise(texts, "span-texts")
-    fine = _sorted_verdicts(texts.where(F.col("m") <= group), max(1, -(-total // shard)), length, memory)
-    hot = _counted_verdicts(texts.where(F.col("m") > group), length)
+    fine = _sorted_verdicts(texts.where(F.col("m") <= group), max(1, -(-sums.total // shard)), length, memory)
+    hot = _counted_verdicts(texts.where(F.col("m") > group), length, max(1, -(-sums.windows // WINDOWS)))
     whole = spans.where("c > 1").select("anchor", "span", F.array(F.struct(F.lit(0).alias("a"), F.col("size").alias("b"))).alias("runs"))
     # spans that occur twice are known already; they went into the shards for others to be compared with
     part = fine.unionByName(hot).join(spans.where("c = 1").select("anchor", "span"), ["anchor", "span"], "left_semi").where(F.size("runs") > 0)
