@@ -1,6 +1,525 @@
-"""The registered queries and, beside each, its DuckDB counterpart."""
+"""The registered queries and, beside each, its DuckDB counterpart.
+
+The tables hold no notices, so queries on extraction put notices together from their columns; the counterpart then only selects
+those columns: what goes in must come out.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from noticeloom.functions import text as T
+from noticeloom.functions import titles as C
+from noticeloom.functions import values as X
+from noticeloom.functions import vocabulary as V
+from noticeloom.operators import audit, extract, pages, projects, relations
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _sql_list(xs) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+
+
+# ---- pages
+
+_LINK = r"""regexp_extract_all(html, '<a href="([^"]*)"[^>]*>', 1)"""
+
+
+@query(
+    rf"""WITH l AS (SELECT page_id, unnest({_LINK}) AS href FROM pages),
+u AS (SELECT page_id, CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\-]*:') THEN href WHEN starts_with(href, '//') THEN 'https:' || href WHEN starts_with(href, '/') THEN '{V.BASE_URL}' || href ELSE '{V.BASE_URL}/' || href END AS url FROM l WHERE href <> ''),
+d AS (SELECT url, min(page_id) AS page_id FROM u GROUP BY 1)
+SELECT CASE WHEN contains(url, 'example.com') THEN 'com' WHEN contains(url, 'example.org') THEN 'org' WHEN starts_with(url, '{V.BASE_URL}/') THEN 'own' ELSE '其他' END AS kind, count(*) AS n, min(page_id) AS first_page FROM d GROUP BY 1"""
+)
+def notice_link_types(spark, d):
+    """Flagship: links of landed pages, resolved, each stored once, counted by kind."""
+    rows = _t(spark, d, "pages").select("page_id", F.explode(pages.links(F.col("html"))).alias("href")).where("href <> ''")
+    rows = rows.select("page_id", X.resolve(F.col("href")).alias("url"))
+    new = rows.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    kinds = {"example.com": "com", "example.org": "org", f"{V.BASE_URL}/": "own"}
+    return new.groupBy(X.url_kind(F.col("url"), kinds).alias("kind")).agg(F.count("*").alias("n"), F.min("page_id").alias("first_page"))
+
+
+@query(rf"""SELECT page_id, unnest({_LINK}) AS href, unnest(generate_series(0, len({_LINK}) - 1))::INTEGER AS pos FROM pages""")
+def list_links(spark, d):
+    return _t(spark, d, "pages").select("page_id", F.posexplode(pages.links(F.col("html"))).alias("pos", "href")).select("page_id", "href", "pos")
+
+
+@query(r"""SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS h1 FROM pages""")
+def page_titles(spark, d):
+    h = F.col("html")
+    return _t(spark, d, "pages").select("page_id", F.regexp_extract(h, "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract(h, "<h1>([^<]*)</h1>", 1).alias("h1"))
+
+
+@query(
+    r"""WITH a AS (SELECT page_id, regexp_replace(html, '(?is)<script[^>]*>.*?</script>', ' ', 'g') AS t FROM pages),
+b AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(t, '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]+>', ' ', 'g') AS t FROM a)
+SELECT page_id, length(trim(regexp_replace(t, '[\s\x{3000}\x{a0}]+', ' ', 'g')))::INTEGER AS n, md5(trim(regexp_replace(t, '[\s\x{3000}\x{a0}]+', ' ', 'g'))) AS digest FROM b"""
+)
+def visible_text_digest(spark, d):
+    t = _t(spark, d, "pages").select("page_id", pages.visible_text(F.col("html")).alias("t"))
+    return t.select("page_id", F.length("t").alias("n"), F.md5(F.col("t").cast("binary")).alias("digest"))
+
+
+@query("SELECT page_id, md5(replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')) AS digest FROM pages")
+def unescape_common_digest(spark, d):
+    return _t(spark, d, "pages").select("page_id", F.md5(T.unescape_common(F.col("html")).cast("binary")).alias("digest"))
+
+
+@query(
+    r"""WITH u AS (SELECT page_id, regexp_replace(trim(url), '#.*$', '') AS t FROM pages),
+o AS (SELECT page_id, t, lower(regexp_extract(t, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?]*)', 1)) AS o FROM u)
+SELECT page_id, regexp_replace(regexp_replace(o, '^(http://.*):80$', '\1'), '^(https://.*):443$', '\1') || regexp_replace(substr(t, length(o) + 1), '/+$', '') AS url,
+  CASE WHEN contains(t, '/en/') THEN 'en' WHEN contains(t, '/fr/') THEN 'fr' WHEN contains(t, '/de/') THEN 'de' ELSE '其他' END AS kind FROM o"""
+)
+def url_normalised(spark, d):
+    return _t(spark, d, "pages").select("page_id", X.normal_url(F.col("url")).alias("url"), X.url_kind(F.col("url"), {"/en/": "en", "/fr/": "fr", "/de/": "de"}).alias("kind"))
+
+
+@query(
+    rf"""WITH l AS (SELECT page_id, unnest({_LINK}) AS href, unnest(generate_series(0, len({_LINK}) - 1)) AS pos FROM pages),
+f AS (SELECT page_id, href, min(pos) AS pos FROM l GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS k FROM f)
+SELECT page_id, href, k::INTEGER AS k FROM r WHERE k <= 10"""
+)
+def links_first_ten(spark, d):
+    rows = _t(spark, d, "pages").select("page_id", F.posexplode(F.slice(F.array_distinct(pages.links(F.col("html"))), 1, 10)).alias("k", "href"))
+    return rows.select("page_id", "href", (F.col("k") + 1).alias("k"))
+
+
+@query(
+    """SELECT p_partkey AS id, p_name AS title, 'https://prec.sxzwfw.gov.cn/jyxxgczb/' || p_partkey || '.jhtml' AS detail_url, p_brand AS place, '2026-' || lpad((p_size % 12 + 1)::VARCHAR, 2, '0') || '-15' AS date
+FROM part WHERE NOT (p_size % 12 + 1 < 4)"""
+)
+def section_list(spark, d):
+    """A section's list page, one for each part: links, dates, places and the cutoff."""
+    date = F.concat(F.lit("2026/"), F.lpad((F.col("p_size") % 12 + 1).cast("string"), 2, "0"), F.lit("/15"))
+    html = F.concat(F.lit('<ul><li><a class="x" href="/site/jyxxgczb/'), F.col("p_partkey").cast("string"), F.lit('.jhtml" target="_blank"><span>'), F.col("p_name"), F.lit("</span><i></i></a></li></ul>"))
+    body = F.concat(F.regexp_replace(html, "<i></i>", ""), F.lit(""))
+    listed = F.regexp_replace(body, "</span></a>", F.lit("</span></a>"))
+    rows = _t(spark, d, "part").select(F.lit(1).alias("page"), listed.alias("html"), "p_partkey", "p_brand", date.alias("date_text"))
+    got = rows.select("p_partkey", "p_brand", "date_text", F.inline(pages.section_links(F.col("html"), "jyxxgczb")))
+    marked = got.select(F.col("detail_id").cast("long").alias("id"), "title", F.col("p_brand").alias("place"), X.list_date(F.col("date_text")).alias("day"), X.detail_url(F.lit("gczb"), F.col("detail_id")).alias("detail_url"))
+    return marked.where("day IS NULL OR day >= DATE'2026-04-01'").select("id", "title", "detail_url", "place", F.date_format("day", "yyyy-MM-dd").alias("date"))
+
+
+@query("""SELECT s_suppkey, s_name AS tenderer, 'N' || s_nationkey AS kind FROM supplier""")
+def plan_table(spark, d):
+    """The message table of a plan's page, parsed into label and value."""
+    html = F.concat(F.lit('<table class="bid_msgTable"><tr><td><b>招标人名称：</b><td>'), F.col("s_name"), F.lit("<td><b>项目类型（类）</b></td><td> N"), F.col("s_nationkey").cast("string"), F.lit("</td></tr></table>"))
+    m = pages.table_pairs(html)
+    return _t(spark, d, "supplier").select("s_suppkey", m.alias("m")).select("s_suppkey", F.col("m")["招标人名称"].alias("tenderer"), F.col("m")["项目类型"].alias("kind"))
+
+
+@query("SELECT c_custkey, c_name AS name, 'https://prec.sxzwfw.gov.cn/f/' || c_custkey || '.pdf' AS file, md5('https://prec.sxzwfw.gov.cn/f/' || c_custkey || '.pdf') || '.pdf' AS cache FROM customer")
+def candidate_table(spark, d):
+    """Candidates by their column's heading, and the page's PDF."""
+    k = F.col("c_custkey").cast("string")
+    html = F.concat(F.lit("<body><iframe src='/f/"), k, F.lit(".pdf'></iframe><table><tr><th>排序<th>中标候选人名称</tr><tr><td>1<td>"), F.col("c_name"), F.lit("<tr><td>2<td>"), F.col("c_name"), F.lit("</table>"))
+    url = pages.file_url(html, F.lit(V.BASE_URL + "/x/y.jhtml"))
+    return _t(spark, d, "customer").select("c_custkey", X.joined(pages.candidate_names(html)).alias("name"), url.alias("file")).withColumn("cache", X.cache_key(F.col("file"), ".pdf"))
+
+
+# ---- text
+
+_WS = r"[\s\x{3000}\x{a0}\x{85}\x{2028}\x{2029}]"
+
+
+@query(rf"""SELECT doc_id, md5(regexp_replace(trim(regexp_replace(replace(replace(replace(text, '&nbsp;', ' '), chr(160), ' '), chr(12288), ' '), '{_WS}+', ' ', 'g')), '^[：:，,；;。 ]+|[：:，,；;。 ]+$', '', 'g')) AS digest FROM documents""")
+def inline_digest(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.md5(T.inline(F.col("text")).cast("binary")).alias("digest"))
+
+
+@query(
+    r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents),
+n AS (SELECT doc_id, i, trim(regexp_replace(replace(replace(replace(x, '&nbsp;', ' '), chr(160), ' '), chr(12288), ' '), '[ \t\r\f\v]+', ' ', 'g')) AS x FROM l)
+SELECT doc_id, md5(string_agg(x, chr(10) ORDER BY i)) AS digest FROM n WHERE x <> '' GROUP BY 1"""
+)
+def lines_digest(spark, d):
+    return _t(spark, d, "documents").where(F.length(T.normalised(F.col("text"))) > 0).select("doc_id", F.md5(T.normalised(F.col("text")).cast("binary")).alias("digest"))
+
+
+@query("SELECT p_partkey, replace(p_brand, '#', '') || p_size AS code FROM part")
+def split_codes(spark, d):
+    code = F.concat(F.replace(F.col("p_brand"), F.lit("#"), F.lit("")), F.col("p_size").cast("string"))
+    return _t(spark, d, "part").select("p_partkey", T.join_split_codes(F.regexp_replace(code, "(.)(?=.)", "$1 ")).alias("code"))
+
+
+_HITS = ["the", "and", "password", "license", "@", "ing"]
+
+
+@query(f"SELECT doc_id, ({' + '.join(f'''contains(text, '{w}')::INTEGER''' for w in _HITS)})::INTEGER AS hits FROM documents")
+def keyword_hits(spark, d):
+    return _t(spark, d, "documents").select("doc_id", T.hits(F.col("text"), _HITS).alias("hits"))
+
+
+@query(
+    f"""WITH x AS (SELECT page_id, html, length(html) AS n, 200 + (page_id % 4) * 101 AS status FROM pages),
+h AS (SELECT *, ({' + '.join(f"contains(lower(html), '{w.lower()}')::INTEGER" for w in V.PROBE_LOGIN)}) AS login, ({' OR '.join(f"contains(lower(html), '{w.lower()}')" for w in V.PROBE_RISK)}) AS risk,
+  ({' OR '.join(f"contains(lower(html), '{w.lower()}')" for w in V.PROBE_FILE)}) AS file, ({' OR '.join(f"contains(lower(html), '{w.lower()}')" for w in V.PROBE_API)}) AS api FROM x)
+SELECT page_id, CASE WHEN risk THEN '不可爬/暂不可爬' WHEN login >= 2 THEN '可爬-需Cookie/登录态' WHEN status IN (401, 403) THEN '可爬-需Cookie/登录态' WHEN status >= 400 THEN '未测试-详情页状态异常'
+  WHEN file AND n < 300 THEN '可爬-PDF/附件型' WHEN api AND n < 300 THEN '条件可爬-需接口分析或浏览器渲染' ELSE '不确定-详情正文不足' END AS verdict FROM h"""
+)
+def probe_verdicts(spark, d):
+    h = F.col("html")
+    status = 200 + (F.col("page_id") % 4) * 101
+    return _t(spark, d, "pages").select("page_id", C.verdict(status, h, F.lit(""), h, F.length(h)).alias("verdict"))
+
+
+# ---- titles
+
+_ENDINGS = [("招标公告", "notice", "招标公告"), ("二次招标公告", "notice", "招标公告"), ("资格预审公告", "notice", "资格预审公告"), ("更正公告", "amendment", "更正公告"), ("二次延期公告", "amendment", "延期公告"), ("中标候选人公示", "candidate", "中标候选人公示"), ("中标结果公示澄清", "result", "中标结果公示"), ("招标公告撤销公告", "terminate", "撤销公告"), ("招标控制价", "skip", "控制价公告"), ("施工", "unknown", "未知公告"), ("废标公告", "terminate", "废标公告")]
+
+
+def _ending(k):
+    return F.element_at(F.array(*(F.lit(x[0]) for x in _ENDINGS)), (k % len(_ENDINGS) + 1).cast("int"))
+
+
+_CASE = lambda i: "CASE o_orderkey % {n} {w} END".format(n=len(_ENDINGS), w=" ".join(f"WHEN {k} THEN '{x[i]}'" for k, x in enumerate(_ENDINGS)))
+
+
+@query(f"SELECT o_orderkey, {_CASE(1)} AS kind, {_CASE(2)} AS label FROM orders")
+def title_kinds(spark, d):
+    t = F.concat(F.lit("工程"), F.col("o_orderkey").cast("string"), _ending(F.col("o_orderkey")))
+    return _t(spark, d, "orders").select("o_orderkey", C.title_kind(t).alias("kind"), C.kind_label(t).alias("label"))
+
+
+_LEFT = {"施工": "施工", "二次延期公告": "二次"}
+
+
+@query(f"SELECT o_orderkey, '工程' || o_orderkey || '号' || {'CASE o_orderkey % {n} {w} ELSE {e} END'.format(n=len(_ENDINGS), w=' '.join(f'WHEN {k} THEN {chr(39)}{_LEFT[x[0]]}{chr(39)}' for k, x in enumerate(_ENDINGS) if x[0] in _LEFT), e=chr(39) * 2)} AS name FROM orders")
+def canonical_titles(spark, d):
+    t = F.concat(F.lit(" 工程"), F.col("o_orderkey").cast("string"), F.lit("号"), _ending(F.col("o_orderkey")), F.lit("　。"))
+    return _t(spark, d, "orders").select("o_orderkey", C.canonical_title(t).alias("name"))
+
+
+@query(
+    f"""WITH t AS (SELECT o_orderkey, {_CASE(1)} AS kind, ['招标计划', '招标公告', '变更公告', '中标候选人', '中标结果'][o_custkey % 5 + 1] AS channel FROM orders)
+SELECT channel, CASE WHEN channel = '招标计划' THEN 'plan' WHEN kind = 'skip' THEN 'skip' WHEN channel = '中标候选人' THEN 'candidate' WHEN channel = '中标结果' THEN 'result' WHEN channel = '变更公告' AND kind = 'unknown' THEN 'amendment' ELSE kind END AS routed, count(*) AS n FROM t GROUP BY 1, 2"""
+)
+def routed_kinds(spark, d):
+    channel = F.element_at(F.array(*map(F.lit, projects.STAGES)), (F.col("o_custkey") % 5 + 1).cast("int"))
+    t = F.concat(F.lit("工程"), _ending(F.col("o_orderkey")))
+    rows = _t(spark, d, "orders").select(channel.alias("channel"), C.routed_kind(t, channel).alias("routed"))
+    return rows.groupBy("channel", "routed").agg(F.count("*").alias("n"))
+
+
+@query(
+    """SELECT event_type, CASE WHEN s = 0 THEN CASE WHEN event_id % 4 = 3 THEN 'zbys' ELSE 'zbgg' END WHEN s = 1 THEN 'hxr' WHEN event_id % 5 = 0 THEN 'gzjg' WHEN event_id % 5 = 1 THEN 'zbjg' WHEN event_id % 6 IN (4, 5) THEN 'gzjg' ELSE 'zbjg' END AS subtype, count(*) AS n
+FROM (SELECT *, event_id % 3 AS s FROM events) GROUP BY 1, 2"""
+)
+def subtype_routes(spark, d):
+    i = F.col("event_id")
+    section = F.element_at(F.array(F.lit("zbgg_zys"), F.lit("hxr"), F.lit("gs")), (i % 3 + 1).cast("int"))
+    title = F.when(i % 5 == 0, "更正中标结果公示").when(i % 5 == 1, "中标结果公示").otherwise("公示")
+    got = C.subtype(section, title, F.lit(""), (i % 4).cast("string"), (i % 6).cast("string"))
+    return _t(spark, d, "events").groupBy("event_type", got.alias("subtype")).agg(F.count("*").alias("n"))
+
+
+# ---- extraction: what goes in must come out
+
+
+def _notices(spark, d):
+    o = _t(spark, d, "orders").join(_t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(_t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    day = F.date_format("o_orderdate", "yyyy年MM月dd日")
+    phone = F.concat(F.lit("0351-"), (F.lit(1000000) + F.col("o_orderkey") % 8999999).cast("string"))
+    lines = ["一、招标条件", F.concat(F.lit("招标编号：HXZB-FW"), F.date_format("o_orderdate", "yyyyMMdd")), "四、招标文件的获取", F.concat(F.lit("获取时间："), day, F.lit("09时00分至"), day, F.lit("17时00分")), "六、开标时间及地点", F.concat(F.lit("开标时间："), day, F.lit("09时30分")), "七、其他", "八、监督部门", F.concat(F.lit("本招标项目的监督部门为"), F.col("n_name"), F.lit("局。")), "九、联系方式", F.concat(F.lit("招 标 人："), F.col("c_name")), F.concat(F.lit("地    址："), F.col("n_name")), F.concat(F.lit("联 系 人："), F.col("c_mktsegment")), F.concat(F.lit("电　话："), phone), F.concat(F.lit("招标代理机构："), F.col("o_orderpriority")), F.concat(F.lit("地 址："), F.col("c_mktsegment")), "联系人：无名", "电话：0351-7654321", "招标人或其招标代理机构主要负责人（签章）"]
+    return o.select("o_orderkey", F.concat_ws("\n", *(F.lit(x) if isinstance(x, str) else x for x in lines)).alias("text"))
+
+
+@query(
+    """SELECT o_orderkey, c_name AS tenderer, n_name AS address, c_mktsegment AS person, '0351-' || (1000000 + o_orderkey % 8999999) AS phone, o_orderpriority AS agency, c_mktsegment AS agency_address, n_name || '局' AS supervisor,
+strftime(o_orderdate, '%Y年%m月%d日') || '09时30分' AS open_time FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
+)
+def contact_fields(spark, d):
+    """A notice's contacts, supervision and opening time by sections and labels."""
+    t = F.col("text")
+    c, s = extract.contact_fields(t), extract.supervision_fields(t)
+    return _notices(spark, d).select("o_orderkey", c["招标人"].alias("tenderer"), c["招标人地址"].alias("address"), c["招标人联系人"].alias("person"), c["招标人联系方式"].alias("phone"), c["招标代理机构"].alias("agency"), c["招标代理机构地址"].alias("agency_address"), s["监督部门"].alias("supervisor"), extract.open_time(t).alias("open_time"))
+
+
+@query(
+    """SELECT o_orderkey, c_name AS tenderer, strftime(o_orderdate, '%Y年%m月%d日') || '09时30分' AS open_time, 'HXZB-FW' || strftime(o_orderdate, '%Y%m%d') AS code FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
+)
+def document_notice(spark, d):
+    """The same notices line by line, as documents are read."""
+    text = F.regexp_replace("text", "招 标 人", "招标人")
+    rows = _notices(spark, d).withColumn("text", F.regexp_replace(text, "地 +址", "地址")).select("o_orderkey", extract.document_fields(F.col("text")).alias("m"), extract.project_codes(F.col("text")).alias("code"), F.regexp_extract("text", "招标人：([^\n]*)", 1).alias("tenderer"))
+    return rows.select("o_orderkey", "tenderer", F.col("m")["开标时间"].alias("open_time"), "code")
+
+
+@query("SELECT o_orderkey, 'E' || lpad(o_orderkey::VARCHAR, 19, '0') || '；HXZB-FW' || strftime(o_orderdate, '%Y%m%d') AS codes FROM orders")
+def code_extract(spark, d):
+    t = F.concat(F.lit("<p>项目编号：E "), F.lpad(F.col("o_orderkey").cast("string"), 19, "0"), F.lit("</p>2.2 招标编号：HXZB-FW "), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("2.3 招标内容"))
+    return _t(spark, d, "orders").select("o_orderkey", extract.project_codes(t, t).alias("codes"))
+
+
+@query(
+    """SELECT l_orderkey, count(*) AS n, string_agg(lpad(l_linenumber::VARCHAR, 3, '0') || '标段：S' || l_suppkey || '公司', chr(10) ORDER BY l_linenumber, l_suppkey || '公司') AS names FROM lineitem GROUP BY 1"""
+)
+def lot_candidates(spark, d):
+    """Candidates and quotes of every lot."""
+    lot = F.concat(F.lpad(F.col("l_linenumber").cast("string"), 3, "0"), F.lit("标段：\n第一中标候选人：S"), F.col("l_suppkey").cast("string"), F.lit("公司\n投标报价："), F.col("l_quantity").cast("int").cast("string"), F.lit("元"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", lot.alias("v")))), lambda x: x["v"]), "\n")
+    rows = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.concat(F.lit("一、评标情况\n"), text, F.lit("\n二、提出异议的渠道")).alias("t"))
+    pairs = rows.select("l_orderkey", extract.candidate_pairs(F.col("t")).alias("p"))
+    return pairs.select("l_orderkey", F.size("p").cast("long").alias("n"), F.array_join(F.transform("p", lambda x: F.concat(x["lot"], F.lit("："), x["name"])), "\n").alias("names"))
+
+
+@query("SELECT l_orderkey, l_linenumber, 'S' || l_suppkey || '公司' AS winner, trunc(l_quantity)::INTEGER || '元' AS price FROM lineitem")
+def winner_pairs(spark, d):
+    t = F.concat(F.lit("一、中标人信息\n00"), F.col("l_linenumber").cast("string"), F.lit("第一标段：\n中标人：S"), F.col("l_suppkey").cast("string"), F.lit("公司\n中标价格："), F.col("l_quantity").cast("int").cast("string"), F.lit("元\n二、其他公示内容\n无"))
+    return _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.array_join(extract.winner_names(t), "、").alias("winner"), F.array_join(extract.winner_prices(t), "、").alias("price"))
+
+
+@query(
+    """SELECT event_id, event_type AS title, trunc(value)::INTEGER || '万元' AS budget, CASE event_id % 3 WHEN 0 THEN '勘察、施工' WHEN 1 THEN '设计、9' ELSE '' END AS contents, strftime(ts, '%Y-%m-%d') || ' 至 ' || strftime(ts, '%Y-%m-%d') AS period, coalesce(json_extract_string(props, '$.page'), '') AS page FROM events"""
+)
+def portal_plan(spark, d):
+    """Nested JSON details into a plan's fields."""
+    i, day = F.col("event_id"), F.date_format("ts", "yyyy-MM-dd")
+    js = F.to_json(F.struct(F.col("event_type").alias("projectName"), F.col("value").cast("int").alias("contributionScale"), F.when(i % 3 == 0, "1;3").when(i % 3 == 1, "2; 9").alias("tenderContent"), day.alias("acquisitionStart"), day.alias("acquisitionEnd"), F.lit("x").alias("unknownKey")))
+    rows = extract.portal_details(_t(spark, d, "events").select("event_id", "props", js.alias("json")))
+    s = F.col("d")
+    return rows.select("event_id", s["projectName"].alias("title"), X.amount(s["contributionScale"]).alias("budget"), X.code_list(s["tenderContent"], V.TENDER_CONTENTS).alias("contents"), X.date_range(s["acquisitionStart"], s["acquisitionEnd"]).alias("period"), T.text(F.get_json_object("props", "$.page")).alias("page"))
+
+
+@query("SELECT c_custkey, c_name AS 中标人名称, trunc(c_acctbal)::INTEGER || '元' AS 中标价格, '公开招标' AS 招标方式, c_mktsegment AS 招标代理机构, '0351-2221744（财务）' AS 招标代理机构联系方式 FROM customer")
+def portal_award(spark, d):
+    """A portal's result notice: structured awards, contacts from its text."""
+    contact = F.concat(F.lit("<p>四、联系方式</p><p>招标人：甲</p><p>招标代理机构："), F.col("c_mktsegment"), F.lit("</p><p>电话：</p><p>0351-2221744（财务）</p><p>邮箱：x</p>"))
+    js = F.to_json(F.struct(F.lit("1").alias("announcementType"), F.array(F.struct(F.col("c_name").alias("dealName"), F.col("c_acctbal").cast("int").cast("string").alias("dealPrice"), F.lit("1").alias("dealPriceUnit"))).alias("bidAnnDealDOS"), contact.alias("bidContactInformation"), F.col("c_custkey").cast("string").alias("annId")))
+    rows = extract.portal_records(extract.portal_details(_t(spark, d, "customer").select(js.alias("json"))), "zbjg", "https://x")
+    return rows.select(F.regexp_extract("详情页面", r"(\d+)$", 1).cast("long").alias("c_custkey"), "中标人名称", "中标价格", "招标方式", "招标代理机构", "招标代理机构联系方式")
+
+
+# ---- values
+
+
+@query("""SELECT o_orderkey, year(o_orderdate) || '.' || month(o_orderdate) || '.' || day(o_orderdate) AS d, '招标公告-' || year(o_orderdate) || '.' || month(o_orderdate) || '.' || day(o_orderdate) AS cell FROM orders""")
+def publish_dates(spark, d):
+    k, o = F.col("o_orderkey") % 3, F.col("o_orderdate")
+    date = F.when(k == 0, F.date_format(o, "yyyy-MM-dd HH:mm")).when(k == 1, F.date_format(o, "yyyy/MM/dd")).otherwise(F.date_format(o, "yyyy年MM月dd日"))
+    part = X.publish_part(F.lit("招标公告："), date)
+    return _t(spark, d, "orders").select("o_orderkey", X.publish_date(date).alias("d"), X.publish_cell(F.concat(part, F.lit("；2026.6.1；未知公告-2026.6.2; "), part)).alias("cell"))
+
+
+@query("SELECT n_nationkey, CASE n_nationkey WHEN 1 THEN '工业' WHEN 2 THEN '国土资源' WHEN 3 THEN '房屋市政' WHEN 4 THEN '交通' WHEN 5 THEN '水利' WHEN 6 THEN '农业' WHEN 7 THEN '广播电视' WHEN 8 THEN '能源' WHEN 9 THEN '文物保护' WHEN 10 THEN '林业' ELSE lpad(n_nationkey::VARCHAR, 2, '0') END AS kind FROM nation")
+def code_lookup(spark, d):
+    c = F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
+    return _t(spark, d, "nation").select("n_nationkey", X.lookup(c, V.PROJECT_TYPES, c).alias("kind"))
+
+
+# ---- store and statistics
+
+
+@query("SELECT p_partkey, p_name AS title, p_type FROM part WHERE p_name ILIKE '%A%' AND p_brand = (SELECT min(p_brand) FROM part) ORDER BY p_size DESC, p_partkey LIMIT 20")
+def announcements_query(spark, d):
+    p = _t(spark, d, "part")
+    first = p.agg(F.min("p_brand")).first()[0]
+    rows = p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_brand").alias("category"), F.col("p_type").alias("ann_type"), F.col("p_size").alias("crawled_at"))
+    return relations.find_announcements(rows, "a", first).select(F.col("id").alias("p_partkey"), "title", F.col("ann_type").alias("p_type"))
+
+
+@query("SELECT event_type AS category, user_id % 3 AS ann_type, count(*) AS cnt FROM events GROUP BY 1, 2")
+def announcements_stats(spark, d):
+    return relations.announcement_counts(_t(spark, d, "events").select(F.col("event_type").alias("category"), (F.col("user_id") % 3).alias("ann_type")))
+
+
+
+
+@query(
+    """WITH m AS (SELECT (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) AS mid), e AS (SELECT user_id, event_id, ts <= mid AS old FROM events, m WHERE ts > mid OR user_id % 2 = 0)
+SELECT user_id, min(event_id) AS event_id FROM e WHERE NOT old AND user_id NOT IN (SELECT user_id FROM e WHERE old) GROUP BY 1"""
+)
+def insert_if_absent(spark, d):
+    e = _t(spark, d, "events")
+    lo, hi = e.agg(F.min("ts"), F.max("ts")).first()
+    mid = lo + (hi - lo) / 2
+    new = relations.insert_if_absent(e.where((F.col("ts") <= F.lit(mid)) & (F.col("user_id") % 2 == 0)), e.where(F.col("ts") > F.lit(mid)), ["event_id"], "user_id")
+    return new.select("user_id", "event_id")
+
+
+@query("SELECT event_type AS category, day(ts)::INTEGER AS page, count(DISTINCT user_id) FILTER (event_id % 2 = 0) AS count FROM events GROUP BY 1, 2")
+def crawl_log_rollup(spark, d):
+    e = _t(spark, d, "events").select(F.col("event_type").alias("category"), F.dayofmonth("ts").alias("page"), F.concat_ws("|", "event_type", F.dayofmonth("ts"), "user_id").alias("url"), "event_id")
+    return relations.crawl_log(e, e.where("event_id % 2 = 0"), F.lit("2026-06-29 06:00:00").cast("timestamp")).select("category", "page", "count")
+
+
+@query(
+    """WITH d AS (SELECT d.*, CASE WHEN quality = 1 THEN 'x' END AS q, CASE WHEN toxic IS NULL THEN '' ELSE 'x' END AS t FROM documents d LEFT JOIN labels USING (doc_id)), n AS (SELECT count(*) AS total, count(q) AS q, count(*) FILTER (t <> '') AS t, count(lang) AS lang FROM d)
+SELECT * FROM (SELECT 'q' AS field, q AS n, total, round(q * 100.0 / total, 0) AS percent FROM n UNION ALL SELECT 't', t, total, round(t * 100.0 / total, 0) FROM n UNION ALL SELECT 'lang', lang, total, round(lang * 100.0 / total, 0) FROM n) WHERE n < total"""
+)
+def section_fill_rate(spark, d):
+    rows = _t(spark, d, "documents").join(_t(spark, d, "labels"), "doc_id", "left").select("lang", F.when(F.col("quality") == 1, "x").alias("q"), F.when(F.col("toxic").isNull(), "").otherwise("x").alias("t"))
+    return audit.fill_rates(rows, ["q", "t", "lang"])
+
+
+@query("SELECT CASE WHEN quality IS NULL THEN '未识别' ELSE 'q' || quality END AS kind, count(*) AS n FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
+def section_counts(spark, d):
+    rows = _t(spark, d, "documents").join(_t(spark, d, "labels"), "doc_id", "left").select(F.when(F.col("quality").isNotNull(), F.concat(F.lit("q"), "quality")).otherwise("").alias("kind"))
+    return audit.kind_counts(rows, "kind")
+
+
+@query(
+    """SELECT * FROM (SELECT '招标编号' AS field, count(*) FILTER (o_orderkey % 2 = 0) AS before, 0 AS after, count(*) AS total, count(*) FILTER (o_orderkey % 2 = 0) AS fixed FROM orders
+UNION ALL SELECT '中标人', count(*) FILTER (o_orderkey % 3 = 0), count(*) FILTER (o_orderkey % 6 = 3), count(*), count(*) FILTER (o_orderkey % 6 = 0) FROM orders)"""
+)
+def repair_before_after(spark, d):
+    k = F.col("o_orderkey")
+    number = F.concat(F.lit("（招标编号：XM"), k.cast("string"), F.lit("-2026）"))
+    full = F.concat(F.lit("公示 "), number, F.when(k % 6 != 3, F.concat(F.lit("\n中标人：公司"), k.cast("string"), F.lit("\n"))).otherwise("\n无"))
+    rows = _t(spark, d, "orders").select(F.when(k % 2 == 0, "").otherwise("A-12345").alias("招标编号"), F.when(k % 3 == 0, " ").otherwise("甲公司").alias("中标人"), full.alias("全文文本"))
+    rows = rows.withColumn("中标人", F.trim("中标人"))
+    return audit.before_after(rows, extract.repaired(rows, "gcgs").drop("changed"))
+
+
+@query("SELECT l_suppkey, l_orderkey, l_linenumber FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) <= 5")
+def first_k_per_group(spark, d):
+    return relations.first_k(_t(spark, d, "lineitem"), ["l_suppkey"], ["l_orderkey", "l_linenumber"], 5).select("l_suppkey", "l_orderkey", "l_linenumber")
+
+
+@query("SELECT event_id, user_id FROM events ORDER BY event_id LIMIT 3")
+def preview3(spark, d):
+    return relations.top_n(_t(spark, d, "events"), [F.col("event_id")], 3).select("event_id", "user_id")
+
+
+@query(
+    """SELECT event_type AS phase, count(*) AS calls, sum(event_id % 100)::BIGINT AS prompt_tokens, sum(user_id % 50)::BIGINT AS completion_tokens, sum(event_id % 100 + user_id % 50)::BIGINT AS total_tokens FROM events GROUP BY 1"""
+)
+def token_totals(spark, d):
+    return audit.token_totals(_t(spark, d, "events").select(F.col("event_type").alias("phase"), (F.col("event_id") % 100).alias("prompt_tokens"), (F.col("user_id") % 50).alias("completion_tokens")))
+
+
+@query(
+    """SELECT CASE WHEN user_id % 2 = 0 THEN 'current' ELSE 'history' END AS source_mode, count(*) AS total, count(*) FILTER (event_id % 4 = 0) AS success, count(*) FILTER (event_id % 4 = 1) AS part, count(*) FILTER (event_id % 4 = 2) AS failed, count(*) FILTER (event_id % 4 = 3) AS skipped FROM events GROUP BY 1"""
+)
+def status_counts(spark, d):
+    i = F.col("event_id") % 4
+    return audit.status_counts(_t(spark, d, "events").select(F.when(F.col("user_id") % 2 == 0, "current").otherwise("history").alias("source_mode"), F.when(i == 0, "成功").when(i == 1, "部分成功").when(i == 2, "失败：超时").otherwise("跳过").alias("status")))
+
+
+@query("SELECT event_id, event_type FROM events WHERE ts::DATE >= (SELECT max(ts)::DATE FROM events) - 7")
+def incremental_window(spark, d):
+    e = _t(spark, d, "events")
+    today = e.agg(F.max(F.to_date("ts"))).first()[0]
+    return relations.recent(e.withColumn("day", F.to_date("ts")), "day", F.lit(today), 7).select("event_id", "event_type")
+
+
+# ---- projects
+
+
+@query(
+    """WITH n AS (SELECT p_name AS name, min(p_partkey) AS o FROM part GROUP BY 1), p AS (SELECT DISTINCT p_name || CASE WHEN p_partkey % 2 = 0 THEN ' ' || p_brand ELSE '' END AS probe FROM part),
+m AS (SELECT probe, o, name = probe AS e FROM p JOIN n ON name = probe OR (length(name) >= 5 AND length(probe) >= 5 AND (contains(name, probe) OR contains(probe, name))))
+SELECT probe, coalesce(min(o) FILTER (e), min(o)) AS o FROM m GROUP BY 1"""
+)
+def fuzzy_match(spark, d):
+    p = _t(spark, d, "part")
+    probes = p.select(F.concat(F.col("p_name"), F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" "), F.col("p_brand"))).otherwise("")).alias("probe"))
+    return projects.blocked_matches(probes, p.select(F.col("p_name").alias("name"), F.col("p_partkey").alias("o")), "probe", "name", "o")
+
+
+def _history(spark, d):
+    i = F.col("event_id")
+    channel = F.element_at(F.array(*map(F.lit, projects.STAGES)), (i % 5 + 1).cast("int"))
+    suffix = F.element_at(F.array(F.lit(""), F.lit("招标公告"), F.lit("变更公告"), F.lit("中标候选人公示"), F.lit("中标结果公示")), (i % 5 + 1).cast("int"))
+    project = F.concat(F.lit("项目"), F.col("user_id").cast("string"))
+    return _t(spark, d, "events").select(project.alias("project"), channel.alias("channel"), i.alias("pos"), F.concat(project, suffix).alias("raw_title"), F.concat(F.lit("http://x/"), i.cast("string")).alias("link"), F.date_format("ts", "yyyy-MM-dd").alias("date"), F.lit(None).cast("string").alias("kind"), F.concat(F.lit("t"), i.cast("string")).alias("开标时间"), F.concat(F.lit("r"), i.cast("string")).alias("招标人"), F.when(i % 3 == 0, "暂无").otherwise(F.concat(F.lit("s"), i.cast("string"))).alias("监督部门"))
+
+
+@query(
+    """WITH e AS (SELECT '项目' || user_id AS project, event_id AS pos, event_id % 5 + 1 AS stage, ['招标计划', '招标公告', '变更公告', '中标候选人公示', '中标结果公示'][event_id % 5 + 1] AS label, ts FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY project, stage ORDER BY pos) AS k FROM e), u AS (SELECT * FROM r WHERE k = 1 OR stage > 2), f AS (SELECT * FROM u WHERE k = 1 AND stage <> 3),
+l AS (SELECT project, label, min(stage * 1000000000 + pos) AS o FROM u GROUP BY 1, 2), ls AS (SELECT project, string_agg(label, '；' ORDER BY o) AS kinds FROM l GROUP BY 1),
+h AS (SELECT project, count(*) AS n_history FROM u GROUP BY 1)
+SELECT h.project AS name, kinds, n_history, (SELECT coalesce(arg_min('t' || pos, stage * 1000000000 + pos), '无') FROM f WHERE f.project = h.project) AS opened, (SELECT coalesce(arg_max('r' || pos, stage * 1000000000 + pos), '无') FROM f WHERE f.project = h.project) AS tenderer,
+  coalesce((SELECT arg_max('s' || pos, stage * 1000000000 + pos) FROM f WHERE f.project = h.project AND pos % 3 <> 0), '无') AS supervisor FROM h JOIN ls USING (project)"""
+)
+def project_rollup(spark, d):
+    """Project rows from staged history: first, last and collected values."""
+    p = projects.project_rows(_history(spark, d))
+    return p.select(F.col("项目名称").alias("name"), F.col("公告类型").alias("kinds"), F.size(F.split("公告历史", "；")).cast("long").alias("n_history"), F.col("开标时间").alias("opened"), F.col("招标人").alias("tenderer"), F.col("监督部门").alias("supervisor"))
+
+
+@query(
+    """SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'http://x/' || o_orderkey || '/n' WHEN 1 THEN 'http://x/' || o_orderkey || '/c' WHEN 2 THEN 'http://x/' || o_orderkey || '/p' ELSE '' END AS link FROM orders"""
+)
+def best_links(spark, d):
+    k = F.col("o_orderkey")
+    url = lambda s: F.concat(F.lit("http://x/"), k.cast("string"), F.lit(s))
+    plan, cand, note = F.concat(F.lit("工程|"), url("/p")), F.concat(F.lit("工程中标候选人公示|"), url("/c")), F.concat(F.lit("工程招标公告|"), url("/n"))
+    history = F.when(k % 4 == 0, F.concat_ws("；", plan, cand, note)).when(k % 4 == 1, F.concat_ws("；", plan, cand)).when(k % 4 == 2, plan).otherwise("无")
+    return _t(spark, d, "orders").select("o_orderkey", projects.best_link(history, F.array(F.lit("招标人"))).alias("link"))
+
+
+def _snapshots(spark, d):
+    o = _t(spark, d, "orders")
+    name = F.col("o_orderkey").cast("string").alias("项目名称")
+    old = o.where("o_orderkey % 3 <> 0").select(name, F.when(F.col("o_orderkey") % 2 == 0, "无").otherwise(F.col("o_orderpriority")).alias("招标人"), F.lit("招标计划").alias("公告类型"))
+    new = o.where("o_orderkey % 3 <> 1").select(name, F.when(F.col("o_orderkey") % 5 == 0, "").otherwise(F.col("o_orderstatus")).alias("招标人"), F.lit("招标公告").alias("公告类型"))
+    return old, new
+
+
+@query(
+    """SELECT o_orderkey::VARCHAR AS name, CASE WHEN o_orderkey % 3 = 1 THEN CASE WHEN o_orderkey % 2 = 0 THEN '无' ELSE o_orderpriority END ELSE CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderstatus END END AS tenderer, CASE WHEN o_orderkey % 3 = 1 THEN '招标计划' ELSE '招标公告' END AS kinds FROM orders"""
+)
+def upsert_replace(spark, d):
+    return projects.upsert(*_snapshots(spark, d)).toDF("name", "tenderer", "kinds")
+
+
+@query(
+    """SELECT o_orderkey::VARCHAR AS name, coalesce(CASE WHEN o_orderkey % 3 <> 0 AND o_orderkey % 2 <> 0 THEN o_orderpriority END, CASE WHEN o_orderkey % 3 <> 1 AND o_orderkey % 5 <> 0 THEN o_orderstatus END, '无') AS tenderer,
+CASE o_orderkey % 3 WHEN 1 THEN '招标计划' WHEN 0 THEN '招标公告' ELSE '招标计划；招标公告' END AS kinds FROM orders"""
+)
+def upsert_fill_blanks(spark, d):
+    return projects.upsert(*_snapshots(spark, d), mode="fill").toDF("name", "tenderer", "kinds")
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus WHEN o_orderkey % 3 = 0 THEN c_name ELSE '' END AS title FROM orders LEFT JOIN customer ON c_custkey = o_custkey"""
+)
+def detail_fallback(spark, d):
+    o = _t(spark, d, "orders").join(_t(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    first = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.col("o_orderstatus").alias("title"))
+    second = o.where("o_orderkey % 3 = 0").select("o_orderkey", F.col("c_name").alias("title"))
+    return relations.filled(o.select("o_orderkey"), "o_orderkey", [first, second], ["title"])
+
+
+_AUDIT = [f for f in V.NOTICE_REQUIRED if f not in ("监督部门", "招标人")]
+
+
+@query(
+    f"""WITH o AS (SELECT o_orderkey::VARCHAR AS name, o_orderkey % 2 = 0 AS blank, o_orderkey % 3 AS k FROM orders),
+i AS (SELECT name, unnest({_sql_list(_AUDIT)} || CASE WHEN blank THEN ['监督部门', '招标人'] ELSE [] END) AS f FROM o WHERE k <> 2 UNION ALL SELECT name, unnest(['监督部门联系方式'] || CASE WHEN blank THEN ['监督部门'] ELSE [] END) FROM o WHERE k <> 0)
+SELECT f || '未提取' AS issue, count(*) AS n, count(DISTINCT name) AS projects FROM i GROUP BY 1"""
+)
+def audit_issues(spark, d):
+    """Missing fields by kind of notice; a project with both kinds can lack one twice."""
+    k = F.col("o_orderkey")
+    there = F.when(k % 2 == 0, "暂无").otherwise("有")
+    kinds = F.when(k % 3 == 0, "招标公告").when(k % 3 == 1, "招标公告；中标结果公示").otherwise("中标候选人公示")
+    rows = _t(spark, d, "orders").select(k.cast("string").alias("项目名称"), kinds.alias("公告类型"), there.alias("监督部门"), there.alias("招标人"))
+    return audit.issues(projects.as_projects(rows)).groupBy("issue").agg(F.count("*").alias("n"), F.countDistinct("项目名称").alias("projects"))
+
+
+@query(f"SELECT '工程' || o_orderkey || '施工' AS raw_title, o_orderkey::VARCHAR AS link FROM orders WHERE o_orderkey % {len(_ENDINGS)} = 9")
+def audit_unknown(spark, d):
+    t = F.concat(F.lit("工程"), F.col("o_orderkey").cast("string"), _ending(F.col("o_orderkey")))
+    return audit.unknown_titles(projects.triggers(_t(spark, d, "orders").select(t.alias("raw_title"), F.col("o_orderkey").cast("string").alias("link"), F.lit("招标公告").alias("channel"))))
