@@ -7,7 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from noticeloom.functions import vocabulary as V
 from noticeloom.functions.text import has_any, is_missing, present
@@ -35,7 +35,7 @@ def read_projects(spark: SparkSession, path: str, columns: list[str] | None = No
 def read_section_json(spark: SparkSession, path: str, fields: list[str] | None = None) -> DataFrame:
     """The records of a section's JSON file, whose envelope holds them under ``data``."""
     columns = fields or [*V.SECTION_FIELDS, *V.SECTION_EXTRA]
-    schema = StructType([StructField("metadata", strings(["source", "section", "crawl_time", "total_count"]))]).add("data", f"array<{strings(columns).simpleString()}>")
+    schema = StructType([StructField("metadata", strings(["source", "section", "crawl_time", "total_count"]))]).add("data", ArrayType(strings(columns)))
     return spark.read.schema(schema).json(path, multiLine=True).select(F.explode("data").alias("r")).select("r.*")
 
 
