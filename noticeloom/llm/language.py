@@ -61,7 +61,7 @@ def _fill(texts: list[bytes], share: int, total: int) -> bytes:
         more = t[len(got[i]) : len(got[i]) + max(0, spare)]
         got[i] += more
         spare -= len(more)
-    return b"\n".join(got)
+    return b"\n".join(got)[:total]
 
 
 def has_letter(raw: bytes) -> bool:
