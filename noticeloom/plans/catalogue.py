@@ -249,9 +249,8 @@ strftime(o_orderdate, '%Y年%m月%d日') || '09时30分' AS open_time FROM order
 )
 def contact_fields(spark, d):
     """A notice's contacts, supervision and opening time by sections and labels."""
-    t = F.col("text")
-    c, s = extract.contact_fields(t), extract.supervision_fields(t)
-    return _notices(spark, d).select("o_orderkey", c["招标人"].alias("tenderer"), c["招标人地址"].alias("address"), c["招标人联系人"].alias("person"), c["招标人联系方式"].alias("phone"), c["招标代理机构"].alias("agency"), c["招标代理机构地址"].alias("agency_address"), s["监督部门"].alias("supervisor"), extract.open_time(t).alias("open_time"))
+    names = {"招标人": "tenderer", "招标人地址": "address", "招标人联系人": "person", "招标人联系方式": "phone", "招标代理机构": "agency", "招标代理机构地址": "agency_address", "监督部门": "supervisor", "开标时间": "open_time"}
+    return extract.notice_records(_notices(spark, d)).select("o_orderkey", *(F.col(k).alias(v) for k, v in names.items()))
 
 
 @query(

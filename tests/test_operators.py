@@ -177,3 +177,10 @@ def test_upserts(spark, mode, want):
     assert got["P"]["招标人"] == want and got["Q"]["招标人"] == "新"
     if mode != "replace":
         assert got["P"]["公告类型"] == "招标计划；招标公告"
+
+
+def test_notice_records(spark):
+    t = "八、监督部门\n监督部门：某局\n电话：0351-1234567\n九、联系方式\n招标人：甲\n地址：乙路\n招标代理机构：丙\n电话：1"
+    r = extract.notice_records(spark.createDataFrame([(1, t), (2, None)], "i int, text string")).collect()
+    assert (r[0]["招标人"], r[0]["招标人地址"], r[0]["招标代理机构"], r[0]["监督部门"], r[0]["监督部门联系方式"]) == ("甲", "乙路", "丙", "某局", "0351-1234567")
+    assert r[1]["公告内容"] == r[1]["招标人"] == "无" and set(V.NOTICE_REQUIRED) <= set(r[0].asDict())
