@@ -1,10 +1,9 @@
 """Operator 8, benchmark decontamination by template canonicalisation; DataFrame functions only.
 
 Texts become templates: names (capitalised words inside a sentence), numbers and the units behind them become typed
-placeholders; the rest is compared lower-cased, without punctuation. Of every benchmark item all windows of ``WINDOW`` template
-tokens are hashed; of every text only each ``step``-th window is, with ``step`` so small that ``COVER`` percent of any item
-still hold a whole such window. That join gives candidates at a fifth of the rows; candidate texts are then joined with all
-their windows, and a text is contaminated by an item if it has at least ``COVER`` percent of the item's windows and its slots are
+placeholders; the rest is compared lower-cased, without punctuation. Of every benchmark item and every text all windows of
+``WINDOW`` template tokens are hashed: an item may have one window alone that identifies it, so none is skipped. A semi-join on the
+hashes gives the candidates; their texts are then joined with their windows' places, and a text is contaminated by an item if it has at least ``COVER`` percent of the item's windows and its slots are
 consistent: along the diagonal on which most windows lie, equal fillers of the item stand against equal fillers of the text
 and different ones against different ones, type by type. A copy is consistent, and so is a question with other
 names and numbers; a text that merely shares the template's words with mixed-up slots is not.
@@ -57,9 +56,9 @@ def _kinds(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.when(t.rlike(_SLOT), F.substring(t, 1, 1)).otherwise(t))
 
 
-def _windows(tokens: Column, n: int, step: int) -> Column:
-    """Hash and place of every ``step``-th window."""
-    at = F.sequence(F.lit(1), F.size(tokens) - (n - 1), F.lit(step))
+def _windows(tokens: Column, n: int) -> Column:
+    """Hash and place of every window."""
+    at = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
     return F.when(F.size(tokens) >= n, F.transform(at, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(tokens, i, F.lit(n))).alias("w"))))
 
 
@@ -84,17 +83,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, cover:
     windows = materialise(windows.select("item_id", "item_at", F.xxhash64("window").alias("w")), "item-windows")
     n_all = windows.count()
     sizes = windows.groupBy("item_id").agg(F.countDistinct("w").alias("n_windows"))
-    shortest = items.agg(F.min(F.size("kinds"))).first()[0] or n
-    step = max(1, min(n, (shortest - n + 1) * cover // 100))
     texts = docs.where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text")
     # the tokens are a column of their own before the windows are cut: a lambda would compute them anew for each window
-    thin = texts.select("doc_id", template(F.col("text")).alias("tokens")).select("doc_id", F.explode(_windows(F.col("tokens"), n, step)).alias("x")).select("doc_id", F.col("x.w").alias("w"))
+    thin = texts.select("doc_id", template(F.col("text")).alias("tokens")).select("doc_id", F.explode(_windows(F.col("tokens"), n)).alias("x")).select("doc_id", F.col("x.w").alias("w"))
     hashes = windows.select("w").distinct()
     candidates = materialise(thin.join(_bounded(hashes, n_all), "w", "left_semi").select("doc_id").distinct(), "candidates")
     few = candidates.count()
     near = texts.join(_bounded(candidates, few), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select("doc_id", F.xxhash64("text").alias("h"), tagged_tokens(F.col("text")).alias("tokens"))
     near = materialise(near, "candidate-tokens")
-    full = near.select("doc_id", "h", _kinds(F.col("tokens")).alias("kinds")).select("doc_id", "h", F.explode(_windows(F.col("kinds"), n, 1)).alias("x")).select("doc_id", "h", F.col("x.at").alias("at"), F.col("x.w").alias("w"))
+    full = near.select("doc_id", "h", _kinds(F.col("tokens")).alias("kinds")).select("doc_id", "h", F.explode(_windows(F.col("kinds"), n)).alias("x")).select("doc_id", "h", F.col("x.at").alias("at"), F.col("x.w").alias("w"))
     hits = full.join(_bounded(windows, n_all), "w")
     # an item may repeat a window, and a text an item: places are counted once, on every diagonal
     diagonals = hits.groupBy("doc_id", "h", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.collect_set("w").alias("ws"), F.count("*").alias("c"))

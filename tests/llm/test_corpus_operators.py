@@ -178,6 +178,21 @@ def test_contamination(spark, text, found):
     assert [(r.doc_id, r.item_id) for r in got] == ([(5, 1)] if found else [])
 
 
+def test_contamination_at_every_alignment(spark):
+    """Items with few windows of enough words, beside one SQL form that skips no window."""
+    import duckdb
+
+    items = ["Find the mean of the numbers 12, 15, 18, 21, 24, 27, 30, 33, 36 and 39", "Sort these numbers " + " ".join(map(str, range(1, 15))), "Solve: " + " ".join(map(str, range(3, 16))) + " for the smallest", ITEM]
+    benchmark = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    docs = docs_of(spark, [(10 * i + k, " ".join("abcde"[:k]) + ". " + t + " . and so on") for i, t in enumerate(items) for k in range(6)])
+    got = sorted(tuple(r) for r in decontam.contamination(docs, benchmark).collect())
+    assert [r[:2] for r in got if r[-1]] == [(10 * i + k, i) for i in range(len(items)) for k in range(6)]
+    duck = duckdb.connect()
+    for name, df in (("documents", docs), ("benchmark", benchmark)):
+        duck.register(name, df.toArrow())
+    assert got == sorted(duck.sql(decontam.ORACLES["op8_decontamination"]).fetchall())
+
+
 def test_contamination_of_nothing(spark):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     docs = docs_of(spark, [(1, ITEM)])
