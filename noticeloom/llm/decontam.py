@@ -4,8 +4,9 @@ Texts become templates: names (capitalised words inside a sentence), numbers and
 placeholders; the rest is compared lower-cased, without punctuation. Of every benchmark item and every text all windows of
 ``WINDOW`` template tokens are hashed: an item may have one window alone that identifies it, so none is skipped. A semi-join on the
 hashes gives the candidates; their texts are then joined with their windows' places, and a text is contaminated by an item if it has at least ``COVER`` percent of the item's windows and its slots are
-consistent: along the diagonal on which most windows lie, equal fillers of the item stand against equal fillers of the text
-and different ones against different ones, type by type. A copy is consistent, and so is a question with other
+consistent: along some diagonal that has ``COVER`` percent by itself, or the one on which most windows lie, equal fillers of the item
+stand against equal fillers of the text and different ones against different ones, type by type. The SQL form judges the last one
+only: it calls a text clean whose first copy is mixed up and whose second is exact. A copy is consistent, and so is a question with other
 names and numbers; a text that merely shares the template's words with mixed-up slots is not.
 
 Defined results: null and empty texts match nothing; items with fewer than ``WINDOW`` template tokens, and windows of which
@@ -95,15 +96,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, cover:
     hits = full.join(_bounded(windows, n_all), "w")
     # an item may repeat a window, and a text an item: places are counted once, on every diagonal
     diagonals = hits.groupBy("doc_id", "h", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.collect_set("w").alias("ws"), F.count("*").alias("c"))
-    pairs = diagonals.groupBy("doc_id", "h", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("ws")))).alias("n_matched"), F.max_by("shift", F.struct("c", -F.col("shift"))).alias("shift"))
+    pairs = diagonals.groupBy("doc_id", "h", "item_id").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("ws")))).alias("n_matched"), F.max_by("shift", F.struct("c", -F.col("shift"))).alias("top"), F.collect_list(F.struct("shift", F.size("ws").alias("own"))).alias("places")
+    )
     pairs = pairs.join(_bounded(sizes, n_all), "item_id").where(F.col("n_matched") * 100 >= cover * F.col("n_windows"))
-    both = pairs.join(near, ["doc_id", "h"]).join(_bounded(items.select("item_id", "item_tokens"), n_all), "item_id")
-    against = F.transform("item_tokens", lambda t, i: F.struct(t.alias("f"), F.get("tokens", i + F.col("shift").cast("int")).alias("g")))
-    slots = F.filter(against, lambda p: p["f"].rlike(_SLOT) & p["g"].isNotNull() & (F.substring(p["f"], 1, 1) == F.substring(p["g"], 1, 1)))
-    both = both.withColumn("slots", F.array_distinct(slots)).withColumn("n_slots", F.size(slots).cast("long"))
-    one_to_one = (F.size(F.array_distinct(F.transform("slots", lambda p: p["f"]))) == F.size("slots")) & (F.size(F.array_distinct(F.transform("slots", lambda p: p["g"]))) == F.size("slots"))
-    judged = both.select("doc_id", "item_id", F.col("n_windows").cast("long"), F.col("n_matched").cast("long"), "n_slots", one_to_one.alias("consistent"))
-    best = judged.groupBy("doc_id", "item_id").agg(F.max(F.struct("consistent", "n_matched", "n_slots", "n_windows")).alias("b"))
+    # windows of several places may reach the share together: then the place with most of them is judged as well
+    places = F.filter("places", lambda p: (p["shift"] == F.col("top")) | (p["own"] * 100 >= cover * F.col("n_windows")))
+    pairs = pairs.withColumn("place", F.explode(places)).select("doc_id", "h", "item_id", "n_windows", "n_matched", F.col("place.shift").alias("shift"), (F.col("place.shift") == F.col("top")).alias("is_top"))
+    pairs = materialise(pairs, "places")
+    # slots meet as rows, so a text that holds a template many times is not copied for each place
+    slots_of = lambda df, keys, tokens, at, name: df.select(*keys, F.posexplode(tokens).alias("i", name)).where(F.col(name).rlike(_SLOT)).select(*keys, (F.col("i") + 1).alias(at), name)
+    asked = pairs.join(_bounded(slots_of(items, ["item_id"], "item_tokens", "item_at", "f"), n_all), "item_id").withColumn("at", F.col("item_at") + F.col("shift"))
+    met = asked.join(slots_of(near, ["doc_id", "h"], "tokens", "at", "g"), ["doc_id", "h", "at"]).where(F.substring("f", 1, 1) == F.substring("g", 1, 1))
+    met = met.groupBy("doc_id", "h", "item_id", "shift").agg(F.collect_set(F.struct("f", "g")).alias("slots"), F.count("*").alias("n_slots"))
+    both = pairs.join(met, ["doc_id", "h", "item_id", "shift"], "left").withColumn("n_slots", F.coalesce("n_slots", F.lit(0).cast("long")))
+    distinct = lambda name: F.size(F.array_distinct(F.transform("slots", lambda p: p[name]))) == F.size("slots")
+    one_to_one = F.coalesce(distinct("f") & distinct("g"), F.lit(True))
+    judged = both.select("doc_id", "item_id", F.col("n_windows").cast("long"), F.col("n_matched").cast("long"), "n_slots", "is_top", one_to_one.alias("consistent"))
+    best = judged.groupBy("doc_id", "item_id").agg(F.max(F.struct("consistent", "n_matched", "is_top", "n_slots", "n_windows")).alias("b"))
     return best.select("doc_id", "item_id", "b.n_windows", "b.n_matched", "b.n_slots", "b.consistent", F.col("b.consistent").alias("contaminated"))
 
 

@@ -193,6 +193,14 @@ def test_contamination_at_every_alignment(spark):
     assert got == sorted(duck.sql(decontam.ORACLES["op8_decontamination"]).fetchall())
 
 
+def test_contamination_judges_every_place(spark):
+    item = "The boy with 3 apples and the girl with 5 pears went to the market to buy some bread"
+    mixed, other = item.replace("3", "4").replace("5", "4"), item.replace("3", "8").replace("5", "9")
+    docs = docs_of(spark, [(1, f"{mixed}. {item}."), (2, f"{mixed}. {mixed}. So. {other}."), (3, f"{mixed}. {mixed}."), (4, f"{item}. {mixed}.")])
+    got = decontam.contamination(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {r.doc_id: r.contaminated for r in got} == {1: True, 2: True, 3: False, 4: True}
+
+
 def test_contamination_of_nothing(spark):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     docs = docs_of(spark, [(1, ITEM)])
