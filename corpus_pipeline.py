@@ -51,8 +51,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: documents that hold a benchmark item, or one with other names and numbers, go."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, found.where("contaminated").select("doc_id"))
+    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,10 +9,15 @@ stand against equal fillers of the text and different ones against different one
 only: it calls a text clean whose first copy is mixed up and whose second is exact. A copy is consistent, and so is a question with other
 names and numbers; a text that merely shares the template's words with mixed-up slots is not.
 
-Defined results: null and empty texts match nothing; items with fewer than ``WINDOW`` template tokens, and windows of which
-fewer than ``LITERALS`` tokens are words, identify nothing and are not searched; repeated texts and rows are judged alike, one row
-for each (doc_id, item_id); repeated item ids are joined by their smallest text; empty tables give no row; further columns
-are ignored. The benchmark's windows are broadcast up to ``BROADCAST_ROWS`` of them and joined by a shuffle beyond.
+Of an item so long that ``COVER`` percent of it are over ``RUN`` tokens, ``RUN`` tokens in a row are enough, with consistent slots
+inside them. An item without a window that identifies it (under ``WINDOW`` template tokens, or fewer than ``LITERALS`` words in each
+window) is found verbatim: its words and numbers, fillers included, in order and next to each other; it counts as one window.
+The SQL form has neither rule.
+
+Defined results: null and empty texts match nothing; items without a letter or digit identify nothing; repeated texts and rows are
+judged alike, one row for each (doc_id, item_id), texts without an id together under a null doc_id; repeated item ids are joined by
+their smallest text; empty tables give no row; further columns are ignored. The benchmark's windows are broadcast up to
+``BROADCAST_ROWS`` of them and joined by a shuffle beyond.
 """
 
 from __future__ import annotations
@@ -20,9 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm._common import materialise, table
+from noticeloom.llm._common import materialise, table, without
 
-WINDOW, LITERALS, COVER = 5, 3, 50
+WINDOW, LITERALS, COVER, RUN = 5, 3, 50, 50
 BROADCAST_ROWS = 1_000_000
 NUM, NAME, UNIT, END = "\ue000", "\ue001", "\ue002", "\ue003"
 UNITS = "kg|kilograms?|grams?|g|mg|tons?|pounds?|lbs?|km|kilometers?|kilometres?|meters?|metres?|m|cm|mm|miles?|inches|inch|feet|foot|ft|hours?|hrs?|h|minutes?|mins?|min|seconds?|secs?|s|days?|weeks?|months?|years?|dollars?|euros?|cents?|usd|eur|percent|liters?|litres?|l|ml|degrees?"
@@ -32,6 +37,7 @@ _STRIP = f"([{NUM}{NAME}{UNIT}])[^{END}]*{END}"
 _SPLIT = rf"[^\p{{L}}\p{{N}}{NUM}{NAME}{UNIT}]+"
 _TOKEN = rf"[{NUM}{NAME}{UNIT}][^{END}]*{END}|[\p{{L}}\p{{N}}]+"
 _SLOT = f"[{NUM}{NAME}{UNIT}]"
+_PLAIN = r"\p{N}+(?:[.,]\p{N}+)*|\p{L}+"
 
 
 def tagged(text: Column) -> Column:
@@ -63,10 +69,43 @@ def _windows(tokens: Column, n: int) -> Column:
     return F.when(F.size(tokens) >= n, F.transform(at, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(tokens, i, F.lit(n))).alias("w"))))
 
 
-def _items(benchmark: DataFrame, n: int) -> DataFrame:
+def _items(benchmark: DataFrame) -> DataFrame:
     one = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").groupBy("item_id").agg(F.min("text").alias("text"))
-    tokens = one.select("item_id", tagged_tokens(F.col("text")).alias("item_tokens"))
-    return tokens.withColumn("kinds", _kinds(F.col("item_tokens"))).where(F.size("kinds") >= n)
+    tokens = one.select("item_id", "text", tagged_tokens(F.col("text")).alias("item_tokens"))
+    return tokens.withColumn("kinds", _kinds(F.col("item_tokens")))
+
+
+def _key() -> Column:
+    """What texts are told apart by: a verdict depends on the text alone, whatever its id, and repeated texts are judged once."""
+    return F.md5(F.col("text").cast("binary"))
+
+
+def _words(text: Column) -> Column:
+    """Words and numbers as they stand; unlike the template they do not depend on what is around a passage."""
+    return F.regexp_extract_all(F.lower(text), F.lit(_PLAIN), F.lit(0))
+
+
+def _line(words: Column) -> Column:
+    return F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+
+
+def _verbatim(texts: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """h, item_id of the texts that hold all words and numbers of an item, in order and next to each other."""
+    whole = items.select("item_id", F.size(F.filter("item_tokens", lambda t: t.rlike(_SLOT))).cast("long").alias("n_slots"), _words(F.col("text")).alias("words")).where(F.size("words") > 0)
+    whole = whole.select("item_id", "n_slots", _line(F.col("words")).alias("line"), F.least(F.size("words"), F.lit(n)).alias("k"), F.xxhash64(F.slice("words", 1, n)).alias("w"))
+    whole = materialise(whole, "verbatim-items")
+    n_whole, sizes = whole.count(), sorted(r.k for r in whole.select("k").distinct().collect())
+    if not sizes:
+        return None
+    # an item's first words find the texts, its whole line decides
+    heads = F.flatten(F.array(*(F.coalesce(F.transform(_windows(F.col("words"), k), lambda x: x["w"]), F.array().cast("array<long>")) for k in sizes)))
+    found = texts.select(F.xxhash64("text").alias("t"), _words(F.col("text")).alias("words")).select("t", F.explode(F.array_distinct(heads)).alias("w"))
+    found = materialise(found.join(_bounded(whole.select("w", "item_id"), n_whole), "w").select("t", "item_id").distinct(), "verbatim-candidates")
+    few = found.select("t").distinct()
+    lines = texts.withColumn("t", F.xxhash64("text")).join(_bounded(few, found.count()), "t", "left_semi").groupBy(_key().alias("h"), "t").agg(F.first("text").alias("text")).select("h", "t", _line(_words(F.col("text"))).alias("text_line"))
+    pairs = lines.join(found, "t").join(_bounded(whole.select("item_id", "n_slots", "line"), n_whole), "item_id")
+    one = F.lit(1).cast("long")
+    return pairs.where(F.contains("text_line", F.col("line"))).select("h", "item_id", one.alias("n_windows"), one.alias("n_matched"), "n_slots", F.lit(True).alias("is_top"), F.lit(True).alias("consistent"))
 
 
 def _bounded(df: DataFrame, n: int) -> DataFrame:
@@ -74,49 +113,78 @@ def _bounded(df: DataFrame, n: int) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, cover: int = COVER, literals: int = LITERALS) -> DataFrame:
-    """doc_id, item_id, n_windows (of the item), n_matched, n_slots, consistent, contaminated: a row for each text and item that
-    share ``cover`` percent of the item's windows."""
-    items = materialise(_items(benchmark, n), "items")
+def _judged(texts: DataFrame, benchmark: DataFrame, n: int, cover: int, literals: int, run: int) -> DataFrame:
+    """A row for each distinct text (``h``), item and place that is judged."""
+    items = materialise(_items(benchmark), "items")
     literal = lambda tokens: F.size(F.filter(tokens, lambda t: ~t.rlike(_SLOT))) >= literals
-    windows = items.select("item_id", "kinds", F.explode(F.sequence(F.lit(1), F.size("kinds") - (n - 1))).alias("item_at"))
+    windows = items.where(F.size("kinds") >= n).select("item_id", "kinds", F.explode(F.sequence(F.lit(1), F.size("kinds") - (n - 1))).alias("item_at"))
     windows = windows.withColumn("window", F.slice("kinds", F.col("item_at"), F.lit(n))).where(literal(F.col("window")))
     windows = materialise(windows.select("item_id", "item_at", F.xxhash64("window").alias("w")), "item-windows")
     n_all = windows.count()
     sizes = windows.groupBy("item_id").agg(F.countDistinct("w").alias("n_windows"))
-    texts = docs.where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text")
+    verbatim = _verbatim(texts, items.join(windows.select("item_id").distinct(), "item_id", "left_anti"), n)
     # the tokens are a column of their own before the windows are cut: a lambda would compute them anew for each window
-    thin = texts.select("doc_id", template(F.col("text")).alias("tokens")).select("doc_id", F.explode(_windows(F.col("tokens"), n)).alias("x")).select("doc_id", F.col("x.w").alias("w"))
+    thin = texts.select(F.xxhash64("text").alias("t"), template(F.col("text")).alias("tokens")).select("t", F.explode(_windows(F.col("tokens"), n)).alias("x")).select("t", F.col("x.w").alias("w"))
     hashes = windows.select("w").distinct()
-    candidates = materialise(thin.join(_bounded(hashes, n_all), "w", "left_semi").select("doc_id").distinct(), "candidates")
+    candidates = materialise(thin.join(_bounded(hashes, n_all), "w", "left_semi").select("t").distinct(), "candidates")
     few = candidates.count()
-    near = texts.join(_bounded(candidates, few), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select("doc_id", F.xxhash64("text").alias("h"), tagged_tokens(F.col("text")).alias("tokens"))
+    near = texts.withColumn("t", F.xxhash64("text")).join(_bounded(candidates, few), "t", "left_semi").groupBy(_key().alias("h")).agg(F.first("text").alias("text")).select("h", tagged_tokens(F.col("text")).alias("tokens"))
     near = materialise(near, "candidate-tokens")
-    full = near.select("doc_id", "h", _kinds(F.col("tokens")).alias("kinds")).select("doc_id", "h", F.explode(_windows(F.col("kinds"), n)).alias("x")).select("doc_id", "h", F.col("x.at").alias("at"), F.col("x.w").alias("w"))
+    full = near.select("h", _kinds(F.col("tokens")).alias("kinds")).select("h", F.explode(_windows(F.col("kinds"), n)).alias("x")).select("h", F.col("x.at").alias("at"), F.col("x.w").alias("w"))
     hits = full.join(_bounded(windows, n_all), "w")
     # an item may repeat a window, and a text an item: places are counted once, on every diagonal
-    diagonals = hits.groupBy("doc_id", "h", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.collect_set("w").alias("ws"), F.count("*").alias("c"))
-    pairs = diagonals.groupBy("doc_id", "h", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ws")))).alias("n_matched"), F.max_by("shift", F.struct("c", -F.col("shift"))).alias("top"), F.collect_list(F.struct("shift", F.size("ws").alias("own"))).alias("places")
+    diagonals = hits.groupBy("h", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.collect_set("w").alias("ws"), F.sort_array(F.collect_list("item_at")).alias("ats"))
+    # windows no more than n apart leave no token between them: where the gaps are wider, a run ends
+    starts = F.filter(F.sequence(F.lit(1), F.size("ats")), lambda i: (i == 1) | (F.get("ats", i - 1) - F.get("ats", i - 2) > n))
+    diagonals = diagonals.withColumn("c", F.size("ats")).withColumn("starts", starts)
+    runs = F.transform("starts", lambda i, j: F.struct(F.get("ats", i - 1).alias("first"), (F.get("ats", F.coalesce(F.get("starts", j + 1), F.col("c") + 1) - 2) + (n - 1)).alias("last")))
+    diagonals = diagonals.withColumn("runs", F.filter(runs, lambda r: r["last"] - r["first"] + 1 >= run))
+    pairs = diagonals.groupBy("h", "item_id").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("ws")))).alias("n_matched"), F.max_by("shift", F.struct("c", -F.col("shift"))).alias("top"), F.collect_list(F.struct("shift", F.size("ws").alias("own"), "runs")).alias("places")
     )
-    pairs = pairs.join(_bounded(sizes, n_all), "item_id").where(F.col("n_matched") * 100 >= cover * F.col("n_windows"))
+    lengths = items.select("item_id", F.size("kinds").alias("item_size"))
+    pairs = pairs.join(_bounded(sizes.join(lengths, "item_id"), n_all), "item_id")
     # windows of several places may reach the share together: then the place with most of them is judged as well
-    places = F.filter("places", lambda p: (p["shift"] == F.col("top")) | (p["own"] * 100 >= cover * F.col("n_windows")))
-    pairs = pairs.withColumn("place", F.explode(places)).select("doc_id", "h", "item_id", "n_windows", "n_matched", F.col("place.shift").alias("shift"), (F.col("place.shift") == F.col("top")).alias("is_top"))
+    share = F.col("n_matched") * 100 >= cover * F.col("n_windows")
+    whole = F.filter("places", lambda p: share & ((p["shift"] == F.col("top")) | (p["own"] * 100 >= cover * F.col("n_windows"))))
+    whole = F.transform(whole, lambda p: F.struct(p["shift"].alias("shift"), F.lit(1).alias("first"), F.col("item_size").alias("last"), (p["shift"] == F.col("top")).alias("is_top")))
+    # of a long item a run is enough, and only its own slots count
+    long = F.col("item_size") * cover > 100 * run
+    parts = F.flatten(F.transform("places", lambda p: F.transform(F.filter(p["runs"], lambda r: long), lambda r: F.struct(p["shift"].alias("shift"), r["first"].alias("first"), r["last"].alias("last"), F.lit(False).alias("is_top")))))
+    pairs = pairs.select("h", "item_id", F.col("n_windows").cast("long"), F.col("n_matched").cast("long"), F.explode(F.concat(whole, parts)).alias("place")).select("h", "item_id", "n_windows", "n_matched", "place.*")
     pairs = materialise(pairs, "places")
     # slots meet as rows, so a text that holds a template many times is not copied for each place
-    slots_of = lambda df, keys, tokens, at, name: df.select(*keys, F.posexplode(tokens).alias("i", name)).where(F.col(name).rlike(_SLOT)).select(*keys, (F.col("i") + 1).alias(at), name)
-    asked = pairs.join(_bounded(slots_of(items, ["item_id"], "item_tokens", "item_at", "f"), n_all), "item_id").withColumn("at", F.col("item_at") + F.col("shift"))
-    met = asked.join(slots_of(near, ["doc_id", "h"], "tokens", "at", "g"), ["doc_id", "h", "at"]).where(F.substring("f", 1, 1) == F.substring("g", 1, 1))
-    met = met.groupBy("doc_id", "h", "item_id", "shift").agg(F.collect_set(F.struct("f", "g")).alias("slots"), F.count("*").alias("n_slots"))
-    both = pairs.join(met, ["doc_id", "h", "item_id", "shift"], "left").withColumn("n_slots", F.coalesce("n_slots", F.lit(0).cast("long")))
+    slots_of = lambda df, key, tokens, at, name: df.select(key, F.posexplode(tokens).alias("i", name)).where(F.col(name).rlike(_SLOT)).select(key, (F.col("i") + 1).alias(at), name)
+    place = ["h", "item_id", "shift", "first", "last", "is_top"]
+    asked = pairs.select(*place).join(_bounded(slots_of(items, "item_id", "item_tokens", "item_at", "f"), n_all), "item_id").where("item_at BETWEEN first AND last").withColumn("at", F.col("item_at") + F.col("shift"))
+    met = asked.join(slots_of(near, "h", "tokens", "at", "g"), ["h", "at"]).where(F.substring("f", 1, 1) == F.substring("g", 1, 1))
+    met = met.groupBy(*place).agg(F.collect_set(F.struct("f", "g")).alias("slots"), F.count("*").alias("n_slots"))
+    both = pairs.join(met, place, "left").withColumn("n_slots", F.coalesce("n_slots", F.lit(0).cast("long")))
     distinct = lambda name: F.size(F.array_distinct(F.transform("slots", lambda p: p[name]))) == F.size("slots")
     one_to_one = F.coalesce(distinct("f") & distinct("g"), F.lit(True))
-    judged = both.select("doc_id", "item_id", F.col("n_windows").cast("long"), F.col("n_matched").cast("long"), "n_slots", "is_top", one_to_one.alias("consistent"))
-    best = judged.groupBy("doc_id", "item_id").agg(F.max(F.struct("consistent", "n_matched", "is_top", "n_slots", "n_windows")).alias("b"))
+    judged = both.select("h", "item_id", "n_windows", "n_matched", "n_slots", "is_top", one_to_one.alias("consistent"))
+    return judged.unionByName(verbatim) if verbatim is not None else judged
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, cover: int = COVER, literals: int = LITERALS, run: int = RUN) -> DataFrame:
+    """doc_id, item_id, n_windows (of the item), n_matched, n_slots, consistent, contaminated: a row for each text and item that
+    share ``cover`` percent of the item's windows, or ``run`` tokens in a row of a long item, or all of an item without windows."""
+    texts = docs.where("text IS NOT NULL").select("doc_id", "text")
+    judged = materialise(_judged(texts, benchmark, n, cover, literals, run), "judged")
+    ids = texts.withColumn("h", _key()).join(_bounded(judged, judged.count()), "h")
+    best = ids.groupBy("doc_id", "item_id").agg(F.max(F.struct("consistent", "n_matched", "is_top", "n_slots", "n_windows")).alias("b"))
     return best.select("doc_id", "item_id", "b.n_windows", "b.n_matched", "b.n_slots", "b.consistent", F.col("b.consistent").alias("contaminated"))
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the rows of contaminated ids; rows without an id are judged by their own text."""
+    judged = materialise(_judged(docs.where("text IS NOT NULL").select("doc_id", "text"), benchmark, WINDOW, COVER, LITERALS, RUN).where("consistent").select("h").distinct(), "contaminated")
+    found = _bounded(judged, judged.count())
+    kept = without(docs.where("doc_id IS NOT NULL"), docs.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("h", _key()).join(found, "h", "left_semi"))
+    bare = docs.where("doc_id IS NULL").withColumn("_h", _key())
+    return kept.unionByName(bare.join(found, bare["_h"] == found["h"], "left_anti").drop("_h"))
+
+
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -201,6 +201,18 @@ def test_contamination_judges_every_place(spark):
     assert {r.doc_id: r.contaminated for r in got} == {1: True, 2: True, 3: False, 4: True}
 
 
+def test_contamination_searches_every_item_and_text(spark):
+    words = "".join(chr(97 + i // 26) + chr(97 + i % 26) + "x " for i in range(450)).split()
+    short, numbers, passage = "Define entropy", "What is 17 * 24 + 6?", " ".join(words[100:300])
+    benchmark = spark.createDataFrame([(1, short), (2, numbers), (3, " ".join(words)), (4, "?!"), (5, ITEM)], "item_id long, text string")
+    texts = [(1, "please Define entropy. Now"), (2, "so he asks What is 17 * 24 + 6? Then"), (3, "Say What is 17 * 24 + 7?"), (4, f"Quote: {passage}. End"), (5, " ".join(words[100:140])), (6, "define entropyless"), (None, f"Here. {ITEM} now"), (None, "clean words of nobody at all")]
+    docs = docs_of(spark, texts)
+    got = decontam.contamination(docs, benchmark).where("contaminated").collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (2, 2), (4, 3), (None, 5)} and len(got) == 4
+    left = decontam.without_contaminated(docs, benchmark)
+    assert left.columns == docs.columns and {(r.doc_id, r.text) for r in left.collect()} == {texts[i] for i in (2, 4, 5, 7)}
+
+
 def test_contamination_of_nothing(spark):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     docs = docs_of(spark, [(1, ITEM)])
