@@ -90,8 +90,13 @@ class Scanner:
         for i, own in regions.items():
             notice, label = self.notices[i]
             for a, b in own:
-                for m in self.patterns[i].finditer(text, a, b):
-                    out.append((label, m.start(), m.end(), sum(m.fuzzy_counts), len(notice)))
+                # the best match of a region may stand behind others: both sides of it are searched
+                parts = [(a, b)]
+                while parts:
+                    a, b = parts.pop()
+                    if m := self.patterns[i].search(text, a, b):
+                        out.append((label, m.start(), m.end(), sum(m.fuzzy_counts), len(notice)))
+                        parts += [(a, m.start()), (m.end(), b)]
         # where notices of several labels match the same place, the one with fewest edits is meant
         kept: list = []
         for m in sorted(out, key=lambda m: (m[3], m[1], m[0])):

@@ -120,3 +120,11 @@ def test_license_notices_with_edits_are_found_wherever_they_stand():
 def test_license_odd_rows(odd):
     rows = licenses.scan_licenses(odd).collect()
     assert len(rows) == len(ODD) and all(r.labels == "" and r.score == 0 for r in rows)
+
+
+def test_fuzzy_notices_before_a_cleaner_copy():
+    from noticeloom.llm import licenses
+
+    scanner = licenses.Scanner({"licensed under the mit license": "MIT"})
+    got = licenses.scan(b"licensed under teh mit license licensed under the mit license", scanner, {})[-1]
+    assert [s[:3] for s in got] == [("MIT", 0, 5), ("MIT", 5, 10)]
