@@ -91,6 +91,113 @@ def test_toxicity_held_out_accuracy(corpus, odd):
     assert toxicity.fit([], 0, 0).prior == 0 and toxicity.score_text(b"x", toxicity.fit([(1, "x")], 3, 1), None) == (0.75, 1)
 
 
+def test_toxicity_scores_by_plain_compression(corpus):
+    """The same scores from word beginnings hashed one by one, compressors made anew and sums in a loop."""
+    import math
+
+    docs, labels = corpus
+    model = toxicity.train(docs, labels, ~toxicity.is_held_out())
+    mask = (1 << 64) - 1
+
+    def scrambled(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
+        return x ^ (x >> 31)
+
+    def coded(word):
+        h, out = 0, b""
+        for i, c in enumerate(word[: toxicity.STEM]):
+            h = (h + scrambled(ord(c) * toxicity._ODD & mask) * pow(toxicity._ODD, i, 1 << 64)) & mask
+            out += (scrambled(h) >> 48).to_bytes(2, "little")
+        return out
+
+    def cost(content, piece):
+        return len(language.compressor(content, toxicity.LEVEL).compress(piece))
+
+    for r in docs.where("length(text) < 1500").orderBy("doc_id").limit(12).collect():
+        words = [coded(w) for w in re.findall(r"[^\W\d_]+", r.text.lower())]
+        pieces = [b"".join(words[i : i + toxicity.WORDS]) for i in range(0, len(words), toxicity.WORDS)]
+        g = [cost(model.ordinary, p) - cost(model.toxic, p) for p in pieces] or [0]
+        n, top = len(g), sorted(g)
+        over = [sum(x >= k for x in g) for k in toxicity.STEPS]
+        x = [top[-1], sum(top[-2:]), sum(max(0, v - 1) for v in g) / (n + 3), *over, *(k / (n + 3) for k in over), math.log(n)]
+        p = 1 / (1 + math.exp(-(model.weights[0] + sum(w * (f - m) / d for w, f, m, d in zip(model.weights[1:], x, model.mean, model.scale, strict=True)))))
+        want = 0.7 * p / model.point if p < model.point else 0.7 + 0.3 * (p - model.point) / (1 - model.point)
+        got = toxicity.score_text(r.text.encode(), model, model.start())
+        assert abs(got[0] - want) < 1e-9 and got[1] == (want >= 0.7)
+
+
+def test_toxic_beginnings_are_known_in_words_never_seen():
+    """Toxic words are a beginning and an ending; held-out texts have endings that no training text has."""
+    import random
+
+    rng = random.Random(5)
+    part = lambda: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(2))
+    plain, endings = [part() + part() for _ in range(4000)], [part() + rng.choice("xyz") for _ in range(600)]
+    marks = ["zuqwa", "vyxom"]
+
+    def text(toxic, ends):
+        words = rng.choices(plain, k=rng.randint(30, 120))
+        for _ in range(3 * toxic):
+            words[rng.randrange(len(words))] = rng.choice(marks) + rng.choice(ends)
+        return " ".join(words)
+
+    rows = [(int(i % 4 == 0), text(i % 4 == 0, endings[:300])) for i in range(1200)]
+    model = toxicity.fit(rows, 300, 900)
+    state = model.start()
+    hit = lambda toxic: sum(toxicity.score_text(text(toxic, endings[300:]).encode(), model, state)[1] for _ in range(200)) / 200
+    assert hit(True) >= 0.75 and hit(False) <= 0.03
+
+
+def test_training_collects_one_text_for_an_id(spark):
+    """Repeated ids and clashing columns add nothing to what the driver holds."""
+    one = spark.range(1).selectExpr("1L AS doc_id", "'word word' AS text", "'en' AS lang", "'x' AS toxic")
+    many = spark.range(50_000).selectExpr("1L AS doc_id", "concat('other word ', id % 3) AS text", "'en' AS lang", "'x' AS toxic")
+    docs = one.unionByName(many)
+    labels = spark.range(9).selectExpr("1L AS doc_id", "cast(id % 2 as int) AS toxic", "1 AS text")
+    seen = []
+    real = toxicity.fit
+    toxicity.fit = lambda rows, a, b: seen.append((rows, a, b)) or real(rows, a, b)
+    try:
+        toxicity.train(docs, labels, F.lit(True))
+    finally:
+        toxicity.fit = real
+    assert seen == [([(1, "other word 0")], 1, 0)]
+    assert language.train(docs, F.lit(True)) == {"en": b"other word "[: language.DICT_BYTES]}
+
+
+def test_texts_without_letters_and_long_ones_are_coded():
+    encoder = toxicity.Encoder()
+    assert encoder.words(None) == encoder.words(b"12 _ !") == []
+    long = "x" * (3 * toxicity.PIECE) + " abc" * toxicity.PIECE
+    words = encoder.words(long.encode())
+    assert len(words) >= toxicity.PIECE and set(words[4:]) == {encoder.words(b"abc")[0]}
+    a, b, c = encoder.words("réeuxment réeuxpa reeuxment".encode())
+    assert a[:10] == b[:10] and a[10:12] != b[10:12] and a[:2] == c[:2] and a[2:4] != c[2:4] and len(a) == 16
+
+
+def test_language_by_plain_compression(corpus):
+    """The same prediction from compressors made anew for each text."""
+    docs, _ = corpus
+    model = language.train(docs, F.lit(True))
+    got = {r.doc_id: r for r in language.identify(docs.where("length(text) < 3000"), model).collect()}
+    for r in docs.where("length(text) < 3000").orderBy("doc_id").limit(25).collect():
+        text = language.letters(r.text)
+        size = {k: sum(len(language.compressor(v, language.LEVEL).compress(p)) for p in windows(text, language.WINDOW)) for k, v in model.items()}
+        best, second = sorted(size.values())[:2]
+        own = got[r.doc_id]
+        if re.search(r"[^\W\d_]", r.text):
+            assert size[own.lang_pred] == best and own.rejected == ((second - best) / second < language.NARROW)
+            assert abs(own.score - min(1.0, 4 * (second - best) / second)) < 1e-12
+        else:
+            assert own.lang_pred == "und"
+
+
+def test_language_ties_go_to_the_first(spark):
+    got = language.identify(spark.createDataFrame([(1, "some words")], "doc_id long, text string"), {"b": b"same content", "a": b"same content"}).first()
+    assert (got.lang_pred, got.score, got.rejected) == ("a", 0.0, True)
+
+
 def plain_licenses(t: str) -> tuple:
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
     at = [(i, label) for phrase, label in licenses.BASE.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
