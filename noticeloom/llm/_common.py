@@ -19,12 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary folder only where it is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only in local mode where it is unset (tests)."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf:
         sc = spark.sparkContext
         conf = sc.getCheckpointDir()
         if not conf:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir is not set: executors need a folder that all of them can read")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="noticeloom-"))
             conf = sc.getCheckpointDir()
     return conf.rstrip("/")
@@ -62,9 +64,17 @@ def id_bucket(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(n)
 
 
-def text_column(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes | None]:
-    """The UTF-8 bytes of each row's text, one at a time."""
-    col = batch.column(batch.schema.get_field_index(name))
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, longer by as many underscores as it takes to differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def text_column(batch: pa.RecordBatch, at: str | int = "text") -> Iterator[bytes | None]:
+    """The UTF-8 bytes of each row's text, one at a time; ``at``: the column's name, or its place."""
+    col = batch.column(at if isinstance(at, int) else batch.schema.get_field_index(at))
     col = col.cast(pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary())
     return (x.as_py() for x in col)
 
@@ -95,7 +105,7 @@ def map_rows(df: DataFrame, schema: str, row: Callable, keep: tuple[str, ...] =
                 cols = list(zip(*held, strict=True)) if held else [[] for _ in names]
                 return pa.RecordBatch.from_arrays([k.slice(at, end - at).cast(arrow.field(i).type) for i, k in enumerate(kept)] + [pa.array(c, type=arrow.field(n_keep + i).type) for i, c in enumerate(cols)], schema=arrow)
 
-            for i, raw in enumerate(text_column(batch, "_text")):
+            for i, raw in enumerate(text_column(batch, n_keep)):
                 held.append(row(raw, *state))
                 size += len(raw or b"")
                 if size > BATCH_BYTES:
@@ -104,14 +114,24 @@ def map_rows(df: DataFrame, schema: str, row: Callable, keep: tuple[str, ...] =
             if held:
                 yield flush(batch.num_rows)
 
-    return df.select(*(quoted(k) for k in keep), quoted(text).alias("_text")).mapInArrow(run, out_type)
+    # columns go by place, so none of the kept ones can clash with the text
+    return df.select(*(quoted(k).alias(f"_{i}") for i, k in enumerate(keep)), quoted(text).alias("_text")).mapInArrow(run, out_type)
 
 
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def without(docs: DataFrame, ids: DataFrame, broadcast_ids: int = 1_000_000) -> DataFrame:
-    """``docs`` without the rows whose doc_id is among ``ids``: broadcast where they have been counted and are few, else shuffled."""
-    ids = materialise(ids.select("doc_id").where("doc_id IS NOT NULL").distinct(), "ids")
-    return docs.join(F.broadcast(ids) if ids.count() <= broadcast_ids else ids, "doc_id", "left_anti").select(*(quoted(c) for c in docs.columns))
+def text_key(text: Column) -> Column:
+    """What texts are told apart by: 128 bits of a digest; null texts have one of their own."""
+    return F.md5(F.coalesce(F.concat(F.lit(b"t"), text.cast("binary")), F.lit(b"")))
+
+
+def without(docs: DataFrame, rows: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """``docs`` without the rows whose doc_id and text are those of ``rows`` (doc_id, text_key): broadcast where they have been
+    counted and are few, else shuffled. Another text under the same id stays."""
+    gone = materialise(rows.select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_gone_key")).distinct(), "gone")
+    own = unused(docs, "_key")
+    keyed = docs.withColumn(own, text_key(F.col("text")))
+    same = keyed["doc_id"].eqNullSafe(F.col("_gone")) & (keyed[own] == F.col("_gone_key"))
+    return keyed.join(F.broadcast(gone) if gone.count() <= broadcast_rows else gone, same, "left_anti").select(*(quoted(c) for c in docs.columns))

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm._common import materialise, table, without
+from noticeloom.llm._common import materialise, quoted, table, unused
 
 WINDOW, LITERALS, COVER, RUN = 5, 3, 50, 50
 BROADCAST_ROWS = 1_000_000
@@ -177,12 +177,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, cover:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows of contaminated ids; rows without an id are judged by their own text."""
-    judged = materialise(_judged(docs.where("text IS NOT NULL").select("doc_id", "text"), benchmark, WINDOW, COVER, LITERALS, RUN).where("consistent").select("h").distinct(), "contaminated")
-    found = _bounded(judged, judged.count())
-    kept = without(docs.where("doc_id IS NOT NULL"), docs.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("h", _key()).join(found, "h", "left_semi"))
-    bare = docs.where("doc_id IS NULL").withColumn("_h", _key())
-    return kept.unionByName(bare.join(found, bare["_h"] == found["h"], "left_anti").drop("_h"))
+    """``docs`` without the rows whose text is contaminated, whatever their id; another text under the same id stays."""
+    judged = _judged(docs.where("text IS NOT NULL").select("doc_id", "text"), benchmark, WINDOW, COVER, LITERALS, RUN).where("consistent")
+    own = unused(docs, "_h")
+    found = materialise(judged.select(F.col("h").alias(own)).distinct(), "contaminated")
+    return docs.withColumn(own, _key()).join(_bounded(found, found.count()), own, "left_anti").select(*(quoted(c) for c in docs.columns))
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:

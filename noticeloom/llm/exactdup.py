@@ -310,7 +310,7 @@ def apply_runs(docs: DataFrame, intervals: DataFrame, schema: str, row, keep: tu
                 cols = list(zip(*held, strict=True))
                 return pa.RecordBatch.from_arrays([c.slice(at, end - at).cast(arrow.field(i).type) for i, c in enumerate(kept)] + [pa.array(c, arrow.field(len(keep) + i).type) for i, c in enumerate(cols)], schema=arrow)
 
-            for i, raw in enumerate(text_column(b, "_text")):
+            for i, raw in enumerate(text_column(b, len(keep))):
                 held.append(row(raw, merged((r["a"], r["b"]) for r in runs[i].as_py() or ())))
                 size += len(raw or b"")
                 if size > 8 << 20:

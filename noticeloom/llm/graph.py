@@ -24,15 +24,16 @@ def _small(edges: DataFrame) -> DataFrame:
     return tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``(node, component)``, component the smallest node reachable, for every node of a link ``(u, v)`` of two longs.
 
-    Each round is a written table; a node with very many links is aggregated in the map tasks, and its links are joined to one
+    Rounds go on until one changes nothing; each makes components' smallest nodes meet, so there are about as many as the
+    logarithm of the longest path. Each round is a written table; a node with very many links is aggregated in the map tasks, and its links are joined to one
     row. Self links and nulls are left out; without links the result is empty.
     """
     now = materialise(edges.where("u <> v").select(F.col("u").cast("long"), F.col("v").cast("long")).distinct(), "links")
     before = None
-    for _ in range(max_rounds):
+    while True:
         new = materialise(_small(_large(now)), "links")
         discard(now)
         now = new

@@ -4,13 +4,14 @@ For each language a zstandard raw-content dictionary is cut from a bounded sampl
 whole and in windows, with every dictionary; the language whose dictionary gives the fewest bytes is predicted, and the
 prediction is marked as rejected where the runner-up is nearly as good.
 
-Training sample, as documented parameters: at most ``docs_per_lang`` texts of each language (those with the lowest hash of
-their id, so the choice is the same in every run), of each at most ``sample_chars`` characters, ``dict_bytes`` in all.
-What is held by the driver and sent to executors is therefore bounded by the number of languages alone.
+Training sample, as documented parameters: the ``max_langs`` most frequent languages, at most ``docs_per_lang`` ids of each (those with
+the lowest hash, so the choice is the same in every run), one text for each id, of each at most ``sample_chars`` characters,
+``dict_bytes`` in all. What is held by the driver and sent to executors is bounded by these.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and rejected; where two languages tie, the
-first in alphabetical order is predicted with score 0; without any labelled text every text is ``und``; repeated rows are
-judged each for itself; columns other than id, text and (for training) lang are ignored.
+first in alphabetical order is predicted with score 0; without any labelled text every text is ``und``; repeated rows, and rows
+without an id, are judged each for itself and alike (the latter never trained on); a very long text is coded window by window; columns
+other than id, text and (for training) lang are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from noticeloom.llm._common import id_bucket, map_rows, table
 from noticeloom.llm.zdict import compressor, windows
 
 DOCS_PER_LANG, SAMPLE_CHARS, DICT_BYTES, WINDOW, LEVEL = 96, 2048, 48 << 10, 1024, 6
+#: Languages that are learned: the most frequent ones, so that what is collected and sent out is bounded.
+MAX_LANGS = 256
 #: A lead of less than this share of the runner-up's bytes is narrow.
 NARROW = 0.02
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -37,21 +40,25 @@ def letters(text: str) -> bytes:
     return " ".join([w for w, before in zip(words, ["", *words], strict=False) if w != before]).encode()
 
 
-def train(docs: DataFrame, learn: Column, docs_per_lang: int = DOCS_PER_LANG, sample_chars: int = SAMPLE_CHARS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
+def train(docs: DataFrame, learn: Column, docs_per_lang: int = DOCS_PER_LANG, sample_chars: int = SAMPLE_CHARS, dict_bytes: int = DICT_BYTES, max_langs: int = MAX_LANGS) -> dict[str, bytes]:
     """language -> dictionary content, from the rows for which ``learn`` holds and lang is not null."""
     h = F.xxhash64(F.col("doc_id"))
-    ids = docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang", h.alias("h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    # of bounded size: docs_per_lang ids of each language
-    chosen = ids.withColumn("r", rank).where(F.col("r") <= docs_per_lang).select("doc_id").distinct()
+    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    # one row for each id and language, so that repeated rows take no places
+    ids = rows.select("lang", "doc_id").distinct()
+    langs = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).select("lang")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(h, "doc_id"))
+    # of bounded size: docs_per_lang ids of each of max_langs languages at most
+    chosen = ids.join(F.broadcast(langs), "lang").withColumn("r", rank).where(F.col("r") <= docs_per_lang).select("lang", "doc_id")
     at = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(1)), F.greatest(F.length("text") - sample_chars, F.lit(1))) + 1
-    rows = docs.where(learn & F.col("lang").isNotNull()).join(F.broadcast(chosen), "doc_id", "left_semi").where(F.length("text") > 0).select("lang", h.alias("h"), F.substring("text", at.cast("int"), F.lit(sample_chars)).alias("t")).collect()
+    pieces = rows.where(F.length("text") > 0).select("lang", "doc_id", h.alias("h"), F.substring("text", at.cast("int"), F.lit(sample_chars)).alias("t"))
+    sample = pieces.join(F.broadcast(chosen), ["lang", "doc_id"]).groupBy("lang", "h", "doc_id").agg(F.min("t").alias("t")).collect()
     share = max(1, dict_bytes // max(1, docs_per_lang))
     out: dict[str, list[bytes]] = {}
-    for lang, _, t in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
-        out.setdefault(lang, []).append(letters(t))
+    for r in sorted(sample, key=lambda r: (r.lang, r.h, r.doc_id)):
+        out.setdefault(r.lang, []).append(letters(r.t))
     # every sampled text gives an equal share; what short ones leave over goes to the longer ones
-    return {lang: _fill(texts[:docs_per_lang], share, dict_bytes) for lang, texts in out.items()}
+    return {lang: _fill(texts, share, dict_bytes) for lang, texts in out.items()}
 
 
 def _fill(texts: list[bytes], share: int, total: int) -> bytes:

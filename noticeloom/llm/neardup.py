@@ -7,14 +7,16 @@
    the similarity reaches the threshold (uniform prior) is a binomial sum; below ``miss`` the pair is dropped.
 4. Survivors are verified on their full sets of words. Links give components (alternating stars, each round a table).
 5. In buckets whose texts are still in several components, texts outside the largest component are compared with all others,
-   in tiles of bounded size, pruned as in 3 and verified in place. After that no two texts that share a band are left uncompared unless they are in
-   one component already, so no component is missed for want of pairs.
+   in tiles of bounded size, pruned as in 3 on signatures alone; texts go only to tiles in which they have a candidate, and are verified
+   there. After that no two texts that share a band are left uncompared unless they are in one component already, so no component is missed.
 
 A pair at the threshold shares no band with probability (1 - t^rows)^bands: 1.3e-7 for t = 0.8 with 40 bands of 5 values.
 
 Defined results: null and empty texts, and texts without words, have an empty set and are linked with nothing; a text with
-fewer words than a shingle is one shingle; rows with equal id and equal text are judged alike; rows with a null id have no
-component, are linked with nothing and are kept; columns other than id and text are ignored; an empty table gives no row.
+fewer words than a shingle is one shingle; rows with equal id and equal text are judged alike; different texts under one id are judged
+each for itself, and a component is named by the smallest id in it; rows with a null id have no component, are linked with
+nothing and are kept; a very long text costs its task memory in proportion to its own length; columns other than id and text
+are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -23,17 +25,17 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm._common import discard, map_rows, materialise, table
+from noticeloom.llm._common import discard, map_rows, materialise, table, text_key
 from noticeloom.llm.graph import components
 
 BANDS, ROWS = 40, 5
 #: Values of a signature compared at a time; the probability at which a pair is given up.
 BATCH, MISS = 20, 1e-9
-#: Texts of a tile's side.
-TILE = 512
+#: Texts of a tile's side, 400 bytes of signature each.
+TILE = 2048
 #: Ids of up to this many texts are broadcast (16 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -123,6 +125,19 @@ def _matrix(col: pa.Array, width: int) -> np.ndarray:
 PAIR = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
+def _few(ids: DataFrame) -> DataFrame:
+    """With a hint to broadcast where its rows have been counted and are few."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _texts(docs: DataFrame, reps: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rid and text of the representatives in ``wanted`` (rid). Written once, so that the joins on it are plain exchanges, of
+    which Spark splits a hot one."""
+    ids = materialise(reps.select("rid", "doc_id", "text_key").join(_few(wanted), "rid", "left_semi"), "wanted-ids")
+    own = docs.select("doc_id", "text").withColumn("text_key", text_key(F.col("text")))
+    return materialise(own.join(_few(ids), ["doc_id", "text_key"]).groupBy("rid").agg(F.first("text").alias("text")), "wanted-texts")
+
+
 def _prune(pairs: DataFrame, sigs: DataFrame, least: list[tuple[int, int]]) -> DataFrame:
     """The pairs (u, v) whose signatures survive."""
     width = least[-1][0]
@@ -133,11 +148,11 @@ def _prune(pairs: DataFrame, sigs: DataFrame, least: list[tuple[int, int]]) -> D
                 keep = pa.array(surviving(_matrix(x.column(2), width), _matrix(x.column(3), width), least))
                 yield pa.RecordBatch.from_arrays([x.column(0).take(keep), x.column(1).take(keep)], schema=PAIR)
 
-    u, v = (sigs.select(F.col("doc_id").alias(k), F.col("sig").alias(f"sig_{k}")) for k in "uv")
+    u, v = (sigs.select(F.col("rid").alias(k), F.col("sig").alias(f"sig_{k}")) for k in "uv")
     return pairs.join(u, "u").join(v, "v").select("u", "v", "sig_u", "sig_v").mapInArrow(run, "u long, v long")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, k: int, part: int, whole: int) -> DataFrame:
+def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, part: int, whole: int) -> DataFrame:
     """The pairs whose full sets have ``whole * intersection >= part * union``."""
 
     def shingles(raw: bytes) -> set:
@@ -161,10 +176,8 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, part: int, whole: int) ->
                 yield pa.RecordBatch.from_arrays([x.column(0).take(at), x.column(1).take(at)], schema=PAIR)
 
     pairs = materialise(pairs, "survivors")
-    ids = materialise(pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct(), "survivor-ids")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    u, v = (texts.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}")) for k in "uv")
+    texts = _texts(docs, reps, pairs.select(F.col("u").alias("rid")).unionByName(pairs.select(F.col("v").alias("rid"))).distinct())
+    u, v = (texts.select(F.col("rid").alias(k), F.col("text").alias(f"text_{k}")) for k in "uv")
     return pairs.join(u, "u").join(v, "v").select("u", "v", "text_u", "text_v").mapInArrow(run, "u long, v long")
 
 
@@ -176,25 +189,42 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(at, len(b) - 1)] == a).sum()) if len(b) else 0
 
 
-def _tiles(members: DataFrame, sigs: DataFrame, docs: DataFrame, least: list[tuple[int, int]], tile: int, k: int, part: int, whole: int) -> DataFrame:
-    """Links between different components in buckets (key, doc_id, label) that hold several. A tile verifies its own candidates on their
-    full sets and gives at most one link fewer than it has texts, as two texts of one component need no second link."""
+def _sides(t: pa.Table, width: int, least: list[tuple[int, int]]):
+    """For each stray of a tile: its place and the places of the texts that survive beside it."""
+    role, ids, label, stray = (t.column(c).to_numpy() for c in ("role", "rid", "label", "stray"))
+    sig = _matrix(t.column("sig").combine_chunks(), width) if t.num_rows else np.empty((0, width), np.uint16)
+    a = np.flatnonzero(role == 0)
+    for i in np.flatnonzero(role == 1).tolist():
+        # two strays meet twice, in either role; once is enough
+        other = a[(label[a] != label[i]) & (~stray[a].astype(bool) | (ids[a] > ids[i]))]
+        if len(other) and len(found := other[surviving(np.broadcast_to(sig[i], (len(other), width)), sig[other], least)]):
+            yield i, found.tolist()
+
+
+def _tiles(members: DataFrame, reps: DataFrame, docs: DataFrame, least: list[tuple[int, int]], tile: int, k: int, part: int, whole: int) -> DataFrame:
+    """Links between different components in buckets (key, rid, label) that hold several.
+
+    Tiles are first compared by signatures alone; texts then travel only to the tiles in which they have a candidate. There a tile verifies
+    its candidates on their full sets and gives at most one link fewer than it has texts, as two texts of one component need no second."""
     width = least[-1][0]
     by_label = members.groupBy("key", "label").agg(F.count("*").alias("c"))
-    open_ = by_label.groupBy("key").agg(F.sum("c").alias("n"), F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("k")).where("k > 1 AND n > 2").select("key", F.col("top.label").alias("top"), F.ceil(F.col("n") / tile).cast("int").alias("t"), F.ceil((F.col("n") - F.col("top.c")) / tile).cast("int").alias("s"))
+    open_ = by_label.groupBy("key").agg(F.sum("c").alias("n"), F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("k")).where("k > 1 AND n > 2")
+    open_ = open_.select("key", F.col("top.label").alias("top"), F.ceil(F.col("n") / tile).cast("int").alias("t"), F.ceil((F.col("n") - F.col("top.c")) / tile).cast("int").alias("s"))
     left = materialise(members.join(open_, "key").withColumn("stray", F.col("label") != F.col("top")), "open-buckets")
-    ids = materialise(left.select("doc_id").distinct(), "open-ids")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    side = lambda df, role, tiles, strays: df.select("key", F.lit(role).alias("role"), "doc_id", "label", "stray", tiles.alias("tile"), strays.alias("part"))
-    every = side(left, 0, F.pmod(F.xxhash64("doc_id"), F.col("t")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
-    strays = side(left.where("stray"), 1, F.explode(F.sequence(F.lit(0), F.col("t") - 1)), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("s")).cast("int"))
-    rows = every.unionByName(strays).join(sigs.select("doc_id", "sig").join(texts, "doc_id"), "doc_id")
+    side = lambda df, role, tiles, strays: df.select("key", F.lit(role).alias("role"), "rid", "label", "stray", tiles.alias("tile"), strays.alias("part"))
+    every = side(left, 0, F.pmod(F.xxhash64("rid"), F.col("t")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
+    strays = side(left.where("stray"), 1, F.explode(F.sequence(F.lit(0), F.col("t") - 1)), F.pmod(F.xxhash64("rid", F.lit(1)), F.col("s")).cast("int"))
+    rows = every.unionByName(strays).join(reps.select("rid", "sig"), "rid")
+    place = ["key", "tile", "part"]
+    named = pa.schema([("key", pa.int64()), ("tile", pa.int32()), ("part", pa.int32()), ("role", pa.int32()), ("rid", pa.int64()), ("label", pa.int64()), ("stray", pa.bool_()), ("sig", pa.binary())])
+
+    def candidates(t: pa.Table) -> pa.Table:
+        at = {j for i, found in _sides(t, width, least) for j in (i, *found)}
+        return t.select(named.names).take(pa.array(sorted(at), pa.int64())).cast(named)
 
     def compare(t: pa.Table) -> pa.Table:
-        role, ids, label, stray = (t.column(c).to_numpy() for c in ("role", "doc_id", "label", "stray"))
-        sig = _matrix(t.column("sig").combine_chunks(), width) if t.num_rows else np.empty((0, width), np.uint16)
-        text, hashes, sets, root = t.column("text"), WordHashes(), {}, {}
+        ids, label, text = t.column("rid").to_numpy(), t.column("label").to_numpy(), t.column("text")
+        hashes, sets, root = WordHashes(), {}, {}
 
         def own(i: int) -> np.ndarray:
             if ids[i] not in sets:
@@ -206,14 +236,9 @@ def _tiles(members: DataFrame, sigs: DataFrame, docs: DataFrame, least: list[tup
                 root[x] = x = root.get(root[x], root[x])
             return x
 
-        a, b = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
         links = []
-        for i in b:
-            # two strays meet twice, in either role; once is enough
-            other = a[(label[a] != label[i]) & (~stray[a].astype(bool) | (ids[a] > ids[i]))]
-            if not len(other):
-                continue
-            for j in other[surviving(np.broadcast_to(sig[i], (len(other), width)), sig[other], least)].tolist():
+        for i, found in _sides(t, width, least):
+            for j in found:
                 x, y = find(int(label[i])), find(int(label[j]))
                 if x != y:
                     n, m, both = len(own(i)), len(own(j)), common(own(i), own(j))
@@ -223,11 +248,14 @@ def _tiles(members: DataFrame, sigs: DataFrame, docs: DataFrame, least: list[tup
         u, v = zip(*links, strict=True) if links else ((), ())
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())}, schema=PAIR)
 
-    return rows.groupBy("key", "tile", "part").applyInArrow(compare, "u long, v long").distinct()
+    near = rows.groupBy(*place).applyInArrow(candidates, "key long, tile int, part int, role int, rid long, label long, stray boolean, sig binary")
+    near = materialise(near, "tile-candidates")
+    texts = _texts(docs, reps, near.select("rid").distinct())
+    return near.join(texts, "rid").groupBy(*place).applyInArrow(compare, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 100, bands: int = BANDS, rows: int = ROWS, miss: float = MISS, tile: int = TILE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every text; texts are linked when ``whole * both >= part * union``."""
+    """doc_id, text_key, n_shingles, component_id, kept of every text; texts are linked when ``whole * both >= part * union``."""
     n_values = bands * rows
     least = least_matches(n_values, BATCH, part / whole, miss)
 
@@ -241,32 +269,40 @@ def near_duplicates(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 10
         sig = minhash(own, a, b)
         return len(own), xxhash.xxh3_128_digest(own.tobytes()), sig.astype(np.uint16).tobytes(), band_keys(sig, bands, rows)
 
-    base = materialise(map_rows(docs, "n_shingles long, set_id binary, sig binary, bands array<long>", row, setup=lambda: (WordHashes(), *coefficients(n_values))), "signatures")
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
+    base = materialise(map_rows(keyed, "n_shingles long, set_id binary, sig binary, bands array<long>", row, keep=("doc_id", "text_key"), setup=lambda: (WordHashes(), *coefficients(n_values))), "signatures")
     some = base.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = materialise(some.groupBy("set_id").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = some.join(classes, (some["doc_id"] == classes["rep"]) & (some["set_id"] == classes["set_id"]), "left_semi").dropDuplicates(["doc_id"])
-    reps = materialise(reps.select("doc_id", "sig", "bands"), "representatives")
-    sigs = reps.select("doc_id", "sig")
-    members = reps.select("doc_id", F.explode("bands").alias("key"))
-    pivots = members.groupBy("key").agg(F.min("doc_id").alias("u"), F.count("*").alias("n")).where("n > 1").select("key", "u")
+    first = some.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
+    classes = materialise(first.select("set_id", "one.*").withColumn("rid", F.col("doc_id")), "classes")
+    if not classes.groupBy("doc_id").count().where("count > 1").isEmpty():
+        # one id with several texts that are first of their class: numbers take the ids' place, written down so that they stay
+        classes = materialise(classes.withColumn("rid", F.monotonically_increasing_id()), "classes")
+    reps = some.join(classes.select("set_id", "doc_id", "text_key", "rid"), ["set_id", "doc_id", "text_key"]).groupBy("rid", "doc_id", "text_key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    reps = materialise(reps, "representatives")
+    members = reps.select("rid", F.explode("bands").alias("key"))
+    pivots = members.groupBy("key").agg(F.min("rid").alias("u"), F.count("*").alias("n")).where("n > 1").select("key", "u")
     shared = materialise(members.join(pivots, "key"), "buckets")
-    stars = materialise(shared.where("doc_id <> u").select("u", F.col("doc_id").alias("v")).distinct(), "stars")
-    links = materialise(_verify(_prune(stars, sigs, least), docs, k, part, whole), "star-links")
+    stars = materialise(shared.where("rid <> u").select("u", F.col("rid").alias("v")).distinct(), "stars")
+    links = materialise(_verify(_prune(stars, reps.select("rid", "sig"), least), docs, reps, k, part, whole), "star-links")
     label = materialise(components(links.select("u", "v")), "labels")
-    marked = shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("label"))
-    more = materialise(_tiles(marked, sigs, docs, least, tile, k, part, whole), "tile-links")
+    marked = shared.join(label.withColumnRenamed("node", "rid"), "rid", "left").select("key", "rid", F.coalesce("component", "rid").alias("label"))
+    more = materialise(_tiles(marked, reps, docs, least, tile, k, part, whole), "tile-links")
     if not more.isEmpty():
         label = materialise(components(more.unionByName(label.select(F.col("component").alias("u"), F.col("node").alias("v")))), "labels")
     for done in (shared, reps):
         discard(done)
-    out = base.select("doc_id", "n_shingles", "set_id").join(classes, "set_id", "left").join(label.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    alone = F.coalesce("component", "rep", "doc_id")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.when(F.col("n_shingles") > 0, alone).otherwise(F.col("doc_id")))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    named = label.join(classes.select(F.col("rid").alias("node"), "doc_id"), "node")
+    least_id = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    found = named.join(least_id, "component").select(F.col("node").alias("rid"), "component_id")
+    own = classes.join(found, "rid", "left").select("set_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = base.select("doc_id", "text_key", "n_shingles", "set_id").join(own, "set_id", "left")
+    # of a row without an id there is nothing to link
+    component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
+    return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def op6_neardup(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), k=2)
+    return near_duplicates(table(spark, sf_dir, "documents"), k=2).drop("text_key")
 
 
 QUERIES = {"op6_neardup": op6_neardup}
