@@ -12,26 +12,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.llm import decontam, exactdup, mixing, neardup, toxicity
-from noticeloom.llm._common import map_rows, materialise, quoted, table, without
+from noticeloom.llm._common import map_rows, materialise, quoted, table, unused, without
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: documents with a score of 0.7 or more go."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~toxicity.is_held_out())
-    scored = map_rows(docs, "_op_score double, _op_toxic int", lambda raw, state: toxicity.score_text(raw, model, state), keep=tuple(docs.columns), setup=model.start)
-    return scored.where("_op_toxic = 0").select(*(quoted(c) for c in docs.columns))
+    verdict = unused(docs, "is_toxic")
+    scored = map_rows(docs, f"{verdict} int", lambda raw, state: (toxicity.score_text(raw, model, state)[1],), keep=tuple(docs.columns), setup=model.start)
+    return scored.where(F.col(verdict) == 0).select(*(quoted(c) for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6 on shingles of five words, similarity 0.8 or more: of each group the document with the smallest id stays."""
-    judged = neardup.near_duplicates(docs, k=5)
-    gone = judged.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("NOT kept").select("doc_id")
-    left = without(docs, gone)
-    again = materialise(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    """Operator 6 on shingles of five words, similarity 0.8 or more: of each group the document with the smallest id stays.
+
+    Rows are told apart by id and text: of two texts under one id each has its own verdict, and equal rows leave once."""
+    judged = materialise(neardup.near_duplicates(docs, k=5).where("doc_id IS NOT NULL"), "near-duplicates")
+    left = without(docs, judged.where("NOT kept"))
+    again = judged.where("kept").groupBy("doc_id", "text_key").count().where("count > 1")
     if again.isEmpty():
         return left
-    once = without(left, again)
-    return once.unionByName(left.join(again, "doc_id", "left_semi").select(*(quoted(c) for c in docs.columns)).dropDuplicates(["doc_id", "text"]))
+    return without(left, again).unionByName(left.where("doc_id IS NOT NULL").join(F.broadcast(again.select("doc_id").distinct()) if again.count() <= 1_000_000 else again.select("doc_id").distinct(), "doc_id", "left_semi").select(*(quoted(c) for c in docs.columns)).dropDuplicates(["doc_id", "text"]))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +45,10 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         return text, len(text)
 
     rest = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
-    cut = exactdup.apply_runs(docs, exactdup.repeated_intervals(docs), "_op_text string, _op_chars long", row, keep=rest)
-    new = {"text": F.col("_op_text").alias("text"), "n_chars": F.col("_op_chars").alias("n_chars")}
-    return cut.select(*(new.get(c, quoted(c)) for c in docs.columns))
+    text, chars = unused(docs, "cut_text"), unused(docs, "cut_chars")
+    cut = exactdup.apply_runs(docs, exactdup.repeated_intervals(docs), f"{text} string, {chars} long", row, keep=rest)
+    new = {"text": F.col(text).alias("text"), "n_chars": F.col(chars).cast(docs.schema["n_chars"].dataType).alias("n_chars") if "n_chars" in docs.columns else None}
+    return cut.select(*(new[c] if c in new else quoted(c) for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
