@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from noticeloom.functions import patterns as P
 from noticeloom.functions import vocabulary as V
 
 EDGE = "：:，,；;。 "
@@ -188,14 +189,11 @@ def clip(c: Column, n: int = 500) -> Column:
     return F.substring(text(c), 1, n)
 
 
-_PHONE_ENDS = ["公示开始时间", "公示结束时间", "发布日期", "浏览次数", "招标编号", "招标项目编号", "确定", "中标人如下", "中标候选人", *(f"{n}、" for n in "一二三四五六七八九十")]
-_PHONE_SIGNS = r"\d\s、,，;；/\\\-—()（）＋+"
-
-
 def phone(c: Column) -> Column:
     """The telephone numbers at the start of a value, up to what belongs to another field."""
-    t = strip(F.regexp_extract(squeeze(c), rf"(?s)^(.+?)(?=(?:{'|'.join(_PHONE_ENDS)})|\z)", 1))
-    head = matched(t, rf"^(?=\s*\S)[{_PHONE_SIGNS}]*(?:财务|传真|总机|电话|转)?[{_PHONE_SIGNS}]*(?:（财务）|\(财务\))?")
+    signs = rf"[\d\s{P.PHONE_SIGNS}（）()]*"
+    t = strip(F.regexp_extract(squeeze(c), rf"(?s)^(.+?)(?=(?:{'|'.join(P.PHONE_STOPS)})|\z)", 1))
+    head = matched(t, rf"^(?=\s*\S){signs}(?:{'|'.join(P.PHONE_NOTES)})?{signs}(?:（财务）|\(财务\))?")
     return strip(strip(F.coalesce(nonempty(head), t)), " ：:，,；;")
 
 

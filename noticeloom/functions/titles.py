@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,15 +42,11 @@ def _cut(c: Column, suffixes: list[str]) -> Column:
 
 
 def canonical_title(title: Column) -> Column:
-    """A project's name: the title without the suffixes of notices, as often as one ends it, and without the lot's number.
-
-    Four rounds: each takes a suffix of at least three characters, and titles carry two or three at most.
-    """
+    """A project's name: the title without the suffixes of notices, as many as end it, and without the lot's number."""
     start = inline(title)
-    # each round is one regular expression: of suffixes that end a text, the order of the list is that of the alternatives, as a
-    # longer one that ends in a listed shorter one never gets its turn
+    # of suffixes that end a text, a longer one that ends in a listed shorter one never gets its turn
     first = [s for i, s in enumerate(V.TITLE_SUFFIXES) if not any(s.endswith(t) for t in V.TITLE_SUFFIXES[:i])]
-    t = reduce(lambda x, _: strip(F.regexp_replace(x, rf"(?U)(?:{'|'.join(first)})$", "")), range(4), start)
+    t = strip(F.regexp_replace(start, rf"(?U)(?:\s*(?:{'|'.join(first)}))+$", ""))
     for lot in (r"（?\(?第?\d+(?U:\s)*标段\)?）?$", r"\(?\d+(?U:\s)*标段\)?$", r"其它第一标段$"):
         t = strip(F.regexp_replace(t, lot, ""))
     return F.when(t == "", start).otherwise(t)

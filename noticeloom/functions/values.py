@@ -130,6 +130,11 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.round(part * 100.0 / whole, 0)).otherwise(F.lit(0.0))
 
 
+def thousands(c: Column) -> Column:
+    """A count with its digits in groups of three."""
+    return F.format_number(c.cast("long"), 0)
+
+
 def tolerant_json(c: Column, schema: str) -> Column:
     """A model's answer as a struct: inside a code fence, or the outermost braces of the text around it; null if neither is JSON."""
     t = F.regexp_replace(F.regexp_replace(strip(text(c)), r"(?U)^```(?:json)?\s*", ""), r"(?U)\s*```$", "")

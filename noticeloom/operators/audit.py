@@ -32,13 +32,20 @@ def unknown_titles(items: DataFrame) -> DataFrame:
     return items.where((F.col("kind") == "unknown") & (F.col("channel") == "招标公告")).select("raw_title", "link")
 
 
-def kind_counts(rows: DataFrame, column: str = "公共类型", default: str = "未识别") -> DataFrame:
-    return rows.groupBy(first_of(text(F.col(column)), F.lit(default)).alias(column)).agg(F.count("*").alias("n"))
+def _counted(rows: DataFrame, value: Column, column: str, order: str | None) -> DataFrame:
+    """Most frequent first; equal counts in the order in which they are first seen (by ``order``), else by name."""
+    first = F.min(order) if order else F.min(value)
+    got = rows.groupBy(value.alias(column)).agg(F.count("*").alias("n"), first.alias("_first"))
+    return got.orderBy(F.desc("n"), "_first").drop("_first")
 
 
-def place_counts(rows: DataFrame, column: str = "交易场所") -> DataFrame:
+def kind_counts(rows: DataFrame, column: str = "公共类型", default: str = "未识别", order: str | None = None) -> DataFrame:
+    return _counted(rows, first_of(text(F.col(column)), F.lit(default)), column, order)
+
+
+def place_counts(rows: DataFrame, column: str = "交易场所", order: str | None = None) -> DataFrame:
     """An absent place has a name; an empty one stays empty."""
-    return rows.groupBy(F.coalesce(F.col(column), F.lit("未知")).alias(column)).agg(F.count("*").alias("n"))
+    return _counted(rows, F.coalesce(F.col(column), F.lit("未知")), column, order)
 
 
 def _long(rows: DataFrame, fields: list[str], measure) -> DataFrame:
@@ -58,11 +65,11 @@ def blanks(rows: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def before_after(original: DataFrame, repaired: DataFrame, skip: tuple[str, ...] = ("全文文本",)) -> DataFrame:
-    """Empty fields before and after a repair, for fields that were blank somewhere."""
+    """Empty fields before and after a repair, for fields that were blank somewhere, sorted by name."""
     fields = [c for c, t in original.dtypes if t == "string" and c not in skip]
     old = blanks(original, fields).where("empty > 0")
     new = blanks(repaired, [c for c in fields if c in repaired.columns]).select("field", F.col("empty").alias("after"))
-    return old.join(new, "field", "left").select("field", F.col("empty").alias("before"), F.coalesce("after", "empty").alias("after"), "total", (F.col("empty") - F.coalesce("after", "empty")).alias("fixed"))
+    return old.join(new, "field", "left").select("field", F.col("empty").alias("before"), F.coalesce("after", "empty").alias("after"), "total", (F.col("empty") - F.coalesce("after", "empty")).alias("fixed")).orderBy("field")
 
 
 def status_counts(rows: DataFrame, column: str = "status", mode: str = "source_mode") -> DataFrame:

@@ -9,9 +9,11 @@ import re
 from collections.abc import Callable
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from noticeloom.functions import vocabulary as V
 from noticeloom.functions.markup import Node, parse
@@ -32,17 +34,22 @@ def _lines(s: str) -> str:
 
 
 def over(schema: str, f: Callable) -> Callable[..., Column]:
-    """A function of one or two texts as an Arrow function of columns; nulls come as None."""
-    given = lambda x: None if x is None or x != x else x
+    """A function of one or two texts as an Arrow function of columns, whatever it returns; nulls come as None."""
 
-    def one(a: pd.Series) -> pd.Series:
-        return pd.Series([f(given(x)) for x in a], dtype=object)
+    def made(*cols) -> Column:
+        # made when first asked for: a type can only be parsed in a session
+        kind = to_arrow_type(DataType.fromDDL(schema))
+        plain = (lambda x: list(x.items()) if isinstance(x, dict) else x) if pa.types.is_map(kind) else (lambda x: x)
 
-    def two(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([f(given(x), given(y)) for x, y in zip(a, b, strict=True)], dtype=object)
+        def one(a: pa.Array) -> pa.Array:
+            return pa.array([plain(f(x.as_py())) for x in a], kind)
 
-    # made when first asked for: a type can only be parsed in a session
-    return lambda *cols: F.pandas_udf(one if f.__code__.co_argcount == 1 else two, schema)(*(F.col(c) if isinstance(c, str) else c for c in cols))
+        def two(a: pa.Array, b: pa.Array) -> pa.Array:
+            return pa.array([plain(f(x.as_py(), y.as_py())) for x, y in zip(a, b, strict=True)], kind)
+
+        return F.arrow_udf(one if f.__code__.co_argcount == 1 else two, schema)(*(F.col(c) if isinstance(c, str) else c for c in cols))
+
+    return made
 
 
 def _items(html: str | None) -> list[dict]:
@@ -208,15 +215,8 @@ file_links = over("array<string>", _file_links)
 candidate_names = over("array<string>", _candidates)
 head_region = over("string", _region)
 underlined_region = over("string", _underlined_region)
-
-
-def main_content(html: Column) -> Column:
-    """struct(text, source): a page's main text and the container it was found in."""
-
-    def run(s: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_main(x) for x in s], columns=["text", "source"])
-
-    return F.pandas_udf(run, "text string, source string")(html)
+#: struct(text, source): a page's main text and the container it was found in.
+main_content = over("struct<text:string,source:string>", _main)
 
 
 def file_ids(html: Column) -> Column:
@@ -237,19 +237,58 @@ def publish_info(html: Column) -> Column:
     return F.struct(F.replace(date, F.lit("/"), F.lit("-")).alias("date"), source.alias("source"))
 
 
-def list_rows(pages: DataFrame) -> DataFrame:
+#: A shorter answer is a failure; items of a page.
+LEAST_PAGE, PAGE_ITEMS = 100, 10
+
+
+def list_rows(pages: DataFrame, counted: bool = False, since: Column | None = None, title: str = "") -> DataFrame:
     """Items of landed list pages (url, channel, page, html): title, canonical title, absolute link, date, place, kind by address.
 
-    Rows without title or link are left out, as is a channel's rest behind its first page without an item; a failed page is one.
+    Rows without title or link are left out, as is a channel's rest behind its first page without an item; a failed page is one. With
+    ``counted`` a page under ``LEAST_PAGE`` characters is a failure too, and a channel ends with the page that names no count, or by whose
+    end the count is reached. ``since`` and ``title`` are the site's own filters: the day from which on, and what titles contain.
     """
     pages = pages.withColumn("items", list_items("html"))
-    ends = pages.where(F.size("items") == 0).groupBy("channel").agg(F.min("page").alias("end"))
+    empty = F.size("items") == 0
+    if counted:
+        count = F.regexp_extract(text(F.col("html")), r",count:\s*(\d+)", 1).try_cast("int")
+        done = F.coalesce(F.col("page") * PAGE_ITEMS >= count, F.lit(True))
+        end = F.when(empty | (F.length(text(F.col("html"))) < LEAST_PAGE), F.col("page")).when(done, F.col("page") + 1)
+    else:
+        end = F.when(empty, F.col("page"))
+    ends = pages.groupBy("channel").agg(F.min(end).alias("end"))
     rows = pages.join(ends, "channel", "left").where(F.col("end").isNull() | (F.col("page") < F.col("end")))
     rows = rows.select("channel", "page", F.posexplode("items").alias("pos", "i")).select("channel", "page", "pos", "i.*")
     rows = rows.where("raw_title <> '' AND link <> ''").withColumn("link", secure_url(resolve(F.col("link"))))
+    if since is not None:
+        rows = rows.where(F.coalesce(list_date(F.col("date")) >= since, F.lit(True)))
+    if title:
+        rows = rows.where(F.contains("raw_title", F.lit(title)))
     return rows.withColumn("title", canonical_title(F.col("raw_title"))).withColumn("ann_type", url_kind(F.col("link")))
 
 
+def api_rows(pages: DataFrame, item: str, page_size: int = 50, limit: int = 200) -> DataFrame:
+    """Records of landed answers of a listing API (section, page, json), each ``annId`` once a section, at most ``limit`` of each.
+
+    An answer is ``{"data": {"records": [item, ...], "total": n, "pages": n}}``. A section ends with the page that reaches its total or
+    its number of pages, or that holds fewer than ``page_size`` records; what was landed behind it is left out."""
+    a = pages.withColumn("d", F.from_json("json", f"data struct<records:array<{item}>,total:long,pages:long>")).select("section", "page", "d.data.*")
+    n, total, of = F.size(F.coalesce("records", F.array())), F.coalesce("total", F.lit(0)), F.coalesce("pages", F.lit(0))
+    last = (n < page_size) | ((total > 0) & (F.col("page") * page_size >= total)) | ((of > 0) & (F.col("page") >= of))
+    ends = a.groupBy("section").agg(F.min(F.when(last, F.col("page"))).alias("end"))
+    rows = a.join(ends, "section").where("end IS NULL OR page <= end").select("section", "page", F.posexplode("records").alias("pos", "r")).select("section", "page", "pos", "r.*")
+    from noticeloom.operators.relations import first_k
+
+    once = first_k(rows.where("annId IS NOT NULL"), ["section", "annId"], ["page", "pos"], 1)
+    return first_k(once, ["section"], ["page", "pos"], limit)
+
+
+def chosen_sections(keys: str = "") -> dict[str, tuple[str, str]]:
+    """The sections named by a comma-separated list of keys, in the sections' own order; all of them without one."""
+    wanted = {k.strip() for k in keys.split(",") if k.strip()}
+    return {k: v for k, v in V.SECTIONS.items() if not wanted or k in wanted}
+
+
 def section_links(html: Column, prefix: str) -> Column:
     """(detail_id, title, date text, place) of each link of a section's list page, without leaving the JVM."""
     anchor = rf"(?is)<a\s+[^>]*href=\"[^\"]*?/{prefix}/\d+\.jhtml\"[^>]*>.*?</a>"

@@ -15,24 +15,34 @@ STAGES = {"招标计划": 1, "招标公告": 2, "变更公告": 3, "中标候选
 MIN_NAME = 5
 
 
-def blocked_matches(probes: DataFrame, names: DataFrame, probe: str, name: str, ordinal: str) -> DataFrame:
-    """``probe`` -> ordinal of the matching name: the equal one, else the first in order of which one contains the other (both of
-    five characters or more).
+def _windows(c: Column, n: int) -> Column:
+    """The distinct windows of ``n`` characters; none of shorter texts."""
+    return F.when(F.length(c) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substring(c, i, F.lit(n)))))
+
+
+def containing(inner: DataFrame, outer: DataFrame, i: str, o: str, n: int) -> DataFrame:
+    """Pairs of distinct texts (columns ``i`` of ``inner`` and ``o`` of ``outer``) where the outer one contains the inner one of ``n`` characters
+    or more.
 
-    A containing text has every window of five characters of the contained one, in particular its first. So each text's first window meets all
-    windows of the other side in an equi-join, and only pairs that share it are compared: no nested loop over both tables. Windows are made of
-    distinct names.
+    A containing text has every window of the contained one. Each inner text is looked up by that of its windows which the fewest outer
+    texts have, so a beginning that all names share finds nobody; one with a window that no outer text has is out at once.
     """
+    own = inner.select(i).distinct().withColumn("w", F.explode(_windows(F.col(i), n)))
+    other = outer.select(o).distinct().withColumn("w", F.explode(_windows(F.col(o), n)))
+    counts = other.groupBy("w").agg(F.count("*").alias("c"))
+    rarest = own.join(counts, "w", "left").groupBy(i).agg(F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "w")).alias("r")).where("r.c > 0").select(i, F.col("r.w").alias("w"))
+    return rarest.join(other, "w").where(F.contains(F.col(o), F.col(i))).select(i, o)
+
+
+def blocked_matches(probes: DataFrame, names: DataFrame, probe: str, name: str, ordinal: str) -> DataFrame:
+    """``probe`` -> ordinal of the matching name: the equal one, else the first in order of which one contains the other (both of
+    five characters or more)."""
     p = probes.select(inline(F.col(probe)).alias("p")).distinct()
     n = names.select(F.col(name).alias("n"), F.col(ordinal).alias("o")).groupBy("n").agg(F.min("o").alias("o"))
     exact = p.join(n, p["p"] == n["n"]).select("p", "o")
-    windows = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - (MIN_NAME - 1)), lambda i: F.substring(c, i, F.lit(MIN_NAME))))
-    head = lambda c: F.substring(c, 1, MIN_NAME)
-    rest = p.join(exact.select("p"), "p", "left_anti").where(F.length("p") >= MIN_NAME)
-    long = n.where(F.length("n") >= MIN_NAME)
-    inside = rest.withColumn("w", head(F.col("p"))).join(long.withColumn("w", F.explode(windows(F.col("n")))), "w").where(F.contains("n", "p"))
-    around = rest.withColumn("w", F.explode(windows(F.col("p")))).join(long.withColumn("w", head(F.col("n"))), "w").where(F.contains("p", "n"))
-    near = inside.select("p", "o").unionByName(around.select("p", "o")).groupBy("p").agg(F.min("o").alias("o"))
+    rest = p.join(exact.select("p"), "p", "left_anti")
+    pairs = containing(rest, n, "p", "n", MIN_NAME).unionByName(containing(n, rest, "n", "p", MIN_NAME))
+    near = pairs.join(n, "n").groupBy("p").agg(F.min("o").alias("o"))
     return exact.unionByName(near).select(F.col("p").alias(probe), F.col("o").alias(ordinal))
 
 
@@ -114,12 +124,13 @@ def aligned(new: DataFrame, snapshot: DataFrame, ordinal: str, key: str = "项
     return got.select(*(F.coalesce("_known", new[key]).alias(c) if c == key else new[c] for c in new.columns))
 
 
-def history_of(projects: DataFrame, notices: DataFrame) -> DataFrame:
-    """Notices of every project: those whose title contains its name (the site's search), found by the name's first window."""
-    n = notices.withColumn("_w", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("raw_title") - 3, F.lit(1))), lambda i: F.substring(F.col("raw_title"), i, F.lit(4))))))
-    p = projects.select(F.col("项目名称").alias("project")).distinct()
-    long = p.where(F.length("project") >= 4).withColumn("_w", F.substring("project", 1, 4))
-    return long.join(n, "_w").where(F.contains("raw_title", "project")).drop("_w")
+def history_of(projects: DataFrame, notices: DataFrame, from_step: int = 1) -> DataFrame:
+    """Notices of every project: those whose title contains its name of four characters or more (the site's search), of the stages from
+    ``from_step`` on; a notice of a channel without a stage comes with every step."""
+    stage = F.coalesce(*(F.when(F.col("channel") == k, F.lit(v)) for k, v in STAGES.items()), F.lit(9)) if from_step > 1 else None
+    own = notices if stage is None else notices.where(stage >= from_step)
+    pairs = containing(projects.select(F.col("项目名称").alias("project")), own.select(F.col("raw_title").alias("_title")), "project", "_title", 4)
+    return own.join(pairs, own["raw_title"] == pairs["_title"]).select("project", *own.columns)
 
 
 def triggers(items: DataFrame) -> DataFrame:

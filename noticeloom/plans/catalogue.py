@@ -284,7 +284,8 @@ def lot_candidates(spark, d):
 @query("SELECT l_orderkey, l_linenumber, 'S' || l_suppkey || '公司' AS winner, trunc(l_quantity)::INTEGER || '元' AS price FROM lineitem")
 def winner_pairs(spark, d):
     t = F.concat(F.lit("一、中标人信息\n00"), F.col("l_linenumber").cast("string"), F.lit("第一标段：\n中标人：S"), F.col("l_suppkey").cast("string"), F.lit("公司\n中标价格："), F.col("l_quantity").cast("int").cast("string"), F.lit("元\n二、其他公示内容\n无"))
-    return _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.array_join(extract.winner_names(t), "、").alias("winner"), F.array_join(extract.winner_prices(t), "、").alias("price"))
+    rows = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", extract.winner_pairs(t).alias("w"))
+    return rows.select("l_orderkey", "l_linenumber", F.array_join("w.names", "、").alias("winner"), F.array_join("w.prices", "、").alias("price"))
 
 
 @query(

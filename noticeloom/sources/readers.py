@@ -32,6 +32,21 @@ def read_projects(spark: SparkSession, path: str, columns: list[str] | None = No
     return raw.select(*(fixed.get(c, lambda x: x)(cell(c)).alias(c) for c in columns))
 
 
+def read_projects_or_set_aside(spark: SparkSession, path: str, today: str, columns: list[str] | None = None) -> DataFrame:
+    """A project table; one that cannot be read, or does not exist, is an empty table. A broken one is renamed to ``path.bad_today`` first,
+    so that nothing writes over it."""
+    columns = columns or V.PROJECT_COLUMNS
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        # a table of projects names them; a file whose header does not is none
+        if "项目名称" in {c.lstrip("\ufeff") for c in spark.read.csv(path, header=True, multiLine=True, escape='"').columns}:
+            return read_projects(spark, path, columns)
+        fs.rename(p, jvm.org.apache.hadoop.fs.Path(f"{path}.bad_{today}"))
+    return spark.createDataFrame([], strings(columns))
+
+
 def read_section_json(spark: SparkSession, path: str, fields: list[str] | None = None) -> DataFrame:
     """The records of a section's JSON file, whose envelope holds them under ``data``."""
     columns = fields or [*V.SECTION_FIELDS, *V.SECTION_EXTRA]

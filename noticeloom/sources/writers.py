@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from noticeloom.functions import vocabulary as V
 from noticeloom.functions.text import rendered, text
 
 
@@ -23,19 +24,27 @@ def write_json(rows: DataFrame, path: str, columns: list[str] | None = None) ->
 
 
 def write_envelope(rows: DataFrame, path: str, section: str, now: Column, days: int, fields: list[str]) -> None:
-    """A section's records, one JSON object a line, and beside them the metadata of the envelope: at scale the records stay distributed."""
+    """A section's records, one JSON object a line and as CSV with the section's columns (none without records), and beside them the
+    metadata of the envelope: at scale the records stay distributed."""
     rows.write.mode("overwrite").json(f"{path}/data", ignoreNullFields=False)
-    meta = rows.agg(F.count("*").alias("total_count")).select(F.lit("全国公共资源交易平台（山西省）").alias("source"), F.lit(section).alias("section"), "total_count", F.date_format(now, "yyyy-MM-dd HH:mm:ss").alias("crawl_time"), F.lit(days).alias("days_lookback"), F.array(*map(F.lit, fields)).alias("fields"))
+    written = rows.sparkSession.read.schema(rows.schema).json(f"{path}/data")
+    if not written.isEmpty():
+        write_csv(written, f"{path}/csv", [*fields, *(c for c in V.SECTION_EXTRA if c not in fields and c in rows.columns)])
+    meta = written.agg(F.count("*").alias("total_count")).select(F.lit("全国公共资源交易平台（山西省）").alias("source"), F.lit(section).alias("section"), "total_count", F.date_format(now, "yyyy-MM-dd HH:mm:ss").alias("crawl_time"), F.lit(days).alias("days_lookback"), F.array(*map(F.lit, fields)).alias("fields"))
     meta.write.mode("overwrite").json(f"{path}/metadata")
 
 
 def write_by_kind(rows: DataFrame, path: str, fields: dict[str, list[str]], kind: str = "_subtype_") -> None:
-    """JSON and CSV of each kind with its own fields; kinds without rows are written too."""
+    """JSON and CSV of each kind with its own fields; kinds without rows are written too. The input is computed once, into one folder for
+    each kind, and a kind's files are made from its folder alone."""
+    every = list(dict.fromkeys(c for columns in fields.values() for c in columns))
+    own = rows.where(F.col(kind).isin(list(fields))).select(F.col(kind).alias("_kind"), *((text(F.col(f"`{c}`")) if c in rows.columns else F.lit("")).alias(c) for c in every))
+    own.write.mode("overwrite").partitionBy("_kind").parquet(f"{path}/_rows")
+    landed = rows.sparkSession.read.schema(own.schema).parquet(f"{path}/_rows")
     for k, columns in fields.items():
-        own = rows.where(F.col(kind) == k)
-        own = own.select(*((text(F.col(f"`{c}`")) if c in rows.columns else F.lit("")).alias(c) for c in columns))
-        write_json(own, f"{path}/{k}/json")
-        write_csv(own, f"{path}/{k}/csv")
+        part = landed.where(F.col("_kind") == k).select(*(f"`{c}`" for c in columns))
+        write_json(part, f"{path}/{k}/json")
+        write_csv(part, f"{path}/{k}/csv")
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
@@ -47,33 +56,31 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(number, version) of every committed version, oldest first. A version is committed by the empty file ``_commits/number.version``."""
+    folder, fs = _fs(spark, f"{root}/_commits")
+    if not fs.exists(folder):
+        return []
+    names = [f.getPath().getName().split(".", 1) for f in fs.listStatus(folder)]
+    return sorted((int(n[0]), n[1]) for n in names if len(n) == 2 and n[0].isdigit())
+
+
 def write_snapshot(rows: DataFrame, root: str) -> str:
-    """A new version beside the others, then one small rename of the pointer to it: readers see the old table or the new one."""
+    """A new version beside the others, committed by creating one empty file that names it: readers see the old table or the new one, nothing
+    is deleted or overwritten on the way, and a write that breaks off before the commit leaves the old table."""
     spark = rows.sparkSession
     version = f"v-{uuid.uuid4().hex}"
     rows.write.parquet(f"{root}/{version}")
-    p, fs = _fs(spark, f"{root}/_current.tmp")
-    out = fs.create(p, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    target, _ = _fs(spark, f"{root}/_current")
-    if fs.exists(target):
-        fs.delete(target, False)
-    fs.rename(p, target)
+    number = max((n for n, _ in _versions(spark, root)), default=0) + 1
+    mark, fs = _fs(spark, f"{root}/_commits/{number:012d}.{version}")
+    fs.create(mark, False).close()
     return version
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    """The current version; none before the first."""
-    p, fs = _fs(spark, f"{root}/_current")
-    if not fs.exists(p):
-        return None
-    f = fs.open(p)
-    try:
-        version = bytes(f.readAllBytes()).decode()
-    finally:
-        f.close()
-    return spark.read.parquet(f"{root}/{version}")
+    """The newest committed version; none before the first."""
+    versions = _versions(spark, root)
+    return spark.read.parquet(f"{root}/{versions[-1][1]}") if versions else None
 
 
 def append(rows: DataFrame, path: str) -> None:

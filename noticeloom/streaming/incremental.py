@@ -38,12 +38,17 @@ def store_announcements(rows: DataFrame, table: str, checkpoint: str, order: lis
 
 
 def maintain_projects(history: DataFrame, root: str, checkpoint: str, mode: str = "replace"):
-    """Every batch of notices becomes project rows, aligned with the snapshot's names and merged into its next version."""
+    """Every batch of notices becomes project rows, aligned with the snapshot's names and merged into its next version. ``_ordinal``, the
+    batch in which a project came and its name, is stored with it: the order in which names are tried does not change afterwards."""
 
-    def one(batch: DataFrame, _: int) -> None:
+    def one(batch: DataFrame, number: int) -> None:
         new, old = project_rows(batch), read_snapshot(batch.sparkSession, root)
-        if old is not None:
-            new = upsert(old, aligned(new, old.withColumn("_o", F.monotonically_increasing_id()), "_o"), mode)
-        write_snapshot(new, root)
+        ordinal = F.concat_ws("|", F.lit(f"{number:012d}"), "项目名称")
+        if old is None:
+            write_snapshot(new.withColumn("_ordinal", ordinal), root)
+            return
+        known = old.select(F.col("项目名称").alias("_name"), "_ordinal")
+        merged = upsert(old.drop("_ordinal"), aligned(new, old, "_ordinal"), mode)
+        write_snapshot(merged.join(known, merged["项目名称"] == known["_name"], "left").select(*merged.columns, F.coalesce("_ordinal", ordinal).alias("_ordinal")), root)
 
     return history.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
