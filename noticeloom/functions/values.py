@@ -151,3 +151,21 @@ def charset(header: Column, body: Column) -> Column:
 
 def is_pdf(content: Column) -> Column:
     return F.coalesce(F.substring(content, 1, 4) == F.lit(b"%PDF"), F.lit(False))
+
+
+def is_pdf_notice(content: Column, pdf_file: Column) -> Column:
+    """Whether a notice is a PDF: it has a file and no text, or a short text that only embeds one."""
+    t = strip(text(content))
+    embeds = F.contains(F.lower(t), F.lit("pdf")) | F.contains(F.lower(t), F.lit("iframe"))
+    return ((t == "") & (text(pdf_file) != "")) | ((t != "") & (F.length(t) < 200) & embeds)
+
+
+# What a failed fetch is called, by its error and by words of its message.
+ERRORS = {"ConnectTimeout": "连接超时", "ReadTimeout": "读取超时", "SSLError": "TLS/SSL失败"}
+CONNECTION_ERRORS = {"connection reset": "连接被重置", "reset by peer": "连接被重置", "remote end closed connection": "远端关闭连接", "name resolution": "DNS解析失败"}
+
+
+def error_label(kind: Column, message: Column) -> Column:
+    """What a landed error (its class and its message) is called."""
+    said = F.coalesce(*(F.when(F.contains(F.lower(text(message)), F.lit(w)), F.lit(v)) for w, v in CONNECTION_ERRORS.items()), F.lit("连接失败"))
+    return F.when(kind == "ConnectionError", said).otherwise(lookup(kind, ERRORS, kind))

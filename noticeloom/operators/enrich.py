@@ -63,6 +63,14 @@ def model_kinds(items: DataFrame, model: Model | None = None, retries: int = 2,
     return items.mapInPandas(run, StructType([*items.schema.fields, StructField("kind", StringType()), StructField("confidence", DoubleType()), StructField("calls", LongType())]))
 
 
+def rerouted(items: DataFrame, model: Model | None = None, retries: int = 2, pace: float = 0.0) -> DataFrame:
+    """Listed items (raw_title, link, kind, ...) to merge: those whose title names a kind, and of the others those for which a model does.
+    What is to be skipped, or unknown to both, is left out."""
+    unknown = items.where("kind = 'unknown'").drop("kind")
+    answered = model_kinds(unknown, model, retries, pace).select(*items.columns)
+    return items.where("kind <> 'unknown'").unionByName(answered).where("kind NOT IN ('skip', 'unknown')")
+
+
 def model_fields(pages: DataFrame, model: Model, retries: int = 2, pace: float = 0.0) -> DataFrame:
     """Pages (project, link, text, fields) with ``values``, the non-empty answers among the fields asked for; lists are joined."""
 
@@ -96,5 +104,3 @@ def with_history(seed: DataFrame, history: DataFrame) -> DataFrame:
     both = seed.withColumn("source_mode", F.lit("current")).unionByName(history.withColumn("source_mode", F.lit("history")), allowMissingColumns=True)
     one = both.groupBy("link").agg(F.min_by(F.struct(*both.columns), F.when(F.col("source_mode") == "current", 0).otherwise(1)).alias("r"))
     return one.select("r.*")
-
-

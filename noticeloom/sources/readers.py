@@ -54,8 +54,9 @@ def read_section_json(spark: SparkSession, path: str, fields: list[str] | None =
     return spark.read.schema(schema).json(path, multiLine=True).select(F.explode("data").alias("r")).select("r.*")
 
 
-def read_json_list(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
-    return spark.read.schema(strings(fields)).json(path, multiLine=True)
+def read_json_list(spark: SparkSession, path: str, fields: list[str], lines: bool = False) -> DataFrame:
+    """Files that hold a JSON array each; with ``lines``, one object a line, as this library writes them."""
+    return spark.read.schema(strings(fields)).json(path, multiLine=not lines)
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,16 @@ from noticeloom.functions import vocabulary as V
 from noticeloom.functions.text import rendered, text
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share (``spark.checkpoint.dir``); a temporary one only in local mode."""
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not conf:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set: executors need a folder that all of them can read")
+        conf = tempfile.mkdtemp(prefix="noticeloom-")
+    return f"{conf.rstrip('/')}/noticeloom/{name}-{uuid.uuid4().hex}"
+
+
 def write_csv(rows: DataFrame, path: str, columns: list[str] | None = None, default: str = "") -> None:
     """The columns in order, extra ones left out, missing values as ``default``; a byte order mark before the first header."""
     columns = columns or rows.columns
