@@ -104,19 +104,19 @@ def links_first_ten(spark, d):
 
 
 @query(
-    """SELECT p_partkey AS id, p_name AS title, 'https://prec.sxzwfw.gov.cn/jyxxgczb/' || p_partkey || '.jhtml' AS detail_url, p_brand AS place, '2026-' || lpad((p_size % 12 + 1)::VARCHAR, 2, '0') || '-15' AS date
-FROM part WHERE NOT (p_size % 12 + 1 < 4)"""
+    """WITH p AS (SELECT *, CASE WHEN p_partkey % 13 = 5 THEN '' WHEN p_size = 50 AND p_partkey > 100 THEN '2026-01-15' ELSE '2026-' || lpad((p_size % 9 + 4)::VARCHAR, 2, '0') || '-15' END AS date FROM part), l AS (SELECT min(p_partkey) AS last FROM p WHERE date = '2026-01-15')
+SELECT p_partkey AS id, p_name || ' & Co' AS title, 'https://prec.sxzwfw.gov.cn/jyxxgczb/' || p_partkey || '.jhtml' AS detail_url, p_brand AS place, date FROM p, l WHERE (last IS NULL OR p_partkey <= last) AND date <> '2026-01-15'"""
 )
 def section_list(spark, d):
-    """A section's list page, one for each part: links, dates, places and the cutoff."""
-    date = F.concat(F.lit("2026/"), F.lpad((F.col("p_size") % 12 + 1).cast("string"), 2, "0"), F.lit("/15"))
-    html = F.concat(F.lit('<ul><li><a class="x" href="/site/jyxxgczb/'), F.col("p_partkey").cast("string"), F.lit('.jhtml" target="_blank"><span>'), F.col("p_name"), F.lit("</span><i></i></a></li></ul>"))
-    body = F.concat(F.regexp_replace(html, "<i></i>", ""), F.lit(""))
-    listed = F.regexp_replace(body, "</span></a>", F.lit("</span></a>"))
-    rows = _t(spark, d, "part").select(F.lit(1).alias("page"), listed.alias("html"), "p_partkey", "p_brand", date.alias("date_text"))
-    got = rows.select("p_partkey", "p_brand", "date_text", F.inline(pages.section_links(F.col("html"), "jyxxgczb")))
-    marked = got.select(F.col("detail_id").cast("long").alias("id"), "title", F.col("p_brand").alias("place"), X.list_date(F.col("date_text")).alias("day"), X.detail_url(F.lit("gczb"), F.col("detail_id")).alias("detail_url"))
-    return marked.where("day IS NULL OR day >= DATE'2026-04-01'").select("id", "title", "detail_url", "place", F.date_format("day", "yyyy-MM-dd").alias("date"))
+    """A section's list pages, one for each part: links, dates and places out of the HTML, undated items kept, and the end with the first page
+    that has an older item."""
+    k = F.col("p_partkey")
+    month = F.when((F.col("p_size") == 50) & (k > 100), "01").otherwise(F.lpad((F.col("p_size") % 9 + 4).cast("string"), 2, "0"))
+    date = F.when(k % 13 == 5, "").otherwise(F.concat(F.lit("2026/"), month, F.lit("/15")))
+    html = F.concat(F.lit('<ul><li><a class="x" href="/site/jyxxgczb/'), k.cast("string"), F.lit('.jhtml" target="_blank"><span>'), F.col("p_name"), F.lit(" &amp; Co</span> <i>["), F.col("p_brand"), F.lit("]</i> "), date, F.lit("</a></li></ul>"))
+    rows = _t(spark, d, "part").select(k.alias("page"), html.alias("html"))
+    got = pages.section_rows(rows, "gczb", F.lit("2026-04-01").cast("date"))
+    return got.select(F.col("detail_id").cast("long").alias("id"), F.regexp_extract("title", r"^(.*? & Co)", 1).alias("title"), "detail_url", "place", "date")
 
 
 @query("""SELECT s_suppkey, s_name AS tenderer, 'N' || s_nationkey AS kind FROM supplier""")
@@ -345,15 +345,15 @@ def announcements_stats(spark, d):
 
 
 @query(
-    """WITH m AS (SELECT (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) AS mid), e AS (SELECT user_id, event_id, ts <= mid AS old FROM events, m WHERE ts > mid OR user_id % 2 = 0)
-SELECT user_id, min(event_id) AS event_id FROM e WHERE NOT old AND user_id NOT IN (SELECT user_id FROM e WHERE old) GROUP BY 1"""
+    """WITH m AS (SELECT (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) AS mid), e AS (SELECT user_id || ':' || trunc(value)::BIGINT AS url, event_id, ts <= mid AS old FROM events, m)
+SELECT url, min(event_id) AS event_id FROM e WHERE NOT old AND url NOT IN (SELECT url FROM e WHERE old) GROUP BY 1"""
 )
 def insert_if_absent(spark, d):
-    e = _t(spark, d, "events")
+    """Users' values that the first half of the time has not seen."""
+    e = _t(spark, d, "events").withColumn("url", F.concat_ws(":", "user_id", F.col("value").cast("long")))
     lo, hi = e.agg(F.min("ts"), F.max("ts")).first()
     mid = lo + (hi - lo) / 2
-    new = relations.insert_if_absent(e.where((F.col("ts") <= F.lit(mid)) & (F.col("user_id") % 2 == 0)), e.where(F.col("ts") > F.lit(mid)), ["event_id"], "user_id")
-    return new.select("user_id", "event_id")
+    return relations.insert_if_absent(e.where(F.col("ts") <= F.lit(mid)), e.where(F.col("ts") > F.lit(mid)), ["event_id"]).select("url", "event_id")
 
 
 @query("SELECT event_type AS category, day(ts)::INTEGER AS page, count(DISTINCT user_id) FILTER (event_id % 2 = 0) AS count FROM events GROUP BY 1, 2")
