@@ -1,20 +1,25 @@
 """Operator 2, language-model scores by stupid backoff.
 
 Counts are of the whole corpus, and a text is scored by the counts of all other texts (its own are taken off), so that no
-text vouches for itself:
+text vouches for itself. With c the counts of other texts and v the up to ``ORDER`` - 1 words before w:
 
-    S(w | v) = c(v w) / c(v)            where another text has v w
-             = BACKOFF * c(w) / n       otherwise, c(w) at least UNSEEN
+    S(w | v) = c(v w) / c(v)                  where another text has v w
+             = BACKOFF * S(w | v without its first word)   otherwise
+    S(w)     = c(w) / n                       with c(w) at least UNSEEN
 
-Everything is joined by the hash of the n-gram. Texts are dealt to blocks of a few MB by the hash of their id. A block explodes
-its texts into n-grams and sends each distinct one once, with its count, to the n-gram's partition, packed as one sorted row for each
-partition (at worst one row for each n-gram, so the number of rows never outgrows the n-grams'). A partition sums the counts of
-its n-grams over all blocks: that is the count table. Each block gets the sums of its n-grams back, joins them to its texts'
-n-grams and sums per document. An n-gram that every text has is one row from each block, so there are no hot keys.
+Everything is joined by the hash of the n-gram. Texts are dealt to blocks of a few MB, row by row. A block explodes its texts into
+n-grams and sends each distinct one once, with its count, to the n-gram's partition, packed as one sorted row for each partition (at worst
+one row for each n-gram, so the number of rows never outgrows the n-grams'). A partition sums the counts of its n-grams over all blocks: that is
+the count table. Each block gets the sums of its n-grams back, joins them to its texts' n-grams and sums per document. An n-gram that
+every text has is one entry from each block, whatever its count.
 
-Defined results: null and empty texts have no words and score null; a text of one word is scored by that word alone; repeated rows
-count each as a text of its own; rows with a null id are counted and scored like others; columns other than id and text are
-ignored; an empty table gives no row.
+Words and pairs are counted first. A longer n-gram can only stand in another text if both its shorter ones do, so of each further order
+only those n-grams are counted whose parts another text has: the rest back off anyway. Nothing is lost by it, and most never travel.
+
+Defined results: null and empty texts have no words and score null; a text shorter than ``ORDER`` is scored by what it has; repeated rows
+count each as a text of its own; rows with a null id are counted and scored like others; a very long text is one block's work; columns other than
+id and text are ignored; an empty table gives no row. The rows' dealing is by their place in the input: what is not read from files is
+to be written first.
 """
 
 from __future__ import annotations
@@ -23,13 +28,14 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticeloom.llm._common import input_bytes, shuffle_partitions, table, text_column
 from noticeloom.llm.neardup import WordHashes
 
-BACKOFF, UNSEEN = 0.4, 0.5
+BACKOFF, UNSEEN, ORDER = 0.4, 0.5, 3
 #: Input bytes (as stored) of a block of texts, and of a partition of n-grams.
 BLOCK_BYTES, PART_BYTES = 2 << 20, 4 << 20
 _TOTAL = np.uint64(0xA5A5A5A5A5A5A5A5)
@@ -51,74 +57,131 @@ def unpack(raw: bytes) -> np.ndarray:
 
 
 class Block:
-    """The n-grams of some texts: words' and pairs' hashes, the text of each, and the distinct ones with counts."""
+    """The n-grams of some texts, by order. An n-gram is told by the hash of its words; it stands at its last word's place."""
 
-    def __init__(self, texts, hashes: WordHashes):
+    def __init__(self, texts, hashes: WordHashes, order: int = ORDER):
         words = [(t or b"").lower().split() for t in texts]
         self.lengths = np.array([len(w) for w in words], np.int64)
         flat = np.fromiter((hashes[w] for ws in words for w in ws), np.uint64, int(self.lengths.sum()))
         self.doc = np.repeat(np.arange(len(words)), self.lengths)
-        self.one = _mix(flat ^ np.uint64(0x5851F42D4C957F2D))
-        self.second = np.flatnonzero(self.doc[1:] == self.doc[:-1]) + 1  # words that follow another of their text
-        self.two = _mix(flat[self.second - 1] * np.uint64(0x9E3779B97F4A7C15) + flat[self.second])
-        every = np.concatenate([self.one, self.two, [_TOTAL]])
+        starts = np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        self.nth = np.arange(len(flat)) - starts  # a word's place in its text
+        self.hash = [_mix(flat ^ np.uint64(0x5851F42D4C957F2D))]
+        rolled = flat
+        for n in range(2, order + 1):
+            rolled = np.append(np.zeros(1, np.uint64), rolled[:-1]) * np.uint64(0x9E3779B97F4A7C15) + flat * np.uint64(2 * n - 3)
+            self.hash.append(_mix(rolled ^ np.uint64(n)))
+
+    def places(self, n: int) -> np.ndarray:
+        """Where n-grams of ``n`` words end."""
+        return np.flatnonzero(self.nth >= n - 1)
+
+    def counted(self, orders: list[int], at: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct n-grams of some orders, at some places, with their counts; with the words' also the number of all words."""
+        every = np.concatenate([*(self.hash[n - 1][at[n]] for n in orders), *([np.array([_TOTAL], np.uint64)] if 1 in orders else [])])
         weight = np.ones(len(every), np.int64)
-        weight[-1] = len(flat)
-        self.grams, self.at = np.unique(every, return_inverse=True)
-        self.counts = np.bincount(self.at, weights=weight, minlength=len(self.grams)).astype(np.int64)
-
-    def parts(self, bits: int):
-        """(partition, hashes, counts) of each partition that gets any: partitions are ranges of hashes."""
-        part = (self.grams >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(self.grams), np.int64)
-        cut = np.flatnonzero(part[1:] != part[:-1]) + 1
-        for a, b in zip([0, *cut], [*cut, len(part)], strict=True):
-            yield int(part[a]), self.grams[a:b], self.counts[a:b]
-
-    def _own(self, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        """How often each n-gram stands in its own text."""
-        key = doc * np.int64(len(self.grams)) + at
-        _, back, n = np.unique(key, return_inverse=True, return_counts=True)
-        return n[back]
-
-    def scores(self, totals: np.ndarray, backoff: float, unseen: float):
-        """(words, pairs backed off, unseen words, mean log10 score or None) of each text."""
-        n1, n = len(self.one), len(self.lengths)
-        total = int(totals[self.at[-1]]) - self.lengths
-        one = totals[self.at[:n1]].astype(np.int64) - self._own(self.at[:n1], self.doc)
-        pair_doc = self.doc[self.second]
-        two = totals[self.at[n1:-1]].astype(np.int64) - self._own(self.at[n1:-1], pair_doc)
-        with np.errstate(divide="ignore"):
-            alone = np.log10(np.maximum(one, unseen)) - np.log10(np.maximum(total[self.doc], 1))
-            seen = two > 0
-            pair = np.where(seen, np.log10(np.maximum(two, 1)) - np.log10(np.maximum(one[self.second - 1], 1)), math.log10(backoff) + alone[self.second])
-        first = np.ones(n1, bool)
-        first[self.second] = False
-        s = np.bincount(self.doc[first], weights=alone[first], minlength=n) + np.bincount(pair_doc, weights=pair, minlength=n)
-        off = np.bincount(pair_doc, weights=~seen, minlength=n).astype(np.int64)
-        new = np.bincount(self.doc, weights=one <= 0, minlength=n).astype(np.int64)
-        for k, o, u, x in zip(self.lengths.tolist(), off.tolist(), new.tolist(), s.tolist(), strict=True):
+        if 1 in orders:
+            weight[-1] = len(self.doc)
+        grams, back = np.unique(every, return_inverse=True)
+        return grams, np.bincount(back, weights=weight, minlength=len(grams)).astype(np.int64)
+
+    def others(self, n: int, at: np.ndarray, grams: np.ndarray, totals: np.ndarray) -> np.ndarray:
+        """Of the n-grams at ``at``: their count in other texts."""
+        found = np.searchsorted(grams, self.hash[n - 1][at])
+        own = self.doc[at] * np.int64(max(1, len(grams))) + found
+        _, back, times = np.unique(own, return_inverse=True, return_counts=True)
+        return totals[found].astype(np.int64) - times[back]
+
+    def seen(self, n: int, below: np.ndarray) -> np.ndarray:
+        """Where an n-gram can stand in another text, ``below`` telling for each word's place whether the shorter one that ends there does."""
+        at = self.places(n)
+        return at[below[at] & below[at - 1]]
+
+    def scores(self, counts: list[tuple[np.ndarray, np.ndarray]], backoff: float, unseen: float):
+        """(words, words backed off to themselves, unseen words, mean log10 score or None) of each text."""
+        size, n_docs = len(self.doc), len(self.lengths)
+        grams, totals = counts[0]
+        total = (int(totals[np.searchsorted(grams, _TOTAL)]) if size else 0) - self.lengths
+        every = np.arange(size)
+        one = self.others(1, every, grams, totals)
+        score = np.log10(np.maximum(one, unseen)) - np.log10(np.maximum(total[self.doc], 1))
+        lower, single = one, np.ones(size, bool)
+        below = np.ones(size, bool)
+        for n in range(2, len(self.hash) + 1):
+            at = self.places(n) if n == 2 else self.seen(n, below)
+            count = np.zeros(size, np.int64)
+            grams, totals = counts[n - 1]
+            count[at] = self.others(n, at, grams, totals)
+            reach, hit = self.nth >= n - 1, count > 0
+            # a text's first words have no longer n-gram to back off from
+            score[reach & ~hit] += math.log10(backoff)
+            score[hit] = np.log10(count[hit]) - np.log10(lower[np.flatnonzero(hit) - 1])
+            single &= ~hit
+            lower, below = count, hit
+        alone = single & (self.nth >= 1)
+        sums = np.bincount(self.doc, weights=score, minlength=n_docs)
+        off = np.bincount(self.doc, weights=alone, minlength=n_docs).astype(np.int64)
+        new = np.bincount(self.doc, weights=one <= 0, minlength=n_docs).astype(np.int64)
+        for k, o, u, x in zip(self.lengths.tolist(), off.tolist(), new.tolist(), sums.tolist(), strict=True):
             yield k, o, u, round(x / k, 6) if k else None
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_backoff", pa.int64()), ("n_unseen", pa.int64()), ("score", pa.float64())])
 
 
-def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, unseen: float = UNSEEN, blocks: int | None = None, parts: int | None = None) -> DataFrame:
-    """doc_id, n_words, n_backoff, n_unseen, score (mean log10 of S over the text's words) of every text."""
+def _sums_of(s: pa.Table, orders: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The n-grams that a block sent and their sums, from what came back. Words and pairs travel together."""
+    out = []
+    for level in range(2, orders + 1):
+        own = s.filter(pc.equal(s.column("level"), level)).sort_by("part")
+        grams = [np.cumsum(unpack(x.as_py()), dtype=np.uint64) for x in own.column("grams")]
+        sums = [unpack(x.as_py()) for x in own.column("sums")]
+        pair = (np.concatenate(grams), np.concatenate(sums)) if grams else (np.empty(0, np.uint64), np.empty(0, np.uint64))
+        out += [pair, pair] if level == 2 else [pair]
+    return out
+
+
+def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, unseen: float = UNSEEN, blocks: int | None = None, parts: int | None = None, order: int = ORDER) -> DataFrame:
+    """doc_id, n_words, n_backoff, n_unseen, score (mean log10 of S over the text's words) of every text; ``order``: 2 or more."""
     size = input_bytes(docs)
     blocks = blocks or (max(1, -(-size // BLOCK_BYTES)) if size else shuffle_partitions(docs.sparkSession))
     parts = parts or (max(1, -(-size // PART_BYTES)) if size else shuffle_partitions(docs.sparkSession))
     bits = (parts - 1).bit_length()
-    # both uses of the dealt texts have the same plan, so Spark shuffles them once
-    dealt = docs.select(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).alias("block"), "doc_id", "text")
-    sent = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary())])
+    # all uses of the dealt texts have the same plan, so Spark shuffles them once
+    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).alias("block"))
+    sent = pa.schema([("block", pa.int64()), ("level", pa.int64()), ("part", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary())])
+    sent_ddl, back_ddl = "block long, level long, part long, grams binary, counts binary", "block long, level long, part long, grams binary, sums binary"
 
-    def explode(t: pa.Table) -> pa.Table:
+    def texts_of(t: pa.Table) -> tuple[pa.Table, Block]:
         t = t.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        b = Block(text_column(t.combine_chunks().to_batches()[0]), WordHashes())
-        rows = [(p, pack(np.diff(g, prepend=np.uint64(0))), pack(c)) for p, g, c in b.parts(bits)]
-        cols = list(zip(*rows, strict=True))
-        return pa.table([pa.array([t.column("block")[0].as_py()] * len(rows), pa.int64()), *(pa.array(c, sent.field(i + 1).type) for i, c in enumerate(cols))], schema=sent)
+        return t, Block(text_column(t.combine_chunks().to_batches()[0]), WordHashes(), order)
+
+    def packed(block: int, level: int, grams: np.ndarray, counts: np.ndarray) -> pa.Table:
+        """A row for each partition that gets any; partitions are ranges of hashes."""
+        part = (grams >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
+        cut = (np.flatnonzero(part[1:] != part[:-1]) + 1).tolist()
+        rows = [(block, level, int(part[a]), pack(np.diff(grams[a:b], prepend=np.uint64(0))), pack(counts[a:b])) for a, b in zip([0, *cut], [*cut, len(part)], strict=True) if b > a]
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), sent, strict=True)], schema=sent) if rows else sent.empty_table()
+
+    def explode(t: pa.Table) -> pa.Table:
+        t, b = texts_of(t)
+        return packed(t.column("block")[0].as_py(), 2, *b.counted([1, 2], {1: b.places(1), 2: b.places(2)}))
+
+    def explode_longer(level: int):
+        def run(t: pa.Table, s: pa.Table) -> pa.Table:
+            if not t.num_rows:
+                return sent.empty_table()
+            t, b = texts_of(t)
+            below = np.zeros(len(b.doc), bool)
+            counts, at = _sums_of(s, level - 1), b.places(2)
+            for n in range(2, level):
+                here = b.others(n, at, *counts[n - 1]) > 0
+                below = np.zeros(len(b.doc), bool)
+                below[at[here]] = True
+                at = b.seen(n + 1, below)
+            return packed(t.column("block")[0].as_py(), level, *b.counted([level], {level: at}))
+
+        return run
 
     def count(t: pa.Table) -> pa.Table:
         grams = [np.cumsum(unpack(x.as_py()), dtype=np.uint64) for x in t.column("grams")]
@@ -126,19 +189,19 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, unseen: float = UN
         _, at = np.unique(np.concatenate(grams), return_inverse=True)
         sums = np.bincount(at, weights=counts).astype(np.uint64)[at]
         ends = np.cumsum([len(g) for g in grams])[:-1]
-        return pa.table([t.column("block"), t.column("part"), pa.array([pack(x) for x in np.split(sums, ends)], pa.binary())], names=["block", "part", "sums"])
+        return pa.table([*(t.column(c) for c in ("block", "level", "part", "grams")), pa.array([pack(x) for x in np.split(sums, ends)], pa.binary())], names=["block", "level", "part", "grams", "sums"])
 
     def join(t: pa.Table, s: pa.Table) -> pa.Table:
-        t = t.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        s = s.sort_by("part")
         if not t.num_rows:
             return OUT.empty_table()
-        b = Block(text_column(t.combine_chunks().to_batches()[0]), WordHashes())
-        totals = np.concatenate([unpack(x.as_py()) for x in s.column("sums")])
-        cols = list(zip(*b.scores(totals, backoff, unseen), strict=True))
+        t, b = texts_of(t)
+        cols = list(zip(*b.scores(_sums_of(s, order), backoff, unseen), strict=True))
         return pa.table([t.column("doc_id"), *(pa.array(c, OUT.field(i + 1).type) for i, c in enumerate(cols))], schema=OUT)
 
-    counted = dealt.groupBy("block").applyInArrow(explode, "block long, part long, grams binary, counts binary").groupBy("part").applyInArrow(count, "block long, part long, sums binary")
+    counted = dealt.groupBy("block").applyInArrow(explode, sent_ddl).groupBy("part").applyInArrow(count, back_ddl)
+    for level in range(3, order + 1):
+        longer = dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(explode_longer(level), sent_ddl)
+        counted = counted.unionByName(longer.groupBy("part").applyInArrow(count, back_ddl))
     return dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(join, "doc_id long, n_words long, n_backoff long, n_unseen long, score double")
 
 
@@ -147,16 +210,16 @@ def op2_lm(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_lm": op2_lm}
+_DOCUMENTS = r"""d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+t AS (SELECT r, len(ws) AS k, i, ws[i] AS a, CASE WHEN i > 1 THEN ws[i - 1:i] END AS b, CASE WHEN i > 2 THEN ws[i - 2:i] END AS c FROM (SELECT r, ws, unnest(generate_series(1, len(ws))) AS i FROM d))"""
+# of each order: the count of every text, and of all of them; n-grams of a text that another text does not have count 0
+_COUNTS = lambda c: f"{c}o AS (SELECT r, {c}, count(*) AS n FROM t WHERE {c} IS NOT NULL GROUP BY 1, 2), {c}n AS (SELECT r, {c}, sum(n) OVER (PARTITION BY {c}) - n AS n FROM {c}o)"
 ORACLES = {
-    "op2_lm": rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-t AS (SELECT r, len(ws) AS k, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS v FROM (SELECT r, ws, unnest(generate_series(1, len(ws))) AS i FROM d)),
-n AS (SELECT count(*) AS n FROM t),
-o AS (SELECT r, w, count(*) AS c FROM t GROUP BY 1, 2), oc AS (SELECT w, sum(c) AS c FROM o GROUP BY 1),
-b AS (SELECT r, v, w, count(*) AS c FROM t WHERE v IS NOT NULL GROUP BY 1, 2, 3), bc AS (SELECT v, w, sum(c) AS c FROM b GROUP BY 1, 2),
-x AS (SELECT t.r, t.v, t.w, n.n - k AS total, oc.c - o.c AS one, bc.c - b.c AS two, vc.c - vo.c AS before FROM t, n
-  JOIN o ON o.r = t.r AND o.w = t.w JOIN oc ON oc.w = t.w LEFT JOIN b ON b.r = t.r AND b.v = t.v AND b.w = t.w LEFT JOIN bc ON bc.v = t.v AND bc.w = t.w
-  LEFT JOIN o vo ON vo.r = t.r AND vo.w = t.v LEFT JOIN oc vc ON vc.w = t.v),
-s AS (SELECT r, count(*) AS k, count(*) FILTER (v IS NOT NULL AND two = 0) AS n_backoff, count(*) FILTER (one = 0) AS n_unseen,
-  sum(CASE WHEN two > 0 THEN log10(two) - log10(before) ELSE CASE WHEN v IS NULL THEN 0 ELSE log10({BACKOFF}) END + log10(greatest(one, {UNSEEN})) - log10(greatest(total, 1)) END) AS s FROM x GROUP BY 1)
+    "op2_lm": f"""WITH {_DOCUMENTS}, n AS (SELECT count(*) AS n FROM t), {_COUNTS("a")}, {_COUNTS("b")}, {_COUNTS("c")},
+x AS (SELECT t.r, t.i, n.n - k AS total, an.n AS one, coalesce(bn.n, 0) AS two, coalesce(cn.n, 0) AS three, av.n AS before, coalesce(bv.n, 0) AS pair FROM t CROSS JOIN n
+  JOIN an ON an.r = t.r AND an.a = t.a LEFT JOIN bn ON bn.r = t.r AND bn.b = t.b LEFT JOIN cn ON cn.r = t.r AND cn.c = t.c LEFT JOIN an av ON av.r = t.r AND av.a = t.b[1] LEFT JOIN bn bv ON bv.r = t.r AND bv.b = t.c[1:2]),
+s AS (SELECT r, count(*) AS k, count(*) FILTER (i > 1 AND two = 0) AS n_backoff, count(*) FILTER (one = 0) AS n_unseen,
+  sum(CASE WHEN three > 0 THEN log10(three) - log10(pair) ELSE CASE WHEN i > 2 THEN log10({BACKOFF}) ELSE 0 END +
+    CASE WHEN two > 0 THEN log10(two) - log10(before) ELSE CASE WHEN i > 1 THEN log10({BACKOFF}) ELSE 0 END + log10(greatest(one, {UNSEEN})) - log10(greatest(total, 1)) END END) AS s FROM x GROUP BY 1)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_backoff, 0)::BIGINT AS n_backoff, coalesce(n_unseen, 0)::BIGINT AS n_unseen, round(s / k, 6) AS score FROM d LEFT JOIN s USING (r)"""
 }
