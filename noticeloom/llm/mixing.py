@@ -12,7 +12,7 @@ step of the search asks the table of sources for a sum.
 
 Defined results: a null or empty text has no tokens and follows its block's fate; a null source is a source of its own; a
 source without tokens gets no weight; equal ids are ordered by their text's hash, and rows equal in both share one decision;
-an empty table gives no row; extra columns are kept where asked for by ``keep``.
+an empty table gives no row; extra columns are kept where asked for by ``keep``, which must not repeat the names of the result.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from noticeloom.llm._common import map_rows, materialise, table
 
 BLOCK_TOKENS = 20_000
+#: Hexadecimal digits of a block's place that make a stretch of the permutation: 4,096 stretches a source.
+STRETCH_DIGITS = 3
 ROUNDS = 48
 #: Budget of the mix, as a multiple of all tokens; the share of the highest possible entropy that is aimed at; most epochs of a source.
 BUDGET, ENTROPY_SHARE, MAX_EPOCHS = 1.0, 0.95, 4.0
@@ -120,17 +122,28 @@ def mix(docs: DataFrame, budget_share: float = BUDGET, entropy_share: float | No
     number = F.conv(F.substring(_order(seed, F.col("doc_id"), F.col("h")), 1, 15), 16, 10).cast("long")
     placed = rows.join(plan, "_src", "left").withColumn("_block", F.pmod(number, F.coalesce("blocks", F.lit(1))))
     sums = placed.groupBy("_src", "_block").agg(F.sum("n_tokens").alias("block_tokens"))
-    w = Window.partitionBy("_src").orderBy(_order(seed + 1, F.col("_src"), F.col("_block")))
-    before = F.coalesce(F.sum("block_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = materialise(sums.withColumn("block", F.row_number().over(w) - 1).withColumn("before", before), "mix-blocks")
+    # a source may have very many blocks: they are summed by stretches of the permutation first, so no task holds more than one stretch
+    sums = sums.withColumn("_place", _order(seed + 1, F.col("_src"), F.col("_block"))).withColumn("_stretch", F.substring("_place", 1, STRETCH_DIGITS))
+    along = Window.partitionBy("_src").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    heads = sums.groupBy("_src", "_stretch").agg(F.sum("block_tokens").alias("t"), F.count("*").alias("c"))
+    heads = heads.select("_src", "_stretch", earlier("t", along).alias("_tokens"), earlier("c", along).alias("_blocks"))
+    w = Window.partitionBy("_src", "_stretch").orderBy("_place")
+    blocks = sums.join(heads, ["_src", "_stretch"]).withColumn("block", F.col("_blocks") + F.row_number().over(w) - 1)
+    blocks = blocks.withColumn("before", F.col("_tokens") + earlier("block_tokens", w.rowsBetween(Window.unboundedPreceding, -1)))
+    blocks = materialise(blocks.select("_src", "_block", "block_tokens", "block", "before"), "mix-blocks")
     placed = placed.join(blocks, ["_src", "_block"]).withColumns({"rest": F.coalesce("rest", F.lit(0)), "full_epochs": F.coalesce("full_epochs", F.lit(0))})
     whole = F.col("before") + F.col("block_tokens") <= F.col("rest")
     cut = (F.col("before") < F.col("rest")) & ~whole
     out = lambda df, more: df.select(*keep, "n_tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"), F.col("full_epochs").cast("long"), (F.col("full_epochs") + more.cast("int")).cast("long").alias("copies"), F.col("block").cast("long"))
     settled = out(placed.where(~cut), whole & (F.col("before") < F.col("rest")))
-    # at most one block of each source is cut, and only its texts are ordered one by one
-    one_by_one = Window.partitionBy("_src", "_block").orderBy(_order(seed + 2, F.col("doc_id"), F.col("h")))
-    return settled.unionByName(out(placed.where(cut).withColumn("_upto", F.col("before") + F.sum("n_tokens").over(one_by_one)), F.col("_upto") <= F.col("rest")))
+    # at most one block of each source is cut, and only its texts are ordered one by one; rows equal in id and text are one text there
+    keys = placed.where(cut).groupBy("_src", "_block", F.col("doc_id").alias("_d"), F.col("h").alias("_h")).agg(F.sum("n_tokens").alias("t"))
+    one_by_one = Window.partitionBy("_src", "_block").orderBy(_order(seed + 2, F.col("_d"), F.col("_h"))).rangeBetween(Window.unboundedPreceding, 0)
+    keys = keys.select("_d", "_h", F.col("_src").alias("_s"), F.sum("t").over(one_by_one).alias("_sum"))
+    some = placed.where(cut)
+    some = some.join(keys, some["doc_id"].eqNullSafe(F.col("_d")) & (some["h"] == F.col("_h")) & (some["_src"] == F.col("_s")))
+    return settled.unionByName(out(some.withColumn("_upto", F.col("before") + F.col("_sum")), F.col("_upto") <= F.col("rest")))
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
