@@ -9,13 +9,13 @@ No machine sorts the suffixes of the whole corpus, so the text is first cut wher
    occurs twice are repeated, and copies of a passage cost one row in the next step.
 3. Groups with several distinct spans go, anchor by anchor, into shards of about ``SHARD`` bytes. A shard's suffixes and common prefixes are
    sorted by external induction (``induced``); a window is repeated if it shares ``length`` bytes with a neighbour.
-   A group of more than ``GROUP`` distinct spans (the edges of a passage that very many documents share) would be one
-   shard however large; there the windows' 128-bit hashes are compared range by range of hashes, which splits the group over as
-   many tasks as it needs.
+   A group of more than ``GROUP`` distinct spans (the edges of a passage that very many documents share) is cut by more context first: windows
+   are put together by the 185 bytes that those with nearly as many bytes before the anchor share. What is still as large is cut into windows.
 4. The verdicts go back to the spans' places and these to the documents.
 
 Defined results: null texts are empty; texts shorter than ``length`` lose nothing; equal rows and equal texts are each other's
-copies; rows with a null id are judged like any other; a text that loses all its bytes has the digest of the empty string;
+copies; rows with a null id are judged like any other; a text that loses all its bytes has the digest of the empty string; a text of one
+repeated byte has one span and one merged run; a very long text costs its task memory in proportion to its own length;
 columns other than id and text are ignored; an empty table gives no row.
 """
 
@@ -30,12 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticeloom.llm._common import discard, materialise, quoted, table, text_column
-from noticeloom.llm.induced import MEMORY, suffix_array
+from noticeloom.llm.induced import MEMORY, Scratch, descending_suffixes
 
 LENGTH, SEED = 200, 64
-SHARD, GROUP = 1 << 20, 2000
-#: Windows of very large groups that are compared in one task (36 bytes each).
-WINDOWS = 1_000_000
+#: Bytes of a shard; spans of a group beyond which it is cut by more context, and by how much the windows of a piece then differ.
+SHARD, GROUP, WIDTHS = 1 << 20, 2000, (16, 1)
 _CHUNK = 1 << 15
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -94,14 +93,29 @@ class Anchors:
         anchor, first = anchor[keep], first[keep]
         return anchor, first, np.append(first[1:], n)
 
+    def place(self, raw: bytes) -> int:
+        """Where a span's anchor stands."""
+        part = self.byte[np.frombuffer(raw, np.uint8)[: self.length]]
+        sums = np.append(np.uint64(0), np.cumsum(part * self.up[: self.length]))
+        h = _scramble((sums[self.seed :] - sums[: self.length + 1 - self.seed]) * self.down[: self.length + 1 - self.seed])
+        low = np.uint64(16)
+        return int(np.argmin((h >> low << low) | np.arange(len(h), dtype=np.uint64)))
 
-ROWS = "doc_id long, k long, anchor long, span long, size int, starts array<int>"
+
+RUNS_TYPE = "array<struct<a:int,b:int>>"
+ROWS = f"doc_id long, k long, anchor long, span long, size int, n int, cover {RUNS_TYPE}"
+_RUN = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+
+
+def _lists(offsets: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Array:
+    """Lists of runs from their ends."""
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.StructArray.from_arrays([pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], ["a", "b"]))
 
 
 def _anchor_rows(docs: DataFrame, length: int, seed: int) -> DataFrame:
-    """A row for each distinct span of a text, with all its places there."""
-    names = ["doc_id", "k", "anchor", "span", "size", "starts"]
-    schema = pa.schema([*((x, pa.int64()) for x in names[:4]), ("size", pa.int32()), ("starts", pa.list_(pa.int32()))])
+    """A row for each distinct span of a text: how often it stands there, and the bytes that its places cover, merged. A span that stands twice in
+    one text is repeated whatever the others hold, so its single places are not needed."""
+    schema = pa.schema([*((x, pa.int64()) for x in ("doc_id", "k", "anchor", "span")), ("size", pa.int32()), ("n", pa.int32()), ("cover", _RUN)])
 
     def run(batches: Iterator[pa.RecordBatch]):
         import xxhash
@@ -111,15 +125,13 @@ def _anchor_rows(docs: DataFrame, length: int, seed: int) -> DataFrame:
         n = 0
 
         def flush():
-            cols = [np.concatenate([h[i] for h in held]) for i in range(6)]
-            offsets = np.r_[0, np.cumsum(cols[5])].astype(np.int32)
-            starts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([h[6] for h in held]).astype(np.int32)))
-            ids = pa.array(cols[0], mask=cols[1].astype(bool))
-            return pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate([h[7] for h in held])), pa.array(cols[2]), pa.array(cols[3]), pa.array(cols[4].astype(np.int32)), starts], schema=schema)
+            ids, null, ks, anchor, span, size, count, runs, a, b = (np.concatenate([h[i] for h in held]) for i in range(10))
+            cols = [pa.array(ids, mask=null), pa.array(ks), pa.array(anchor), pa.array(span), pa.array(size.astype(np.int32)), pa.array(count.astype(np.int32)), _lists(np.append(0, np.cumsum(runs)), a, b)]
+            return pa.RecordBatch.from_arrays(cols, schema=schema)
 
-        for b in batches:
-            ids, ks = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for i, raw in enumerate(text_column(b)):
+        for batch in batches:
+            ids, ks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i, raw in enumerate(text_column(batch)):
                 anchor, first, end = anchors.spans(raw or b"")
                 if not len(anchor):
                     continue
@@ -128,10 +140,13 @@ def _anchor_rows(docs: DataFrame, length: int, seed: int) -> DataFrame:
                 span = np.fromiter((xxhash.xxh64_intdigest(view[a : a + s]) for a, s in zip(first.tolist(), size.tolist(), strict=True)), np.uint64, len(first)).view(np.int64)
                 order = np.lexsort((first, span, anchor))
                 anchor, span, size, first = anchor[order], span[order], size[order], first[order]
-                new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (span[1:] != span[:-1])))
-                count = np.diff(np.append(new, len(anchor)))
-                m = len(new)
-                held.append((np.full(m, ids[i] or 0, np.int64), np.full(m, ids[i] is None), anchor[new], span[new], size[new], count, first, np.full(m, ks[i], np.int64)))
+                new = np.append(True, (anchor[1:] != anchor[:-1]) | (span[1:] != span[:-1]))
+                begins = np.flatnonzero(new | np.append(True, first[1:] > first[:-1] + size[:-1]))
+                at = np.flatnonzero(new)
+                m = len(at)
+                ends = np.append(begins[1:], len(first)) - 1
+                runs = np.diff(np.append(np.searchsorted(begins, at), len(begins)))
+                held.append((np.full(m, ids[i] or 0, np.int64), np.full(m, ids[i] is None), np.full(m, ks[i], np.int64), anchor[at], span[at], size[at], np.diff(np.append(at, len(first))), runs, first[begins], first[ends] + size[ends]))
                 n += m
                 if n > 50_000:
                     yield flush()
@@ -144,17 +159,21 @@ def _anchor_rows(docs: DataFrame, length: int, seed: int) -> DataFrame:
 
 def repeated_runs(spans: list[bytes], length: int, memory: int = MEMORY) -> list[list[tuple[int, int]]]:
     """For each span: the runs [from, to) of bytes covered by windows that also start in another place of the spans."""
-    n = [len(s) + 1 for s in spans]
-    text = np.ones(sum(n) + 1, np.int16)
-    at = np.r_[0, np.cumsum(n)]
-    for s, a in zip(spans, at, strict=False):
-        text[a : a + len(s)] = np.frombuffer(s, np.uint8).astype(np.int16) + 2
-    text[-1] = 0
-    sa, lcp = suffix_array(text, memory)
-    near = np.maximum(lcp, np.append(lcp[1:], 0)) >= length
-    repeated = np.zeros(len(text), bool)
-    repeated[sa[near]] = True
-    return [runs_of(repeated[a : a + max(0, len(s) - length + 1)], length) for s, a in zip(spans, at, strict=False)]
+    with Scratch(memory) as scratch:
+        at = np.cumsum([0, *(len(s) + 1 for s in spans)])
+        text = scratch.array(int(at[-1]) + 1, np.int16)
+        for s, a in zip(spans, at, strict=False):
+            text[a : a + len(s)] = np.frombuffer(s, np.uint8).astype(np.int16) + 2
+            text[a + len(s)] = 1
+        repeated, before = scratch.array(len(text), bool), None
+        # a window is repeated if it shares ``length`` bytes with the one above or below it in the order of suffixes
+        for pos, lcp in descending_suffixes(text, memory, length, 258):
+            near = lcp >= length
+            repeated[pos[near]] = True
+            above = np.append(before if before is not None else pos[:1], pos[:-1])
+            repeated[above[near]] = True
+            before = pos[-1:]
+        return [runs_of(np.asarray(repeated[a : a + max(0, len(s) - length + 1)]), length) for s, a in zip(spans, at, strict=False)]
 
 
 def runs_of(repeated: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -166,98 +185,106 @@ def runs_of(repeated: np.ndarray, length: int) -> list[tuple[int, int]]:
     return [(int(p[0]), int(p[-1]) + length) for p in np.split(starts, cut)]
 
 
-RUNS = "anchor long, span long, runs array<struct<a:int,b:int>>"
+RUNS = f"anchor long, span long, runs {RUNS_TYPE}"
 
 
 def _sorted_verdicts(texts: DataFrame, shards: int, length: int, memory: int) -> DataFrame:
-    kind = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("runs", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))])
+    """Runs of repeated bytes of each span (anchor, span, bytes), its shard's suffixes sorted."""
+    kind = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("runs", _RUN)])
 
     def judge(t: pa.Table) -> pa.Table:
         runs = repeated_runs([x.as_py() for x in t.column("bytes")], length, memory)
-        return pa.table({"anchor": t.column("anchor"), "span": t.column("span"), "runs": pa.array([[{"a": a, "b": b} for a, b in r] for r in runs], kind.field("runs").type)}, schema=kind)
+        ends = np.array([e for r in runs for e in r], np.int64).reshape(-1, 2)
+        return pa.table([t.column("anchor"), t.column("span"), _lists(np.cumsum([0, *map(len, runs)]), ends[:, 0], ends[:, 1])], schema=kind)
 
     return texts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInArrow(judge, RUNS)
 
 
-def _counted_verdicts(texts: DataFrame, length: int, parts: int) -> DataFrame:
-    """The same for groups of very many spans: every window's hash is compared with all others of its range of hashes.
+PIECES = "anchor long, span long, whole_anchor long, whole_span long, at int, c long, bytes binary"
+
 
-    A batch of spans sends one row to each range, with the hashes packed; equal windows meet in their range, whatever their group.
-    """
-    packed = pa.schema([("part", pa.int64()), ("w", pa.binary()), ("anchor", pa.binary()), ("span", pa.binary()), ("at", pa.binary())])
-    kind = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("ats", pa.list_(pa.int32()))])
+def _pieces(texts: DataFrame, length: int, seed: int, width: int) -> DataFrame:
+    """Spans (anchor, span, c, bytes) cut by how many bytes their windows have before the anchor, ``width`` values at a time. The windows of a piece
+    share all but ``width`` - 1 of their bytes, and those are its new anchor: equal windows still meet, in groups that are told apart by more context."""
+    schema = pa.schema([*((x, pa.int64()) for x in ("anchor", "span", "whole_anchor", "whole_span")), ("at", pa.int32()), ("c", pa.int64()), ("bytes", pa.binary())])
 
-    def windows(batches):
+    def run(batches):
         import xxhash
 
-        def deal(held):
-            w = np.frombuffer(b"".join(h[0] for h in held), ">u8").astype(np.uint64).reshape(-1, 2)
-            n = [h[3] for h in held]
-            anchor, span = (np.repeat(np.array([h[k] for h in held], np.int64), n) for k in (1, 2))
-            at = np.concatenate([np.arange(m, dtype=np.int32) for m in n])
-            part = (w[:, 0] % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            cut = np.flatnonzero(np.diff(part[order])) + 1
-            rows = [[int(part[o[0]]), w[o].tobytes(), anchor[o].tobytes(), span[o].tobytes(), at[o].tobytes()] for o in np.split(order, cut)]
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), packed, strict=True)], schema=packed)
-
-        held, size = [], 0
+        anchors = Anchors(length, seed)
         for b in batches:
-            anchor, span = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for i, x in enumerate(b.column(2)):
-                view = memoryview(x.as_py())
-                m = len(view) - length + 1
-                held.append((b"".join(xxhash.xxh3_128_digest(view[j : j + length]) for j in range(m)), anchor[i], span[i], m))
-                size += m
-                if size > 200_000:
-                    yield deal(held)
-                    held, size = [], 0
-        if held:
-            yield deal(held)
-
-    def repeated(t: pa.Table) -> pa.Table:
-        col = lambda k, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in t.column(k)])
-        w, anchor, span, at = col("w", np.uint64).reshape(-1, 2), col("anchor", np.int64), col("span", np.int64), col("at", np.int32)
-        order = np.lexsort((w[:, 1], w[:, 0]))
-        same = (w[order[1:]] == w[order[:-1]]).all(1)
-        twice = np.zeros(len(w), bool)
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
-        hit = np.flatnonzero(twice)
-        hit = hit[np.lexsort((at[hit], span[hit], anchor[hit]))]
-        new = np.flatnonzero(np.append(True, np.diff(anchor[hit]) | np.diff(span[hit]))) if len(hit) else hit
-        offsets = pa.array(np.append(new, len(hit)).astype(np.int32))
-        return pa.table([pa.array(anchor[hit][new]), pa.array(span[hit][new]), pa.ListArray.from_arrays(offsets, pa.array(at[hit]))], schema=kind)
-
-    rows = texts.select("anchor", "span", "bytes").mapInArrow(windows, "part long, w binary, anchor binary, span binary, at binary")
-    hits = rows.groupBy("part").applyInArrow(repeated, "anchor long, span long, ats array<int>").groupBy("anchor", "span").agg(F.flatten(F.collect_list("ats")).alias("ats"))
-    return hits.select("anchor", "span", F.transform("ats", lambda x: F.struct(x.alias("a"), (x + F.lit(length)).cast("int").alias("b"))).alias("runs"))
+            whole_anchor, whole_span, count = (b.column(i).to_pylist() for i in range(3))
+            rows, size = [], 0
+            for i, x in enumerate(b.column(3)):
+                raw = x.as_py()
+                view, n, place = memoryview(raw), len(raw) - length + 1, anchors.place(raw)
+                first = 0
+                while first < n:
+                    before = place - first
+                    low = before // width * width
+                    last = min(n - 1, place - low)
+                    # what all windows with ``low`` to ``low + width - 1`` bytes before the anchor have in common
+                    key = xxhash.xxh64_intdigest(view[place - low : place - low - width + 1 + length], seed=low)
+                    own = bytes(view[first : last + length])
+                    rows.append((key, xxhash.xxh64_intdigest(own, seed=low), whole_anchor[i], whole_span[i], first, count[i], own))
+                    size += len(own)
+                    first = last + 1
+                if size > 8 << 20:
+                    yield batch(rows)
+                    rows, size = [], 0
+            if rows:
+                yield batch(rows)
+
+    def batch(rows):
+        cols = list(zip(*rows, strict=True))
+        hashes = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in cols[:2]]
+        return pa.RecordBatch.from_arrays([*hashes, *(pa.array(c, schema.field(i + 2).type) for i, c in enumerate(cols[2:]))], schema=schema)
+
+    return texts.select("anchor", "span", "c", "bytes").mapInArrow(run, PIECES)
+
+
+def _judged(texts: DataFrame, length: int, seed: int, shard: int, group: int, memory: int, widths: tuple[int, ...]) -> DataFrame:
+    """(anchor, span, runs) of distinct spans (anchor, span, c, m, bytes) of groups with several. A group of more than ``group`` spans, the edges of
+    a passage that very many texts share, is cut into pieces by more context, and these are judged the same way: of equal pieces all is
+    repeated, different ones are sorted. With ``width`` 1 a piece is one window, and only equal ones are left."""
+    total = texts.where(F.col("m") <= group).agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()[0]
+    out = _sorted_verdicts(texts.where(F.col("m") <= group), max(1, -(-total // shard)), length, memory)
+    hot = texts.where(F.col("m") > group)
+    if not widths or hot.isEmpty():
+        return out
+    pieces = materialise(_pieces(hot, length, seed, widths[0]), "pieces")
+    kinds = materialise(pieces.groupBy("anchor", "span").agg(F.sum("c").alias("c"), F.first("bytes").alias("bytes")), "piece-kinds")
+    several = materialise(kinds.groupBy("anchor").agg(F.count("*").alias("m"), F.min("c").alias("least")).where("m > 1 AND least = 1").select("anchor", "m"), "piece-groups")
+    whole = kinds.where("c > 1").select("anchor", "span", F.array(F.struct(F.lit(0).alias("a"), F.length("bytes").alias("b"))).alias("runs"))
+    part = _judged(kinds.join(several, "anchor"), length, seed, shard, group, memory, widths[1:]).join(kinds.where("c = 1").select("anchor", "span"), ["anchor", "span"], "left_semi")
+    found = pieces.join(whole.unionByName(part), ["anchor", "span"])
+    moved = F.transform("runs", lambda r: F.struct((r["a"] + F.col("at")).alias("a"), (r["b"] + F.col("at")).alias("b")))
+    found = found.select(F.col("whole_anchor").alias("anchor"), F.col("whole_span").alias("span"), moved.alias("runs"))
+    return out.unionByName(found.groupBy("anchor", "span").agg(F.flatten(F.collect_list("runs")).alias("runs")))
 
 
 def repeated_intervals(docs: DataFrame, length: int = LENGTH, seed: int = SEED, shard: int = SHARD, group: int = GROUP, memory: int = MEMORY) -> DataFrame:
     """doc_id, k (hash of the text) and runs, the byte intervals to remove, unsorted and overlapping, of every text that has any."""
     rows = materialise(_anchor_rows(docs, length, seed), "anchors")
-    twice = rows.groupBy("anchor").agg(F.sum(F.size("starts")).alias("c")).where("c > 1").select("anchor")
+    # tables of their own, so that the joins on them are plain exchanges, of which Spark splits a hot one
+    twice = materialise(rows.groupBy("anchor").agg(F.sum("n").alias("c")).where("c > 1").select("anchor"), "repeated-anchors")
     shared = materialise(rows.join(twice, "anchor", "left_semi"), "shared-anchors")
     discard(rows)
-    one = F.struct("doc_id", "k", F.col("starts")[0].alias("at"))
-    spans = shared.groupBy("anchor", "span").agg(F.sum(F.size("starts")).alias("c"), F.min("size").alias("size"), F.min(one).alias("one"))
-    spans = materialise(spans, "spans")
-    several = spans.groupBy("anchor").agg(F.count("*").alias("m"), F.min("c").alias("least")).where("m > 1 AND least = 1").select("anchor", "m")
+    one = F.struct("doc_id", "k", F.col("cover")[0]["a"].alias("at"))
+    spans = materialise(shared.groupBy("anchor", "span").agg(F.sum("n").alias("c"), F.min("size").alias("size"), F.min(one).alias("one")), "spans")
+    several = materialise(spans.groupBy("anchor").agg(F.count("*").alias("m"), F.min("c").alias("least")).where("m > 1 AND least = 1").select("anchor", "m"), "open-anchors")
     open_ = materialise(spans.join(several, "anchor").select("anchor", "span", "c", "m", "size", "one.*"), "open-spans")
-    sums = open_.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("total"), F.coalesce(F.sum(F.when(F.col("m") > group, F.col("size") - (length - 1))), F.lit(0)).alias("windows")).first()
     source = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), F.col("text").cast("binary").alias("t"))
     texts = source.join(open_, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("k")))
     texts = texts.select("anchor", "span", "c", "m", F.expr("substring(t, at + 1, size)").alias("bytes")).dropDuplicates(["anchor", "span"])
     texts = materialise(texts, "span-texts")
-    fine = _sorted_verdicts(texts.where(F.col("m") <= group), max(1, -(-sums.total // shard)), length, memory)
-    hot = _counted_verdicts(texts.where(F.col("m") > group), length, max(1, -(-sums.windows // WINDOWS)))
-    whole = spans.where("c > 1").select("anchor", "span", F.array(F.struct(F.lit(0).alias("a"), F.col("size").alias("b"))).alias("runs"))
     # spans that occur twice are known already; they went into the shards for others to be compared with
-    part = fine.unionByName(hot).join(spans.where("c = 1").select("anchor", "span"), ["anchor", "span"], "left_semi").where(F.size("runs") > 0)
+    part = _judged(texts, length, seed, shard, group, memory, WIDTHS).join(spans.where("c = 1").select("anchor", "span"), ["anchor", "span"], "left_semi").where(F.size("runs") > 0)
+    whole = spans.where("c > 1").select("anchor", "span", F.lit(None).cast(RUNS_TYPE).alias("runs"))
     verdicts = materialise(whole.unionByName(part), "verdicts")
-    found = shared.join(verdicts, ["anchor", "span"]).select("doc_id", "k", F.explode("starts").alias("s"), "runs")
-    found = found.select("doc_id", "k", F.transform("runs", lambda r: F.struct((r["a"] + F.col("s")).alias("a"), (r["b"] + F.col("s")).alias("b"))).alias("runs"))
+    at = F.col("cover")[0]["a"]
+    moved = F.transform("runs", lambda r: F.struct((r["a"] + at).alias("a"), (r["b"] + at).alias("b")))
+    found = shared.join(verdicts, ["anchor", "span"]).select("doc_id", "k", F.when(F.col("runs").isNull(), F.col("cover")).otherwise(moved).alias("runs"))
     return found.groupBy("doc_id", "k").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 

@@ -66,6 +66,53 @@ def test_exact_passages(docs, texts, group, shard):
     assert exactdup.dedup_report(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("group", [2000, 3])
+def test_exact_passages_at_full_length(spark, group):
+    """Strings of 200 bytes against a count of all of them: a passage that very many texts share, with edges of their own; half passages; runs
+    of one byte, and of a short period, longer than a chunk."""
+    rng = random.Random(11)
+    say = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared, part = say(420), say(190)
+    texts = [say(rng.randint(0, 300)) + shared + say(rng.randint(0, 300)) for _ in range(40)]
+    texts += [say(30) + part + say(rng.randint(0, 60)) for _ in range(40)] + [say(50) + shared[:230] + say(9), shared[100:310], "x" * 70_000, "y" * 230, "ab" * 40_000, say(250), "", "é" * 150]
+    rows = [*enumerate(texts), (5, texts[0]), (None, shared[:205])]
+    raw = [t.encode() for _, t in rows]
+    count = Counter(r[i : i + 200] for r in raw for i in range(len(r) - 199))
+    want = []
+    for (i, _), r in zip(rows, raw, strict=True):
+        runs = exactdup.merged(exactdup.runs_of(np.array([count[r[p : p + 200]] > 1 for p in range(max(0, len(r) - 199))], bool), 200))
+        want.append((i, len(r), sum(b - a for a, b in runs), len(runs), hashlib.sha256(exactdup.cut(r, runs)).hexdigest()))
+    got = [tuple(x) for x in exactdup.dedup_report(docs_of(spark, rows), group=group, shard=4096).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_a_text_of_one_byte_is_one_run(spark):
+    rows = exactdup._anchor_rows(docs_of(spark, [(1, "x" * 200_000)]), 200, 64).collect()
+    assert sum(r.n for r in rows) == 199_801 and sum(len(r.cover) for r in rows) <= 3
+
+
+def test_sorting_needs_no_more_heap_for_a_longer_text():
+    """A text of twelve times ``memory`` is sorted on disk, through recursion, in the heap that one of a fifth of its length needs."""
+    import tracemalloc
+
+    rng, memory, peaks = np.random.default_rng(1), 1 << 13, []
+    for n in (10_000, 50_000):
+        x = rng.integers(1, 4, n)
+        x[n // 2 : n // 2 + n // 4] = x[: n // 4]
+        text = np.append(x, 0).astype(np.int16)
+        tracemalloc.start()
+        pieces = 0
+        for pos, _ in induced.descending_suffixes(text, memory, 200, 4):
+            pieces += len(pos)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert pieces == n + 1
+    assert text.nbytes > 12 * memory and peaks[1] < 1.5 * peaks[0]
+    short = np.append(x[:3000], 0)
+    order = sorted(range(len(short)), key=lambda i: short[i:].tolist())
+    assert induced.suffix_array(short, memory)[0].tolist() == order
+
+
 def test_cutting_keeps_characters_whole():
     raw = "aéb".encode()
     assert exactdup.cut(raw, exactdup.whole_characters(raw, [(0, 2)])) == "éb".encode() and exactdup.cut(b"abc", []) == b"abc"
