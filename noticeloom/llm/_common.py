@@ -124,7 +124,7 @@ def quoted(name: str) -> Column:
 
 def text_key(text: Column) -> Column:
     """What texts are told apart by: 128 bits of a digest; null texts have one of their own."""
-    return F.md5(F.coalesce(F.concat(F.lit(b"t"), text.cast("binary")), F.lit(b"")))
+    return F.unhex(F.md5(F.coalesce(F.concat(F.lit(b"t"), text.cast("binary")), F.lit(b""))))
 
 
 def without(docs: DataFrame, rows: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:

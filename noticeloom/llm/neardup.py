@@ -36,8 +36,8 @@ BANDS, ROWS = 40, 5
 BATCH, MISS = 20, 1e-9
 #: Texts of a tile's side, 400 bytes of signature each.
 TILE = 2048
-#: Ids of up to this many texts are broadcast (16 MB); more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+#: Ids and keys of up to this many texts are broadcast (some 15 MB); more are joined by a shuffle.
+BROADCAST_IDS = 250_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
