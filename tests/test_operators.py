@@ -184,3 +184,116 @@ def test_notice_records(spark):
     r = extract.notice_records(spark.createDataFrame([(1, t), (2, None)], "i int, text string")).collect()
     assert (r[0]["招标人"], r[0]["招标人地址"], r[0]["招标代理机构"], r[0]["监督部门"], r[0]["监督部门联系方式"]) == ("甲", "乙路", "丙", "某局", "0351-1234567")
     assert r[1]["公告内容"] == r[1]["招标人"] == "无" and set(V.NOTICE_REQUIRED) <= set(r[0].asDict())
+
+
+def test_titles_lose_all_their_suffixes(one):
+    from noticeloom.functions import titles
+
+    assert one(titles.canonical_title, "某工程" + "招标公告" * 5) == "某工程"
+    assert one(titles.canonical_title, "某工程招标公告 变更公告　中标结果公示。") == "某工程"
+    assert one(titles.canonical_title, "招标公告招标公告") == "招标公告招标公告"
+
+
+def test_a_common_beginning_finds_nobody(spark):
+    """All names begin alike; each is found by what is its own, and no pair is compared for the beginning's sake."""
+    names = spark.range(4000).select(F.concat(F.lit("山西省太原市某某区第"), F.col("id").cast("string"), F.lit("号工程")).alias("n"), F.col("id").alias("o"))
+    probes = names.select(F.concat("n", F.lit("施工")).alias("p"))
+    pairs = projects.containing(names, probes, "n", "p", 5)
+    assert pairs.count() == 4000
+    got = projects.blocked_matches(probes, names, "p", "n", "o")
+    assert got.count() == 4000 and got.where(~F.contains("p", F.concat(F.lit("第"), F.col("o").cast("string"), F.lit("号")))).count() == 0
+
+
+def test_history_from_a_stage_on(spark):
+    own = spark.createDataFrame([("甲乙丙丁工程",), ("短",), (None,)], "`项目名称` string")
+    notices = spark.createDataFrame([("某甲乙丙丁工程招标计划", "招标计划"), ("甲乙丙丁工程变更公告", "变更公告"), ("甲乙丙丁工程", "其他栏目"), (None, "变更公告")], "raw_title string, channel string")
+    assert projects.history_of(own, notices).count() == 3
+    assert sorted(r.channel for r in projects.history_of(own, notices, from_step=3).collect()) == ["其他栏目", "变更公告"]
+
+
+def test_a_write_that_breaks_off_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    assert writers.read_snapshot(spark, root) is None
+    writers.write_snapshot(spark.range(3), root)
+    # the version is written, its commit is not
+    monkeypatch.setattr(writers, "_versions", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        writers.write_snapshot(spark.range(5), root)
+    monkeypatch.undo()
+    assert writers.read_snapshot(spark, root).count() == 3
+    writers.write_snapshot(spark.range(7), root)
+    assert writers.read_snapshot(spark, root).count() == 7
+
+
+def test_broken_tables_are_set_aside(spark, tmp_path):
+    path = tmp_path / "p.csv"
+    assert readers.read_projects_or_set_aside(spark, str(path), "1").count() == 0
+    path.write_bytes(b"\x00\x01 no table\n\xff")
+    assert readers.read_projects_or_set_aside(spark, str(path), "20260601").count() == 0
+    assert not path.exists() and (tmp_path / "p.csv.bad_20260601").exists()
+    path.write_text("﻿项目名称,招标人\n甲,无\n")
+    assert [(r["项目名称"], r["招标人"]) for r in readers.read_projects_or_set_aside(spark, str(path), "1").collect()] == [("甲", None)]
+
+
+def test_counts_are_ordered_and_first_seen_breaks_ties(spark):
+    rows = spark.createDataFrame([("b", 1), ("a", 2), ("a", 5), ("b", 4), ("c", 3), ("", 6)], "`公共类型` string, i int")
+    assert [r[0] for r in audit.kind_counts(rows, order="i").collect()] == ["b", "a", "c", "未识别"]
+    assert [r[0] for r in audit.place_counts(rows, "公共类型").collect()] == ["a", "b", "", "c"]
+
+
+def test_lists_end_by_their_count(spark):
+    pad = "x" * 120
+    rows = [("u", "c", i, LIST + pad + f",count: {n}") for i, n in ((1, 25), (2, 25), (3, 25), (4, 25))] + [("u", "d", 1, LIST + pad), ("u", "d", 2, LIST + pad), ("u", "e", 1, "short"), ("u", "e", 2, LIST + pad)]
+    df = spark.createDataFrame(rows, "url string, channel string, page int, html string")
+    got = pages.list_rows(df, counted=True).select("channel", "page").collect()
+    assert sorted((r.channel, r.page) for r in got) == [("c", 1), ("c", 2), ("c", 3), ("d", 1)]
+    assert pages.list_rows(df, True, F.lit("2026-07-01").cast("date")).count() == 0 and pages.list_rows(df, title="没有").count() == 0
+
+
+def test_api_lists_end_in_four_ways(spark):
+    page = lambda ids, total=0, of=0: json.dumps({"data": {"records": [{"annId": i} for i in ids], "total": total, "pages": of}})
+    rows = [("short", 1, page("ab")), ("short", 2, page("c")), ("short", 3, page("zz")), ("total", 1, page("ab", 3)), ("total", 2, page("cd", 3)), ("total", 3, page("ef", 3))]
+    rows += [("pages", 1, page("ab", 0, 1)), ("pages", 2, page("cd", 0, 1)), ("cap", 1, page("ab")), ("cap", 2, page("bc")), ("cap", 3, page("de")), ("broken", 1, "{")]
+    got = pages.api_rows(spark.createDataFrame(rows, "section string, page int, json string"), "struct<annId:string>", page_size=2, limit=3).collect()
+    found = {}
+    for r in sorted(got, key=lambda r: (r.section, r.page, r.pos)):
+        found.setdefault(r.section, []).append(r.annId)
+    assert found == {"short": ["a", "b", "c"], "total": ["a", "b", "c"], "pages": ["a", "b"], "cap": ["a", "b", "c"]}
+
+
+def test_sections_are_chosen_by_key():
+    assert list(pages.chosen_sections("gcgs, zbjh")) == ["zbjh", "gcgs"] and list(pages.chosen_sections("")) == list(V.SECTIONS) and pages.chosen_sections("?") == {}
+
+
+def test_portal_records_of_an_unknown_kind_are_empty(spark):
+    rows = extract.portal_details(spark.createDataFrame([('{"annId": "1", "annTitle": "t"}',), ("{",)], "json string"))
+    assert [tuple(r) for r in extract.portal_records(rows, "?").collect()] == [("", "", "", "")] * 2
+
+
+def test_attachments_go_to_the_first_empty_field(spark):
+    js = '{"annId": "1", "annTitle": "t", "bidAnnCandidateDOS": [{"candidateName": "甲", "bidPrice": "1"}]}'
+    rows = extract.portal_details(spark.createDataFrame([(js,)], "json string")).withColumn("attachments", F.array(F.struct(F.lit("a").alias("name"), F.lit("x" * 30).alias("text"))))
+    got = extract.portal_records(rows, "hxr").first().asDict()
+    assert got["所属行业"].endswith("x" * 30) and sum("附件内容" in (v or "") for v in got.values()) == 1
+
+
+def test_notices_and_errors_have_names(one):
+    from noticeloom.functions import values
+
+    assert one(values.is_pdf_notice, None, "f") and one(values.is_pdf_notice, "<IFRAME src=x>", None) and not one(values.is_pdf_notice, "正文", "f") and not one(values.is_pdf_notice, "", "")
+    label = lambda k, m: one(values.error_label, k, m)
+    assert label("SSLError", "x") == "TLS/SSL失败" and label("ConnectionError", "Remote end closed connection") == "远端关闭连接" and label("ConnectionError", "?") == "连接失败" and label("KeyError", "") == "KeyError"
+    assert one(lambda c: values.thousands(c), "1234567") == "1,234,567"
+
+
+def test_command_line(spark, tmp_path):
+    from noticeloom import __main__ as cli
+
+    link = lambda s, i: f'<a href="/{V.SECTIONS[s][1]}/{i}.jhtml">工程{i} 2026-06-20</a>'
+    spark.createDataFrame([(s, 1, link(s, i)) for i, s in enumerate(V.SECTIONS)], "section string, page int, html string").write.parquet(str(tmp_path / "p"))
+    got = cli.run(spark, cli.parser().parse_args(["sections", str(tmp_path / "p"), "--sections", "gcgs,zbjh", "--today", "2026-06-22"])).collect()
+    assert sorted(r.section for r in got) == ["gcgs", "zbjh"]
+    assert cli.run(spark, cli.parser().parse_args(["sections", str(tmp_path / "p"), "--days", "1", "--today", "2026-06-22"])).count() == 0
+    spark.createDataFrame([("a", "x", "甲工程", "1", "u1"), ("a", "y", "乙", "2", "u2")], "category string, ann_type string, title string, crawled_at string, url string").write.parquet(str(tmp_path / "t"))
+    assert [r.url for r in cli.run(spark, cli.parser().parse_args(["query", str(tmp_path / "t"), "--keyword", "工程"])).collect()] == ["u1"]
+    assert [r.cnt for r in cli.run(spark, cli.parser().parse_args(["stats", str(tmp_path / "t")])).collect()] == [1, 1]
