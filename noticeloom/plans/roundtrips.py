@@ -599,3 +599,55 @@ def stream_projects(spark, d):
     schema = "project string, channel string, pos long, raw_title string, link string, date string, kind string, `招标人` string"
     incremental.maintain_projects(incremental.landed(spark, path, schema), root, writers.scratch(spark, "progress")).awaitTermination()
     return writers.read_snapshot(spark, root).select(F.col("项目名称").alias("name"), F.col("公告类型").alias("kinds"), F.col("招标人").alias("tenderer"))
+
+
+# ---- the rest of the notices' fields
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '无' ELSE strftime(o_orderdate, '%Y年%m月%d日') || '09时00分至' || strftime(o_orderdate, '%Y年%m月%d日') || '17时00分' END AS sale,
+CASE WHEN o_orderkey % 2 = 0 THEN '无' ELSE '处' || o_orderpriority END AS authority_address, CASE WHEN o_orderkey % 2 = 0 THEN '无' ELSE '李' END AS authority_person, CASE WHEN o_orderkey % 2 = 0 THEN '无' ELSE '0351-' || (1000000 + o_orderkey % 8999999) END AS authority_phone FROM orders"""
+)
+def notice_rest(spark, d):
+    """Acquisition time and supervising authority of notices that lack one section or the other, with full-width marks and blanks between characters."""
+    k, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy年MM月dd日")
+    sale = F.when(k % 3 != 0, _cat("四．招标文件的获取\n获取时间： ", day, "09时00分至", day, "17时00分\n五、投标文件的递交\n")).otherwise("")
+    watch = F.when(k % 2 != 0, _cat("八、监督部门\n监督单位：某局；\n地　址：处", F.col("o_orderpriority"), "\n联 系 人：李\n联系电话：0351-", 1000000 + k % 8999999, "\n九、联系方式\n招标人：甲")).otherwise("")
+    got = extract.notice_records(_t(spark, d, "orders").select("o_orderkey", _cat("一、条件\n", sale, watch).alias("text")))
+    return got.select("o_orderkey", F.col("标书发售时间").alias("sale"), F.col("监督部门地址").alias("authority_address"), F.col("监督部门联系人").alias("authority_person"), F.col("监督部门联系方式").alias("authority_phone"))
+
+
+@query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 = 2 THEN '旧-12345' ELSE 'XM-' || (10000 + c_custkey) END AS number, '晋城市' || c_nationkey AS area, '2026年6月1日' AS started, '2026年6月3日' AS ended, CASE WHEN c_custkey % 2 = 0 THEN '甲' || c_custkey || '公司' ELSE '乙' || c_custkey || '公司' END AS winner FROM customer"""
+)
+def section_repairs(spark, d):
+    """Empty fields of three sections filled from the full text, by every place where one can stand; what is there stays."""
+    number = F.when(K() % 3 == 0, _cat("（招标编号：XM-", 10000 + K(), "）")).otherwise(_cat("项目编号：X M-", 10000 + K(), " 招标"))
+    rows = _t(spark, d, "customer").select("c_custkey", F.when(K() % 3 == 2, "旧-12345").otherwise("").alias("招标编号"), F.lit("").alias("招标项目所在地区"), F.lit("").alias("公示开始时间"), F.lit(None).cast("string").alias("公示结束时间"), F.lit("").alias("中标人"),
+                                             _cat("公告 ", number, "\n招标项目所在地区：晋城市", F.col("c_nationkey"), " 一、招标条件\n公示日期：2026年6月1日-2026年6月3日\n", F.when(K() % 2 == 0, _cat("中标人：甲", K(), "公司\n")).otherwise(_cat("经评审，确定乙", K(), "公司为本项目的中标人"))).alias("全文文本"))
+    for section in ("gczb", "gchxr", "gcgs"):
+        rows = extract.repaired(rows, section).drop("changed")
+    return rows.select("c_custkey", F.col("招标编号").alias("number"), F.col("招标项目所在地区").alias("area"), F.col("公示开始时间").alias("started"), F.col("公示结束时间").alias("ended"), F.col("中标人").alias("winner"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '某某工程' ELSE '大桥工程第' || c_custkey || '号' END AS title, '工程' || c_custkey AS older, '项目' || c_nationkey || ' <&> é' AS unescaped FROM customer")
+def text_titles(spark, d):
+    """A project's name out of a full text, by two of its places; the older cut of one suffix; entities that only Python knows."""
+    text = F.when(K() % 2 == 0, "公告发布时间：2026-06-01 10:00:00 某某工程（招标编号：1）").otherwise(_cat("项目名称：大桥工程第", K(), "号 招标人：甲"))
+    return _t(spark, d, "customer").select("c_custkey", extract.text_title(text).alias("title"), C.canonical_title_old(_cat(" 工程", K(), "招标公告")).alias("older"), T.unescape(_cat("项目", F.col("c_nationkey"), " &lt;&amp;&gt; &eacute;")).alias("unescaped"))
+
+
+@query("SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN '可爬-详情HTML可直接提取' WHEN 1 THEN '不可爬/暂不可爬' WHEN 2 THEN '可爬-需Cookie/登录态' ELSE '可爬-详情HTML可直接提取' END AS verdict FROM customer")
+def probe_direct(spark, d):
+    """Pages whose fields can be read directly, by a notice's words or by fields alone; a risk comes before them, and a login page."""
+    body = F.when(K() % 4 == 0, "招标公告 项目名称 招标编号").when(K() % 4 == 1, "验证码 招标公告").when(K() % 4 == 2, "用户登录 密码 账号").otherwise("项目名称 招标人 开标时间")
+    return _t(spark, d, "customer").select("c_custkey", C.verdict(F.lit(200), body, F.lit("http://x/"), body, F.when(K() % 4 == 3, 600).otherwise(320)).alias("verdict"))
+
+
+@query("SELECT c_custkey, c_name AS 统一代码, c_mktsegment AS 项目类型, '2026年7月' AS 招标公告发布日期, CASE WHEN c_custkey % 2 = 0 THEN '2026年6月1日至6月5日' ELSE '' END AS acquired FROM customer")
+def old_plan(spark, d):
+    """The older plan columns, and the older rule for the acquisition time."""
+    pairs = F.create_map(F.lit("投资项目统一代码"), F.col("c_name"), F.lit("项目类型"), F.col("c_mktsegment"), F.lit("招标公告预计发布时间"), F.lit("2026年7月"))
+    got = extract.old_plan_record(pairs)
+    when = F.when(K() % 2 == 0, "获取时间：2026年6月1日至6月5日。地点").otherwise("获取时间：短")
+    return _t(spark, d, "customer").select("c_custkey", *(got[k].alias(k) for k in ("统一代码", "项目类型", "招标公告发布日期")), extract.sectioned_times(when).alias("acquired"))
