@@ -25,6 +25,7 @@ to be written first.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from noticeloom.llm.neardup import WordHashes
 
 BACKOFF, UNSEEN, ORDER = 0.4, 0.5, 3
 #: Input bytes (as stored) of a block of texts, and of a partition of n-grams.
-BLOCK_BYTES, PART_BYTES = 2 << 20, 4 << 20
+BLOCK_BYTES, PART_BYTES = 6 << 20, 4 << 20
 _TOTAL = np.uint64(0xA5A5A5A5A5A5A5A5)
 
 
@@ -97,27 +98,37 @@ class Block:
         at = self.places(n)
         return at[below[at] & below[at - 1]]
 
-    def scores(self, counts: list[tuple[np.ndarray, np.ndarray]], backoff: float, unseen: float):
+    def levels(self, sums: Callable[[int], np.ndarray], upto: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(n, places, counts in other texts there, 1 for each place that another text has) for n = 2 .. ``upto``. A block's n-grams are the same
+        each time they are made, so only their sums have to come back."""
+        at = self.places(2)
+        grams, _ = self.counted([1, 2], {1: self.places(1), 2: at})
+        for n in range(2, upto + 1):
+            if n > 2:
+                grams, _ = self.counted([n], {n: at})
+            count = self.others(n, at, grams, sums(n))
+            hit = np.zeros(len(self.doc), bool)
+            hit[at[count > 0]] = True
+            yield n, at, count, hit
+            at = self.seen(n + 1, hit)
+
+    def scores(self, sums: Callable[[int], np.ndarray], backoff: float, unseen: float):
         """(words, words backed off to themselves, unseen words, mean log10 score or None) of each text."""
         size, n_docs = len(self.doc), len(self.lengths)
-        grams, totals = counts[0]
+        grams, totals = self.counted([1, 2], {1: self.places(1), 2: self.places(2)})[0], sums(2)
         total = (int(totals[np.searchsorted(grams, _TOTAL)]) if size else 0) - self.lengths
         every = np.arange(size)
         one = self.others(1, every, grams, totals)
         score = np.log10(np.maximum(one, unseen)) - np.log10(np.maximum(total[self.doc], 1))
         lower, single = one, np.ones(size, bool)
-        below = np.ones(size, bool)
-        for n in range(2, len(self.hash) + 1):
-            at = self.places(n) if n == 2 else self.seen(n, below)
+        for n, at, found, hit in self.levels(sums, len(self.hash)):
             count = np.zeros(size, np.int64)
-            grams, totals = counts[n - 1]
-            count[at] = self.others(n, at, grams, totals)
-            reach, hit = self.nth >= n - 1, count > 0
+            count[at] = found
             # a text's first words have no longer n-gram to back off from
-            score[reach & ~hit] += math.log10(backoff)
+            score[(self.nth >= n - 1) & ~hit] += math.log10(backoff)
             score[hit] = np.log10(count[hit]) - np.log10(lower[np.flatnonzero(hit) - 1])
             single &= ~hit
-            lower, below = count, hit
+            lower = count
         alone = single & (self.nth >= 1)
         sums = np.bincount(self.doc, weights=score, minlength=n_docs)
         off = np.bincount(self.doc, weights=alone, minlength=n_docs).astype(np.int64)
@@ -129,16 +140,10 @@ class Block:
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_backoff", pa.int64()), ("n_unseen", pa.int64()), ("score", pa.float64())])
 
 
-def _sums_of(s: pa.Table, orders: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The n-grams that a block sent and their sums, from what came back. Words and pairs travel together."""
-    out = []
-    for level in range(2, orders + 1):
-        own = s.filter(pc.equal(s.column("level"), level)).sort_by("part")
-        grams = [np.cumsum(unpack(x.as_py()), dtype=np.uint64) for x in own.column("grams")]
-        sums = [unpack(x.as_py()) for x in own.column("sums")]
-        pair = (np.concatenate(grams), np.concatenate(sums)) if grams else (np.empty(0, np.uint64), np.empty(0, np.uint64))
-        out += [pair, pair] if level == 2 else [pair]
-    return out
+def _sums(s: pa.Table, level: int) -> np.ndarray:
+    """What came back for the n-grams that a block sent at a level, in the order of their hashes."""
+    own = s.filter(pc.equal(s.column("level"), level)).sort_by("part")
+    return np.concatenate([np.empty(0, np.uint64), *(unpack(x.as_py()) for x in own.column("sums"))])
 
 
 def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, unseen: float = UNSEEN, blocks: int | None = None, parts: int | None = None, order: int = ORDER) -> DataFrame:
@@ -150,7 +155,7 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, unseen: float = UN
     # all uses of the dealt texts have the same plan, so Spark shuffles them once
     dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).alias("block"))
     sent = pa.schema([("block", pa.int64()), ("level", pa.int64()), ("part", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary())])
-    sent_ddl, back_ddl = "block long, level long, part long, grams binary, counts binary", "block long, level long, part long, grams binary, sums binary"
+    sent_ddl, back_ddl = "block long, level long, part long, grams binary, counts binary", "block long, level long, part long, sums binary"
 
     def texts_of(t: pa.Table) -> tuple[pa.Table, Block]:
         t = t.sort_by([("doc_id", "ascending"), ("text", "ascending")])
@@ -172,13 +177,8 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, unseen: float = UN
             if not t.num_rows:
                 return sent.empty_table()
             t, b = texts_of(t)
-            below = np.zeros(len(b.doc), bool)
-            counts, at = _sums_of(s, level - 1), b.places(2)
-            for n in range(2, level):
-                here = b.others(n, at, *counts[n - 1]) > 0
-                below = np.zeros(len(b.doc), bool)
-                below[at[here]] = True
-                at = b.seen(n + 1, below)
+            *_, (_, _, _, hit) = b.levels(lambda n: _sums(s, n), level - 1)
+            at = b.seen(level, hit)
             return packed(t.column("block")[0].as_py(), level, *b.counted([level], {level: at}))
 
         return run
@@ -189,13 +189,13 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, unseen: float = UN
         _, at = np.unique(np.concatenate(grams), return_inverse=True)
         sums = np.bincount(at, weights=counts).astype(np.uint64)[at]
         ends = np.cumsum([len(g) for g in grams])[:-1]
-        return pa.table([*(t.column(c) for c in ("block", "level", "part", "grams")), pa.array([pack(x) for x in np.split(sums, ends)], pa.binary())], names=["block", "level", "part", "grams", "sums"])
+        return pa.table([*(t.column(c) for c in ("block", "level", "part")), pa.array([pack(x) for x in np.split(sums, ends)], pa.binary())], names=["block", "level", "part", "sums"])
 
     def join(t: pa.Table, s: pa.Table) -> pa.Table:
         if not t.num_rows:
             return OUT.empty_table()
         t, b = texts_of(t)
-        cols = list(zip(*b.scores(_sums_of(s, order), backoff, unseen), strict=True))
+        cols = list(zip(*b.scores(lambda n: _sums(s, n), backoff, unseen), strict=True))
         return pa.table([t.column("doc_id"), *(pa.array(c, OUT.field(i + 1).type) for i, c in enumerate(cols))], schema=OUT)
 
     counted = dealt.groupBy("block").applyInArrow(explode, sent_ddl).groupBy("part").applyInArrow(count, back_ddl)
