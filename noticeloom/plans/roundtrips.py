@@ -142,10 +142,10 @@ def main_contents(spark, d):
     return _t(spark, d, "customer").select("c_custkey", pages.main_content(html).alias("m")).select("c_custkey", "m.source", "m.text")
 
 
-@query("SELECT c_custkey, ['https://x/f/' || c_custkey || '.pdf', 'https://x/download?id=' || c_custkey] AS links FROM customer")
+@query("SELECT c_custkey, 'https://x/f/' || c_custkey || '.pdf https://x/download?id=' || c_custkey AS links FROM customer")
 def file_link_lists(spark, d):
     html = _cat("<a href='/f/", K(), ".pdf'>正文</a><a href='javascript:x'>附件</a><a href='/download?id=", K(), "'>附件下载</a><a href='/other'>其他</a>")
-    return _t(spark, d, "customer").select("c_custkey", pages.file_links(html, F.lit("https://x/a/b")).alias("links"))
+    return _t(spark, d, "customer").select("c_custkey", F.array_join(pages.file_links(html, F.lit("https://x/a/b")), " ").alias("links"))
 
 
 @query("SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN '招标终止公告' WHEN 1 THEN '更正公告' WHEN 2 THEN '招标控制价' ELSE '' END AS kind, '区' || c_nationkey AS head, '市' || c_nationkey AS underlined FROM customer")
