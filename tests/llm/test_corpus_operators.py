@@ -258,6 +258,48 @@ def test_contamination_judges_every_place(spark):
     assert {r.doc_id: r.contaminated for r in got} == {1: True, 2: True, 3: False, 4: True}
 
 
+def test_contamination_by_scattered_windows(spark):
+    """Windows that match on two diagonals reach the share together, wherever the text begins."""
+    import duckdb
+
+    item = "the farmer carried baskets of fruit across the old bridge"
+    text = "the farmer carried baskets of fruit of fruit across the old bridge"
+    docs = docs_of(spark, [(i, " ".join(["zq"] * i) + " " + text) for i in range(8)] + [(9, "the farmer carried fruit"), (10, None), (10, "")])
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = sorted(tuple(r) for r in decontam.contamination(docs, benchmark).collect())
+    assert [r[:2] for r in got if r[-1]] == [(i, 1) for i in range(8)]
+    duck = duckdb.connect()
+    for name, df in (("documents", docs), ("benchmark", benchmark)):
+        duck.register(name, df.toArrow())
+    assert got == sorted(duck.sql(decontam.ORACLES["op8_decontamination"]).fetchall())
+
+
+def test_contamination_on_random_tables(spark):
+    """Texts cut and joined from items' words, beside the SQL form that skips nothing: all in one table, an item and a text a number."""
+    import duckdb
+
+    rng = random.Random(5)
+    words = ["red", "blue", "stone", "river", "house", "Anna", "Otto", "12", "7", "30 kg", "under", "over", "the", "bridge", "market"]
+    items = [" ".join(rng.choices(words, k=rng.randint(8, 25))) for _ in range(30)]
+    texts = []
+    for _ in range(200):
+        a = rng.choice(items).split()
+        b = a[rng.randint(0, 3) :]
+        for _ in range(rng.randint(0, 3)):
+            b[rng.randrange(len(b))] = rng.choice(words)
+        texts.append(" ".join(rng.choices(["so", "then", "x"], k=rng.randint(0, 4)) + b))
+    docs = docs_of(spark, [*enumerate(texts)])
+    benchmark = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_matched, r.contaminated) for r in decontam.contamination(docs, benchmark).collect()}
+    duck = duckdb.connect()
+    for name, df in (("documents", docs), ("benchmark", benchmark)):
+        duck.register(name, df.toArrow())
+    rows = {(r[0], r[1]): (r[2], r[3], r[6]) for r in duck.sql(decontam.ORACLES["op8_decontamination"]).fetchall()}
+    # the SQL form judges one place, the operator every one: it may call more texts contaminated, never fewer
+    assert set(rows) <= set(got) and len(rows) > 100
+    assert all(got[k][:2] == rows[k][:2] and got[k][2] >= rows[k][2] for k in rows)
+
+
 def test_contamination_searches_every_item_and_text(spark):
     words = "".join(chr(97 + i // 26) + chr(97 + i % 26) + "x " for i in range(450)).split()
     short, numbers, passage = "Define entropy", "What is 17 * 24 + 6?", " ".join(words[100:300])
