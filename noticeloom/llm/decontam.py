@@ -16,7 +16,7 @@ The SQL form has neither rule.
 
 Defined results: null and empty texts match nothing; items without a letter or digit identify nothing; repeated texts and rows are
 judged alike, one row for each (doc_id, item_id), texts without an id together under a null doc_id; repeated item ids are joined by
-their smallest text; empty tables give no row; further columns are ignored. The benchmark's windows are broadcast up to
+their smallest text; empty tables give no row; a very long text is one row's work, its windows rows of their own; further columns are ignored. The benchmark's windows are broadcast up to
 ``BROADCAST_ROWS`` of them and joined by a shuffle beyond.
 """
 
@@ -94,7 +94,9 @@ def _verbatim(texts: DataFrame, items: DataFrame, n: int) -> DataFrame:
     whole = items.select("item_id", F.size(F.filter("item_tokens", lambda t: t.rlike(_SLOT))).cast("long").alias("n_slots"), _words(F.col("text")).alias("words")).where(F.size("words") > 0)
     whole = whole.select("item_id", "n_slots", _line(F.col("words")).alias("line"), F.least(F.size("words"), F.lit(n)).alias("k"), F.xxhash64(F.slice("words", 1, n)).alias("w"))
     whole = materialise(whole, "verbatim-items")
-    n_whole, sizes = whole.count(), sorted(r.k for r in whole.select("k").distinct().collect())
+    # what is broadcast is bounded by the words that it holds, not by its rows alone
+    n_whole = whole.agg(F.coalesce(F.sum(F.size(F.split("line", " "))), F.lit(0))).first()[0]
+    sizes = sorted(r.k for r in whole.select("k").distinct().collect())
     if not sizes:
         return None
     # an item's first words find the texts, its whole line decides
@@ -143,6 +145,7 @@ def _judged(texts: DataFrame, benchmark: DataFrame, n: int, cover: int, literals
         F.size(F.array_distinct(F.flatten(F.collect_list("ws")))).alias("n_matched"), F.max_by("shift", F.struct("c", -F.col("shift"))).alias("top"), F.collect_list(F.struct("shift", F.size("ws").alias("own"), "runs")).alias("places")
     )
     lengths = items.select("item_id", F.size("kinds").alias("item_size"))
+    n_tokens = items.agg(F.coalesce(F.sum(F.size("item_tokens")), F.lit(0))).first()[0]
     pairs = pairs.join(_bounded(sizes.join(lengths, "item_id"), n_all), "item_id")
     # windows of several places may reach the share together: then the place with most of them is judged as well
     share = F.col("n_matched") * 100 >= cover * F.col("n_windows")
@@ -156,7 +159,7 @@ def _judged(texts: DataFrame, benchmark: DataFrame, n: int, cover: int, literals
     # slots meet as rows, so a text that holds a template many times is not copied for each place
     slots_of = lambda df, key, tokens, at, name: df.select(key, F.posexplode(tokens).alias("i", name)).where(F.col(name).rlike(_SLOT)).select(key, (F.col("i") + 1).alias(at), name)
     place = ["h", "item_id", "shift", "first", "last", "is_top"]
-    asked = pairs.select(*place).join(_bounded(slots_of(items, "item_id", "item_tokens", "item_at", "f"), n_all), "item_id").where("item_at BETWEEN first AND last").withColumn("at", F.col("item_at") + F.col("shift"))
+    asked = pairs.select(*place).join(_bounded(slots_of(items, "item_id", "item_tokens", "item_at", "f"), n_tokens), "item_id").where("item_at BETWEEN first AND last").withColumn("at", F.col("item_at") + F.col("shift"))
     met = asked.join(slots_of(near, "h", "tokens", "at", "g"), ["h", "at"]).where(F.substring("f", 1, 1) == F.substring("g", 1, 1))
     met = met.groupBy(*place).agg(F.collect_set(F.struct("f", "g")).alias("slots"), F.count("*").alias("n_slots"))
     both = pairs.join(met, place, "left").withColumn("n_slots", F.coalesce("n_slots", F.lit(0).cast("long")))
