@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.llm import decontam, exactdup, mixing, neardup, toxicity
-from noticeloom.llm._common import map_rows, materialise, quoted, table, unused, without
+from noticeloom.llm._common import discard, map_rows, materialise, quoted, table, unused, without
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +73,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        # written: what it was made from is not read again
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
