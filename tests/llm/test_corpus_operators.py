@@ -341,3 +341,21 @@ def test_broken_archives_are_errors():
     for bad in (good[:-9], good + b"tail", warc.write_record(1, "u", b"x" * 200, "0" * 64, None)):
         with pytest.raises((ValueError, zlib.error)):
             list(warc.read_stream([bad]))
+
+
+def test_very_long_texts(spark):
+    """Texts of a megabyte and more go through every operator over the corpus."""
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(3000)]
+    long = " ".join(rng.choices(words, k=200_000))
+    near = long.replace(words[0], "other")
+    docs = docs_of(spark, [(1, long), (2, near), (3, "short text"), (4, long[:100_000] + ". " + ITEM + ". " + long[:1000])])
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()}
+    assert got[1] == got[2] == 1 and got[3] == 3 and got[4] == 4
+    report = {r.doc_id: r.n_removed for r in exactdup.dedup_report(docs).collect()}
+    assert report[1] > 0.9 * len(long) and report[3] == 0
+    found = decontam.contamination(docs, spark.createDataFrame([(7, ITEM)], "item_id long, text string")).where("contaminated").collect()
+    assert [r.doc_id for r in found] == [4]
+    assert {r.doc_id: r.n_tokens for r in mixing.mix(docs).collect()}[1] == 200_000
+    pages = docs.selectExpr("doc_id AS page_id", "'u' AS url", "text AS html")
+    assert {r.page_id: r.payload_bytes for r in warc.read_archives(warc.write_archives(pages)).collect()}[2] == len(near)
