@@ -39,7 +39,10 @@ from noticeloom.llm.neardup import WordHashes
 BACKOFF, UNSEEN, ORDER = 0.4, 0.5, 3
 #: Input bytes (as stored) of a block of texts, and of a partition of n-grams.
 BLOCK_BYTES, PART_BYTES = 6 << 20, 4 << 20
-_TOTAL = np.uint64(0xA5A5A5A5A5A5A5A5)
+#: Bits of an n-gram's hash. Sixty travel in half a byte less each than sixty-four; of n distinct n-grams a share of n / 2^60 meets another one.
+HASH_BITS = 60
+_CUT = np.uint64(64 - HASH_BITS)
+_TOTAL = np.uint64(0xA5A5A5A5A5A5A5A5) >> _CUT
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -67,31 +70,35 @@ class Block:
         self.doc = np.repeat(np.arange(len(words)), self.lengths)
         starts = np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
         self.nth = np.arange(len(flat)) - starts  # a word's place in its text
-        self.hash = [_mix(flat ^ np.uint64(0x5851F42D4C957F2D))]
+        self.hash = [_mix(flat ^ np.uint64(0x5851F42D4C957F2D)) >> _CUT]
         rolled = flat
         for n in range(2, order + 1):
             rolled = np.append(np.zeros(1, np.uint64), rolled[:-1]) * np.uint64(0x9E3779B97F4A7C15) + flat * np.uint64(2 * n - 3)
-            self.hash.append(_mix(rolled ^ np.uint64(n)))
+            self.hash.append(_mix(rolled ^ np.uint64(n)) >> _CUT)
 
     def places(self, n: int) -> np.ndarray:
         """Where n-grams of ``n`` words end."""
         return np.flatnonzero(self.nth >= n - 1)
 
-    def counted(self, orders: list[int], at: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct n-grams of some orders, at some places, with their counts; with the words' also the number of all words."""
+    def counted(self, orders: list[int], at: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """The distinct n-grams of some orders, at some places, with their counts, and for each order which of them stands at each place; with
+        the words' also the number of all words."""
         every = np.concatenate([*(self.hash[n - 1][at[n]] for n in orders), *([np.array([_TOTAL], np.uint64)] if 1 in orders else [])])
-        weight = np.ones(len(every), np.int64)
-        if 1 in orders:
-            weight[-1] = len(self.doc)
         grams, back = np.unique(every, return_inverse=True)
-        return grams, np.bincount(back, weights=weight, minlength=len(grams)).astype(np.int64)
-
-    def others(self, n: int, at: np.ndarray, grams: np.ndarray, totals: np.ndarray) -> np.ndarray:
-        """Of the n-grams at ``at``: their count in other texts."""
-        found = np.searchsorted(grams, self.hash[n - 1][at])
-        own = self.doc[at] * np.int64(max(1, len(grams))) + found
-        _, back, times = np.unique(own, return_inverse=True, return_counts=True)
-        return totals[found].astype(np.int64) - times[back]
+        counts = np.bincount(back, minlength=len(grams)).astype(np.int64)
+        if 1 in orders:
+            counts[back[-1]] += len(self.doc) - 1
+        return grams, counts, np.split(back, np.cumsum([len(at[n]) for n in orders]))[: len(orders)]
+
+    def others(self, at: np.ndarray, which: np.ndarray, totals: np.ndarray) -> np.ndarray:
+        """Of the n-grams at ``at``, ``which`` of the distinct ones they are: their count in other texts."""
+        own = self.doc[at] * np.int64(max(1, len(totals))) + which
+        order = np.argsort(own)
+        own = own[order]
+        first = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.empty(0, np.int64)
+        times = np.empty(len(own), np.int64)
+        times[order] = np.repeat(np.diff(np.append(first, len(own))), np.diff(np.append(first, len(own))))
+        return totals[which].astype(np.int64) - times
 
     def seen(self, n: int, below: np.ndarray) -> np.ndarray:
         """Where an n-gram can stand in another text, ``below`` telling for each word's place whether the shorter one that ends there does."""
@@ -99,31 +106,36 @@ class Block:
         return at[below[at] & below[at - 1]]
 
     def levels(self, sums: Callable[[int], np.ndarray], upto: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(n, places, counts in other texts there, 1 for each place that another text has) for n = 2 .. ``upto``. A block's n-grams are the same
+        """(n, places, counts in other texts there, 1 for each place that another text has) for n = 1 .. ``upto``. A block's n-grams are the same
         each time they are made, so only their sums have to come back."""
-        at = self.places(2)
-        grams, _ = self.counted([1, 2], {1: self.places(1), 2: at})
-        for n in range(2, upto + 1):
+        at = {1: self.places(1), 2: self.places(2)}
+        grams, _, which = self.counted([1, 2], at)
+        totals = sums(2)
+        self.total = int(totals[np.searchsorted(grams, _TOTAL)]) if len(totals) else 0
+        for n in range(1, upto + 1):
             if n > 2:
-                grams, _ = self.counted([n], {n: at})
-            count = self.others(n, at, grams, sums(n))
+                _, _, (own,) = self.counted([n], at)
+                totals = sums(n)
+            else:
+                own = which[n - 1]
+            count = self.others(at[n], own, totals)
             hit = np.zeros(len(self.doc), bool)
-            hit[at[count > 0]] = True
-            yield n, at, count, hit
-            at = self.seen(n + 1, hit)
+            hit[at[n][count > 0]] = True
+            yield n, at[n], count, hit
+            if n > 1:
+                at = {n + 1: self.seen(n + 1, hit)}
 
     def scores(self, sums: Callable[[int], np.ndarray], backoff: float, unseen: float):
         """(words, words backed off to themselves, unseen words, mean log10 score or None) of each text."""
         size, n_docs = len(self.doc), len(self.lengths)
-        grams, totals = self.counted([1, 2], {1: self.places(1), 2: self.places(2)})[0], sums(2)
-        total = (int(totals[np.searchsorted(grams, _TOTAL)]) if size else 0) - self.lengths
-        every = np.arange(size)
-        one = self.others(1, every, grams, totals)
+        found = self.levels(sums, len(self.hash))
+        _, _, one, _ = next(found)
+        total = self.total - self.lengths
         score = np.log10(np.maximum(one, unseen)) - np.log10(np.maximum(total[self.doc], 1))
         lower, single = one, np.ones(size, bool)
-        for n, at, found, hit in self.levels(sums, len(self.hash)):
+        for n, at, there, hit in found:
             count = np.zeros(size, np.int64)
-            count[at] = found
+            count[at] = there
             # a text's first words have no longer n-gram to back off from
             score[(self.nth >= n - 1) & ~hit] += math.log10(backoff)
             score[hit] = np.log10(count[hit]) - np.log10(lower[np.flatnonzero(hit) - 1])
@@ -163,14 +175,14 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, unseen: float = UN
 
     def packed(block: int, level: int, grams: np.ndarray, counts: np.ndarray) -> pa.Table:
         """A row for each partition that gets any; partitions are ranges of hashes."""
-        part = (grams >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
+        part = (grams >> np.uint64(HASH_BITS - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
         cut = (np.flatnonzero(part[1:] != part[:-1]) + 1).tolist()
         rows = [(block, level, int(part[a]), pack(np.diff(grams[a:b], prepend=np.uint64(0))), pack(counts[a:b])) for a, b in zip([0, *cut], [*cut, len(part)], strict=True) if b > a]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), sent, strict=True)], schema=sent) if rows else sent.empty_table()
 
     def explode(t: pa.Table) -> pa.Table:
         t, b = texts_of(t)
-        return packed(t.column("block")[0].as_py(), 2, *b.counted([1, 2], {1: b.places(1), 2: b.places(2)}))
+        return packed(t.column("block")[0].as_py(), 2, *b.counted([1, 2], {1: b.places(1), 2: b.places(2)})[:2])
 
     def explode_longer(level: int):
         def run(t: pa.Table, s: pa.Table) -> pa.Table:
@@ -179,7 +191,7 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, unseen: float = UN
             t, b = texts_of(t)
             *_, (_, _, _, hit) = b.levels(lambda n: _sums(s, n), level - 1)
             at = b.seen(level, hit)
-            return packed(t.column("block")[0].as_py(), level, *b.counted([level], {level: at}))
+            return packed(t.column("block")[0].as_py(), level, *b.counted([level], {level: at})[:2])
 
         return run
 
