@@ -135,3 +135,10 @@ def without(docs: DataFrame, rows: DataFrame, broadcast_rows: int = 1_000_000) -
     keyed = docs.withColumn(own, text_key(F.col("text")))
     same = keyed["doc_id"].eqNullSafe(F.col("_gone")) & (keyed[own] == F.col("_gone_key"))
     return keyed.join(F.broadcast(gone) if gone.count() <= broadcast_rows else gone, same, "left_anti").select(*(quoted(c) for c in docs.columns))
+
+
+def crc32_sql(column: str) -> str:
+    """DuckDB SQL for crc32 of a column's value as text, unsigned, bit by bit: the polynomial is the standard's, reversed."""
+    bit = "CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END"
+    byte = f"list_reduce(list_concat([xor(c, b)], range(8)), lambda y, i: {bit})"
+    return f"xor(list_reduce(list_concat([4294967295], list_transform(string_split({column}::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda c, b: {byte}), 4294967295)"
