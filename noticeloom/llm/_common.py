@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,10 +34,16 @@ def shared_dir(spark: SparkSession) -> str:
     return conf.rstrip("/")
 
 
+#: Paths of the tables that the operator now running has written.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, and a lost executor loses nothing."""
     path = f"{shared_dir(df.sparkSession)}/noticeloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if (written := _WRITTEN.get()) is not None:
+        written.append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._noticeloom_path = path
     return out
@@ -43,12 +51,39 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete a materialised table that nothing lazy reads any more."""
-    spark, path = df.sparkSession, df._noticeloom_path
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    _delete(df.sparkSession, df._noticeloom_path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator that leaves one table behind, its result: that is written down, and all other tables it has written are deleted,
+    those of operators that it calls too. ``discard`` deletes the result when it has been used."""
+
+    @functools.wraps(operator)
+    def run(*args, **kwargs) -> DataFrame:
+        outer, own = _WRITTEN.get(), []
+        spark = SparkSession.getActiveSession()
+        token = _WRITTEN.set(own)
+        try:
+            out = operator(*args, **kwargs)
+            spark = out.sparkSession
+            kept = materialise(out, operator.__name__)
+            own.remove(kept._noticeloom_path)
+        finally:
+            _WRITTEN.reset(token)
+            for path in own if spark else []:
+                _delete(spark, path)
+        if outer is not None:
+            outer.append(kept._noticeloom_path)
+        return kept
+
+    return run
+
+
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of the plan's size, from file sizes; no job runs."""
     n = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
