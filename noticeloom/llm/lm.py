@@ -7,8 +7,8 @@ text vouches for itself. With c the counts of other texts and v the up to ``ORDE
              = BACKOFF * S(w | v without its first word)   otherwise
     S(w)     = c(w) / n                       with c(w) at least UNSEEN
 
-Everything is joined by the hash of the n-gram. Texts are dealt to blocks of a few MB, row by row. A block explodes its texts into
-n-grams and sends each distinct one once, with its count, to the n-gram's partition, packed as one sorted row for each partition (at worst
+Everything is joined by the hash of the n-gram. Each task cuts its texts into words once and writes them down as blocks of some MB, numbers
+for words. A block explodes its texts into n-grams and sends each distinct one once, with its count, to the n-gram's partition, packed as one sorted row for each partition (at worst
 one row for each n-gram, so the number of rows never outgrows the n-grams'). A partition sums the counts of its n-grams over all blocks: that is
 the count table. Each block gets the sums of its n-grams back, joins them to its texts' n-grams and sums per document. An n-gram that
 every text has is one entry from each block, whatever its count.
@@ -17,9 +17,8 @@ Words and pairs are counted first. A longer n-gram can only stand in another tex
 only those n-grams are counted whose parts another text has: the rest back off anyway. Nothing is lost by it, and most never travel.
 
 Defined results: null and empty texts have no words and score null; a text shorter than ``ORDER`` is scored by what it has; repeated rows
-count each as a text of its own; rows with a null id are counted and scored like others; a very long text is one block's work; columns other than
-id and text are ignored; an empty table gives no row. The rows' dealing is by their place in the input: what is not read from files is
-to be written first.
+count each as a text of its own; rows with a null id are counted and scored like others; a very long text is one block's work; columns other than id and text
+are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -33,12 +32,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm._common import input_bytes, shuffle_partitions, table, text_column
-from noticeloom.llm.neardup import WordHashes
+from noticeloom.llm._common import input_bytes, materialise, shuffle_partitions, table, text_column, tidy
 
 BACKOFF, UNSEEN, ORDER = 0.4, 0.5, 3
-#: Input bytes (as stored) of a block of texts, and of a partition of n-grams.
-BLOCK_BYTES, PART_BYTES = 6 << 20, 4 << 20
+#: Bytes of text of a block, and input bytes (as stored) of a partition of n-grams.
+BLOCK_BYTES, PART_BYTES = 10 << 20, 4 << 20
 #: Bits of an n-gram's hash. Sixty travel in half a byte less each than sixty-four; of n distinct n-grams a share of n / 2^60 meets another one.
 HASH_BITS = 60
 _CUT = np.uint64(64 - HASH_BITS)
@@ -52,30 +50,89 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def pack(x: np.ndarray) -> bytes:
-    """Integers byte plane by byte plane, so that planes of zeros compress away on the wire."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Integers byte plane by byte plane, compressed: planes of zeros or of few values cost next to nothing."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes())
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    import zstandard
+
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+class _Numbers(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+def numbered(batches, block_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``BLOCKS`` from batches of doc_id and text: texts are cut into words here and nowhere else."""
+    from pyspark import TaskContext
+
+    import zstandard
+
+    pid, seq = TaskContext.get().partitionId(), 0
+    ids, parts, lengths, number, size = [], [], [], _Numbers(), 0
+
+    def block() -> pa.RecordBatch:
+        flat = np.concatenate([np.empty(0, np.int64), *parts])
+        # frequent words get small numbers, whose upper bytes are zeros
+        rank = np.argsort(-np.bincount(flat, minlength=len(number)), kind="stable")
+        place = np.empty(len(rank), np.int64)
+        place[rank] = np.arange(len(rank))
+        words = list(number)
+        vocabulary = zstandard.ZstdCompressor(level=3).compress(b" ".join(words[i] for i in rank.tolist()))
+        cells = [[(pid << 32) + seq], [ids], [pack(np.array(lengths, np.uint64))], [vocabulary], [pack(place[flat])]]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cells, BLOCKS, strict=True)], schema=BLOCKS)
+
+    for batch in batches:
+        for doc_id, raw in zip(batch.column(0).to_pylist(), text_column(batch, 1), strict=True):
+            words = (raw or b"").lower().split()
+            ids.append(doc_id)
+            lengths.append(len(words))
+            parts.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
+            size += len(raw or b"")
+            if size >= block_bytes:
+                yield block()
+                ids, parts, lengths, number, size, seq = [], [], [], _Numbers(), 0, seq + 1
+    if ids:
+        yield block()
+
+
+#: A block: its texts' ids, their numbers of words, its distinct words, and which of them stands where.
+BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("lengths", pa.binary()), ("vocabulary", pa.binary()), ("words", pa.binary())])
+BLOCKS_DDL = "block long, ids array<long>, lengths binary, vocabulary binary, words binary"
 
 
 class Block:
     """The n-grams of some texts, by order. An n-gram is told by the hash of its words; it stands at its last word's place."""
 
-    def __init__(self, texts, hashes: WordHashes, order: int = ORDER):
-        words = [(t or b"").lower().split() for t in texts]
-        self.lengths = np.array([len(w) for w in words], np.int64)
-        flat = np.fromiter((hashes[w] for ws in words for w in ws), np.uint64, int(self.lengths.sum()))
-        self.doc = np.repeat(np.arange(len(words)), self.lengths)
-        starts = np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
-        self.nth = np.arange(len(flat)) - starts  # a word's place in its text
+    def __init__(self, lengths: np.ndarray, flat: np.ndarray, order: int = ORDER):
+        self.lengths = lengths
+        self.doc = np.repeat(np.arange(len(lengths), dtype=np.int32), self.lengths)
+        starts = np.cumsum(self.lengths) - self.lengths
+        self.nth = (np.arange(len(flat)) - starts[self.doc]).astype(np.int32)  # a word's place in its text
         self.hash = [_mix(flat ^ np.uint64(0x5851F42D4C957F2D)) >> _CUT]
         rolled = flat
         for n in range(2, order + 1):
             rolled = np.append(np.zeros(1, np.uint64), rolled[:-1]) * np.uint64(0x9E3779B97F4A7C15) + flat * np.uint64(2 * n - 3)
             self.hash.append(_mix(rolled ^ np.uint64(n)) >> _CUT)
 
+    @classmethod
+    def of(cls, row: dict, order: int = ORDER) -> Block:
+        """From a row of ``BLOCKS``."""
+        import xxhash
+        import zstandard
+
+        words = zstandard.ZstdDecompressor().decompress(row["vocabulary"]).split(b" ") if row["vocabulary"] else []
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+        return cls(unpack(row["lengths"]).astype(np.int64), hashes[unpack(row["words"])], order)
+
     def places(self, n: int) -> np.ndarray:
         """Where n-grams of ``n`` words end."""
         return np.flatnonzero(self.nth >= n - 1)
@@ -83,21 +140,28 @@ class Block:
     def counted(self, orders: list[int], at: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """The distinct n-grams of some orders, at some places, with their counts, and for each order which of them stands at each place; with
         the words' also the number of all words."""
-        every = np.concatenate([*(self.hash[n - 1][at[n]] for n in orders), *([np.array([_TOTAL], np.uint64)] if 1 in orders else [])])
-        grams, back = np.unique(every, return_inverse=True)
-        counts = np.bincount(back, minlength=len(grams)).astype(np.int64)
+        found = [np.unique(self.hash[n - 1][at[n]], return_inverse=True) for n in orders]
+        sums = [np.bincount(back, minlength=len(g)) for g, back in found]
         if 1 in orders:
-            counts[back[-1]] += len(self.doc) - 1
-        return grams, counts, np.split(back, np.cumsum([len(at[n]) for n in orders]))[: len(orders)]
+            found.append((np.array([_TOTAL], np.uint64), None))
+            sums.append(np.array([len(self.doc)]))
+        every = np.concatenate([g for g, _ in found])
+        order = np.argsort(every, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        starts = np.cumsum([0, *(len(g) for g, _ in found)])
+        return every[order], np.concatenate(sums)[order], [place[a : a + len(g)][back] for a, (g, back) in zip(starts.tolist(), found, strict=False) if back is not None]
 
     def others(self, at: np.ndarray, which: np.ndarray, totals: np.ndarray) -> np.ndarray:
         """Of the n-grams at ``at``, ``which`` of the distinct ones they are: their count in other texts."""
-        own = self.doc[at] * np.int64(max(1, len(totals))) + which
+        times = np.ones(len(at), np.int64)
+        more = np.flatnonzero(np.bincount(which, minlength=len(totals))[which] > 1)  # the others stand in the block once
+        own = self.doc[at[more]].astype(np.int64) * max(1, len(totals)) + which[more]
         order = np.argsort(own)
         own = own[order]
         first = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.empty(0, np.int64)
-        times = np.empty(len(own), np.int64)
-        times[order] = np.repeat(np.diff(np.append(first, len(own))), np.diff(np.append(first, len(own))))
+        counts = np.diff(np.append(first, len(own)))
+        times[more[order]] = np.repeat(counts, counts)
         return totals[which].astype(np.int64) - times
 
     def seen(self, n: int, below: np.ndarray) -> np.ndarray:
@@ -158,21 +222,17 @@ def _sums(s: pa.Table, level: int) -> np.ndarray:
     return np.concatenate([np.empty(0, np.uint64), *(unpack(x.as_py()) for x in own.column("sums"))])
 
 
-def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, unseen: float = UNSEEN, blocks: int | None = None, parts: int | None = None, order: int = ORDER) -> DataFrame:
+@tidy
+def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, unseen: float = UNSEEN, block_bytes: int = BLOCK_BYTES, parts: int | None = None, order: int = ORDER) -> DataFrame:
     """doc_id, n_words, n_backoff, n_unseen, score (mean log10 of S over the text's words) of every text; ``order``: 2 or more."""
     size = input_bytes(docs)
-    blocks = blocks or (max(1, -(-size // BLOCK_BYTES)) if size else shuffle_partitions(docs.sparkSession))
     parts = parts or (max(1, -(-size // PART_BYTES)) if size else shuffle_partitions(docs.sparkSession))
     bits = (parts - 1).bit_length()
-    # all uses of the dealt texts have the same plan, so Spark shuffles them once
-    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).alias("block"))
+    # written down, so that every later step sees the same blocks, whatever is lost; both joins have one plan, so Spark shuffles it once
+    blocks = materialise(docs.select("doc_id", "text").mapInArrow(lambda batches: numbered(batches, block_bytes), BLOCKS_DDL), "blocks")
     sent = pa.schema([("block", pa.int64()), ("level", pa.int64()), ("part", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary())])
     sent_ddl, back_ddl = "block long, level long, part long, grams binary, counts binary", "block long, level long, part long, sums binary"
 
-    def texts_of(t: pa.Table) -> tuple[pa.Table, Block]:
-        t = t.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        return t, Block(text_column(t.combine_chunks().to_batches()[0]), WordHashes(), order)
-
     def packed(block: int, level: int, grams: np.ndarray, counts: np.ndarray) -> pa.Table:
         """A row for each partition that gets any; partitions are ranges of hashes."""
         part = (grams >> np.uint64(HASH_BITS - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
@@ -180,18 +240,24 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, unseen: float = UN
         rows = [(block, level, int(part[a]), pack(np.diff(grams[a:b], prepend=np.uint64(0))), pack(counts[a:b])) for a, b in zip([0, *cut], [*cut, len(part)], strict=True) if b > a]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), sent, strict=True)], schema=sent) if rows else sent.empty_table()
 
-    def explode(t: pa.Table) -> pa.Table:
-        t, b = texts_of(t)
-        return packed(t.column("block")[0].as_py(), 2, *b.counted([1, 2], {1: b.places(1), 2: b.places(2)})[:2])
+    def shorter(row: dict) -> pa.Table:
+        b = Block.of(row, 2)
+        return packed(row["block"], 2, *b.counted([1, 2], {1: b.places(1), 2: b.places(2)})[:2])
+
+    def explode(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):  # one block in memory at a time
+                yield from shorter(batch.slice(i, 1).to_pylist()[0]).to_batches()
 
     def explode_longer(level: int):
         def run(t: pa.Table, s: pa.Table) -> pa.Table:
             if not t.num_rows:
                 return sent.empty_table()
-            t, b = texts_of(t)
+            (row,) = t.to_pylist()
+            b = Block.of(row, level)
             *_, (_, _, _, hit) = b.levels(lambda n: _sums(s, n), level - 1)
             at = b.seen(level, hit)
-            return packed(t.column("block")[0].as_py(), level, *b.counted([level], {level: at})[:2])
+            return packed(row["block"], level, *b.counted([level], {level: at})[:2])
 
         return run
 
@@ -206,15 +272,15 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, unseen: float = UN
     def join(t: pa.Table, s: pa.Table) -> pa.Table:
         if not t.num_rows:
             return OUT.empty_table()
-        t, b = texts_of(t)
-        cols = list(zip(*b.scores(lambda n: _sums(s, n), backoff, unseen), strict=True))
-        return pa.table([t.column("doc_id"), *(pa.array(c, OUT.field(i + 1).type) for i, c in enumerate(cols))], schema=OUT)
+        (row,) = t.to_pylist()
+        cols = list(zip(*Block.of(row, order).scores(lambda n: _sums(s, n), backoff, unseen), strict=True))
+        return pa.table([pa.array(c, f.type) for c, f in zip([row["ids"], *cols], OUT, strict=True)], schema=OUT)
 
-    counted = dealt.groupBy("block").applyInArrow(explode, sent_ddl).groupBy("part").applyInArrow(count, back_ddl)
+    counted = blocks.mapInArrow(explode, sent_ddl).groupBy("part").applyInArrow(count, back_ddl)
     for level in range(3, order + 1):
-        longer = dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(explode_longer(level), sent_ddl)
+        longer = blocks.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(explode_longer(level), sent_ddl)
         counted = counted.unionByName(longer.groupBy("part").applyInArrow(count, back_ddl))
-    return dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(join, "doc_id long, n_words long, n_backoff long, n_unseen long, score double")
+    return blocks.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(join, "doc_id long, n_words long, n_backoff long, n_unseen long, score double")
 
 
 def op2_lm(spark, sf_dir: str) -> DataFrame:

@@ -165,8 +165,8 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
-@pytest.mark.parametrize("blocks, parts, order", [(1, 1, 2), (5, 8, 2), (5, 8, 3), (3, 2, 4)])
-def test_backoff_scores(docs, texts, blocks, parts, order):
+@pytest.mark.parametrize("block_bytes, parts, order", [(1 << 20, 1, 2), (600, 8, 2), (1, 8, 3), (2000, 2, 4)])
+def test_backoff_scores(docs, texts, block_bytes, parts, order):
     words = [(t or "").lower().split() for _, t in texts]
     grams = lambda ws, n: [tuple(ws[i : i + n]) for i in range(len(ws) - n + 1)]
     every = Counter(g for ws in words for n in range(1, order + 1) for g in grams(ws, n))
@@ -183,7 +183,7 @@ def test_backoff_scores(docs, texts, blocks, parts, order):
 
         s = sum(log_s(tuple(ws[max(0, j - order + 1) : j + 1])) for j in range(len(ws)))
         want.append((i, len(ws), sum(other(g) == 0 for g in grams(ws, 2)), sum(other((w,)) == 0 for w in ws), round(s / len(ws), 5) if ws else None))
-    got = [(r.doc_id, r.n_words, r.n_backoff, r.n_unseen, None if r.score is None else round(r.score, 5)) for r in lm.backoff_scores(docs, blocks=blocks, parts=parts, order=order).collect()]
+    got = [(r.doc_id, r.n_words, r.n_backoff, r.n_unseen, None if r.score is None else round(r.score, 5)) for r in lm.backoff_scores(docs, block_bytes=block_bytes, parts=parts, order=order).collect()]
     near = lambda a, b: a[:4] == b[:4] and (a[4] == b[4] or abs(a[4] - b[4]) < 1e-4)
     assert all(near(a, b) for a, b in zip(sorted(got, key=str), sorted(want, key=str), strict=True))
     assert lm.backoff_scores(docs.limit(0)).count() == 0
@@ -191,7 +191,7 @@ def test_backoff_scores(docs, texts, blocks, parts, order):
 
 def test_backoff_scores_of_a_long_text_and_null_ids(spark):
     rows = [(None, "a b c"), (None, "a b c"), (1, "a b c " * 20_000)]
-    got = lm.backoff_scores(spark.createDataFrame(rows, "doc_id long, text string"), blocks=2, parts=4).collect()
+    got = lm.backoff_scores(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=50_000, parts=4).collect()
     assert sorted(r.n_words for r in got) == [3, 3, 60_000] and len({r.score for r in got if r.n_words == 3}) == 1
 
 
