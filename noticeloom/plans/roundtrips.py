@@ -11,9 +11,9 @@ from noticeloom.functions import text as T
 from noticeloom.functions import titles as C
 from noticeloom.functions import values as X
 from noticeloom.functions import vocabulary as V
-from noticeloom.operators import audit, enrich, extract, pages, projects, relations
+from noticeloom.operators import audit, enrich, extract, ordered, pages, projects, relations
 from noticeloom.plans.catalogue import _t, query
-from noticeloom.sources import readers, writers
+from noticeloom.sources import buckets, readers, writers
 
 #: Columns are made when they are asked for: a module can be imported without a session.
 def K() -> Column:
@@ -401,6 +401,20 @@ def snapshot_rows(spark, d):
     return writers.read_snapshot(spark, root)
 
 
+@query("SELECT o_custkey AS key, count(*) AS n, max(o_orderkey) AS latest FROM orders GROUP BY 1")
+def snapshot_batches(spark, d):
+    """Three batches of orders, month by month, merged into a table in buckets that is written by key."""
+    rows, root = _t(spark, d, "orders"), writers.scratch(spark, "buckets")
+
+    def merge(old, batch):
+        return old.unionByName(batch).groupBy("key").agg(F.sum("n").alias("n"), F.max("latest").alias("latest"))
+
+    for part in range(3):
+        batch = rows.where(F.month("o_orderdate") % 3 == part).groupBy(F.col("o_custkey").alias("key")).agg(F.count("*").alias("n"), F.max("o_orderkey").alias("latest"))
+        buckets.merge_batch(batch, root, "key", merge, n=32)
+    return buckets.read_buckets(spark, root)
+
+
 @query("SELECT n_nationkey, '%PDF ' || n_name AS text FROM nation WHERE n_nationkey % 3 <> 0")
 def pdf_files(spark, d):
     """Files told to be PDFs by their first bytes, and read by the first extractor that gives a text."""
@@ -531,6 +545,29 @@ def upsert_merge(spark, d):
     return projects.upsert(old, new, mode="merge").toDF("name", "tenderer", "opened", "kinds")
 
 
+# names of customers in an order that has nothing to do with them: one project in several spellings, some within others, some of them known
+_SPELT = "'站点' || lpad((c_custkey // 7)::VARCHAR, 6, '0')"
+_SPELLINGS = f"CASE c_custkey % 7 WHEN 0 THEN {_SPELT} WHEN 1 THEN {_SPELT} || '甲' WHEN 2 THEN {_SPELT} || '甲乙' WHEN 3 THEN '标段' || {_SPELT} WHEN 4 THEN '标段' || {_SPELT} || '甲' WHEN 5 THEN {_SPELT} ELSE {_SPELT} || '丙' END"
+
+
+@query(
+    f"""WITH RECURSIVE s AS (SELECT list('站点' || lpad(s_suppkey::VARCHAR, 6, '0') ORDER BY s_suppkey) AS names, list(s_name ORDER BY s_suppkey) AS who FROM supplier),
+c AS (SELECT row_number() OVER (ORDER BY c_custkey * 7919 % 1000003, c_custkey) AS i, {_SPELLINGS} AS name, c_name FROM customer),
+f(i, names, who) AS (SELECT 0, names, who FROM s UNION ALL
+  SELECT i, CASE WHEN place IS NULL THEN list_append(names, name) ELSE list_concat(names[:place - 1], [name], names[place + 1:]) END, CASE WHEN place IS NULL THEN list_append(who, c_name) ELSE list_concat(who[:place - 1], [c_name], who[place + 1:]) END
+  FROM (SELECT c.i, f.names, f.who, c.name, c.c_name, coalesce(nullif(list_position(f.names, c.name), 0), nullif(list_position(list_transform(f.names, lambda x: contains(x, c.name) OR contains(c.name, x)), true), 0)) AS place FROM f JOIN c ON c.i = f.i + 1))
+SELECT unnest(names) AS name, unnest(who) AS tenderer FROM f WHERE i = (SELECT count(*) FROM customer)"""
+)
+def upsert_in_order(spark, d):
+    """Rows put into the table one after the other, each seeing what the ones before it have left; a replaced row takes the new name over."""
+    site = lambda n: F.concat(F.lit("站点"), F.lpad(n.cast("string"), 6, "0"))
+    old = _t(spark, d, "supplier").select(site(S()).alias("项目名称"), F.col("s_name").alias("招标人"), S().cast("long").alias("o"))
+    one, kind = site(F.floor(K() / 7)), K() % 7
+    name = F.when(kind == 1, _cat(one, "甲")).when(kind == 2, _cat(one, "甲乙")).when(kind == 3, _cat("标段", one)).when(kind == 4, _cat("标段", one, "甲")).when(kind == 6, _cat(one, "丙")).otherwise(one)
+    new = _t(spark, d, "customer").select(name.alias("项目名称"), F.col("c_name").alias("招标人"), (K() * 7919 % 1000003 * 1000003 + K()).cast("long").alias("t"))
+    return ordered.upsert_in_order(old, new, "t", "o", 10**9 + F.col("t")).select(F.col("项目名称").alias("name"), F.col("招标人").alias("tenderer"))
+
+
 # ---- the model seam
 
 

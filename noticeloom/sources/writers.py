@@ -22,6 +22,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{conf.rstrip('/')}/noticeloom/{name}-{uuid.uuid4().hex}"
 
 
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the folder that all executors share, read back: what is computed from it survives lost executors."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._landed = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete a landed table that nothing reads any more."""
+    path, fs = _fs(df.sparkSession, df._landed)
+    fs.delete(path, True)
+
+
 def write_csv(rows: DataFrame, path: str, columns: list[str] | None = None, default: str = "") -> None:
     """The columns in order, extra ones left out, missing values as ``default``; a byte order mark before the first header."""
     columns = columns or rows.columns
@@ -67,31 +82,76 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """(number, version) of every committed version, oldest first. A version is committed by the empty file ``_commits/number.version``."""
+class Conflict(Exception):
+    """Another writer has committed the version that was to be written."""
+
+
+def _commits(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the committed versions, oldest first."""
     folder, fs = _fs(spark, f"{root}/_commits")
     if not fs.exists(folder):
         return []
-    names = [f.getPath().getName().split(".", 1) for f in fs.listStatus(folder)]
-    return sorted((int(n[0]), n[1]) for n in names if len(n) == 2 and n[0].isdigit())
-
-
-def write_snapshot(rows: DataFrame, root: str) -> str:
-    """A new version beside the others, committed by creating one empty file that names it: readers see the old table or the new one, nothing
-    is deleted or overwritten on the way, and a write that breaks off before the commit leaves the old table."""
+    return sorted(int(n) for n in (f.getPath().getName() for f in fs.listStatus(folder)) if n.isdigit())
+
+
+def _manifest(spark: SparkSession, root: str, number: int) -> list[str]:
+    """What a version consists of, one line each."""
+    path, fs = _fs(spark, f"{root}/_commits/{number:012d}")
+    stream = fs.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split("\n")
+    finally:
+        stream.close()
+
+
+def _commit(spark: SparkSession, root: str, number: int, lines: list[str]) -> None:
+    """Make version ``number`` of ``lines``, or raise ``Conflict`` if there is one. The manifest is written aside and then given the number's
+    name in one step that never overwrites, so readers see no half of it: a rename, on a local disk a link, as its renames look first and move then."""
+    mark, fs = _fs(spark, f"{root}/_commits/{number:012d}")
+    aside, _ = _fs(spark, f"{root}/_aside/{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    out.write(bytearray("\n".join(lines).encode()))
+    out.close()
+    fs.mkdirs(mark.getParent())
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        if fs.getUri().getScheme() == "file":
+            local = lambda p: jvm.java.io.File(p.toUri().getPath()).toPath()
+            jvm.java.nio.file.Files.createLink(local(mark), local(aside))
+        else:
+            none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(aside, mark, none)
+    except Exception as e:  # noqa: BLE001
+        if "FileAlreadyExistsException" not in str(e):
+            raise
+        raise Conflict(f"version {number} of {root}") from None
+    finally:
+        fs.delete(aside, False)
+
+
+def write_snapshot(rows: DataFrame, root: str, tries: int = 20) -> int:
+    """A new version beside the others: readers see the old table or the new one, nothing is deleted or overwritten on the way, and a
+    write that breaks off before the commit leaves the old table. Of two writers one commits a number and the other the next, so every
+    table that was written is a version of its own."""
     spark = rows.sparkSession
-    version = f"v-{uuid.uuid4().hex}"
-    rows.write.parquet(f"{root}/{version}")
-    number = max((n for n, _ in _versions(spark, root)), default=0) + 1
-    mark, fs = _fs(spark, f"{root}/_commits/{number:012d}.{version}")
-    fs.create(mark, False).close()
-    return version
-
-
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest committed version; none before the first."""
-    versions = _versions(spark, root)
-    return spark.read.parquet(f"{root}/{versions[-1][1]}") if versions else None
+    part = f"v-{uuid.uuid4().hex}"
+    rows.write.parquet(f"{root}/{part}")
+    for _ in range(tries):
+        number = max(_commits(spark, root), default=0) + 1
+        try:
+            _commit(spark, root, number, [part])
+        except Conflict:
+            continue
+        return number
+    raise Conflict(f"{root}: {tries} tries")
+
+
+def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
+    """The newest committed version, or the one asked for; none before the first."""
+    numbers = _commits(spark, root)
+    if not numbers:
+        return None
+    return spark.read.parquet(*(f"{root}/{part}" for part in _manifest(spark, root, version or numbers[-1])))
 
 
 def append(rows: DataFrame, path: str) -> None:
