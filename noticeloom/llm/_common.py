@@ -6,7 +6,6 @@ import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,16 +33,16 @@ def shared_dir(spark: SparkSession) -> str:
     return conf.rstrip("/")
 
 
-#: Paths of the tables that the operator now running has written.
-_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+#: Tables that operators now running have written, by the run's number; a thread's own run is a local property of its Spark context.
+_WRITTEN: dict[str, list[str]] = {}
+_RUN = "noticeloom.run"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, and a lost executor loses nothing."""
     path = f"{shared_dir(df.sparkSession)}/noticeloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if (written := _WRITTEN.get()) is not None:
-        written.append(path)
+    _WRITTEN.get(df.sparkSession.sparkContext.getLocalProperty(_RUN) or "", []).append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._noticeloom_path = path
     return out
@@ -65,20 +64,18 @@ def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 
     @functools.wraps(operator)
     def run(*args, **kwargs) -> DataFrame:
-        outer, own = _WRITTEN.get(), []
-        spark = SparkSession.getActiveSession()
-        token = _WRITTEN.set(own)
+        spark = SparkSession.active()
+        outer, own = spark.sparkContext.getLocalProperty(_RUN), uuid.uuid4().hex
+        _WRITTEN[own] = []
+        spark.sparkContext.setLocalProperty(_RUN, own)
         try:
-            out = operator(*args, **kwargs)
-            spark = out.sparkSession
-            kept = materialise(out, operator.__name__)
-            own.remove(kept._noticeloom_path)
+            kept = materialise(operator(*args, **kwargs), operator.__name__)
+            _WRITTEN[own].remove(kept._noticeloom_path)
         finally:
-            _WRITTEN.reset(token)
-            for path in own if spark else []:
+            spark.sparkContext.setLocalProperty(_RUN, outer)
+            for path in _WRITTEN.pop(own):
                 _delete(spark, path)
-        if outer is not None:
-            outer.append(kept._noticeloom_path)
+        _WRITTEN.get(outer or "", []).append(kept._noticeloom_path)
         return kept
 
     return run

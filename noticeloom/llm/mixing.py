@@ -12,7 +12,8 @@ step of the search asks the table of sources for a sum.
 
 Defined results: a null or empty text has no tokens and follows its block's fate; a null source is a source of its own; a
 source without tokens gets no weight; equal ids are ordered by their text's hash, and rows equal in both share one decision;
-an empty table gives no row; extra columns are kept where asked for by ``keep``, which must not repeat the names of the result.
+an empty table gives no row; extra columns are kept where asked for by ``keep``, whatever their names; a very long text is one row whose
+words are counted, and fills its block alone.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticeloom.llm._common import map_rows, materialise, table
+from noticeloom.llm._common import materialise, quoted, table, tidy, unused
 
 BLOCK_TOKENS = 20_000
 #: Hexadecimal digits of a block's place that make a stretch of the permutation: 4,096 stretches a source.
@@ -35,15 +36,13 @@ BUDGET, ENTROPY_SHARE, MAX_EPOCHS = 1.0, 0.95, 4.0
 DRIVER_SOURCES = 10_000
 
 
-def count_tokens(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
-    """``keep``, n_tokens (words between ASCII blanks) and h, the text's MD5, by which equal ids are ordered."""
-
-    def row(raw):
-        import hashlib
-
-        return len((raw or b"").split()), hashlib.md5(raw or b"").hexdigest()
-
-    return map_rows(docs, "n_tokens long, h string", row, keep)
+def counted(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """Every text as _id, _src, n_tokens (words between ASCII blanks) and h, its MD5, by which equal ids are ordered; columns to be kept
+    are _k0, _k1 .., so that none can clash with what is worked out here."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    tokens = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    src = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
+    return docs.select(*(quoted(k).alias(f"_k{i}") for i, k in enumerate(keep)), F.col("doc_id").alias("_id"), src.alias("_src"), tokens.alias("n_tokens"), F.md5(text.cast("binary")).alias("h"))
 
 
 def _bisect(holds: Callable[[float], bool], low: float, high: float) -> float:
@@ -104,10 +103,11 @@ def _order(seed: int, *cols: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(c.cast("string"), F.lit("")) for c in cols)).cast("binary"))
 
 
+@tidy
 def mix(docs: DataFrame, budget_share: float = BUDGET, entropy_share: float | None = ENTROPY_SHARE, max_epochs: float | None = MAX_EPOCHS, block_tokens: int = BLOCK_TOKENS, seed: int = 0, keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
     """One row for each text: ``keep``, n_tokens, its source's weight and full_epochs, the text's copies in the mix, and
-    block, its block's place in the source's permutation."""
-    rows = materialise(count_tokens(docs, keep), "mix-tokens").withColumn("_src", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("")))
+    block, its block's place in the source's permutation; own names that ``keep`` has too get underscores."""
+    rows = materialise(counted(docs, keep), "mix-tokens")
     sources = materialise(rows.groupBy("_src").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "mix-sources")
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     budget = budget_share * total
@@ -119,7 +119,7 @@ def mix(docs: DataFrame, budget_share: float = BUDGET, entropy_share: float | No
     plan = plan.withColumn("full_epochs", F.floor(F.col("want") / F.col("tokens"))).withColumn("rest", F.col("want") - F.col("full_epochs") * F.col("tokens"))
     plan = materialise(plan.withColumn("blocks", F.ceil(F.col("tokens") / F.lit(block_tokens))).drop("tokens", "want"), "mix-plan")
     # the table of sources is small against the texts, and its files' size is known: Spark broadcasts it below its threshold and sorts beyond
-    number = F.conv(F.substring(_order(seed, F.col("doc_id"), F.col("h")), 1, 15), 16, 10).cast("long")
+    number = F.conv(F.substring(_order(seed, F.col("_id"), F.col("h")), 1, 15), 16, 10).cast("long")
     placed = rows.join(plan, "_src", "left").withColumn("_block", F.pmod(number, F.coalesce("blocks", F.lit(1))))
     sums = placed.groupBy("_src", "_block").agg(F.sum("n_tokens").alias("block_tokens"))
     # a source may have very many blocks: they are summed by stretches of the permutation first, so no task holds more than one stretch
@@ -135,14 +135,16 @@ def mix(docs: DataFrame, budget_share: float = BUDGET, entropy_share: float | No
     placed = placed.join(blocks, ["_src", "_block"]).withColumns({"rest": F.coalesce("rest", F.lit(0)), "full_epochs": F.coalesce("full_epochs", F.lit(0))})
     whole = F.col("before") + F.col("block_tokens") <= F.col("rest")
     cut = (F.col("before") < F.col("rest")) & ~whole
-    out = lambda df, more: df.select(*keep, "n_tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"), F.col("full_epochs").cast("long"), (F.col("full_epochs") + more.cast("int")).cast("long").alias("copies"), F.col("block").cast("long"))
+    taken = docs.select(*(quoted(k) for k in keep))
+    named = lambda c, name: c.cast("long").alias(unused(taken, name))
+    out = lambda df, more: df.select(*(F.col(f"_k{i}").alias(k) for i, k in enumerate(keep)), named(F.col("n_tokens"), "n_tokens"), F.coalesce("weight", F.lit(0.0)).alias(unused(taken, "weight")), named(F.col("full_epochs"), "full_epochs"), named(F.col("full_epochs") + more.cast("int"), "copies"), named(F.col("block"), "block"))
     settled = out(placed.where(~cut), whole & (F.col("before") < F.col("rest")))
     # at most one block of each source is cut, and only its texts are ordered one by one; rows equal in id and text are one text there
-    keys = placed.where(cut).groupBy("_src", "_block", F.col("doc_id").alias("_d"), F.col("h").alias("_h")).agg(F.sum("n_tokens").alias("t"))
+    keys = placed.where(cut).groupBy("_src", "_block", F.col("_id").alias("_d"), F.col("h").alias("_h")).agg(F.sum("n_tokens").alias("t"))
     one_by_one = Window.partitionBy("_src", "_block").orderBy(_order(seed + 2, F.col("_d"), F.col("_h"))).rangeBetween(Window.unboundedPreceding, 0)
     keys = keys.select("_d", "_h", F.col("_src").alias("_s"), F.sum("t").over(one_by_one).alias("_sum"))
     some = placed.where(cut)
-    some = some.join(keys, some["doc_id"].eqNullSafe(F.col("_d")) & (some["h"] == F.col("_h")) & (some["_src"] == F.col("_s")))
+    some = some.join(keys, some["_id"].eqNullSafe(F.col("_d")) & (some["h"] == F.col("_h")) & (some["_src"] == F.col("_s")))
     return settled.unionByName(out(some.withColumn("_upto", F.col("before") + F.col("_sum")), F.col("_upto") <= F.col("rest")))
 
 
