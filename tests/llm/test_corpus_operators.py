@@ -290,14 +290,37 @@ def test_contamination_on_random_tables(spark):
         texts.append(" ".join(rng.choices(["so", "then", "x"], k=rng.randint(0, 4)) + b))
     docs = docs_of(spark, [*enumerate(texts)])
     benchmark = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
-    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_matched, r.contaminated) for r in decontam.contamination(docs, benchmark).collect()}
     duck = duckdb.connect()
     for name, df in (("documents", docs), ("benchmark", benchmark)):
         duck.register(name, df.toArrow())
-    rows = {(r[0], r[1]): (r[2], r[3], r[6]) for r in duck.sql(decontam.ORACLES["op8_decontamination"]).fetchall()}
-    # the SQL form judges one place, the operator every one: it may call more texts contaminated, never fewer
-    assert set(rows) <= set(got) and len(rows) > 100
-    assert all(got[k][:2] == rows[k][:2] and got[k][2] >= rows[k][2] for k in rows)
+    # with a short run its rule comes into play, and the windows in a row by which runs are found
+    for run in (decontam.RUN, 7):
+        rows = sorted(duck.sql(decontam.sql_form(run)).fetchall())
+        assert sorted(tuple(r) for r in decontam.contamination(docs, benchmark, run=run).collect()) == rows and len(rows) > 100
+
+
+def test_runs_of_long_items_are_found_wherever_they_lie(spark):
+    """Stretches of a long item whose windows are common elsewhere: every run must meet one of the chosen windows."""
+    import duckdb
+
+    rng = random.Random(8)
+    item = ["w" + chr(97 + i % 26) + chr(97 + i // 26) if i % 3 else "common" for i in range(260)]
+    texts = [" ".join(["zz"] * rng.randint(0, 5) + item[a : a + n] + ["qq"]) for a in range(0, 230, 9) for n in (20, 24, 25, 30)]
+    docs = docs_of(spark, [*enumerate(texts)])
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    duck = duckdb.connect()
+    for name, df in (("documents", docs), ("benchmark", benchmark)):
+        duck.register(name, df.toArrow())
+    want = sorted(duck.sql(decontam.sql_form(24)).fetchall())
+    assert sorted(tuple(r) for r in decontam.contamination(docs, benchmark, run=24).collect()) == want and 50 < len(want) < len(texts)
+
+
+def test_bare_answers_are_left_out(spark):
+    benchmark = spark.createDataFrame([(1, "Yes"), (2, "42"), (3, "Paris"), (4, None), (5, "What is 17 * 24 + 6?"), (6, "in the year 1999")], "item_id long, text string")
+    docs = docs_of(spark, [(1, "Yes, in Paris there are 42 bridges, built in the year 1999."), (2, "So what is 17 * 24 + 6? Yes")])
+    assert [(r.doc_id, r.item_id) for r in decontam.contamination(docs, benchmark).collect()] == [(2, 5)]
+    assert {r.item_id: r.n_words for r in decontam.left_out(benchmark).collect()} == {1: 1, 2: 1, 3: 1, 4: 0, 6: 4}
+    assert [(r.doc_id, r.item_id) for r in decontam.contamination(docs, benchmark, min_words=4).collect() if r.item_id == 6] == [(1, 6)]
 
 
 def test_contamination_searches_every_item_and_text(spark):
@@ -307,9 +330,17 @@ def test_contamination_searches_every_item_and_text(spark):
     texts = [(1, "please Define entropy. Now"), (2, "so he asks What is 17 * 24 + 6? Then"), (3, "Say What is 17 * 24 + 7?"), (4, f"Quote: {passage}. End"), (5, " ".join(words[100:140])), (6, "define entropyless"), (None, f"Here. {ITEM} now"), (None, "clean words of nobody at all")]
     docs = docs_of(spark, texts)
     got = decontam.contamination(docs, benchmark).where("contaminated").collect()
-    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (2, 2), (4, 3), (None, 5)} and len(got) == 4
+    assert {(r.doc_id, r.item_id) for r in got} == {(2, 2), (4, 3), (None, 5)} and len(got) == 3, "two words identify nothing"
     left = decontam.without_contaminated(docs, benchmark)
-    assert left.columns == docs.columns and {(r.doc_id, r.text) for r in left.collect()} == {texts[i] for i in (2, 4, 5, 7)}
+    assert left.columns == docs.columns and {(r.doc_id, r.text) for r in left.collect()} == {texts[i] for i in (0, 2, 4, 5, 7)}
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    rows = [(1, "a b c", "s", 0.5, "x", 9), (2, None, None, 0.1, None, 8), (3, "d e", "s", 0.2, "y", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, weight double, n_tokens string, block int")
+    got = mixing.mix(docs, keep=("doc_id", "source", "weight", "n_tokens", "block")).collect()
+    assert {(r.doc_id, r.weight, r.n_tokens, r.block) for r in got} == {(1, 0.5, "x", 9), (2, 0.1, None, 8), (3, 0.2, "y", 7)}
+    assert {r.doc_id: r.n_tokens_ for r in got} == {1: 3, 2: 0, 3: 2} and all(r.weight_ in (0.0, 1.0) and r.block_ is not None for r in got)
 
 
 def test_contamination_of_nothing(spark):
