@@ -110,9 +110,8 @@ def before(lines: list[str], stops: list[str], noise: tuple[str, ...] = ("发布
     return one_line(" ".join(out))
 
 
-_PHONE = re.compile(rf"[\d\s{P.PHONE_SIGNS}（）()]*(?:{'|'.join(P.PHONE_NOTES)})?[\d\s{P.PHONE_SIGNS}（）()]*(?:（财务）|\(财务\))?")
+_PHONE, _NOTE, _NUMBERS = re.compile(P.PHONE), re.compile(P.PHONE_NOTE), re.compile(P.PHONE_NUMBERS)
 _BEFORE_STOP = re.compile(rf"(?s).+?(?={'|'.join(P.PHONE_STOPS)}|\Z)")
-_NUMBERS_ALONE = re.compile(rf"(?=.{{1,35}}\Z)(?=.*\d{{3}})(?:[\d{P.PHONE_SIGNS}（）()]|{'|'.join(P.PHONE_NOTES)})+")
 
 
 def phone_only(s: str) -> str:
@@ -123,8 +122,10 @@ def phone_only(s: str) -> str:
 
 
 def continues_phone(line: str) -> bool:
-    """Whether a line holds nothing but more numbers, such as ``0351-2221744（财务）``."""
-    return bool(_NUMBERS_ALONE.fullmatch("".join(line.split())))
+    """Whether a line holds nothing but more numbers, such as ``0351-2221744（财务）``: three digits in a row at least, 35 characters at most."""
+    own = "".join(line.split())
+    bare = _NOTE.sub("", own)
+    return len(own) <= 35 and bool(_NUMBERS.fullmatch(bare)) and re.search(r"\d{3}", bare) is not None
 
 
 # How the parties of a contact section and their fields are labelled.

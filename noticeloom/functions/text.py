@@ -191,9 +191,8 @@ def clip(c: Column, n: int = 500) -> Column:
 
 def phone(c: Column) -> Column:
     """The telephone numbers at the start of a value, up to what belongs to another field."""
-    signs = rf"[\d\s{P.PHONE_SIGNS}（）()]*"
     t = strip(F.regexp_extract(squeeze(c), rf"(?s)^(.+?)(?=(?:{'|'.join(P.PHONE_STOPS)})|\z)", 1))
-    head = matched(t, rf"^(?=\s*\S){signs}(?:{'|'.join(P.PHONE_NOTES)})?{signs}(?:（财务）|\(财务\))?")
+    head = strip(F.regexp_extract(t, P.PHONE, 0))
     return strip(strip(F.coalesce(nonempty(head), t)), " ：:，,；;")
 
 

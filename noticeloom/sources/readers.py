@@ -12,6 +12,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from noticeloom.functions import vocabulary as V
 from noticeloom.functions.text import has_any, is_missing, present
 from noticeloom.functions.values import cache_key, is_pdf, publish_cell
+from noticeloom.sources.pdf import pdf_text
 
 LIST_PAGES = "url string, channel string, page int, html string, fetched_at timestamp"
 DETAIL_PAGES = "url string, html string, fetched_at timestamp"
@@ -65,7 +66,7 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_texts(files: DataFrame, *extractors: Callable[[bytes], str]) -> DataFrame:
-    """``text`` of each file: the first extractor that gives one. No extractor is bundled; one that fails counts as giving none."""
+    """``text`` of each file: the first extractor that gives one; one that fails counts as giving none."""
 
     def run(batches):
         for b in batches:
@@ -85,6 +86,11 @@ def file_texts(files: DataFrame, *extractors: Callable[[bytes], str]) -> DataFra
     return files.mapInPandas(run, "path string, text string")
 
 
+def pdf_texts(spark: SparkSession, path: str, *others: Callable[[bytes], str]) -> DataFrame:
+    """(path, text) of the PDFs of a folder: what the library's own reader finds, else what ``others`` do (recognition of pictures, say)."""
+    return file_texts(read_files(spark, path), pdf_text, *others)
+
+
 def cached_texts(pages: DataFrame, cache: DataFrame, url: str = "file_url") -> DataFrame:
     """Pages with what the cache (key, text) holds for their file."""
     return pages.withColumn("key", cache_key(F.col(url))).join(cache, "key", "left")
