@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticeloom.functions import vocabulary as V
@@ -32,20 +32,23 @@ def unknown_titles(items: DataFrame) -> DataFrame:
     return items.where((F.col("kind") == "unknown") & (F.col("channel") == "招标公告")).select("raw_title", "link")
 
 
-def _counted(rows: DataFrame, value: Column, column: str, order: str | None) -> DataFrame:
-    """Most frequent first; equal counts in the order in which they are first seen (by ``order``), else by name."""
+def _counted(rows: DataFrame, value: Column, column: str, order: str | None, ranked: str | None) -> DataFrame:
+    """Most frequent first; equal counts in the order in which they are first seen (by ``order``), else by name. ``ranked``: a column that says which."""
     first = F.min(order) if order else F.min(value)
     got = rows.groupBy(value.alias(column)).agg(F.count("*").alias("n"), first.alias("_first"))
+    if ranked:
+        # all that the one window sees is a row for each value
+        return got.select(column, "n", F.row_number().over(Window.orderBy(F.desc("n"), "_first")).cast("long").alias(ranked))
     return got.orderBy(F.desc("n"), "_first").drop("_first")
 
 
-def kind_counts(rows: DataFrame, column: str = "公共类型", default: str = "未识别", order: str | None = None) -> DataFrame:
-    return _counted(rows, first_of(text(F.col(column)), F.lit(default)), column, order)
+def kind_counts(rows: DataFrame, column: str = "公共类型", default: str = "未识别", order: str | None = None, ranked: str | None = None) -> DataFrame:
+    return _counted(rows, first_of(text(F.col(column)), F.lit(default)), column, order, ranked)
 
 
-def place_counts(rows: DataFrame, column: str = "交易场所", order: str | None = None) -> DataFrame:
+def place_counts(rows: DataFrame, column: str = "交易场所", order: str | None = None, ranked: str | None = None) -> DataFrame:
     """An absent place has a name; an empty one stays empty."""
-    return _counted(rows, F.coalesce(F.col(column), F.lit("未知")), column, order)
+    return _counted(rows, F.coalesce(F.col(column), F.lit("未知")), column, order, ranked)
 
 
 def _long(rows: DataFrame, fields: list[str], measure) -> DataFrame:

@@ -17,6 +17,11 @@ def first_k(rows: DataFrame, group: list[str], order: list[str], k: int) -> Data
     return rows.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).drop("_rank")
 
 
+def ranked_k(rows: DataFrame, group: list[str], order: list[str], k: int, rank: str) -> DataFrame:
+    """The first k rows of each group with their rank."""
+    return rows.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col(rank) <= k)
+
+
 def top_n(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
     """A sort with a limit is one top-n: no full sort, no full shuffle."""
     return rows.orderBy(*order).limit(n)

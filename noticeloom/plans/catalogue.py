@@ -64,8 +64,8 @@ def list_links(spark, d):
 
 @query(r"""SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS h1 FROM pages""")
 def page_titles(spark, d):
-    h = F.col("html")
-    return _t(spark, d, "pages").select("page_id", F.regexp_extract(h, "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract(h, "<h1>([^<]*)</h1>", 1).alias("h1"))
+    """A page's title and first heading, by the library's rule for a pattern's first group."""
+    return _t(spark, d, "pages").select("page_id", extract.group(F.col("html"), "<title>([^<]*)</title>").alias("title"), extract.group(F.col("html"), "<h1>([^<]*)</h1>").alias("h1"))
 
 
 @query(
@@ -99,8 +99,10 @@ f AS (SELECT page_id, href, min(pos) AS pos FROM l GROUP BY 1, 2), r AS (SELECT
 SELECT page_id, href, k::INTEGER AS k FROM r WHERE k <= 10"""
 )
 def links_first_ten(spark, d):
-    rows = _t(spark, d, "pages").select("page_id", F.posexplode(F.slice(F.array_distinct(pages.links(F.col("html"))), 1, 10)).alias("k", "href"))
-    return rows.select("page_id", "href", (F.col("k") + 1).alias("k"))
+    """The first ten links of a page, each once, in the order in which they stand."""
+    rows = _t(spark, d, "pages").select("page_id", F.posexplode(pages.links(F.col("html"))).alias("pos", "href"))
+    once = relations.first_k(rows, ["page_id", "href"], ["pos"], 1)
+    return relations.ranked_k(once, ["page_id"], ["pos"], 10, "k").select("page_id", "href", "k")
 
 
 @query(
@@ -149,10 +151,10 @@ def inline_digest(spark, d):
 @query(
     r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents),
 n AS (SELECT doc_id, i, trim(regexp_replace(replace(replace(replace(x, '&nbsp;', ' '), chr(160), ' '), chr(12288), ' '), '[ \t\r\f\v]+', ' ', 'g')) AS x FROM l)
-SELECT doc_id, md5(string_agg(x, chr(10) ORDER BY i)) AS digest FROM n WHERE x <> '' GROUP BY 1"""
+SELECT doc_id, md5(coalesce(lines, '')) AS digest FROM documents LEFT JOIN (SELECT doc_id, string_agg(x, chr(10) ORDER BY i) AS lines FROM n WHERE x <> '' GROUP BY 1) USING (doc_id)"""
 )
 def lines_digest(spark, d):
-    return _t(spark, d, "documents").where(F.length(T.normalised(F.col("text"))) > 0).select("doc_id", F.md5(T.normalised(F.col("text")).cast("binary")).alias("digest"))
+    return _t(spark, d, "documents").select("doc_id", F.md5(T.normalised(F.col("text")).cast("binary")).alias("digest"))
 
 
 @query("SELECT p_partkey, replace(p_brand, '#', '') || p_size AS code FROM part")
