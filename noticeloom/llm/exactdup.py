@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm._common import discard, materialise, quoted, table, text_column
+from noticeloom.llm._common import discard, materialise, quoted, table, text_column, tidy
 from noticeloom.llm.induced import MEMORY, Scratch, descending_suffixes
 
 LENGTH, SEED = 200, 64
@@ -263,6 +263,7 @@ def _judged(texts: DataFrame, length: int, seed: int, shard: int, group: int, me
     return out.unionByName(found.groupBy("anchor", "span").agg(F.flatten(F.collect_list("runs")).alias("runs")))
 
 
+@tidy
 def repeated_intervals(docs: DataFrame, length: int = LENGTH, seed: int = SEED, shard: int = SHARD, group: int = GROUP, memory: int = MEMORY) -> DataFrame:
     """doc_id, k (hash of the text) and runs, the byte intervals to remove, unsorted and overlapping, of every text that has any."""
     rows = materialise(_anchor_rows(docs, length, seed), "anchors")

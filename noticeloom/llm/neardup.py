@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm._common import discard, map_rows, materialise, table, text_key
+from noticeloom.llm._common import discard, map_rows, materialise, table, text_key, tidy
 from noticeloom.llm.graph import components
 
 BANDS, ROWS = 40, 5
@@ -254,6 +254,7 @@ def _tiles(members: DataFrame, reps: DataFrame, docs: DataFrame, least: list[tup
     return near.join(texts, "rid").groupBy(*place).applyInArrow(compare, "u long, v long").distinct()
 
 
+@tidy
 def near_duplicates(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 100, bands: int = BANDS, rows: int = ROWS, miss: float = MISS, tile: int = TILE) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id, kept of every text; texts are linked when ``whole * both >= part * union``."""
     n_values = bands * rows

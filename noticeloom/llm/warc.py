@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm._common import materialise, table
+from noticeloom.llm._common import materialise, table, tidy
 
 MIN_REVISIT = 100
 #: Segments are closed when they hold this many compressed bytes; a single larger record is a segment of its own.
@@ -183,6 +183,7 @@ def import_archives(spark, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content")
 
 
+@tidy
 def op9_warc(spark, sf_dir: str) -> DataFrame:
     segments = write_archives(table(spark, sf_dir, "pages"))
     return read_archives(segments, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
