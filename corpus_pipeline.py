@@ -16,7 +16,8 @@ from noticeloom.llm._common import discard, map_rows, materialise, quoted, table
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: documents with a score of 0.7 or more go."""
+    """Operator 10: documents with a score of 0.7 or more go. Null and empty texts are scored as empty ones and repeated rows each for itself;
+    rows without an id are scored, and not learned from; an empty table stays empty, as the model then calls nothing toxic."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~toxicity.is_held_out())
     verdict = unused(docs, "is_toxic")
     scored = map_rows(docs, f"{verdict} int", lambda raw, state: (toxicity.score_text(raw, model, state)[1],), keep=tuple(docs.columns), setup=model.start)
@@ -27,7 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Operator 6 on shingles of five words, similarity 0.8 or more: of each group the document with the smallest id stays.
 
     Rows are told apart by id and text: of two texts under one id each has its own verdict, and equal rows leave once."""
-    judged = materialise(neardup.near_duplicates(docs, k=5).where("doc_id IS NOT NULL"), "near-duplicates")
+    judged = neardup.near_duplicates(docs, k=5).where("doc_id IS NOT NULL")
     left = without(docs, judged.where("NOT kept"))
     again = judged.where("kept").groupBy("doc_id", "text_key").count().where("count > 1")
     if again.isEmpty():
@@ -36,7 +37,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: bytes of repeated strings of 200 bytes are cut, whole characters at a time; n_chars follows."""
+    """Operator 4: bytes of repeated strings of 200 bytes are cut, whole characters at a time; n_chars follows. Null texts stay null, shorter texts
+    as they are; of repeated rows every one is cut; an empty table stays empty."""
 
     def row(raw, runs):
         if raw is None:
@@ -52,12 +54,14 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: documents that hold a benchmark item, or one with other names and numbers, go."""
+    """Operator 8: documents that hold a benchmark item, or one with other names and numbers, go, whatever their id; null and empty texts stay;
+    repeated rows go or stay together; items of fewer than five words are not looked for."""
     return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: how often, and in which block, each document is in the mix."""
+    """Operator 7: how often, and in which block, each document is in the mix; null and empty texts have no tokens and follow their block;
+    repeated rows share one decision; an empty table gives no row."""
     return mixing.mix(docs)
 
 
