@@ -143,10 +143,26 @@ def tolerant_json(c: Column, schema: str) -> Column:
 
 
 def charset(header: Column, body: Column) -> Column:
-    """The character set that a header, or else a page's first 8,000 bytes, names; utf-8 otherwise."""
+    """The character set that a header, or else a page's first 8,000 bytes, names; else the one that its bytes look like."""
     own = r"(?i)charset\s*=\s*[\"']?([A-Za-z0-9_\-]+)"
     head = F.decode(F.substring(body, 1, 8000), "ISO-8859-1")
-    return F.lower(first_of(F.regexp_extract(text(header), own, 1), F.regexp_extract(head, own, 1), F.lit("utf-8")))
+    return F.lower(first_of(F.regexp_extract(text(header), own, 1), F.regexp_extract(head, own, 1), charset_guess(body)))
+
+
+def charset_guess(body: Column, looked_at: int = 65_536) -> Column:
+    """utf-8, gb18030, big5 or iso-8859-1, by the bytes above ASCII of a page's first ``looked_at``: those that are whole UTF-8 characters are UTF-8;
+    those that mostly stand alone are Latin; of pairs it decides whether more lie where GB 18030 has its frequent characters, or Big5. utf-8
+    where there is nothing to tell by, or neither has a third of the pairs; a character that the end cuts through does not count."""
+    s = F.decode(F.substring(F.coalesce(body, F.lit(b"")), 1, looked_at), "ISO-8859-1")
+    s = F.regexp_replace(s, r"[\x80-\xff]{1,3}\z", "")
+    n = lambda c, p: F.regexp_count(c, F.lit(p))
+    broken = n(F.regexp_replace(s, r"[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}", " "), r"[\x80-\xff]")
+    high, alone = n(s, r"[\x80-\xff]"), n(s, r"(?<![\x80-\xff])[\x80-\xff](?![\x80-\xff])")
+    # every pair is ended by a mark, so that no pair is told by the halves of two
+    pairs = F.regexp_replace(F.replace(s, F.lit("\x00"), F.lit(" ")), r"([\x81-\xfe][\x40-\x7e\x80-\xfe])", "$1\x00")
+    gb, big5, every = n(pairs, "[\\xb0-\\xd7][\\xa1-\\xfe]\\x00"), n(pairs, "[\\xa4-\\xc6][\\x40-\\x7e\\xa1-\\xfe]\\x00"), n(pairs, "\\x00")
+    found = F.when(gb >= big5, F.when((gb > 0) & (gb * 3 >= every), "gb18030")).when(big5 * 3 >= every, "big5")
+    return F.when(broken == 0, "utf-8").when(alone * 2 > high, "iso-8859-1").otherwise(F.coalesce(found, F.lit("utf-8")))
 
 
 def is_pdf(content: Column) -> Column:

@@ -12,12 +12,14 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, MapType, StringType, StructField, StructType
 
 from noticeloom.functions.text import first_of, is_missing, text
 from noticeloom.functions.titles import title_kind
+from noticeloom.sources.writers import landed
 
 
 Model = Callable[[str], str]
@@ -85,9 +87,69 @@ def model_fields(pages: DataFrame, model: Model, retries: int = 2, pace: float =
     return pages.mapInPandas(run, StructType([*pages.schema.fields, StructField("values", MapType(StringType(), StringType()))]))
 
 
+def answered(asked: DataFrame, model: Callable, store: str, version: str, rate: float = 0.0, tasks: int = 8, round_size: int = 200, retries: int = 2) -> DataFrame:
+    """``asked`` (phase, prompt) with key, answer, error, calls, prompt_tokens and completion_tokens: each distinct prompt of a version is asked once.
+
+    Answers are kept in the table ``store`` under the SHA-256 of version and prompt; what it holds is not asked again, in this run or a
+    later one. New prompts are asked in rounds of ``round_size``, each written down before the next begins: what a lost task or a broken run
+    has to ask again is at most its own part of one round. ``rate`` is calls a second of the whole run: each of ``tasks`` tasks keeps to its share.
+    ``model`` returns its answer, or that and its token usage as a dict; an answer that failed after all tries has an error and is asked again next time.
+    """
+    spark = asked.sparkSession
+    keyed = asked.withColumn("key", F.sha2(F.concat_ws("\x00", F.lit(version), F.col("prompt")), 256))
+    out = "key string, answer string, error string, calls long, prompt_tokens long, completion_tokens long"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for key, prompt in zip(b["key"], b["prompt"], strict=True):
+                answer, error, usage, n = None, None, {}, 0
+                while answer is None and n <= retries:
+                    n += 1
+                    if rate:
+                        time.sleep(tasks / rate)
+                    try:
+                        got = model(prompt or "")
+                        answer, usage = got if isinstance(got, tuple) else (got, {})
+                    except Exception as e:  # noqa: BLE001  a model's failure is an outcome to report
+                        error = type(e).__name__
+                rows.append((key, answer, error if answer is None else None, n, int(usage.get("prompt_tokens", 0)), int(usage.get("completion_tokens", 0))))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in out.split(", ")])
+
+    known = landed_rows(spark, store, out)
+    todo = landed(keyed.where("prompt IS NOT NULL").select("key", "prompt").distinct().join(known.select("key"), "key", "left_anti"), "asked")
+    # rounds are ranges of keys, which are hashes: about equal, whatever the prompts
+    n_rounds = max(1, -(-todo.count() // round_size))
+    part = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * n_rounds / F.lit(1 << 32))
+    for i in range(n_rounds):
+        got = todo.where(part == i).repartition(tasks, "key").mapInPandas(run, out)
+        got = landed(got, "answers")
+        got.where("error IS NULL").write.mode("append").parquet(store)
+        failed = got.where("error IS NOT NULL") if i == 0 else failed.unionByName(got.where("error IS NOT NULL"))
+    every = landed_rows(spark, store, out).dropDuplicates(["key"]).unionByName(failed)
+    return keyed.join(every, "key", "left")
+
+
+def landed_rows(spark, path: str, ddl: str) -> DataFrame:
+    """The rows of an append-only table; none where it has not been written yet."""
+    try:
+        return spark.read.schema(ddl).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], ddl)
+
+
+def usage(answers: DataFrame) -> DataFrame:
+    """What ``answered`` cost by phase, as ``audit.token_totals`` takes it: a prompt asked in several phases is a cost of the first by name."""
+    one = answers.where("calls IS NOT NULL").groupBy("key").agg(F.min("phase").alias("phase"), F.first("prompt_tokens").alias("prompt_tokens"), F.first("completion_tokens").alias("completion_tokens"))
+    return one.select("phase", "prompt_tokens", "completion_tokens")
+
+
 def supplemented(projects: DataFrame, answers: DataFrame, key: str = "项目名称") -> DataFrame:
     """Missing fields filled from the answers (project, values); what is there stays."""
-    got = answers.groupBy("project").agg(F.first("values").alias("_values"))
+    one = answers.withColumn("_o", F.to_json("values"))
+    got = one.groupBy("project").agg(F.min_by("values", "_o").alias("_values"))
     both = projects.join(got, projects[key] == got["project"], "left")
     pick = lambda c: F.when(is_missing(F.col(c)) & (text(F.col("_values")[c]) != ""), F.col("_values")[c]).otherwise(F.col(c))
     return both.select(*(F.col(c) if c == key else pick(c).alias(c) for c in projects.columns))

@@ -219,6 +219,17 @@ underlined_region = over("string", _underlined_region)
 main_content = over("struct<text:string,source:string>", _main)
 
 
+def _decoded(body: bytes | None, charset: str | None) -> str:
+    try:
+        return (body or b"").decode("gb18030" if charset in ("gbk", "gb2312") else charset or "utf-8", "replace")
+    except LookupError:
+        return (body or b"").decode("utf-8", "replace")
+
+
+#: The text of a page's bytes in a character set; what cannot be read in it is U+FFFD, and an unknown set counts as utf-8.
+decoded = over("string", _decoded)
+
+
 def file_ids(html: Column) -> Column:
     """(type, id) of the PDF behind a detail page, in either encoding of its address."""
     forms = [r"openFileById\?fileType%3D(\d+)%26id%3D([a-f0-9]+)", r"openFileById\?fileType=(\d+)&id=([a-f0-9]+)"]

@@ -13,7 +13,7 @@ from noticeloom.functions import values as X
 from noticeloom.functions import vocabulary as V
 from noticeloom.operators import audit, enrich, extract, ordered, pages, projects, relations
 from noticeloom.plans.catalogue import _t, query
-from noticeloom.sources import buckets, keyed, readers, writers
+from noticeloom.sources import buckets, envelopes, keyed, readers, writers
 
 #: Columns are made when they are asked for: a module can be imported without a session.
 def K() -> Column:
@@ -369,6 +369,17 @@ def section_envelope(spark, d):
     return audit.union_all([count(csv, "csv"), count(readers.read_json_list(spark, f"{path}/data", ["项目名称"], lines=True), "json"), total])
 
 
+@query("SELECT c_custkey, c_name || ' {\"}' AS name, c_mktsegment AS kind, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE '}{' || c_nationkey END AS body FROM customer")
+def envelope_ranges(spark, d):
+    """Envelopes of a nation's customers, texts full of braces and quotes, read by ranges of their bytes."""
+    one = F.struct(_cat(F.col("c_name"), ' {"}').alias("项目名称"), F.col("c_mktsegment").alias("公共类型"), F.when(K() % 4 != 0, _cat("}{", F.col("c_nationkey"))).alias("公告内容"), K().cast("string").alias("id"))
+    meta = F.struct(F.lit('s"}').alias("source"), F.lit("gczb").alias("section"))
+    path = writers.scratch(spark, "envelopes")
+    _t(spark, d, "customer").groupBy("c_nationkey").agg(F.collect_list(one).alias("data")).select(F.to_json(F.struct(meta.alias("metadata"), "data")).alias("value")).write.text(path)
+    got = envelopes.read_envelopes(spark, path, ["id", "项目名称", "公共类型", "公告内容"])
+    return got.select(F.col("id").cast("long").alias("c_custkey"), F.col("项目名称").alias("name"), F.col("公共类型").alias("kind"), F.col("公告内容").alias("body"))
+
+
 @query("SELECT CASE WHEN c_custkey % 3 = 0 THEN 'a' ELSE 'b' END AS kind, 'json' AS form, count(*) AS n, CASE WHEN c_custkey % 3 = 0 THEN 'x,y' ELSE 'y' END AS fields FROM customer GROUP BY ALL UNION ALL SELECT 'c', 'json', 0, 'x'")
 def kinds_written(spark, d):
     """Records written by kind, each with its own fields; a kind without records is written too."""
@@ -603,6 +614,16 @@ def model_supplement(spark, d):
     return enrich.supplemented(rows, answers).select(F.col("项目名称").cast("long").alias("c_custkey"), F.col("招标人").alias("tenderer"), F.col("监督部门").alias("supervisor"))
 
 
+@query("SELECT c_custkey, upper(c_mktsegment) || c_nationkey AS answer, 1 AS calls, length(c_mktsegment || c_nationkey) AS prompt_tokens FROM customer")
+def answers_kept(spark, d):
+    """Every distinct prompt of a run asked once (here of a function), its usage beside the answer; a second run finds all of them in the store."""
+    asked = _t(spark, d, "customer").select("c_custkey", F.lit("kind").alias("phase"), _cat(F.col("c_mktsegment"), F.col("c_nationkey")).alias("prompt"))
+    store = writers.scratch(spark, "store")
+    enrich.answered(asked, lambda prompt: (prompt.upper(), {"prompt_tokens": len(prompt)}), store, "v1")
+    again = enrich.answered(asked, lambda prompt: 1 / 0, store, "v1", retries=0)
+    return again.select("c_custkey", "answer", "calls", "prompt_tokens")
+
+
 @query("SELECT 'l' || o_custkey AS link, min(CASE WHEN o_orderkey % 2 = 0 THEN 'current' ELSE 'history' END) AS source_mode FROM orders GROUP BY 1")
 def history_added(spark, d):
     """This run's items and their projects' others, each link once, this run's first."""

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.functions import vocabulary as V
@@ -49,15 +50,27 @@ def write_json(rows: DataFrame, path: str, columns: list[str] | None = None) ->
     (rows.select(*columns) if columns else rows).write.mode("overwrite").json(path, ignoreNullFields=False)
 
 
-def write_envelope(rows: DataFrame, path: str, section: str, now: Column, days: int, fields: list[str]) -> None:
+def write_counted(rows: DataFrame, write: Callable[[DataFrame], None], **counts: Column) -> dict[str, int]:
+    """Write ``rows`` by ``write`` and count on the way: each of ``counts`` is an aggregate over what is written, seen as it passes; no second job."""
+    seen = Observation(f"counts-{uuid.uuid4().hex}")
+    write(rows.observe(seen, *(c.alias(k) for k, c in counts.items())))
+    return seen.get
+
+
+def write_envelope(rows: DataFrame, path: str, section: str, now: Column, days: int, fields: list[str]) -> dict[str, int]:
     """A section's records, one JSON object a line and as CSV with the section's columns (none without records), and beside them the
-    metadata of the envelope: at scale the records stay distributed."""
-    rows.write.mode("overwrite").json(f"{path}/data", ignoreNullFields=False)
-    written = rows.sparkSession.read.schema(rows.schema).json(f"{path}/data")
-    if not written.isEmpty():
+    metadata of the envelope: at scale the records stay distributed. Returns the records written and how many have each field; both are counted
+    while they are written, and the metadata takes them from there."""
+    spark = rows.sparkSession
+    own = [f for f in fields if f in rows.columns]
+    filled = {f"filled_{i}": F.count_if(F.coalesce(text(F.col(f"`{f}`")) != "", F.lit(False))) for i, f in enumerate(own)}
+    told = write_counted(rows, lambda r: r.write.mode("overwrite").json(f"{path}/data", ignoreNullFields=False), total=F.count("*"), **filled)
+    if told["total"]:
+        written = spark.read.schema(rows.schema).json(f"{path}/data")
         write_csv(written, f"{path}/csv", [*fields, *(c for c in V.SECTION_EXTRA if c not in fields and c in rows.columns)])
-    meta = written.agg(F.count("*").alias("total_count")).select(F.lit("全国公共资源交易平台（山西省）").alias("source"), F.lit(section).alias("section"), "total_count", F.date_format(now, "yyyy-MM-dd HH:mm:ss").alias("crawl_time"), F.lit(days).alias("days_lookback"), F.array(*map(F.lit, fields)).alias("fields"))
-    meta.write.mode("overwrite").json(f"{path}/metadata")
+    meta = spark.range(1).select(F.lit("全国公共资源交易平台（山西省）").alias("source"), F.lit(section).alias("section"), F.lit(told["total"]).cast("long").alias("total_count"), F.date_format(now, "yyyy-MM-dd HH:mm:ss").alias("crawl_time"), F.lit(days).alias("days_lookback"), F.array(*map(F.lit, fields)).alias("fields"))
+    meta.coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
+    return {"total": told["total"]} | {f: told[f"filled_{i}"] for i, f in enumerate(own)}
 
 
 def write_by_kind(rows: DataFrame, path: str, fields: dict[str, list[str]], kind: str = "_subtype_") -> None:
