@@ -368,4 +368,16 @@ def op4_exactdup(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op4_exactdup": op4_exactdup}
-ORACLES: dict[str, str] = {}
+# every window of every text by its digest: those that two windows have are repeated, and what they cover is cut
+ORACLES = {
+    "op4_exactdup": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, i, md5(b[i + 1:i + {LENGTH}]) AS g FROM (SELECT r, b, unnest(range(octet_length(b) - {LENGTH - 1})) AS i FROM d WHERE octet_length(b) >= {LENGTH})),
+s AS (SELECT r, i FROM w JOIN (SELECT g FROM w GROUP BY 1 HAVING count(*) > 1) USING (g)),
+n AS (SELECT r, min(i) AS a, max(i) + {LENGTH} AS z FROM (SELECT r, i, sum(CASE WHEN i - before <= {LENGTH} THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS island
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM s)) GROUP BY r, island),
+k AS (SELECT r, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, list(a ORDER BY a) AS starts, list(z ORDER BY a) AS ends FROM n GROUP BY 1)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE list_reduce(list_transform(range(len(starts) + 1), lambda j: substr(h, CASE WHEN j = 0 THEN 1 ELSE 2 * ends[j] + 1 END,
+    CASE WHEN j = len(starts) THEN len(h) ELSE 2 * starts[j + 1] - CASE WHEN j = 0 THEN 0 ELSE 2 * ends[j] END END)), lambda x, y: x || y) END)) AS kept_sha256
+FROM d LEFT JOIN k USING (r)"""
+}

@@ -202,5 +202,45 @@ def op12_secrets(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(n(k).alias(f"n_{k}") for k in KINDS[:3]), F.sha2(base.cast("binary"), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
 
 
+def _either_case(words: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in words)
+
+
+def sql_form() -> str:
+    """The counterpart for DuckDB. It has no places of matches, so matches are marked in the text and places counted up to the marks; the models are
+    made from the characters as rows."""
+    keys = "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
+    kinds = {  # what comes before the value, the value, its least length
+        "assign": (rf"(?:{keys})[\"'']?\x20*[:=]\x20*[\"'']?", "[A-Za-z0-9+/_.=-]+", MIN_VALUE), "access": ("", "AKIA[A-Z0-9]+", 18), "hex": ("", "[0-9a-f]+", 16),
+        "token": ("", f"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}", 0), "long": ("", f"[A-Za-z0-9]{{{MIN_TOKEN},}}", 0),
+    }
+    marked = " UNION ALL ".join(f"SELECT r, '{k}' AS kind, {i} AS rank, {least} AS least, regexp_replace(t, '({before})({value})', chr(1) || '\\1' || chr(2) || '\\2' || chr(3), 'g') AS m FROM d" for i, (k, (before, value, least)) in enumerate(kinds.items()))
+    state = f"strpos('{ALPHABET.decode()}', c)"
+    ratio = lambda rows: f"SELECT k, sum(ratio) AS score FROM ({rows}) JOIN model USING (a, b) GROUP BY 1"
+    chars = lambda token: f"SELECT k, coalesce(lag(s) OVER (PARTITION BY k ORDER BY i), 0) AS a, s AS b FROM (SELECT k, i, {state} AS s FROM (SELECT k, unnest(string_split({token}, '')) AS c, unnest(range(len({token}))) AS i FROM c))"
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), chr(1) || chr(2) || chr(3), chr(4) || chr(4) || chr(4)) AS t FROM documents),
+m AS ({marked}),
+p AS (SELECT r, kind, rank, least, unnest(string_split(m, chr(1))) AS part, unnest(range(len(string_split(m, chr(1))))) AS k FROM m),
+q AS (SELECT *, sum(length(translate(part, chr(2) || chr(3), ''))) OVER (PARTITION BY r, kind ORDER BY k) - length(translate(part, chr(2) || chr(3), '')) AS s0,
+  length(split_part(part, chr(2), 1)) AS n_before, split_part(split_part(part, chr(2), 2), chr(3), 1) AS value FROM p),
+s AS (SELECT r, kind, rank, s0::BIGINT AS s, (s0 + n_before + length(value))::BIGINT AS e, value FROM q WHERE k > 0 AND length(value) >= least),
+base AS (SELECT * FROM s WHERE rank < 3),
+blank AS (SELECT DISTINCT r, unnest(range(s, e)) AS i FROM s WHERE kind <> 'token'),
+ch AS (SELECT r, i, CASE WHEN b.i IS NULL THEN {state} ELSE 0 END AS s FROM (SELECT r, unnest(string_split(t, '')) AS c, unnest(range(length(t))) AS i FROM d WHERE t <> '') LEFT JOIN blank b USING (r, i)),
+o AS (SELECT 0 AS label, coalesce(lag(s) OVER (PARTITION BY r ORDER BY i), 0) AS a, s AS b FROM ch),
+v AS (SELECT row_number() OVER () AS k, value FROM base), x AS (SELECT 1 AS label, coalesce(lag(s) OVER (PARTITION BY k ORDER BY i), 0) AS a, s AS b FROM (SELECT k, i, {state} AS s FROM (SELECT k, unnest(string_split(value, '')) AS c, unnest(range(length(value))) AS i FROM v))),
+n AS (SELECT label, a, b, count(*)::DOUBLE AS n FROM (SELECT * FROM o UNION ALL SELECT * FROM x) WHERE b > 0 GROUP BY 1, 2, 3),
+g AS (SELECT l.label, a.a, b.b, coalesce(n.n, 0) AS n, sum(coalesce(n.n, 0)) OVER (PARTITION BY l.label, a.a) AS every FROM (SELECT unnest([0, 1]) AS label) l, (SELECT unnest(range({SIZE})) AS a) a, (SELECT unnest(range({SIZE})) AS b) b LEFT JOIN n ON n.label = l.label AND n.a = a.a AND n.b = b.b),
+pr AS (SELECT label, a, b, n, CASE WHEN label = 0 THEN (n + {SMOOTH}) / (every + {SMOOTH} * {SIZE}) WHEN every > 0 THEN {1 - UNIFORM} * (n + {SMOOTH}) / (every + {SMOOTH} * {SIZE}) + {UNIFORM} / ({SIZE} - 1) ELSE 1.0 / ({SIZE} - 1) END AS p FROM g),
+model AS (SELECT a, b, CASE WHEN b = 0 THEN 0 ELSE ln(y.p) - ln(z.p) END AS ratio, z.n AS n0, y.n AS n1 FROM pr y JOIN pr z USING (a, b) WHERE y.label = 1 AND z.label = 0),
+mean AS (SELECT CASE WHEN sum(n0) > 0 AND sum(n1) > 0 THEN greatest(0, (sum(n0 * ratio) / sum(n0) + sum(n1 * ratio) / sum(n1)) / 2) ELSE 0 END AS mean FROM model),
+c AS (SELECT row_number() OVER () AS k, r, s, e, value, lower(value) AS small FROM s t WHERE kind = 'token' AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = t.r AND b.s < t.e AND b.e > t.s)),
+f AS (SELECT r, 'markov' AS kind, 3 AS rank, s, e FROM c JOIN ({ratio(chars("value"))}) hi USING (k) JOIN ({ratio(chars("small"))}) low USING (k), mean
+  WHERE least(hi.score, low.score) >= greatest({-math.log(FALSE)}, mean * (e - s))),
+y AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3) AS base, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans
+  FROM (SELECT r, kind, rank, s, e FROM base UNION ALL SELECT * FROM f) GROUP BY 1)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN y USING (r)"""
+
+
 QUERIES = {"op12_secrets": op12_secrets}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op12_secrets": sql_form()}

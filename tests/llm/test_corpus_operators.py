@@ -390,3 +390,19 @@ def test_very_long_texts(spark):
     assert {r.doc_id: r.n_tokens for r in mixing.mix(docs).collect()}[1] == 200_000
     pages = docs.selectExpr("doc_id AS page_id", "'u' AS url", "text AS html")
     assert {r.page_id: r.payload_bytes for r in warc.read_archives(warc.write_archives(pages)).collect()}[2] == len(near)
+
+
+def test_exact_duplicates_beside_their_sql_form(spark):
+    """Shared passages at every offset, overlapping ones, texts of several bytes a character, copies and odd rows."""
+    import duckdb
+
+    rng = random.Random(6)
+    say = lambda n: "".join(rng.choices("abcdefgh é新", k=n))
+    shared = [say(260) for _ in range(4)]
+    texts = [say(rng.randint(0, 90)) + rng.choice(shared)[rng.randint(0, 40) :] + say(rng.randint(0, 300)) + rng.choice(shared)[: rng.randint(150, 260)] for _ in range(40)]
+    texts += [texts[0], "ab" * 150, "x" * 199, "x" * 200, "", None]
+    docs = docs_of(spark, [*enumerate(texts)])
+    duck = duckdb.connect()
+    duck.register("documents", docs.toArrow())
+    want = sorted(duck.sql(exactdup.ORACLES["op4_exactdup"]).fetchall())
+    assert sorted(tuple(r) for r in exactdup.dedup_report(docs).collect()) == want and sum(r[3] for r in want) > 40
