@@ -124,9 +124,17 @@ def aligned(new: DataFrame, snapshot: DataFrame, ordinal: str, key: str = "项
     return got.select(*(F.coalesce("_known", new[key]).alias(c) if c == key else new[c] for c in new.columns))
 
 
-def history_of(projects: DataFrame, notices: DataFrame, from_step: int = 1) -> DataFrame:
+#: Fixed value: how many days back a project's history is searched.
+HISTORY_DAYS = 4000
+
+
+def history_of(projects: DataFrame, notices: DataFrame, from_step: int = 1, today: Column | None = None, days: int = HISTORY_DAYS, date: str = "date") -> DataFrame:
     """Notices of every project: those whose title contains its name of four characters or more (the site's search), of the stages from
-    ``from_step`` on; a notice of a channel without a stage comes with every step."""
+    ``from_step`` on; a notice of a channel without a stage comes with every step. With ``today``, those of the last ``days`` days; a notice whose
+    ``date`` is missing or cannot be read stays."""
+    if today is not None:
+        day = F.col(date).try_cast("date")
+        notices = notices.where(day.isNull() | (day >= F.date_sub(today, days)))
     stage = F.coalesce(*(F.when(F.col("channel") == k, F.lit(v)) for k, v in STAGES.items()), F.lit(9)) if from_step > 1 else None
     own = notices if stage is None else notices.where(stage >= from_step)
     pairs = containing(projects.select(F.col("项目名称").alias("project")), own.select(F.col("raw_title").alias("_title")), "project", "_title", 4)

@@ -28,10 +28,13 @@ def top_n(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
 
 
 def filled(main: DataFrame, key: str, sources: list[DataFrame], columns: list[str], order: str | None = None) -> DataFrame:
-    """``main`` with ``columns`` from the first source that has a value, main's own first, then each of ``sources`` in turn."""
+    """``main`` with ``columns`` from the first source that has a value, main's own first, then each of ``sources`` in turn. Of several
+    rows of a source for a key the one counts whose values come first in their order, whatever order the rows come in."""
     out = main
     for i, s in enumerate(sources):
-        out = out.join(s.select(key, *(F.col(c).alias(f"_{i}_{c}") for c in columns if c in s.columns)).dropDuplicates([key]), key, "left")
+        own = [c for c in columns if c in s.columns]
+        one = s.groupBy(key).agg(F.min(F.struct(*(F.col(c).alias(f"_{i}_{c}") for c in own))).alias("_one")) if own else s.select(key).distinct()
+        out = out.join(one.select(key, "_one.*") if own else one, key, "left")
 
     def pick(c: str) -> Column:
         own = [F.col(c)] if c in main.columns else []

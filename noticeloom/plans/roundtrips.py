@@ -11,7 +11,7 @@ from noticeloom.functions import text as T
 from noticeloom.functions import titles as C
 from noticeloom.functions import values as X
 from noticeloom.functions import vocabulary as V
-from noticeloom.operators import audit, enrich, extract, ordered, pages, projects, relations
+from noticeloom.operators import audit, enrich, extract, ordered, pages, projects, relations, search
 from noticeloom.plans.catalogue import _t, query
 from noticeloom.sources import buckets, envelopes, keyed, readers, writers
 
@@ -498,6 +498,16 @@ def history_matches(spark, d):
     return got.select("project", "o_orderkey")
 
 
+@query("SELECT 'k' || unnest([1, 2, 3]) AS search, unnest([(SELECT count(*) FROM part WHERE p_name ILIKE '%steel%'), (SELECT count(*) FROM part WHERE p_name ILIKE '%a_d%e%'), (SELECT count(*) FROM part WHERE p_name ILIKE '%%')]) AS n")
+def keyword_index(spark, d):
+    """Keywords with and without wildcards, found by the index of pairs of characters in two inserts' files."""
+    rows, root = _t(spark, d, "part").select(P().alias("id"), F.col("p_name").alias("title"), F.lit("2026").alias("crawled_at"), F.col("p_brand").alias("category"), F.lit("x").alias("ann_type")), writers.scratch(spark, "index")
+    for k in (0, 1):
+        search.insert_indexed(rows.where(F.col("id") % 2 == k), root)
+    one = lambda i, word: search.search(spark, root, word, limit=2**31 - 1).agg(F.count("*").alias("n")).select(F.lit(f"k{i}").alias("search"), "n")
+    return audit.union_all([one(1, "steel"), one(2, "a_d%e"), one(3, "%")])
+
+
 @query("SELECT '工程第' || c_custkey || '号' AS known, CASE WHEN c_custkey % 2 = 0 THEN '某市工程第' || c_custkey || '号施工' ELSE '工程第' || c_custkey || '号' END AS probe FROM customer")
 def aligned_names(spark, d):
     """New rows under the names the snapshot knows them by."""
