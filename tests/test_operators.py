@@ -216,7 +216,7 @@ def test_a_write_that_breaks_off_leaves_the_old_table(spark, tmp_path, monkeypat
     assert writers.read_snapshot(spark, root) is None
     writers.write_snapshot(spark.range(3), root)
     # the version is written, its commit is not
-    monkeypatch.setattr(writers, "_versions", lambda *_: 1 / 0)
+    monkeypatch.setattr(writers, "_commit", lambda *_: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         writers.write_snapshot(spark.range(5), root)
     monkeypatch.undo()
