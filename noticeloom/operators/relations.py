@@ -11,6 +11,13 @@ from noticeloom.functions import vocabulary as V
 from noticeloom.functions.text import first_of, text
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a scan that comes in fewer pieces than there are cores (a file of one row group is one) dealt to all of them, ahead of costly
+    work on every row; a scan of enough pieces is left as it is, so nothing is shuffled at scale."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def first_k(rows: DataFrame, group: list[str], order: list[str], k: int) -> DataFrame:
     """The first k rows of each group; Spark prunes to k in the map tasks."""
     w = Window.partitionBy(*group).orderBy(*order)

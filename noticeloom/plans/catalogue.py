@@ -74,7 +74,7 @@ b AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(t, '(?is)<sty
 SELECT page_id, length(trim(regexp_replace(t, '[\s\x{3000}\x{a0}]+', ' ', 'g')))::INTEGER AS n, md5(trim(regexp_replace(t, '[\s\x{3000}\x{a0}]+', ' ', 'g'))) AS digest FROM b"""
 )
 def visible_text_digest(spark, d):
-    t = _t(spark, d, "pages").select("page_id", pages.visible_text(F.col("html")).alias("t"))
+    t = relations.spread(_t(spark, d, "pages")).select("page_id", pages.visible_text(F.col("html")).alias("t"))
     return t.select("page_id", F.length("t").alias("n"), F.md5(F.col("t").cast("binary")).alias("digest"))
 
 
@@ -145,7 +145,7 @@ _WS = r"[\s\x{3000}\x{a0}\x{85}\x{2028}\x{2029}]"
 
 @query(rf"""SELECT doc_id, md5(regexp_replace(trim(regexp_replace(replace(replace(replace(text, '&nbsp;', ' '), chr(160), ' '), chr(12288), ' '), '{_WS}+', ' ', 'g')), '^[：:，,；;。 ]+|[：:，,；;。 ]+$', '', 'g')) AS digest FROM documents""")
 def inline_digest(spark, d):
-    return _t(spark, d, "documents").select("doc_id", F.md5(T.inline(F.col("text")).cast("binary")).alias("digest"))
+    return relations.spread(_t(spark, d, "documents")).select("doc_id", F.md5(T.inline(F.col("text")).cast("binary")).alias("digest"))
 
 
 @query(
@@ -199,7 +199,7 @@ _CASE = lambda i: "CASE o_orderkey % {n} {w} END".format(n=len(_ENDINGS), w=" ".
 @query(f"SELECT o_orderkey, {_CASE(1)} AS kind, {_CASE(2)} AS label FROM orders")
 def title_kinds(spark, d):
     t = F.concat(F.lit("工程"), F.col("o_orderkey").cast("string"), _ending(F.col("o_orderkey")))
-    return _t(spark, d, "orders").select("o_orderkey", C.title_kind(t).alias("kind"), C.kind_label(t).alias("label"))
+    return relations.spread(_t(spark, d, "orders")).select("o_orderkey", C.title_kind(t).alias("kind"), C.kind_label(t).alias("label"))
 
 
 _LEFT = {"施工": "施工", "二次延期公告": "二次"}
@@ -208,7 +208,7 @@ _LEFT = {"施工": "施工", "二次延期公告": "二次"}
 @query(f"SELECT o_orderkey, '工程' || o_orderkey || '号' || {'CASE o_orderkey % {n} {w} ELSE {e} END'.format(n=len(_ENDINGS), w=' '.join(f'WHEN {k} THEN {chr(39)}{_LEFT[x[0]]}{chr(39)}' for k, x in enumerate(_ENDINGS) if x[0] in _LEFT), e=chr(39) * 2)} AS name FROM orders")
 def canonical_titles(spark, d):
     t = F.concat(F.lit(" 工程"), F.col("o_orderkey").cast("string"), F.lit("号"), _ending(F.col("o_orderkey")), F.lit("　。"))
-    return _t(spark, d, "orders").select("o_orderkey", C.canonical_title(t).alias("name"))
+    return relations.spread(_t(spark, d, "orders")).select("o_orderkey", C.canonical_title(t).alias("name"))
 
 
 @query(
@@ -238,7 +238,7 @@ def subtype_routes(spark, d):
 
 
 def _notices(spark, d):
-    o = _t(spark, d, "orders").join(_t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(_t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    o = relations.spread(_t(spark, d, "orders")).join(_t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(_t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     day = F.date_format("o_orderdate", "yyyy年MM月dd日")
     phone = F.concat(F.lit("0351-"), (F.lit(1000000) + F.col("o_orderkey") % 8999999).cast("string"))
     lines = ["一、招标条件", F.concat(F.lit("招标编号：HXZB-FW"), F.date_format("o_orderdate", "yyyyMMdd")), "四、招标文件的获取", F.concat(F.lit("获取时间："), day, F.lit("09时00分至"), day, F.lit("17时00分")), "六、开标时间及地点", F.concat(F.lit("开标时间："), day, F.lit("09时30分")), "七、其他", "八、监督部门", F.concat(F.lit("本招标项目的监督部门为"), F.col("n_name"), F.lit("局。")), "九、联系方式", F.concat(F.lit("招 标 人："), F.col("c_name")), F.concat(F.lit("地    址："), F.col("n_name")), F.concat(F.lit("联 系 人："), F.col("c_mktsegment")), F.concat(F.lit("电　话："), phone), F.concat(F.lit("招标代理机构："), F.col("o_orderpriority")), F.concat(F.lit("地 址："), F.col("c_mktsegment")), "联系人：无名", "电话：0351-7654321", "招标人或其招标代理机构主要负责人（签章）"]
@@ -268,7 +268,7 @@ def document_notice(spark, d):
 @query("SELECT o_orderkey, 'E' || lpad(o_orderkey::VARCHAR, 19, '0') || '；HXZB-FW' || strftime(o_orderdate, '%Y%m%d') AS codes FROM orders")
 def code_extract(spark, d):
     t = F.concat(F.lit("<p>项目编号：E "), F.lpad(F.col("o_orderkey").cast("string"), 19, "0"), F.lit("</p>2.2 招标编号：HXZB-FW "), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("2.3 招标内容"))
-    return _t(spark, d, "orders").select("o_orderkey", extract.project_codes(t, t).alias("codes"))
+    return relations.spread(_t(spark, d, "orders")).select("o_orderkey", extract.project_codes(t, t).alias("codes"))
 
 
 @query(
@@ -286,7 +286,7 @@ def lot_candidates(spark, d):
 @query("SELECT l_orderkey, l_linenumber, 'S' || l_suppkey || '公司' AS winner, trunc(l_quantity)::INTEGER || '元' AS price FROM lineitem")
 def winner_pairs(spark, d):
     t = F.concat(F.lit("一、中标人信息\n00"), F.col("l_linenumber").cast("string"), F.lit("第一标段：\n中标人：S"), F.col("l_suppkey").cast("string"), F.lit("公司\n中标价格："), F.col("l_quantity").cast("int").cast("string"), F.lit("元\n二、其他公示内容\n无"))
-    rows = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", extract.winner_pairs(t).alias("w"))
+    rows = relations.spread(_t(spark, d, "lineitem")).select("l_orderkey", "l_linenumber", extract.winner_pairs(t).alias("w"))
     return rows.select("l_orderkey", "l_linenumber", F.array_join("w.names", "、").alias("winner"), F.array_join("w.prices", "、").alias("price"))
 
 
@@ -517,7 +517,7 @@ def audit_issues(spark, d):
     k = F.col("o_orderkey")
     there = F.when(k % 2 == 0, "暂无").otherwise("有")
     kinds = F.when(k % 3 == 0, "招标公告").when(k % 3 == 1, "招标公告；中标结果公示").otherwise("中标候选人公示")
-    rows = _t(spark, d, "orders").select(k.cast("string").alias("项目名称"), kinds.alias("公告类型"), there.alias("监督部门"), there.alias("招标人"))
+    rows = relations.spread(_t(spark, d, "orders")).select(k.cast("string").alias("项目名称"), kinds.alias("公告类型"), there.alias("监督部门"), there.alias("招标人"))
     return audit.issues(projects.as_projects(rows)).groupBy("issue").agg(F.count("*").alias("n"), F.countDistinct("项目名称").alias("projects"))
 
 
