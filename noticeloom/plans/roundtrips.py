@@ -11,7 +11,7 @@ from noticeloom.functions import text as T
 from noticeloom.functions import titles as C
 from noticeloom.functions import values as X
 from noticeloom.functions import vocabulary as V
-from noticeloom.operators import audit, enrich, extract, ordered, pages, projects, relations, search
+from noticeloom.operators import audit, auditlog, enrich, extract, ordered, pages, projects, relations, search
 from noticeloom.plans.catalogue import _t, query
 from noticeloom.sources import buckets, envelopes, keyed, readers, writers
 
@@ -477,6 +477,21 @@ def report_text(spark, d):
     return lines.groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
 
 
+@query(
+    """SELECT 'unknown' AS kind, '标题' || c_custkey AS name, 'http://x/' || c_custkey AS said FROM customer WHERE c_custkey % 2 = 0
+UNION ALL SELECT 'issue', '项目' || c_custkey, unnest(CASE WHEN c_custkey % 3 = 0 THEN ['中标人未提取', '开标时间未提取'] ELSE ['中标人未提取'] END) FROM customer WHERE c_custkey % 2 = 1"""
+)
+def audit_log_back(spark, d):
+    """An audit's log written as text and read back into unknown notices and issues."""
+    rows, path = _t(spark, d, "customer"), writers.scratch(spark, "log")
+    unknown = rows.where(K() % 2 == 0).select(_cat("标题", K()).alias("raw_title"), _cat("http://x/", K()).alias("link"))
+    issues = rows.where(K() % 2 == 1).select(_cat("项目", K()).alias("project"), F.when(K() % 3 == 0, F.array(F.lit("中标人未提取"), F.lit("开标时间未提取"))).otherwise(F.array(F.lit("中标人未提取"))).alias("fields"))
+    # one file holds a log: its lines in order are one partition's
+    auditlog.log_lines(unknown, issues, F.lit("2026-06-01 00:00:00").cast("timestamp")).orderBy("part", "place").coalesce(1).select("value").write.text(path)
+    told, found = auditlog.read_log(spark, path)
+    return told.select(F.lit("unknown").alias("kind"), F.col("raw_title").alias("name"), F.col("link").alias("said")).unionByName(found.select(F.lit("issue").alias("kind"), F.col("project").alias("name"), F.col("issue").alias("said")))
+
+
 # ---- rows with rows
 
 
