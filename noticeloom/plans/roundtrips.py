@@ -697,6 +697,27 @@ def stream_projects(spark, d):
     return writers.read_snapshot(spark, root).select(F.col("项目名称").alias("name"), F.col("公告类型").alias("kinds"), F.col("招标人").alias("tenderer"))
 
 
+@query(
+    """WITH p AS (SELECT p_size AS page, p_brand, p_partkey, p_name, CASE WHEN p_size = 40 THEN '2026-01-15' ELSE '2026-' || lpad((p_size % 9 + 4)::VARCHAR, 2, '0') || '-15' END AS date FROM part), l AS (SELECT min(page) AS last FROM p WHERE date = '2026-01-15')
+SELECT page::BIGINT AS page, p_partkey AS id, p_name AS title, date FROM p, l WHERE (last IS NULL OR page <= last) AND date <> '2026-01-15'"""
+)
+def stream_sections(spark, d):
+    """List pages of a section, one for each size, that land in no order: the stream stores items up to the page that has an older one."""
+    from noticeloom.streaming import sections
+
+    size, k = F.col("p_size"), F.col("p_partkey")
+    date = F.when(size == 40, "2026/01/15").otherwise(_cat("2026/", F.lpad((size % 9 + 4).cast("string"), 2, "0"), "/15"))
+    item = _cat('<a href="/x/jyxxgczb/', k, '.jhtml"><span>', F.col("p_name"), "</span> ", date, "</a>")
+    rows = _t(spark, d, "part").groupBy("p_size").agg(F.array_join(F.array_sort(F.collect_list(item)), "").alias("html")).select(F.lit("gczb").alias("section"), F.lit("1").alias("run"), size.cast("long").alias("page"), "html")
+    path = _landed(spark, rows.repartition(2, F.xxhash64("page")), "pages")
+    root, out = writers.scratch(spark, "state"), writers.scratch(spark, "items")
+    stream = spark.readStream.schema("section string, run string, page long, html string").option("maxFilesPerTrigger", 1).parquet(path)
+    sections.store_sections(sections.page_items(stream, F.lit("2026-04-01").cast("date")), root, out, writers.scratch(spark, "progress")).awaitTermination()
+    sections.flush(spark, root, out)
+    title = F.regexp_replace("title", r"\s*\d{4}[/-]\d{2}[/-]\d{2}$", "")
+    return keyed.read_keyed(spark, out).select("page", F.col("detail_id").cast("long").alias("id"), title.alias("title"), "date")
+
+
 # ---- the rest of the notices' fields
 
 
