@@ -4,7 +4,7 @@ Every text is cut into words, the words are numbered, and hashes of several n-gr
 numpy. What counts is the share of a text's characters that lie inside duplicated n-grams and duplicated lines.
 
 Defined results: a null or empty text has no words, fails the base rule and is not kept; a text shorter than an n-gram has
-no characters in it; ties and repeated rows are judged each for itself; columns other than the id and the text are ignored.
+no characters in it; ties and repeated rows are judged each for itself; columns other than the id and the text are ignored; an empty table gives no row.
 A task holds one text's arrays at a time, so very long texts cost memory in proportion to their own length only.
 """
 

@@ -11,7 +11,9 @@ header lines and Content-Length frame the block, and the digests of block and pa
 
 Defined results: a null html is an empty payload; a null url has no target header; line breaks in a url are escaped; page
 rows with equal id and equal payload are judged alike, each as its own record; a null page_id gives a record without a page
-id, which is a response; columns other than page_id, url and html are ignored; an empty table gives an empty archive.
+id, which is a response; of equal payloads under equal smallest ids (a tie) every record is a
+response; a very long page is a segment of its own and costs its task memory in proportion to its length; columns other than page_id, url and html are
+ignored; an empty table gives an empty archive.
 """
 
 from __future__ import annotations

@@ -285,6 +285,12 @@ def test_license_scan_is_linear():
     assert took[1] < 25 * took[0] + 1
 
 
+def test_empty_tables_give_no_row(odd):
+    none = odd.limit(0)
+    assert licenses.scan_licenses(none).count() == 0 and language.identify(none, {}).count() == 0
+    assert language.identify(none, {"en": b"the quick brown fox"}).count() == 0
+
+
 def test_license_odd_rows(odd):
     rows = licenses.scan_licenses(odd).collect()
     assert len(rows) == len(ODD) and all(r.labels == "" and r.score == 0 for r in rows)
