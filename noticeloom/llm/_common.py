@@ -15,8 +15,16 @@ from pyspark.sql import functions as F
 BATCH_BYTES = 8 << 20
 
 
+#: Tables whose rows cost far more to work on than to deal out.
+COSTLY = ("documents",)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the given folder. One of long texts that comes in fewer pieces than there are cores (a file of one row group is one) is dealt to all
+    of them; with enough pieces, as at any size that matters, it is read as it is."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in COSTLY and df.rdd.getNumPartitions() < cores else df
 
 
 def shared_dir(spark: SparkSession) -> str:
