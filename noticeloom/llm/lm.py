@@ -30,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from noticeloom.llm._common import input_bytes, materialise, shuffle_partitions, table, text_column, tidy
 
