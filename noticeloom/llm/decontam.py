@@ -45,12 +45,18 @@ _SLOT = f"[{NUM}{NAME}{UNIT}]"
 _PLAIN = r"\p{N}+(?:[.,]\p{N}+)*|\p{L}+"
 
 
+def _flat(pattern: str) -> str:
+    """For the JVM: its ``(...)*`` goes one call deeper with each turn, and a run of many thousand names or digits would end the executor. What
+    follows these groups can be empty, so they never give anything back: as possessive ones they match the same, in a loop."""
+    return pattern.replace(")*", ")*+")
+
+
 def tagged(text: Column) -> Column:
     """The text with every name, number and unit marked and ended."""
     own = F.contains(text, F.lit(NUM)) | F.contains(text, F.lit(NAME)) | F.contains(text, F.lit(UNIT)) | F.contains(text, F.lit(END))
     text = F.when(own, F.translate(text, NUM + NAME + UNIT + END, "    ")).otherwise(text)
-    text = F.regexp_replace(text, _NAMES, f"$1{NAME}$2{END}")
-    text = F.regexp_replace(text, _NUMBERS, f" {NUM}$1{END}{UNIT}$2{END}$3")
+    text = F.regexp_replace(text, _flat(_NAMES), f"$1{NAME}$2{END}")
+    text = F.regexp_replace(text, _flat(_NUMBERS), f" {NUM}$1{END}{UNIT}$2{END}$3")
     return F.lower(F.replace(text, F.lit(UNIT + END), F.lit(" ")))
 
 
@@ -94,7 +100,7 @@ def _key() -> Column:
 
 def _words(text: Column) -> Column:
     """Words and numbers as they stand; unlike the template they do not depend on what is around a passage."""
-    return F.regexp_extract_all(F.lower(text), F.lit(_PLAIN), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(_flat(_PLAIN)), F.lit(0))
 
 
 def _places(tokens: Column, n: int, key: str, df: DataFrame, at: str) -> DataFrame:
