@@ -269,7 +269,8 @@ def list_rows(pages: DataFrame, counted: bool = False, since: Column | None = No
         end = F.when(empty, F.col("page"))
     ends = pages.groupBy("channel").agg(F.min(end).alias("end"))
     rows = pages.join(ends, "channel", "left").where(F.col("end").isNull() | (F.col("page") < F.col("end")))
-    rows = rows.select("channel", "page", F.posexplode("items").alias("pos", "i")).select("channel", "page", "pos", "i.*")
+    # outer: Spark puts a test for items ahead of a plain explode, and with it the parsing, once more and on this side of any exchange
+    rows = rows.select("channel", "page", F.posexplode_outer("items").alias("pos", "i")).select("channel", "page", "pos", "i.*")
     rows = rows.where("raw_title <> '' AND link <> ''").withColumn("link", secure_url(resolve(F.col("link"))))
     if since is not None:
         rows = rows.where(F.coalesce(list_date(F.col("date")) >= since, F.lit(True)))
@@ -326,7 +327,8 @@ def section_rows(pages: DataFrame, section: str, cutoff: Column) -> DataFrame:
 
 def frame_rows(pages: DataFrame, per_group: int | None = None) -> DataFrame:
     """Items of framed list pages (section, category, page, html); at most ``per_group`` of each section and category, in page order."""
-    rows = pages.select("section", "category", "page", F.posexplode(frame_items("html")).alias("pos", "i")).select("section", "category", "page", "pos", "i.*")
+    # outer, as in list_rows: else pages are parsed twice
+    rows = pages.select("section", "category", "page", F.posexplode_outer(frame_items("html")).alias("pos", "i")).where("pos IS NOT NULL").select("section", "category", "page", "pos", "i.*")
     if per_group is None:
         return rows
     from noticeloom.operators.relations import first_k
