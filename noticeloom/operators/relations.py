@@ -11,12 +11,12 @@ from noticeloom.functions import vocabulary as V
 from noticeloom.functions.text import first_of, text
 
 
-def spread(rows: DataFrame, pieces: int = 4) -> DataFrame:
+def spread(rows: DataFrame, pieces: int = 4, by: str | None = None) -> DataFrame:
     """Rows of a scan dealt to all cores, ``pieces`` for each core or each split of the scan, ahead of costly work on every row. Splits do not tell
     how rows lie: a row group is read by one of them whole, so a table of one row group comes as one full piece and empty ones. Named
-    as a number, so that pieces which are small in bytes and long in work are not put together again."""
+    as a number, so that pieces which are small in bytes and long in work are not put together again. ``by``: rows of an equal value together."""
     n = max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
-    return rows.repartition(pieces * n)
+    return rows.repartition(pieces * n, by) if by else rows.repartition(pieces * n)
 
 
 def first_k(rows: DataFrame, group: list[str], order: list[str], k: int) -> DataFrame:
