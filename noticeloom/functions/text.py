@@ -9,7 +9,7 @@ import html
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeloom.functions import patterns as P
@@ -116,6 +116,15 @@ def unescape_all(c: Column) -> Column:
     return F.pandas_udf(run, "string")(c)
 
 
+def unescape_each(c: Column) -> Column:
+    """The same for every text of an array."""
+
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda xs: [html.unescape(x) for x in xs], na_action="ignore")
+
+    return F.pandas_udf(run, "array<string>")(c)
+
+
 COMMON_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
 
 
@@ -124,10 +133,12 @@ def unescape_common(c: Column) -> Column:
     return reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), COMMON_ENTITIES.items(), c)
 
 
+_RARE = r"&(?!(?:lt|gt|quot|#39|nbsp|amp);)(?:#\w+|[A-Za-z]\w*);?"
+
+
 def unescape(c: Column) -> Column:
     """All entities; Python sees only texts with one that the JVM does not know."""
-    rare = r"&(?!(?:lt|gt|quot|#39|nbsp|amp);)(?:#\w+|[A-Za-z]\w*);?"
-    return F.when(c.rlike(rare), unescape_all(F.when(c.rlike(rare), c))).otherwise(unescape_common(c))
+    return F.when(c.rlike(_RARE), unescape_all(F.when(c.rlike(_RARE), c))).otherwise(unescape_common(c))
 
 
 _BLANK_ENTITY = r"&nbsp;|&ensp;|&emsp;|\u00a0"
@@ -141,14 +152,28 @@ def html_line(c: Column) -> Column:
 BLOCKS = "p|div|li|tr|h1|h2|h3|h4|h5|h6"
 
 
-def html_lines(c: Column) -> Column:
-    """A fragment of HTML as lines, one for each block element."""
-    t = F.regexp_replace(unescape(text(c)), rf"(?i)<\s*br\s*/?\s*>|</\s*(?:{BLOCKS})\s*>|<\s*(?:{BLOCKS})[^>]*>", "\n")
+def _block_lines(c: Column) -> Column:
+    """What ``html_lines`` does behind the entities."""
+    t = F.regexp_replace(c, rf"(?i)<\s*br\s*/?\s*>|</\s*(?:{BLOCKS})\s*>|<\s*(?:{BLOCKS})[^>]*>", "\n")
     t = F.regexp_replace(F.regexp_replace(t, r"<[^>]+>", ""), _BLANK_ENTITY, " ")
     each = F.transform(F.split(t, r"\r\n|[\n\r\u000b\u000c\u0085\u2028\u2029]"), lambda x: strip(F.regexp_replace(x, r"[ \t]+", " ")))
     return F.array_join(F.filter(each, lambda x: x != ""), "\n")
 
 
+def html_lines(c: Column) -> Column:
+    """A fragment of HTML as lines, one for each block element."""
+    return _block_lines(unescape(text(c)))
+
+
+def html_lines_each(rows: DataFrame, parts: Column, name: str) -> DataFrame:
+    """``rows`` with ``name``: an array of fragments, each as ``html_lines`` gives it. The array crosses to Python at most once, and only where one
+    of its fragments has an entity that the JVM does not know; empty fragments cost nothing."""
+    odd = F.exists(F.col(name), lambda x: x.rlike(_RARE))
+    rows = rows.withColumn(name, F.transform(parts, text))
+    plain = F.coalesce(unescape_each(F.when(odd, F.col(name))), F.transform(F.col(name), unescape_common))
+    return rows.withColumn(name, plain).withColumn(name, F.transform(F.col(name), lambda x: F.when(x != "", _block_lines(x)).otherwise("")))
+
+
 def page_text(c: Column, max_chars: int | None = 16_000) -> Column:
     """A whole page as lines of text: without scripts, styles and frames, up to its footer."""
     t = F.regexp_replace(text(c), r"(?is)<(script|style|noscript|iframe)\b[^>]*>.*?</\1\s*>|<!--.*?-->", "\n")

@@ -83,7 +83,7 @@ def data_url(content: Column, mime: str = "image/png") -> Column:
 
 def lookup(code: Column, table: dict, default: Column | None = None) -> Column:
     """The label of a code, from a table that is part of the plan."""
-    got = F.coalesce(*(F.when(strip(text(code)) == str(k), F.lit(v)) for k, v in table.items()))
+    got = F.try_element_at(F.create_map(*(F.lit(str(x)) for pair in table.items() for x in pair)), strip(text(code)))
     return F.coalesce(got, F.lit("") if default is None else default)
 
 
