@@ -28,10 +28,16 @@ def first_of(*cs: Column) -> Column:
     return F.coalesce(*(nonempty(c) for c in cs), F.lit(""))
 
 
+#: What ``(?U)\\s`` covers: the characters with Unicode's property White_Space.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column, marks: str = "") -> Column:
     """Without blanks, or without ``marks``, at both ends."""
-    own = r"\s" if not marks else "[" + "".join("\\" + m for m in marks) + "]"
-    return F.regexp_replace(c, rf"(?U)^{own}+|{own}+$" if not marks else rf"^{own}+|{own}+$", "")
+    if not marks:
+        return F.btrim(c.cast("string"), F.lit(BLANKS))
+    own = "[" + "".join("\\" + m for m in marks) + "]"
+    return F.regexp_replace(c, rf"^{own}+|{own}+$", "")
 
 
 def squeeze(c: Column) -> Column:
