@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -119,6 +121,52 @@ def text_column(batch: pa.RecordBatch, at: str | int = "text") -> Iterator[bytes
     return (x.as_py() for x in col)
 
 
+_given_back = 0.0
+
+
+def give_back() -> None:
+    """Memory that Arrow and the allocator hold without using it, back to the system: a Python worker is kept for the tasks of later stages, and its
+    executor is charged for what it holds until then."""
+    global _given_back
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library than glibc
+    _given_back = time.monotonic()
+
+
+def _behind(size: int) -> None:
+    # a function of the module, not of the closure that is sent: the time is the worker's own
+    if size > 256 << 10 or time.monotonic() - _given_back > 1:
+        give_back()
+
+
+def lean(f: Callable) -> Callable:
+    """``f``, for mapInArrow, giving memory back when its task ends."""
+
+    @functools.wraps(f)
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def lean_groups(f: Callable) -> Callable:
+    """``f``, for applyInArrow, giving memory back behind a large group, and once a second."""
+
+    @functools.wraps(f)
+    def run(t: pa.Table) -> pa.Table:
+        out = f(t)
+        _behind(t.nbytes)
+        return out
+
+    return run
+
+
 def map_rows(df: DataFrame, schema: str, row: Callable, keep: tuple[str, ...] = ("doc_id",), text: str = "text", setup: Callable | None = None) -> DataFrame:
     """One row out for each row in: ``keep`` columns as they are, then what ``row(bytes or None)`` returns.
 
@@ -155,7 +203,7 @@ def map_rows(df: DataFrame, schema: str, row: Callable, keep: tuple[str, ...] =
                 yield flush(batch.num_rows)
 
     # columns go by place, so none of the kept ones can clash with the text
-    return df.select(*(quoted(k).alias(f"_{i}") for i, k in enumerate(keep)), quoted(text).alias("_text")).mapInArrow(run, out_type)
+    return df.select(*(quoted(k).alias(f"_{i}") for i, k in enumerate(keep)), quoted(text).alias("_text")).mapInArrow(lean(run), out_type)
 
 
 def quoted(name: str) -> Column:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm._common import discard, materialise, quoted, table, text_column, tidy
+from noticeloom.llm._common import discard, lean, lean_groups, materialise, quoted, table, text_column, tidy
 from noticeloom.llm.induced import MEMORY, Scratch, descending_suffixes
 
 LENGTH, SEED = 200, 64
@@ -154,7 +154,7 @@ def _anchor_rows(docs: DataFrame, length: int, seed: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.select("doc_id", F.xxhash64("text").alias("k"), "text").mapInArrow(run, ROWS)
+    return docs.select("doc_id", F.xxhash64("text").alias("k"), "text").mapInArrow(lean(run), ROWS)
 
 
 def repeated_runs(spans: list[bytes], length: int, memory: int = MEMORY) -> list[list[tuple[int, int]]]:
@@ -197,7 +197,7 @@ def _sorted_verdicts(texts: DataFrame, shards: int, length: int, memory: int) ->
         ends = np.array([e for r in runs for e in r], np.int64).reshape(-1, 2)
         return pa.table([t.column("anchor"), t.column("span"), _lists(np.cumsum([0, *map(len, runs)]), ends[:, 0], ends[:, 1])], schema=kind)
 
-    return texts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInArrow(judge, RUNS)
+    return texts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInArrow(lean_groups(judge), RUNS)
 
 
 PIECES = "anchor long, span long, whole_anchor long, whole_span long, at int, c long, bytes binary"
@@ -240,7 +240,7 @@ def _pieces(texts: DataFrame, length: int, seed: int, width: int) -> DataFrame:
         hashes = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in cols[:2]]
         return pa.RecordBatch.from_arrays([*hashes, *(pa.array(c, schema.field(i + 2).type) for i, c in enumerate(cols[2:]))], schema=schema)
 
-    return texts.select("anchor", "span", "c", "bytes").mapInArrow(run, PIECES)
+    return texts.select("anchor", "span", "c", "bytes").mapInArrow(lean(run), PIECES)
 
 
 def _judged(texts: DataFrame, length: int, seed: int, shard: int, group: int, memory: int, widths: tuple[int, ...]) -> DataFrame:
@@ -350,7 +350,7 @@ def apply_runs(docs: DataFrame, intervals: DataFrame, schema: str, row, keep: tu
     found = intervals.select(F.col("doc_id").alias("_d"), F.col("k").alias("_k"), F.col("runs").alias("_runs"))
     rows = docs.select(*(quoted(k).alias(f"_{i}") for i, k in enumerate(keep)), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"), F.col("text").alias("_text"))
     rows = rows.join(found, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_k")), "left")
-    return rows.select(*(f"_{i}" for i in range(len(keep))), "_text", "_runs").mapInArrow(run, out_type)
+    return rows.select(*(f"_{i}" for i in range(len(keep))), "_text", "_runs").mapInArrow(lean(run), out_type)
 
 
 def dedup_report(docs: DataFrame, **options) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm._common import discard, map_rows, materialise, table, text_key, tidy
+from noticeloom.llm._common import discard, lean, lean_groups, map_rows, materialise, table, text_key, tidy
 from noticeloom.llm.graph import components
 
 BANDS, ROWS = 40, 5
@@ -149,7 +149,7 @@ def _prune(pairs: DataFrame, sigs: DataFrame, least: list[tuple[int, int]]) -> D
                 yield pa.RecordBatch.from_arrays([x.column(0).take(keep), x.column(1).take(keep)], schema=PAIR)
 
     u, v = (sigs.select(F.col("rid").alias(k), F.col("sig").alias(f"sig_{k}")) for k in "uv")
-    return pairs.join(u, "u").join(v, "v").select("u", "v", "sig_u", "sig_v").mapInArrow(run, "u long, v long")
+    return pairs.join(u, "u").join(v, "v").select("u", "v", "sig_u", "sig_v").mapInArrow(lean(run), "u long, v long")
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, part: int, whole: int) -> DataFrame:
@@ -178,7 +178,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, part: in
     pairs = materialise(pairs, "survivors")
     texts = _texts(docs, reps, pairs.select(F.col("u").alias("rid")).unionByName(pairs.select(F.col("v").alias("rid"))).distinct())
     u, v = (texts.select(F.col("rid").alias(k), F.col("text").alias(f"text_{k}")) for k in "uv")
-    return pairs.join(u, "u").join(v, "v").select("u", "v", "text_u", "text_v").mapInArrow(run, "u long, v long")
+    return pairs.join(u, "u").join(v, "v").select("u", "v", "text_u", "text_v").mapInArrow(lean(run), "u long, v long")
 
 
 def common(a: np.ndarray, b: np.ndarray) -> int:
@@ -248,10 +248,10 @@ def _tiles(members: DataFrame, reps: DataFrame, docs: DataFrame, least: list[tup
         u, v = zip(*links, strict=True) if links else ((), ())
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())}, schema=PAIR)
 
-    near = rows.groupBy(*place).applyInArrow(candidates, "key long, tile int, part int, role int, rid long, label long, stray boolean, sig binary")
+    near = rows.groupBy(*place).applyInArrow(lean_groups(candidates), "key long, tile int, part int, role int, rid long, label long, stray boolean, sig binary")
     near = materialise(near, "tile-candidates")
     texts = _texts(docs, reps, near.select("rid").distinct())
-    return near.join(texts, "rid").groupBy(*place).applyInArrow(compare, "u long, v long").distinct()
+    return near.join(texts, "rid").groupBy(*place).applyInArrow(lean_groups(compare), "u long, v long").distinct()
 
 
 @tidy
