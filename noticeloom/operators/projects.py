@@ -20,6 +20,12 @@ def _windows(c: Column, n: int) -> Column:
     return F.when(F.length(c) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substring(c, i, F.lit(n)))))
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` as the side of a join that both sides are shuffled for: Spark takes texts put together, and windows, for a tenth of their size and less,
+    and would send them to the driver and to every executor."""
+    return rows.hint("merge")
+
+
 def containing(inner: DataFrame, outer: DataFrame, i: str, o: str, n: int) -> DataFrame:
     """Pairs of distinct texts (columns ``i`` of ``inner`` and ``o`` of ``outer``) where the outer one contains the inner one of ``n`` characters
     or more.
@@ -30,8 +36,8 @@ def containing(inner: DataFrame, outer: DataFrame, i: str, o: str, n: int) -> Da
     own = inner.select(i).distinct().withColumn("w", F.explode(_windows(F.col(i), n)))
     other = outer.select(o).distinct().withColumn("w", F.explode(_windows(F.col(o), n)))
     counts = other.groupBy("w").agg(F.count("*").alias("c"))
-    rarest = own.join(counts, "w", "left").groupBy(i).agg(F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "w")).alias("r")).where("r.c > 0").select(i, F.col("r.w").alias("w"))
-    return rarest.join(other, "w").where(F.contains(F.col(o), F.col(i))).select(i, o)
+    rarest = own.join(_dealt(counts), "w", "left").groupBy(i).agg(F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "w")).alias("r")).where("r.c > 0").select(i, F.col("r.w").alias("w"))
+    return rarest.join(_dealt(other), "w").where(F.contains(F.col(o), F.col(i))).select(i, o)
 
 
 def blocked_matches(probes: DataFrame, names: DataFrame, probe: str, name: str, ordinal: str) -> DataFrame:
@@ -39,10 +45,10 @@ def blocked_matches(probes: DataFrame, names: DataFrame, probe: str, name: str,
     five characters or more)."""
     p = probes.select(inline(F.col(probe)).alias("p")).distinct()
     n = names.select(F.col(name).alias("n"), F.col(ordinal).alias("o")).groupBy("n").agg(F.min("o").alias("o"))
-    exact = p.join(n, p["p"] == n["n"]).select("p", "o")
-    rest = p.join(exact.select("p"), "p", "left_anti")
+    exact = p.join(_dealt(n), p["p"] == n["n"]).select("p", "o")
+    rest = p.join(_dealt(exact.select("p")), "p", "left_anti")
     pairs = containing(rest, n, "p", "n", MIN_NAME).unionByName(containing(n, rest, "n", "p", MIN_NAME))
-    near = pairs.join(n, "n").groupBy("p").agg(F.min("o").alias("o"))
+    near = pairs.join(_dealt(n), "n").groupBy("p").agg(F.min("o").alias("o"))
     return exact.unionByName(near).select(F.col("p").alias(probe), F.col("o").alias(ordinal))
 
 
@@ -119,8 +125,8 @@ def aligned(new: DataFrame, snapshot: DataFrame, ordinal: str, key: str = "项
     """New rows under the name that the snapshot knows them by. Rows are matched with the previous snapshot only, not with each other: containment is
     not transitive, so an order-dependent chain of matches has no counterpart in a set of rows."""
     named = snapshot.select(F.col(ordinal), F.col(key).alias("_known"))
-    hit = blocked_matches(new, snapshot, key, key, ordinal).join(named, ordinal).select(F.col(key).alias("_probe"), "_known")
-    got = new.join(hit, inline(new[key]) == hit["_probe"], "left")
+    hit = blocked_matches(new, snapshot, key, key, ordinal).join(_dealt(named), ordinal).select(F.col(key).alias("_probe"), "_known")
+    got = new.join(_dealt(hit), inline(new[key]) == hit["_probe"], "left")
     return got.select(*(F.coalesce("_known", new[key]).alias(c) if c == key else new[c] for c in new.columns))
 
 
@@ -138,7 +144,7 @@ def history_of(projects: DataFrame, notices: DataFrame, from_step: int = 1, toda
     stage = F.coalesce(*(F.when(F.col("channel") == k, F.lit(v)) for k, v in STAGES.items()), F.lit(9)) if from_step > 1 else None
     own = notices if stage is None else notices.where(stage >= from_step)
     pairs = containing(projects.select(F.col("项目名称").alias("project")), own.select(F.col("raw_title").alias("_title")), "project", "_title", 4)
-    return own.join(pairs, own["raw_title"] == pairs["_title"]).select("project", *own.columns)
+    return own.join(_dealt(pairs), own["raw_title"] == pairs["_title"]).select("project", *own.columns)
 
 
 def triggers(items: DataFrame) -> DataFrame:
