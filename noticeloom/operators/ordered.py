@@ -16,6 +16,7 @@ the smallest ordinal; ``order`` is a long, zero or more, that no two new rows sh
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +29,11 @@ from noticeloom.sources.writers import dropped, landed
 
 log = logging.getLogger(__name__)
 
+#: Rows that one task looks through for a name; names with more are looked through by ranges, over all tasks.
+MOST = 1_000_000
+#: The time of a link to nothing; the snapshot's is -1.
+MARK = -2
+
 
 def last_before(rows: DataFrame, key: list[str], order: str, value: str, name: str) -> DataFrame:
     """``rows`` with ``name``: the greatest ``value`` among the rows of ``key`` that stand before it in ``order`` (nulls are none).
@@ -49,18 +55,45 @@ def matching_names(names: DataFrame) -> DataFrame:
     return landed(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(names.select(F.col("n").alias("a"), F.col("n").alias("b"))), "matching")
 
 
+def _hot(items: DataFrame, pairs: DataFrame) -> DataFrame | None:
+    """(b): names with more than ``MOST`` rows of their own and of names that match them; they are as few as all rows allow. None if no name can be one."""
+    counts, degrees = items.groupBy("n").agg(F.count("*").alias("c")), pairs.groupBy("b").agg(F.count("*").alias("d"))
+    c, d = counts.agg(F.max("c")).first()[0], degrees.agg(F.max("d")).first()[0]
+    if not c or 2 * c * d <= MOST:
+        return None
+    sums = pairs.join(counts.select(F.col("n").alias("a"), F.col("c").alias("ca")), "a", "left").groupBy("b").agg(F.sum("ca").alias("s"), F.count("*").alias("d"))
+    hot = landed(sums.join(counts.select(F.col("n").alias("b"), "c"), "b").where(F.coalesce("s", F.lit(0)) + F.col("d") * F.col("c") > MOST).select("b"), "hot")
+    return None if hot.isEmpty() else hot
+
+
+def _seen_by_ranges(rows: DataFrame) -> DataFrame:
+    """What ``_visits`` finds out for a name in one task, for names of any share of the rows."""
+    seen = landed(last_before(rows, ["a", "b"], "t", "v", "last").where("own").select("a", "b", "t", "last"), "seen")
+    foreign = seen.groupBy("b", "t").agg(F.max(F.when(F.col("a") != F.col("b"), F.col("last"))).alias("p"))
+    foreign = foreign.withColumn("p", F.coalesce("p", F.lit(-1)))
+    visit = foreign.join(foreign.groupBy("b", "p").agg(F.min("t").alias("node")), ["b", "p"])
+    return seen.join(visit.select("b", "t", "node"), ["b", "t"])
+
+
 def _visits(items: DataFrame, pairs: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(item's row -> node, nodes, links), for names that are taken over. A link leads to the last visit of a matching name before the node,
     or to the snapshot's row of that name if there was none."""
     # for a pair (a, b): when a was last there before each row of b
     own = pairs.join(items.select(F.col("n").alias("b"), "t"), "b").select("a", "b", "t", F.when(F.col("a") == F.col("b"), F.col("t")).alias("v"), F.lit(True).alias("own"))
     others = pairs.where("a <> b").join(items.select(F.col("n").alias("a"), "t"), "a").select("a", "b", "t", F.col("t").alias("v"), F.lit(False).alias("own"))
-    seen = landed(last_before(own.unionByName(others), ["a", "b"], "t", "v", "last").where("own").select("a", "b", "t", "last"), "seen")
-    foreign = seen.groupBy("b", "t").agg(F.max(F.when(F.col("a") != F.col("b"), F.col("last"))).alias("p"))
-    foreign = foreign.withColumn("p", F.coalesce("p", F.lit(-1)))
-    visit = landed(foreign.join(foreign.groupBy("b", "p").agg(F.min("t").alias("node")), ["b", "p"]).select(F.col("b").alias("n"), "t", "node"), "visits")
-    nodes = landed(visit.select("n", F.col("node").alias("t")).distinct(), "nodes")
-    at_nodes = seen.join(nodes.select(F.col("n").alias("b"), "t"), ["b", "t"])
+    rows, hot = own.unionByName(others), _hot(items, pairs)
+    # a name's rows are brought together once; all windows hold within them
+    dealt = (rows.join(F.broadcast(hot), "b", "left_anti") if hot is not None else rows).repartition("b")
+    before = Window.partitionBy("b", "a").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    seen = dealt.withColumn("last", F.max("v").over(before)).where("own")
+    foreign = F.max(F.when(F.col("a") != F.col("b"), F.col("last"))).over(Window.partitionBy("b", "t"))
+    seen = seen.withColumn("p", F.coalesce(foreign, F.lit(-1))).withColumn("node", F.min("t").over(Window.partitionBy("b", "p"))).select("a", "b", "t", "last", "node")
+    if hot is not None:
+        seen = seen.unionByName(_seen_by_ranges(rows.join(F.broadcast(hot), "b", "left_semi")).select(*seen.columns))
+    seen = landed(seen, "seen")
+    visit = landed(seen.where("a = b").select(F.col("b").alias("n"), "t", "node"), "visits")
+    nodes = visit.where("t = node").select("n", "t")
+    at_nodes = seen.where("t = node").drop("node")
     to_visit = visit.select(F.col("n").alias("a"), F.col("t").alias("last"), F.col("node").alias("jt"))
     later = at_nodes.where("last IS NOT NULL").join(to_visit, ["a", "last"]).select(F.col("a").alias("jn"), "jt", F.col("b").alias("kn"), F.col("t").alias("kt"), F.lit(None).cast(known.schema["slot"].dataType).alias("slot"))
     start = at_nodes.where("last IS NULL").join(known, at_nodes["a"] == known["n"]).select(F.col("a").alias("jn"), F.lit(-1).cast("long").alias("jt"), F.col("b").alias("kn"), F.col("t").alias("kt"), "slot")
@@ -90,44 +123,41 @@ def resolved(new: DataFrame, snapshot: DataFrame, order: str, ordinal: str, key:
     every = named.select("n").union(known.select("n")).distinct()
     pairs = matching_names(every)
     visit, nodes, links = (_visits if rename else _names)(named, pairs, known)
-    links = landed(links, "links")
-    open_nodes = nodes
+    # beside its links an open node has a mark, a link to nothing, so the links alone tell what is open
+    marks = nodes.select(F.col("n").alias("jn"), F.lit(MARK).cast("long").alias("jt"), F.col("n").alias("kn"), F.col("t").alias("kt"), F.lit(None).cast(known.schema["slot"].dataType).alias("slot"))
+    links = landed(links.unionByName(marks), "links")
     done: list[DataFrame] = []
-    rounds = 0
-    while not open_nodes.isEmpty():
+    while not links.isEmpty():
         # a link is sure when its candidate has a row and no undecided row that could take it over comes first
-        exact = F.col("jn") == F.col("kn")
+        exact, real = F.col("jn") == F.col("kn"), F.col("jt") != MARK
         if rename:
-            sure = links.join(links.groupBy("jn", "jt").agg(F.min("kt").alias("u")), ["jn", "jt"]).withColumn("sure", F.col("slot").isNotNull() & (F.col("u") == F.col("kt")))
+            first = links.where(real).groupBy("jn", "jt").agg(F.min("kt").alias("u"))
+            sure = links.join(first, ["jn", "jt"], "left").withColumn("sure", F.when(real, F.col("slot").isNotNull() & (F.col("u") == F.col("kt"))))
         else:
-            sure = links.withColumn("sure", F.col("slot").isNotNull())
+            sure = links.withColumn("sure", F.when(real, F.col("slot").isNotNull()))
         best = F.min(F.when(F.col("sure"), F.struct((~exact).alias("near"), "slot", "jn", "jt"))).alias("best")
-        votes = sure.groupBy("kn", "kt").agg(best, F.min("sure").alias("all_sure"), F.max(F.col("sure") & exact).alias("equal"))
-        state = open_nodes.join(votes, (open_nodes["n"] == votes["kn"]) & (open_nodes["t"] == votes["kt"]), "left")
-        ready = state.where("kn IS NULL OR all_sure OR equal")
+        votes = sure.groupBy(F.col("kn").alias("n"), F.col("kt").alias("t")).agg(best, F.min("sure").alias("all_sure"), F.max(F.col("sure") & exact).alias("equal"))
+        ready = votes.where("all_sure IS NULL OR all_sure OR equal")
         now = landed(ready.select("n", "t", F.coalesce(F.col("best.slot"), slot(1, F.lit(None), F.col("t"))).alias("slot"), F.col("best.jn").alias("took_n"), F.col("best.jt").alias("took_t")), "decided")
         done.append(now)
-        left = landed(open_nodes.join(now.select("n", "t"), ["n", "t"], "left_anti"), "open")
         kept = links.join(now.select(F.col("n").alias("kn"), F.col("t").alias("kt")), ["kn", "kt"], "left_anti")
-        # candidates get their rows; names that are nobody's any more are no candidates
-        kept = kept.join(now.select(F.col("n").alias("jn"), F.col("t").alias("jt"), F.col("slot").alias("got"), F.col("took_n").isNull().alias("own")), ["jn", "jt"], "left")
+        # candidates get their rows; names that are nobody's any more are no candidates (what is taken was decided before, so it is not in both parts)
+        fate = now.select(F.col("n").alias("jn"), F.col("t").alias("jt"), F.col("slot").alias("got"), (F.lit(rename) | F.col("took_n").isNull()).alias("stays"))
         if rename:
-            gone = now.where("took_n IS NOT NULL").select(F.col("took_n").alias("jn"), F.col("took_t").alias("jt"))
-            kept = kept.join(gone, ["jn", "jt"], "left_anti")
-        else:
-            kept = kept.where("own IS NULL OR own")
+            fate = fate.unionByName(now.where("took_n IS NOT NULL").select(F.col("took_n").alias("jn"), F.col("took_t").alias("jt"), F.lit(None).cast(known.schema["slot"].dataType).alias("got"), F.lit(False).alias("stays")))
+        kept = kept.join(fate, ["jn", "jt"], "left").where("stays IS NULL OR stays")
         kept = landed(kept.select("jn", "jt", "kn", "kt", F.coalesce("slot", "got").alias("slot")), "links")
-        for t in (open_nodes, links):
-            dropped(t)
-        open_nodes, links = left, kept
-        rounds += 1
+        dropped(links)
+        links = kept
+    rounds = len(done)
     log.info("rows resolved in %d rounds", rounds)
     nameless = items.where("n IS NULL").select("t", slot(1, F.lit(None), F.col("t")).alias("slot"))
     out = nameless
-    for d in done:
-        out = out.unionByName(visit.join(d.select("n", F.col("t").alias("node"), "slot"), ["n", "node"]).select("t", "slot"))
+    if done:
+        decided = reduce(DataFrame.unionByName, (d.select("n", F.col("t").alias("node"), "slot") for d in done))
+        out = out.unionByName(visit.join(decided, ["n", "node"]).select("t", "slot"))
     out = landed(out.select(F.col("t").alias(order), "slot"), "resolved")
-    for t in (items, known, pairs, visit, open_nodes, links, *done):
+    for t in (items, known, pairs, visit, links, *done):
         dropped(t)
     out._rounds = rounds
     return out
