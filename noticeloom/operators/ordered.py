@@ -3,7 +3,8 @@
 A new row takes the table's row of the equal name, else the first one, in table order, of which one name contains the other (both of
 five characters or more), else it is appended. What a row finds depends on earlier ones, but only on those whose names match its own or
 those of its candidates. So matching names are links, and in rounds every row is decided whose candidates are: rows that nothing
-undecided stands before, all over the table at once. Rounds are as many as the longest chain of rows that wait for each other, not as rows; each
+undecided stands before, all over the table at once. Names that hang together and have few rows are decided before that, one after the other
+in one pass over the rows dealt by such groups; the rounds are for the others. Rounds are as many as the longest chain of rows that wait for each other, not as rows; each
 round's tables are written down, and hold undecided rows' links only.
 
 With ``rename`` a matched row takes the new name over, as a replaced row does, and the old name matches nobody any more; without it the table's name
@@ -16,10 +17,12 @@ the smallest ordinal; ``order`` is a long, zero or more, that no two new rows sh
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from noticeloom.functions import vocabulary as V
 from noticeloom.functions.text import inline, is_missing, present, text
@@ -31,6 +34,8 @@ log = logging.getLogger(__name__)
 
 #: Rows that one task looks through for a name; names with more are looked through by ranges, over all tasks.
 MOST = 1_000_000
+#: Rows of the names that hang together which one pass in order decides; more of them are decided in rounds.
+FEW = 500
 #: The time of a link to nothing; the snapshot's is -1.
 MARK = -2
 
@@ -111,17 +116,51 @@ def _names(items: DataFrame, pairs: DataFrame, known: DataFrame) -> tuple[DataFr
     return visit, nodes, ends.select(F.col("a").alias("jn"), F.when(F.col("slot").isNull(), F.col("jt")).otherwise(F.lit(-1)).cast("long").alias("jt"), F.col("b").alias("kn"), "kt", "slot")
 
 
-def resolved(new: DataFrame, snapshot: DataFrame, order: str, ordinal: str, key: str = "项目名称", rename: bool = True) -> DataFrame:
-    """(order, slot) of every new row: slot.known is the ordinal of the snapshot's row that it takes, slot.founder the order of the new row
-    that was appended and that it takes, itself included."""
-    kind = snapshot.schema[ordinal].dataType.simpleString()
-    slot = lambda is_new, o, t: F.struct(F.lit(is_new).alias("appended"), o.cast(kind).alias("known"), t.cast("long").alias("founder"))
-    items = landed(new.select(F.when(F.col(key).isNotNull(), inline(F.col(key))).alias("n"), F.col(order).cast("long").alias("t")), "items")
-    known = snapshot.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("n")).agg(F.min(ordinal).alias("o"))
-    known = landed(known.select("n", slot(0, F.col("o"), F.lit(None)).alias("slot")), "known")
-    named = items.where("n IS NOT NULL")
-    every = named.select("n").union(known.select("n")).distinct()
-    pairs = matching_names(every)
+def _groups(pairs: DataFrame) -> DataFrame:
+    """(n, l, closed): a label of every name, and whether all names that match it have the same one. Names of a label whose names are all closed match
+    nothing outside of it: labels are smallest hashes, so names that have nothing to do with each other may share one, which does no harm."""
+    label = pairs.groupBy("b").agg(F.min(F.xxhash64("a")).alias("l"))
+    for _ in range(2):
+        near = pairs.join(label.select(F.col("b").alias("a"), "l"), "a")
+        label = near.groupBy("b").agg(F.min("l").alias("l"), (F.min("l") == F.max("l")).alias("closed"), F.max(F.when(F.col("a") == F.col("b"), F.col("l"))).alias("own"))
+    return label.select(F.col("b").alias("n"), F.col("own").alias("l"), "closed")
+
+
+def _in_turn(schema: StructType, rename: bool) -> Callable:
+    """For mapInArrow over (l, n, t, o) in the order of l, t, o: (t, o, f) of every new row, the snapshot's ordinal or the founder that it takes."""
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        out = to_arrow_schema(schema)
+        label, table = None, {}  # name -> what it stands for, by place in the table
+        for batch in batches:
+            got = []
+            for l, n, t, o in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if l != label:
+                    label, table = l, {}
+                if t < 0:
+                    table[n] = (len(table), o, None)
+                    continue
+                hit = n if n in table else None
+                if hit is None and len(n) >= MIN_NAME:
+                    hit = min((k for k in table if len(k) >= MIN_NAME and (k in n or n in k)), key=lambda k: table[k][0], default=None)
+                if hit is None:
+                    hit = n
+                    table[n] = (len(table), None, t)
+                slot = table[hit]
+                if rename and hit != n:
+                    del table[hit]
+                    table[n] = slot
+                got.append((t, *slot[1:]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*got, strict=True) if got else [[]] * 3, out, strict=True)], schema=out)
+
+    return run
+
+
+def _in_rounds(named: DataFrame, pairs: DataFrame, known: DataFrame, slot: Callable, rename: bool) -> tuple[DataFrame, int]:
+    """(t, slot) of every row of ``named``, whatever hangs together, and the number of rounds."""
     visit, nodes, links = (_visits if rename else _names)(named, pairs, known)
     # beside its links an open node has a mark, a link to nothing, so the links alone tell what is open
     marks = nodes.select(F.col("n").alias("jn"), F.lit(MARK).cast("long").alias("jt"), F.col("n").alias("kn"), F.col("t").alias("kt"), F.lit(None).cast(known.schema["slot"].dataType).alias("slot"))
@@ -149,15 +188,46 @@ def resolved(new: DataFrame, snapshot: DataFrame, order: str, ordinal: str, key:
         kept = landed(kept.select("jn", "jt", "kn", "kt", F.coalesce("slot", "got").alias("slot")), "links")
         dropped(links)
         links = kept
-    rounds = len(done)
+    decided = reduce(DataFrame.unionByName, (d.select("n", F.col("t").alias("node"), "slot") for d in done))
+    out = landed(visit.join(decided, ["n", "node"]).select("t", "slot"), "in_rounds")
+    for t in (visit, links, *done):
+        dropped(t)
+    return out, len(done)
+
+
+def resolved(new: DataFrame, snapshot: DataFrame, order: str, ordinal: str, key: str = "项目名称", rename: bool = True) -> DataFrame:
+    """(order, slot) of every new row: slot.known is the ordinal of the snapshot's row that it takes, slot.founder the order of the new row
+    that was appended and that it takes, itself included."""
+    kind = snapshot.schema[ordinal].dataType.simpleString()
+    slot = lambda is_new, o, t: F.struct(F.lit(is_new).alias("appended"), o.cast(kind).alias("known"), t.cast("long").alias("founder"))
+    items = landed(new.select(F.when(F.col(key).isNotNull(), inline(F.col(key))).alias("n"), F.col(order).cast("long").alias("t")), "items")
+    known = snapshot.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("n")).agg(F.min(ordinal).alias("o"))
+    known = landed(known.select("n", slot(0, F.col("o"), F.lit(None)).alias("slot")), "known")
+    named = items.where("n IS NOT NULL")
+    every = named.select("n").union(known.select("n")).distinct()
+    pairs = matching_names(every)
+    # names that hang together and have few rows are decided in one pass over them, the others in rounds
+    groups = landed(_groups(pairs), "groups")
+    every = named.select("n", "t", F.lit(None).cast(kind).alias("o")).unionByName(known.select("n", F.lit(-1).cast("long").alias("t"), F.col("slot.known").alias("o")))
+    members = landed(every.join(groups, "n"), "members")
+    small = landed(members.groupBy("l").agg(F.count("*").alias("c"), F.min("closed").alias("closed")).where((F.col("c") <= FEW) & F.col("closed")).select("l"), "small")
+    turns = members.join(small, "l", "left_semi").select("l", "n", "t", "o").repartition("l").sortWithinPartitions("l", "t", "o")
+    schema = StructType().add("t", "long").add("o", snapshot.schema[ordinal].dataType).add("f", "long")
+    at_once = landed(turns.mapInArrow(_in_turn(schema, rename), schema), "at_once")
+    tables = [items, known, pairs, groups, members, small, at_once]
+    out = at_once.select("t", F.struct(F.when(F.col("f").isNull(), 0).otherwise(1).alias("appended"), F.col("o").alias("known"), F.col("f").alias("founder")).alias("slot"))
+    out = out.unionByName(items.where("n IS NULL").select("t", slot(1, F.lit(None), F.col("t")).alias("slot")))
+    rest, rounds = landed(members.join(small, "l", "left_anti").select("n", "t"), "rest"), 0
+    tables.append(rest)
+    if not rest.where("t >= 0").isEmpty():
+        names = rest.select("n").distinct()
+        left = pairs.join(names.select(F.col("n").alias("b")), "b", "left_semi").select("a", "b")
+        late, rounds = _in_rounds(rest.where("t >= 0"), left, known.join(names, "n", "left_semi"), slot, rename)
+        out = out.unionByName(late)
+        tables.append(late)
     log.info("rows resolved in %d rounds", rounds)
-    nameless = items.where("n IS NULL").select("t", slot(1, F.lit(None), F.col("t")).alias("slot"))
-    out = nameless
-    if done:
-        decided = reduce(DataFrame.unionByName, (d.select("n", F.col("t").alias("node"), "slot") for d in done))
-        out = out.unionByName(visit.join(decided, ["n", "node"]).select("t", "slot"))
     out = landed(out.select(F.col("t").alias(order), "slot"), "resolved")
-    for t in (items, known, pairs, visit, links, *done):
+    for t in tables:
         dropped(t)
     out._rounds = rounds
     return out
