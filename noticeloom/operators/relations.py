@@ -19,6 +19,19 @@ def spread(rows: DataFrame, pieces: int = 4, by: str | None = None) -> DataFrame
     return rows.repartition(pieces * n, by) if by else rows.repartition(pieces * n)
 
 
+#: Rows up to which a table that others are joined to is broadcast.
+FEW_ROWS = 100_000
+
+
+def spread_join(rows: DataFrame, other: DataFrame, key: str, other_key: str) -> DataFrame:
+    """``rows`` with the rows of ``other`` that have their key, dealt to all cores as ``spread`` does. Few rows are broadcast; beyond that the join's
+    exchange is what deals the rows: they are written to disk once, where a deal ahead of the join would write them twice."""
+    on = F.col(key) == F.col(other_key)
+    if other.count() <= FEW_ROWS:
+        return spread(rows).join(F.broadcast(other), on)
+    return spread(rows, by=key).join(other.hint("merge"), on)
+
+
 def first_k(rows: DataFrame, group: list[str], order: list[str], k: int) -> DataFrame:
     """The first k rows of each group; Spark prunes to k in the map tasks."""
     w = Window.partitionBy(*group).orderBy(*order)
